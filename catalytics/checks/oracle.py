@@ -9,7 +9,11 @@ ORACLES: dict[str, str] = {}
 
 
 def oracle(name: str, views: list[str], body: str) -> None:
-    ORACLES[name] = W(views, body)
+    b = body.lstrip()
+    if b.upper().startswith("WITH "):
+        # continue the CTE list that ``with_views`` opens
+        b = ", " + b[5:]
+    ORACLES[name] = W(views, b)
 
 
 _HYD = "t.key AS table_key, t.database, t.cluster, t.schema, t.name, t.description"
@@ -133,3 +137,197 @@ SELECT table_key, count(*) AS total, count(*) FILTER (WHERE status <> 'resolved'
        count(*) FILTER (WHERE status <> 'resolved' AND priority = 'P3') AS open_p3
 FROM (SELECT *, CASE severity WHEN 'Critical' THEN 'P0' WHEN 'Major' THEN 'P1' WHEN 'Minor' THEN 'P2'
                 ELSE 'P3' END AS priority FROM c_issues) GROUP BY table_key""")
+
+# ---------------------------------------------------------------- details
+_WM_FORMATS = "['%Y-%m-%d', '%Y%m%d']"
+
+
+def _watermarks_sql(formats: list[str], include_deleted: bool) -> str:
+    """Per table: chosen format = first format parsing the smallest active
+    name that some format parses; low/high over (all|active) partitions."""
+    idx = " ".join(f"WHEN try_strptime(name, '{f}') IS NOT NULL THEN {i}" for i, f in enumerate(formats))
+    parse = " ".join(f"WHEN {i} THEN try_strptime(name, '{f}')" for i, f in enumerate(formats))
+    src = "c_partitions" if include_deleted else "(SELECT * FROM c_partitions WHERE upper(status) = 'ACTIVE')"
+    return f"""
+, fmt AS (SELECT table_key, arg_min(fi, name) AS fi FROM (
+            SELECT table_key, name, CASE {idx} END AS fi FROM c_partitions WHERE upper(status) = 'ACTIVE')
+          WHERE fi IS NOT NULL GROUP BY table_key),
+parsed AS (SELECT p.table_key, CASE f.fi {parse} END AS ts FROM {src} p JOIN fmt f USING (table_key)),
+g AS (SELECT table_key, min(ts) AS lo, max(ts) AS hi FROM parsed WHERE ts IS NOT NULL GROUP BY table_key),
+wm AS (SELECT table_key, 'low_watermark' AS watermark_type, 'ds region' AS partition_key,
+              strftime(lo, '%Y-%m-%d %H:%M:%S') AS partition_value, cast(0 AS BIGINT) AS create_time FROM g
+       UNION ALL
+       SELECT table_key, 'high_watermark', 'ds region', strftime(hi, '%Y-%m-%d %H:%M:%S'), cast(0 AS BIGINT) FROM g)
+"""
+
+
+oracle("partition_watermarks", ["c_partitions"], _watermarks_sql(["%Y-%m-%d", "%Y%m%d"], True) +
+       "SELECT * FROM wm")
+oracle("partition_watermarks_active_only", ["c_partitions"], _watermarks_sql(["%Y%m%d"], False) +
+       "SELECT * FROM wm")
+oracle("partition_flag", ["c_partitions", "c_tables"], _watermarks_sql(["%Y-%m-%d", "%Y%m%d"], True) + """
+SELECT t.key AS table_key, w.partition_key AS key, w.partition_value AS value, w.partition_value IS NOT NULL AS is_partitioned
+FROM c_tables t LEFT JOIN (SELECT * FROM wm WHERE watermark_type = 'high_watermark') w ON w.table_key = t.key""")
+
+oracle("table_hierarchy", ["c_tables"], """
+SELECT key AS table_key, database AS database_name, cluster AS cluster_name, schema AS schema_name,
+       name AS table_name FROM c_tables""")
+
+oracle("table_columns", ["c_tables", "c_columns", "c_column_stats"], """
+SELECT t.key AS table_key, t.database, t.cluster, t.schema, t.name, t.description, c.n_columns,
+       c.column_names, c.column_types, c.n_stats
+FROM c_tables t JOIN (
+  SELECT c.table_key, count(*) AS n_columns, string_agg(c.name, ',' ORDER BY c.sort_order) AS column_names,
+         string_agg(c.col_type, ',' ORDER BY c.sort_order) AS column_types,
+         cast(sum(coalesce(s.n, 0)) AS INTEGER) AS n_stats
+  FROM c_columns c LEFT JOIN (SELECT column_key, count(*) AS n FROM (SELECT DISTINCT * FROM c_column_stats)
+                              GROUP BY 1) s ON s.column_key = c.key
+  GROUP BY c.table_key) c ON c.table_key = t.key""")
+
+oracle("table_detail", ["c_tables", "c_columns", "c_column_stats", "c_reads", "c_owners", "c_tags",
+                        "c_badges", "c_partitions"],
+       _watermarks_sql(["%Y-%m-%d", "%Y%m%d"], True) + """,
+cols AS (SELECT c.table_key, string_agg(c.name, ',' ORDER BY c.sort_order) AS column_names,
+                cast(sum(coalesce(s.n, 0)) AS INTEGER) AS n_stats
+         FROM c_columns c LEFT JOIN (SELECT column_key, count(*) AS n FROM (SELECT DISTINCT * FROM c_column_stats)
+                                     GROUP BY 1) s ON s.column_key = c.key GROUP BY c.table_key),
+rd AS (SELECT table_key, string_agg(user_key || ':' || cast(read_count AS VARCHAR), ',' ORDER BY rk) AS readers
+       FROM (SELECT *, row_number() OVER (PARTITION BY table_key ORDER BY read_count DESC, user_key) AS rk
+             FROM c_reads) WHERE rk <= 5 GROUP BY table_key),
+ow AS (SELECT resource_key, string_agg(DISTINCT user_key, '|' ORDER BY user_key) AS owners FROM c_owners GROUP BY 1),
+tg AS (SELECT resource_key, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags FROM c_tags
+       WHERE tag_type = 'default' GROUP BY 1),
+bd AS (SELECT resource_key, string_agg(DISTINCT badge_name || ':' || category, '|'
+                                       ORDER BY badge_name || ':' || category) AS badges FROM c_badges GROUP BY 1)
+SELECT t.key AS table_key, t.database, t.cluster, t.schema, t.name, t.description, cols.column_names, cols.n_stats,
+       rd.readers, ow.owners, tg.tags, bd.badges,
+       lo.partition_value AS low_watermark, hi.partition_value AS high_watermark
+FROM c_tables t JOIN cols ON cols.table_key = t.key
+LEFT JOIN rd ON rd.table_key = t.key LEFT JOIN ow ON ow.resource_key = t.key
+LEFT JOIN tg ON tg.resource_key = t.key LEFT JOIN bd ON bd.resource_key = t.key
+LEFT JOIN (SELECT * FROM wm WHERE watermark_type = 'low_watermark') lo ON lo.table_key = t.key
+LEFT JOIN (SELECT * FROM wm WHERE watermark_type = 'high_watermark') hi ON hi.table_key = t.key""")
+
+_LASTEX = """(SELECT dashboard_key, ts AS last_run_timestamp, state AS last_run_state, last_successful_run_timestamp
+  FROM (SELECT dashboard_key, ts, state,
+               max(CASE WHEN state = 'succeeded' THEN ts END) OVER (PARTITION BY dashboard_key) AS last_successful_run_timestamp,
+               row_number() OVER (PARTITION BY dashboard_key ORDER BY ts DESC, state DESC) AS rk
+        FROM c_dashboard_executions) WHERE rk = 1)"""
+
+oracle("last_executions", ["c_dashboard_executions"], f"SELECT * FROM {_LASTEX}")
+
+oracle("dashboard_detail", ["c_dashboards", "c_dashboard_executions", "c_dashboard_reads",
+                            "c_dashboard_owners", "c_tags", "c_dashboard_queries", "c_dashboard_charts",
+                            "c_dashboard_tables"], f"""
+SELECT d.key AS dashboard_key, d.name, d.url, d.group_name, d.cluster, d.product, d.description,
+       d.created_timestamp, ex.last_run_timestamp, ex.last_run_state, ex.last_successful_run_timestamp,
+       cast(coalesce(v.v, 0) AS BIGINT) AS recent_view_count, ow.owners, tg.tags, q.queries, ch.chart_names, tb.tables
+FROM c_dashboards d
+LEFT JOIN {_LASTEX} ex ON ex.dashboard_key = d.key
+LEFT JOIN (SELECT dashboard_key, sum(read_count) AS v FROM c_dashboard_reads GROUP BY 1) v ON v.dashboard_key = d.key
+LEFT JOIN (SELECT resource_key, string_agg(DISTINCT user_key, '|' ORDER BY user_key) AS owners
+           FROM c_dashboard_owners GROUP BY 1) ow ON ow.resource_key = d.key
+LEFT JOIN (SELECT resource_key, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags FROM c_tags
+           WHERE tag_type = 'default' GROUP BY 1) tg ON tg.resource_key = d.key
+LEFT JOIN (SELECT dashboard_key, string_agg(DISTINCT s, '|' ORDER BY s) AS queries FROM (
+             SELECT dashboard_key, concat_ws(';', name, coalesce(url, ''), coalesce(query_text, '')) AS s
+             FROM c_dashboard_queries WHERE name IS NOT NULL OR url IS NOT NULL OR query_text IS NOT NULL)
+           GROUP BY 1) q ON q.dashboard_key = d.key
+LEFT JOIN (SELECT dashboard_key, string_agg(DISTINCT chart_name, '|' ORDER BY chart_name) AS chart_names
+           FROM c_dashboard_charts WHERE length(chart_name) > 0 GROUP BY 1) ch ON ch.dashboard_key = d.key
+LEFT JOIN (SELECT dashboard_key, string_agg(DISTINCT table_key, '|' ORDER BY table_key) AS tables
+           FROM c_dashboard_tables GROUP BY 1) tb ON tb.dashboard_key = d.key""")
+
+oracle("dashboards_using_table", ["c_dashboards", "c_dashboard_tables", "c_dashboard_reads",
+                                  "c_dashboard_executions"], f"""
+SELECT x.*, row_number() OVER (PARTITION BY table_key ORDER BY total_reads DESC, dashboard_key) AS rank
+FROM (SELECT dt.dashboard_key, dt.table_key, d.name, d.group_name, d.product, d.description,
+             ex.last_successful_run_timestamp, cast(coalesce(v.v, 0) AS BIGINT) AS total_reads
+      FROM c_dashboard_tables dt JOIN c_dashboards d ON d.key = dt.dashboard_key
+      LEFT JOIN (SELECT dashboard_key, sum(read_count) AS v FROM c_dashboard_reads GROUP BY 1) v
+             ON v.dashboard_key = dt.dashboard_key
+      LEFT JOIN {_LASTEX} ex ON ex.dashboard_key = dt.dashboard_key) x""")
+
+oracle("feature_detail", ["c_features", "c_feature_databases", "c_feature_owners", "c_feature_tags",
+                          "c_feature_watermarks"], """
+SELECT f.key AS feature_key, f.name, f.version, f.feature_group, f.data_type, f.entity, f.status, f.description,
+       a.availability, o.owners, t.tags, w.watermarks
+FROM c_features f
+LEFT JOIN (SELECT feature_key, string_agg(DISTINCT database, '|' ORDER BY database) AS availability
+           FROM c_feature_databases GROUP BY 1) a ON a.feature_key = f.key
+LEFT JOIN (SELECT resource_key, string_agg(DISTINCT user_key, '|' ORDER BY user_key) AS owners
+           FROM c_feature_owners GROUP BY 1) o ON o.resource_key = f.key
+LEFT JOIN (SELECT resource_key, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags
+           FROM c_feature_tags GROUP BY 1) t ON t.resource_key = f.key
+LEFT JOIN (SELECT feature_key, string_agg(DISTINCT s, '|' ORDER BY s) AS watermarks FROM (
+             SELECT feature_key, split_part(key, '/', -1) || ':' || cast(time AS VARCHAR) AS s
+             FROM c_feature_watermarks) GROUP BY 1) w ON w.feature_key = f.key""")
+
+oracle("feature_generation_code", ["c_features", "c_feature_generation_code"], """
+SELECT g.* FROM c_feature_generation_code g JOIN c_features f ON f.key = g.feature_key""")
+
+oracle("user_profile", ["c_users"], """
+SELECT u.email, u.first_name, u.last_name, u.full_name, u.team_name, u.employee_type, u.github_username,
+       u.slack_id, u.role_name, u.manager_email,
+       coalesce(u.manager_fullname, m.full_name, '') AS manager_fullname, coalesce(u.is_active, false) AS is_active
+FROM c_users u LEFT JOIN c_users m ON m.email = u.manager_email""")
+
+oracle("active_users", ["c_users"], "SELECT email, full_name, team_name FROM c_users WHERE is_active")
+
+oracle("resource_description", ["c_tables"], "SELECT key AS resource_key, description FROM c_tables")
+
+oracle("column_description", ["c_columns"], "SELECT key AS resource_key, description FROM c_columns")
+
+oracle("column_parent", ["c_columns", "c_tables"], """
+SELECT c.table_key, c.key AS column_key FROM c_columns c JOIN c_tables t ON t.key = c.table_key""")
+
+oracle("table_reports", ["c_reports"], """
+SELECT table_key, count(*) AS n_reports, string_agg(name, '|' ORDER BY name, url) AS reports
+FROM c_reports WHERE upper(status) = 'ACTIVE' GROUP BY table_key""")
+
+oracle("user_resources_read", ["c_reads", "c_tables"], """
+SELECT t.key, e.user_key, t.database, t.cluster, t.schema, t.name, t.description, 'read' AS relation
+FROM (SELECT DISTINCT user_key, table_key FROM c_reads) e JOIN c_tables t ON t.key = e.table_key""")
+
+oracle("user_resources_own_dashboards", ["c_dashboard_owners", "c_dashboards", "c_dashboard_executions"], f"""
+SELECT d.key, e.user_key, d.name, d.group_name, d.product, d.description, ex.last_successful_run_timestamp,
+       'own' AS relation
+FROM (SELECT DISTINCT user_key, resource_key FROM c_dashboard_owners) e JOIN c_dashboards d ON d.key = e.resource_key
+LEFT JOIN {_LASTEX} ex ON ex.dashboard_key = d.key""")
+
+oracle("owned_resources_union", ["c_owners", "c_tables", "c_users"], """
+SELECT DISTINCT user_key, key FROM (
+  SELECT user_key, resource_key AS key FROM c_owners
+  UNION ALL
+  SELECT u.email, t.key FROM c_users u JOIN c_tables t ON starts_with(lower(t.owner), lower(u.email))
+  WHERE t.status = 'ACTIVE')""")
+
+oracle("owners_with_fallback", ["c_owners", "c_users", "c_tables"], """
+SELECT t.key AS resource_key,
+       CASE WHEN t.owner IS NULL OR list_contains(coalesce(o.l, []), t.owner)
+            THEN array_to_string(coalesce(o.l, []), '|')
+            ELSE array_to_string(list_append(coalesce(o.l, []), t.owner), '|') END AS owners
+FROM c_tables t LEFT JOIN (
+  SELECT resource_key, list_sort(list(DISTINCT user_key)) AS l FROM c_owners
+  WHERE user_key IN (SELECT email FROM c_users WHERE is_active) GROUP BY 1) o ON o.resource_key = t.key""")
+
+oracle("co_reader_paths", ["c_reads"], """
+SELECT a.user_key, count(*) AS n_paths, count(DISTINCT b.user_key) AS n_co_readers,
+       cast(sum(c.read_count) AS BIGINT) AS path_reads
+FROM c_reads a JOIN c_reads b ON a.table_key = b.table_key AND a.user_key <> b.user_key
+JOIN c_reads c ON c.user_key = b.user_key AND c.table_key <> a.table_key
+GROUP BY a.user_key""")
+
+oracle("orphan_check", ["c_change_feed", "c_tables"], """
+SELECT seq, resource_key, resource_key IN (SELECT key FROM c_tables) AS accepted FROM c_change_feed""")
+
+oracle("event_registration_join", ["c_sensor_events", "c_pet_registry"], """
+SELECT e.pet_id, e.event_id, e.event_type, e.event_sentiment, e.event_duration, e.event_date_time,
+       r.name, r.species, r.owner_email
+FROM c_sensor_events e LEFT JOIN c_pet_registry r ON r.pet_id = e.pet_id""")
+
+oracle("recipients_except_sender", ["c_change_feed", "c_owners", "c_users"], """
+SELECT c.seq, c.resource_key, o.user_key AS recipient, u.full_name AS display_name
+FROM c_change_feed c JOIN c_owners o ON o.resource_key = c.resource_key
+JOIN c_users u ON u.email = o.user_key AND u.is_active AND length(coalesce(u.full_name, '')) > 0
+WHERE o.user_key <> c.actor""")

@@ -24,7 +24,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                CASE WHEN p_partkey % 11 = 0 THEN NULL WHEN p_partkey % 13 = 0 THEN '' ELSE p_name END AS description,
                (p_size % 10 = 0) AS is_view,
                CASE WHEN p_partkey % 17 = 0 THEN 'DELETED' ELSE 'ACTIVE' END AS status,
-               p_retailprice AS popularity_score, p_partkey AS part_id
+               p_retailprice AS popularity_score, {email('p_partkey % 150')} AS owner, p_partkey AS part_id
         FROM part"""),
     "c_users": ([], f"""
         SELECT {email('c_custkey')} AS email, 'first' || cast(c_custkey as varchar) AS first_name,
@@ -185,9 +185,36 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                CASE l_linenumber WHEN 1 THEN 'Critical' WHEN 2 THEN 'Major' WHEN 3 THEN 'Minor' ELSE 'Trivial' END AS severity,
                CASE WHEN l_linestatus = 'F' THEN 'resolved' ELSE 'open' END AS status
         FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'"""),
+    "c_reports": ([], f"""
+        SELECT {tkey()} AS table_key, 'report_' || cast(l_orderkey as varchar) AS name,
+               'https://reports.example.com/' || cast(l_orderkey as varchar) AS url,
+               CASE WHEN l_linestatus = 'O' THEN 'DELETED' ELSE 'ACTIVE' END AS status
+        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 3"""),
+    "c_change_feed": ([], f"""
+        SELECT event_id AS seq, CASE WHEN event_id % 7 = 0 THEN 'delete' ELSE 'put' END AS op,
+               'table' AS resource_type,
+               CASE WHEN event_type = 'signup' THEN 'missing://gold.none/part_' || cast(event_id as varchar)
+                    WHEN p_partkey IS NOT NULL THEN {tkey()}
+                    ELSE 'missing://gold.none/part_' || cast(user_id * 13 + event_id % 13 as varchar) END AS resource_key,
+               kind,
+               CASE kind WHEN 'description' THEN 'desc ' || cast(event_id as varchar)
+                         WHEN 'tag' THEN 'tag' || cast(event_id % 5 as varchar)
+                         WHEN 'owner' THEN {email('event_id % 150')}
+                         WHEN 'follow' THEN {email('user_id')}
+                         ELSE ['tiny','medium','large','beta','gold'][event_id % 5 + 1] END AS value,
+               CASE WHEN kind = 'badge' THEN CASE WHEN event_id % 5 < 3 THEN 'size' ELSE 'table_status' END
+                    WHEN kind = 'tag' THEN CASE WHEN event_id % 11 = 0 THEN 'badge' ELSE 'default' END END AS category,
+               {email('user_id')} AS actor, ts
+        FROM (SELECT *, CASE event_type WHEN 'view' THEN 'description' WHEN 'click' THEN 'tag'
+                        WHEN 'purchase' THEN 'owner' WHEN 'signup' THEN 'follow' ELSE 'badge' END AS kind
+              FROM events) e
+        LEFT JOIN part ON user_id * 13 + event_id % 13 = p_partkey"""),
+    "c_pet_registry": ([], f"""
+        SELECT cast(c_custkey as integer) AS pet_id, c_name AS name, c_mktsegment AS species,
+               {email('c_custkey')} AS owner_email FROM customer"""),
     "c_action_log": ([], f"""
-        SELECT event_id AS action_id, event_type AS command, epoch_ms(ts) AS start_epoch_ms,
-               epoch_ms(ts) + cast(json_extract_string(props, '$.k') as bigint) * 1000 AS end_epoch_ms,
+        SELECT event_id AS action_id, event_type AS command, (epoch_us(ts) // 1000) AS start_epoch_ms,
+               (epoch_us(ts) // 1000) + cast(json_extract_string(props, '$.k') as bigint) * 1000 AS end_epoch_ms,
                {email('user_id')} AS "user", 'host' || cast(user_id % 4 as varchar) AS host,
                props AS extra_info, CASE WHEN event_type = 'error' THEN 'failure' END AS error
         FROM events"""),
@@ -195,7 +222,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT cast(user_id as integer) AS pet_id, cast(event_id as varchar) AS event_id, event_type,
                cast(round(value) as integer) AS event_sentiment,
                cast(json_extract_string(props, '$.k') as integer) AS event_duration,
-               cast(epoch_ms(ts) as varchar) AS event_date_time
+               cast((epoch_us(ts) // 1000) as varchar) AS event_date_time
         FROM events"""),
 }
 

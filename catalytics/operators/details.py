@@ -256,15 +256,36 @@ def owners_with_fallback(owner_edges: DataFrame, users: DataFrame, resources: Da
 
 
 def co_reader_paths(reads: DataFrame) -> DataFrame:
-    """(u, T, co, t) reader paths with pairwise-distinct edges (co != u,
-    t != T). Enumerates every path -- the building block the weighted form
+    """(u, via, co, t) reader paths with pairwise-distinct edges (co != u,
+    t != via). Enumerates every path -- the building block the weighted form
     in ``usage.personal_popular_tables`` avoids; use on bounded inputs."""
-    a = reads.select(F.col("user_key").alias("u"), F.col("table_key").alias("T"))
-    b = reads.select(F.col("user_key").alias("co"), F.col("table_key").alias("T"))
+    a = reads.select(F.col("user_key").alias("u"), F.col("table_key").alias("via"))
+    b = reads.select(F.col("user_key").alias("co"), F.col("table_key").alias("via"))
     c = reads.select(F.col("user_key").alias("co"), F.col("table_key").alias("t"),
                      F.col("read_count").alias("rc"))
-    return (a.join(b, "T").where(F.col("u") != F.col("co")).join(c, "co")
-            .where(F.col("t") != F.col("T")))
+    return (a.join(b, "via").where(F.col("u") != F.col("co")).join(c, "co")
+            .where(F.col("t") != F.col("via")))
+
+
+def co_reader_path_stats(reads: DataFrame) -> DataFrame:
+    """Per user: number of co-reader paths, distinct co-readers with a path,
+    and the read_count summed over paths -- computed from the pair weights
+    w(u, co) without enumerating the paths:
+    n_paths = sum_co w * (deg(co) - 1), reads = sum_co w * R(co) - shared."""
+    a = reads.select(F.col("user_key").alias("u"), F.col("table_key").alias("via"))
+    b = reads.select(F.col("user_key").alias("co"), F.col("table_key").alias("via"),
+                     F.col("read_count").alias("rc"))
+    pair = (a.join(b, "via").where(F.col("u") != F.col("co")).groupBy("u", "co")
+            .agg(F.count(F.lit(1)).alias("w"), F.sum("rc").alias("shared_rc")))
+    deg = reads.groupBy(F.col("user_key").alias("co")).agg(
+        F.count(F.lit(1)).alias("deg"), F.sum("read_count").alias("total_rc"))
+    x = pair.join(deg, "co")
+    return (x.groupBy(F.col("u").alias("user_key"))
+            .agg(F.sum(F.col("w") * (F.col("deg") - 1)).cast("long").alias("n_paths"),
+                 F.count_if(F.col("deg") >= 2).alias("n_co_readers"),
+                 F.sum(F.col("w") * F.col("total_rc") - F.col("shared_rc")).cast("long")
+                 .alias("path_reads"))
+            .where(F.col("n_paths") > 0))
 
 
 def orphan_check(changes: DataFrame, resources: DataFrame, key: str = "resource_key"):

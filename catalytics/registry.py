@@ -18,7 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 POPULAR_N = 100
 MIN_READERS = 30
 PERSONAL_N = 5
-AS_OF = "1998-08-02"
+AS_OF = "2001-06-30"
 
 
 def register(name: str):

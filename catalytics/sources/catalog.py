@@ -86,6 +86,7 @@ class Catalog:
             (p.p_size % 10 == 0).alias("is_view"),
             F.when(p.p_partkey % 17 == 0, F.lit("DELETED")).otherwise(F.lit("ACTIVE")).alias("status"),
             p.p_retailprice.alias("popularity_score"),
+            user_email(p.p_partkey % 150).alias("owner"),
             p.p_partkey.alias("part_id"),
         )
 
@@ -93,8 +94,8 @@ class Catalog:
     def schemas(self) -> DataFrame:
         t = self.tables
         return t.select(
-            F.concat(t.database, F.lit("://"), t.cluster, F.lit("."), t.schema).alias("key"),
-            t.schema.alias("name"),
+            F.concat(t.database, F.lit("://"), t.cluster, F.lit("."), t["schema"]).alias("key"),
+            t["schema"].alias("name"),
             F.concat(t.database, F.lit("://"), t.cluster).alias("cluster_key")).distinct()
 
     @cached_property
@@ -114,7 +115,7 @@ class Catalog:
     def table_schema_edges(self) -> DataFrame:
         t = self.tables
         return t.select(t.key.alias("table_key"),
-                        F.concat(t.database, F.lit("://"), t.cluster, F.lit("."), t.schema)
+                        F.concat(t.database, F.lit("://"), t.cluster, F.lit("."), t["schema"])
                         .alias("schema_key"))
 
     # ------------------------------------------------------------- users
@@ -317,7 +318,7 @@ class Catalog:
         """(table_key, position, column) partition key columns per table."""
         return self.tables.select(
             F.col("key").alias("table_key"),
-            F.explode(F.array(F.lit("ds"), F.lit("region"))).alias("column"))
+            F.posexplode(F.array(F.lit("ds"), F.lit("region"))).alias("position", "column"))
 
     # -------------------------------------------------------- dashboards
     @cached_property
@@ -468,6 +469,50 @@ class Catalog:
             .when(li.l_linenumber == 3, "Minor").otherwise("Trivial").alias("severity"),
             F.when(li.l_linestatus == "F", "resolved").otherwise("open").alias("status"))
 
+    @cached_property
+    def reports(self) -> DataFrame:
+        """Reports attached to tables: one per third line of an order."""
+        li = self.raw("lineitem").where(F.col("l_linenumber") == 3)
+        p = self.raw("part").select("p_partkey", "p_brand", "p_type")
+        return li.join(p, li.l_partkey == p.p_partkey).select(
+            part_table_key(p.p_brand, p.p_type, p.p_partkey).alias("table_key"),
+            F.concat(F.lit("report_"), li.l_orderkey.cast("string")).alias("name"),
+            F.concat(F.lit("https://reports.example.com/"), li.l_orderkey.cast("string")).alias("url"),
+            F.when(li.l_linestatus == "O", "DELETED").otherwise("ACTIVE").alias("status"))
+
+    @cached_property
+    def change_feed(self) -> DataFrame:
+        """Catalog change feed derived from ``events``: seq = event_id, kind
+        by event type, every 7th change a delete, signups name a resource
+        that does not exist."""
+        e = self.raw("events")
+        p = self.raw("part").select("p_partkey", "p_brand", "p_type")
+        target = e.user_id * 13 + e.event_id % 13
+        j = e.join(p, target == p.p_partkey, "left")
+        kind = (F.when(e.event_type == "view", "description").when(e.event_type == "click", "tag")
+                .when(e.event_type == "purchase", "owner").when(e.event_type == "signup", "follow")
+                .otherwise("badge"))
+        key = F.when(e.event_type == "signup",
+                     F.concat(F.lit("missing://gold.none/part_"), e.event_id.cast("string"))) \
+            .when(p.p_partkey.isNotNull(), part_table_key(p.p_brand, p.p_type, p.p_partkey)) \
+            .otherwise(F.concat(F.lit("missing://gold.none/part_"), target.cast("string")))
+        badge = F.element_at(F.array(*[F.lit(b) for b in BADGE_NAMES]), (e.event_id % 5 + 1).cast("int"))
+        value = (F.when(kind == "description", F.concat(F.lit("desc "), e.event_id.cast("string")))
+                 .when(kind == "tag", F.concat(F.lit("tag"), (e.event_id % 5).cast("string")))
+                 .when(kind == "owner", user_email(e.event_id % 150))
+                 .when(kind == "follow", user_email(e.user_id))
+                 .otherwise(badge))
+        category = (F.when(kind == "badge", F.when(e.event_id % 5 < 3, F.lit("size"))
+                           .otherwise(F.lit("table_status")))
+                    .when(kind == "tag", F.when(e.event_id % 11 == 0, F.lit("badge"))
+                          .otherwise(F.lit("default"))))
+        return j.select(
+            e.event_id.alias("seq"),
+            F.when(e.event_id % 7 == 0, "delete").otherwise("put").alias("op"),
+            F.lit("table").alias("resource_type"), key.alias("resource_key"), kind.alias("kind"),
+            value.alias("value"), category.alias("category"), user_email(e.user_id).alias("actor"),
+            e.ts.alias("ts"))
+
     # ------------------------------------------------------- event feeds
     @cached_property
     def action_log(self) -> DataFrame:
@@ -499,6 +544,9 @@ class Catalog:
                         c.c_mktsegment.alias("species"), user_email(c.c_custkey).alias("owner_email"))
 
 
+# Badge names used by the derived change feed.
+BADGE_NAMES = ["tiny", "medium", "large", "beta", "gold"]
+
 # Fixed column layout given to every derived table (name, type).
 COLUMN_LAYOUT = [
     ("partkey", "bigint"),
