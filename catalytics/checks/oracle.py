@@ -13,6 +13,9 @@ def oracle(name: str, views: list[str], body: str) -> None:
     if b.upper().startswith("WITH "):
         # continue the CTE list that ``with_views`` opens
         b = ", " + b[5:]
+    if not views:
+        ORACLES[name] = ("WITH " + b.lstrip()[1:]) if b.lstrip().startswith(",") else b
+        return
     ORACLES[name] = W(views, b)
 
 
@@ -331,3 +334,140 @@ SELECT c.seq, c.resource_key, o.user_key AS recipient, u.full_name AS display_na
 FROM c_change_feed c JOIN c_owners o ON o.resource_key = c.resource_key
 JOIN c_users u ON u.email = o.user_key AND u.is_active AND length(coalesce(u.full_name, '')) > 0
 WHERE o.user_key <> c.actor""")
+
+# ----------------------------------------------------------------- search
+from catalytics.operators.search import DASHBOARD_BOOSTS, TABLE_BOOSTS, USER_BOOSTS  # noqa: E402
+from catalytics.registered.search import DOC_BOOSTS, SEARCH_N  # noqa: E402
+
+_TOK = "list_filter(string_split_regex(lower({c}), '[^a-z0-9]+'), lambda x: length(x) > 0)"
+
+
+def _tok(c: str) -> str:
+    return _TOK.format(c=c)
+
+
+def _bm25_sql(boosts: dict, arrays: set, usage: str | None, require_all: bool, n: int) -> str:
+    """Expects CTEs ``docs`` (key + fields) and ``queries`` (query_id, query)."""
+    post, qt = [], []
+    for f in boosts:
+        base = f[:-4] if f.endswith(".raw") else f
+        if f.endswith(".raw"):
+            toks = base if base in arrays else f"[{base}]"
+        elif base in arrays:
+            toks = f"flatten(list_transform({base}, lambda x: {_tok('x')}))"
+        else:
+            toks = _tok(base)
+        post.append(f"SELECT '{f}' AS field, key AS doc_key, toks FROM (SELECT key, {toks} AS toks FROM docs)")
+        if f.endswith(".raw"):
+            qt.append(f"SELECT query_id, n_terms, '{f}' AS field, q AS term FROM qq")
+        else:
+            qt.append(f"SELECT query_id, n_terms, '{f}' AS field, unnest(toks) AS term FROM qq")
+    bmap = " ".join(f"WHEN '{f}' THEN {b}" for f, b in boosts.items())
+    allf = "WHERE matched >= n_terms OR field LIKE '%.raw'" if require_all else ""
+    if usage:
+        scored = f"""SELECT b.query_id, b.doc_key, round(b.score * log10(2 + coalesce(cast(d.{usage} AS DOUBLE), 0)), 6) AS score
+                     FROM best b JOIN docs d ON d.key = b.doc_key"""
+    else:
+        scored = "SELECT query_id, doc_key, round(score, 6) AS score FROM best"
+    return f""",
+p0 AS ({' UNION ALL '.join(post)}),
+p1 AS (SELECT field, doc_key, len(toks) AS dl, unnest(toks) AS term FROM p0 WHERE toks IS NOT NULL AND len(toks) > 0),
+idx AS (SELECT field, term, doc_key, dl, count(*) AS tf FROM p1 WHERE term IS NOT NULL GROUP BY ALL),
+fs AS (SELECT field, count(*) AS n_docs, avg(dl) AS avgdl FROM (SELECT DISTINCT field, doc_key, dl FROM idx) GROUP BY field),
+ts AS (SELECT field, term, count(*) AS df FROM idx GROUP BY ALL),
+qq AS (SELECT query_id, query AS q, list_distinct({_tok('query')}) AS toks,
+              len(list_distinct({_tok('query')})) AS n_terms
+       FROM queries WHERE length(trim(query)) > 0),
+qt AS ({' UNION ALL '.join(qt)}),
+pf AS (SELECT qt.query_id, idx.doc_key, idx.field, qt.n_terms,
+              sum(ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl))
+                  * CASE idx.field {bmap} END) AS score, count(*) AS matched
+       FROM qt JOIN idx ON idx.field = qt.field AND idx.term = qt.term
+       JOIN ts ON ts.field = qt.field AND ts.term = qt.term JOIN fs ON fs.field = qt.field
+       GROUP BY ALL),
+best AS (SELECT query_id, doc_key, max(score) AS score FROM pf {allf} GROUP BY ALL),
+scored AS ({scored}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_key) AS rank FROM scored)
+SELECT * FROM ranked WHERE rank <= {n}"""
+
+
+_TABLE_DOCS = """
+, cols AS (SELECT table_key, list(name ORDER BY sort_order) AS column_names,
+                  list(description ORDER BY sort_order) FILTER (WHERE description IS NOT NULL) AS column_descriptions
+           FROM c_columns GROUP BY 1),
+tg AS (SELECT resource_key, list(DISTINCT tag ORDER BY tag) AS tags FROM c_tags WHERE tag_type = 'default' GROUP BY 1),
+bd AS (SELECT resource_key, list(DISTINCT badge_name ORDER BY badge_name) AS badges FROM c_badges GROUP BY 1),
+us AS (SELECT table_key, cast(sum(read_count) AS BIGINT) AS total_usage FROM c_reads GROUP BY 1),
+docs AS (SELECT t.key, t.name, t.schema || '.' || t.name AS display_name, t.description, t.cluster, t.database,
+                t.schema, coalesce(cols.column_names, []) AS column_names,
+                coalesce(cols.column_descriptions, []) AS column_descriptions,
+                coalesce(tg.tags, []) AS tags, coalesce(bd.badges, []) AS badges,
+                cast([] AS VARCHAR[]) AS programmatic_descriptions, coalesce(us.total_usage, 0) AS total_usage,
+                t.schema || '.' || t.name || '@' || t.cluster AS qualified_name, t.popularity_score
+         FROM c_tables t LEFT JOIN cols ON cols.table_key = t.key LEFT JOIN tg ON tg.resource_key = t.key
+         LEFT JOIN bd ON bd.resource_key = t.key LEFT JOIN us ON us.table_key = t.key)"""
+_TABLE_DOC_VIEWS = ["c_tables", "c_columns", "c_tags", "c_badges", "c_reads"]
+_TABLE_ARRAYS = {"column_names", "column_descriptions", "tags", "badges", "programmatic_descriptions"}
+
+oracle("search_tables", _TABLE_DOC_VIEWS, _TABLE_DOCS + """,
+queries AS (SELECT DISTINCT p_name AS query, p_name AS query_id FROM part)""" +
+       _bm25_sql(TABLE_BOOSTS, _TABLE_ARRAYS, "total_usage", False, SEARCH_N))
+
+oracle("search_documents", [], """
+, docs AS (SELECT 'doc_' || cast(doc_id AS VARCHAR) AS key, 'doc_' || cast(doc_id AS VARCHAR) AS name,
+                  text AS description, lang AS schema, source AS database, n_chars AS total_usage FROM documents),
+queries AS (SELECT cast(item_id AS VARCHAR) AS query_id, text AS query FROM benchmark)""" +
+       _bm25_sql(DOC_BOOSTS, set(), "total_usage", False, SEARCH_N))
+
+oracle("search_users", ["c_users"], """
+, docs AS (SELECT email AS key, full_name, first_name, last_name, email FROM c_users),
+queries AS (SELECT q AS query, q AS query_id FROM (
+              SELECT 'last' || cast(n_nationkey AS VARCHAR) AS q FROM nation
+              UNION ALL SELECT 'Customer last' || cast(n_nationkey AS VARCHAR) FROM nation))""" +
+       _bm25_sql(USER_BOOSTS, set(), None, True, SEARCH_N))
+
+oracle("search_dashboards", ["c_dashboards", "c_dashboard_queries", "c_dashboard_charts", "c_dashboard_reads"], """
+, dq AS (SELECT dashboard_key, list(DISTINCT name ORDER BY name) AS query_names FROM c_dashboard_queries GROUP BY 1),
+dc AS (SELECT dashboard_key, list(DISTINCT chart_name ORDER BY chart_name) AS chart_names FROM c_dashboard_charts
+       WHERE length(chart_name) > 0 GROUP BY 1),
+dv AS (SELECT dashboard_key, cast(sum(read_count) AS BIGINT) AS total_usage FROM c_dashboard_reads GROUP BY 1),
+docs AS (SELECT d.key, d.name, d.group_name, d.description, d.product, coalesce(dq.query_names, []) AS query_names,
+                coalesce(dc.chart_names, []) AS chart_names, coalesce(dv.total_usage, 0) AS total_usage
+         FROM c_dashboards d LEFT JOIN dq ON dq.dashboard_key = d.key LEFT JOIN dc ON dc.dashboard_key = d.key
+         LEFT JOIN dv ON dv.dashboard_key = d.key),
+queries AS (SELECT DISTINCT o_orderpriority AS query, o_orderpriority AS query_id FROM orders)""" +
+       _bm25_sql(DASHBOARD_BOOSTS, {"query_names", "chart_names"}, "total_usage", False, SEARCH_N))
+
+oracle("build_inverted_index", [], """
+, docs AS (SELECT 'doc_' || cast(doc_id AS VARCHAR) AS key, 'doc_' || cast(doc_id AS VARCHAR) AS name,
+                  text AS description, lang AS schema, source AS database, n_chars AS total_usage FROM documents),
+queries AS (SELECT '' AS query_id, '' AS query)""" +
+       _bm25_sql(DOC_BOOSTS, set(), None, False, 1).split("qq AS")[0].rstrip().rstrip(",") + """
+SELECT field, term, count(*) AS df, cast(sum(tf) AS BIGINT) AS cf FROM idx GROUP BY field, term""")
+
+_FACET = """(regexp_full_match(database, 'brand_1.*') OR database = 'brand_2')
+  AND list_has_any(list_transform(tags, lambda x: lower(x)), ['red'])
+  AND (coalesce(contains(lower(name), 'ring'), false) OR coalesce(contains(lower(schema), 'ring'), false)
+       OR coalesce(contains(lower(description), 'ring'), false)
+       OR len(list_filter(column_names, lambda x: contains(lower(x), 'ring'))) > 0
+       OR len(list_filter(column_descriptions, lambda x: contains(lower(x), 'ring'))) > 0)"""
+
+oracle("faceted_filter", _TABLE_DOC_VIEWS, _TABLE_DOCS + f"""
+SELECT key, database, schema, name FROM docs WHERE {_FACET}""")
+
+oracle("faceted_filter_invalid", _TABLE_DOC_VIEWS, _TABLE_DOCS + "\nSELECT key FROM docs WHERE false")
+
+oracle("search_with_filters", _TABLE_DOC_VIEWS, _TABLE_DOCS + """,
+hits AS (SELECT key, round(log10(2 + cast(total_usage AS DOUBLE)), 6) AS score FROM docs
+         WHERE (regexp_full_match(database, 'brand_1.*') OR database = 'brand_2')
+           AND list_has_any(list_transform(tags, lambda x: lower(x)), ['red']))
+SELECT key, score, (SELECT count(*) FROM hits) AS total_results FROM hits
+ORDER BY score DESC, key LIMIT 10 OFFSET 10""")
+
+oracle("basic_filter", _TABLE_DOC_VIEWS, _TABLE_DOCS + """
+SELECT key, qualified_name, popularity_score FROM docs
+WHERE starts_with(qualified_name, 'economy.') AND ends_with(qualified_name, '@gold') AND contains(qualified_name, 'part_1')""")
+
+oracle("search_result_projection", _TABLE_DOC_VIEWS, _TABLE_DOCS + """
+SELECT key, name, schema, total_usage, array_to_string(tags, '|') AS tags, array_to_string(badges, '|') AS badges
+FROM docs WHERE key IS NOT NULL""")
