@@ -471,3 +471,71 @@ WHERE starts_with(qualified_name, 'economy.') AND ends_with(qualified_name, '@go
 oracle("search_result_projection", _TABLE_DOC_VIEWS, _TABLE_DOCS + """
 SELECT key, name, schema, total_usage, array_to_string(tags, '|') AS tags, array_to_string(badges, '|') AS badges
 FROM docs WHERE key IS NOT NULL""")
+
+# ---------------------------------------------------------------- lineage
+_TRAILS = """
+, e_up AS (SELECT DISTINCT downstream_key AS src, upstream_key AS dst FROM c_lineage),
+e_down AS (SELECT DISTINCT upstream_key AS src, downstream_key AS dst FROM c_lineage),
+tr_up AS (
+  WITH RECURSIVE r(start_key, node, parent, level, path) AS (
+    SELECT key, dst, src, 1, [src || chr(1) || dst] FROM c_tables JOIN e_up ON e_up.src = key
+    UNION ALL
+    SELECT r.start_key, e.dst, e.src, r.level + 1, list_append(r.path, e.src || chr(1) || e.dst)
+    FROM r JOIN e_up e ON e.src = r.node
+    WHERE r.level < {d} AND NOT list_contains(r.path, e.src || chr(1) || e.dst))
+  SELECT DISTINCT start_key, level, node AS key, parent, 'upstream' AS direction FROM r),
+tr_down AS (
+  WITH RECURSIVE r(start_key, node, parent, level, path) AS (
+    SELECT key, dst, src, 1, [src || chr(1) || dst] FROM c_tables JOIN e_down ON e_down.src = key
+    UNION ALL
+    SELECT r.start_key, e.dst, e.src, r.level + 1, list_append(r.path, e.src || chr(1) || e.dst)
+    FROM r JOIN e_down e ON e.src = r.node
+    WHERE r.level < {d} AND NOT list_contains(r.path, e.src || chr(1) || e.dst))
+  SELECT DISTINCT start_key, level, node AS key, parent, 'downstream' AS direction FROM r),
+items AS (SELECT * FROM tr_up UNION ALL SELECT * FROM tr_down)"""
+
+oracle("lineage", ["c_lineage", "c_tables", "c_reads", "c_badges"], _TRAILS.format(d=3) + """
+SELECT i.start_key, i.direction, i.level, i.key, i.parent, split_part(i.key, '://', 1) AS source,
+       coalesce(u.usage, 0) AS usage, coalesce(b.badges, '') AS badges
+FROM items i
+LEFT JOIN (SELECT table_key, cast(sum(read_count) AS BIGINT) AS usage FROM c_reads GROUP BY 1) u ON u.table_key = i.key
+LEFT JOIN (SELECT resource_key, string_agg(DISTINCT badge_name, '|' ORDER BY badge_name) AS badges FROM c_badges
+           GROUP BY 1) b ON b.resource_key = i.key""")
+
+oracle("lineage_marshall", ["c_lineage", "c_tables"], _TRAILS.format(d=2) + """,
+k AS (SELECT *, row_number() OVER (PARTITION BY start_key, direction ORDER BY level, key, parent) AS position FROM items)
+SELECT start_key, level, key, parent, direction, position,
+       regexp_extract(key, '^(.*?)://(.*)\\.(.*?)/(.*?)$', 1) AS database,
+       regexp_extract(key, '^(.*?)://(.*)\\.(.*?)/(.*?)$', 2) AS cluster,
+       regexp_extract(key, '^(.*?)://(.*)\\.(.*?)/(.*?)$', 3) AS schema,
+       regexp_extract(key, '^(.*?)://(.*)\\.(.*?)/(.*?)$', 4) AS name
+FROM k WHERE position <= 5""")
+
+oracle("lineage_edges_levels", ["c_lineage", "c_tables"], """
+, e AS (SELECT DISTINCT upstream_key AS src, downstream_key AS dst FROM c_lineage),
+r AS (
+  WITH RECURSIVE w(root_key, node, prev, level) AS (
+    SELECT key, key, NULL::VARCHAR, 0 FROM c_tables
+    UNION ALL
+    SELECT w.root_key, e.dst, e.src, w.level + 1 FROM w JOIN e ON e.src = w.node WHERE w.level < 3)
+  SELECT * FROM w),
+m AS (SELECT root_key, node, min(level) AS level FROM r GROUP BY 1, 2)
+SELECT m.root_key, m.node, min(r.prev) AS parent, m.level, 'downstream' AS direction
+FROM m JOIN r ON r.root_key = m.root_key AND r.node = m.node AND r.level = m.level
+WHERE m.level > 0 GROUP BY m.root_key, m.node, m.level""")
+
+oracle("collapse_processes", ["c_process_relations", "c_process_entities"], """
+, ds AS (SELECT guid, qualified_name FROM c_process_entities WHERE ends_with(type_name, 'table')),
+pr AS (SELECT guid FROM c_process_entities WHERE type_name = 'Process'),
+ins AS (SELECT DISTINCT r.to_guid AS proc, ds.qualified_name AS upstream_key FROM c_process_relations r
+        JOIN pr ON pr.guid = r.to_guid JOIN ds ON ds.guid = r.from_guid),
+outs AS (SELECT DISTINCT r.from_guid AS proc, ds.qualified_name AS downstream_key FROM c_process_relations r
+         JOIN pr ON pr.guid = r.from_guid JOIN ds ON ds.guid = r.to_guid)
+SELECT DISTINCT upstream_key, downstream_key FROM ins JOIN outs USING (proc)""")
+
+oracle("relationship_edges", ["c_lineage"], """
+, pairs AS (SELECT DISTINCT x, y FROM (SELECT downstream_key AS x, upstream_key AS y FROM c_lineage
+                                       UNION ALL SELECT upstream_key, downstream_key FROM c_lineage)),
+both_ AS (SELECT upstream_key AS x, downstream_key AS y, 'out' AS orientation FROM c_lineage
+          UNION ALL SELECT downstream_key, upstream_key, 'in' FROM c_lineage)
+SELECT p.x, p.y, b.orientation FROM pairs p JOIN both_ b ON b.x = p.x AND b.y = p.y""")
