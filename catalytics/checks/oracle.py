@@ -539,3 +539,183 @@ oracle("relationship_edges", ["c_lineage"], """
 both_ AS (SELECT upstream_key AS x, downstream_key AS y, 'out' AS orientation FROM c_lineage
           UNION ALL SELECT downstream_key, upstream_key, 'in' FROM c_lineage)
 SELECT p.x, p.y, b.orientation FROM pairs p JOIN both_ b ON b.x = p.x AND b.y = p.y""")
+
+# ---------------------------------------------------------------- changes
+_CH_OK = "(SELECT * FROM c_change_feed WHERE kind = '{k}' AND resource_key IN (SELECT key FROM c_tables))"
+_CH_BAD = "(SELECT * FROM c_change_feed WHERE kind = '{k}' AND resource_key NOT IN (SELECT key FROM c_tables))"
+
+oracle("apply_descriptions", ["c_tables", "c_change_feed"], f"""
+, last AS (SELECT resource_key, arg_max(op, seq) AS op, arg_max(value, seq) AS value
+           FROM {_CH_OK.format(k='description')} GROUP BY 1)
+SELECT key AS resource_key, description FROM c_tables
+WHERE description IS NOT NULL AND key NOT IN (SELECT resource_key FROM last)
+UNION ALL SELECT resource_key, value FROM last WHERE op = 'put'""")
+
+oracle("apply_descriptions_rejects", ["c_tables", "c_change_feed"], f"""
+SELECT seq, resource_key, kind, value, 'missing resource' AS reason FROM {_CH_BAD.format(k='description')}""")
+
+_OWN_LAST = f"""
+, last AS (SELECT resource_key, value AS user_key, arg_max(op, seq) AS op
+           FROM {_CH_OK.format(k='owner')} GROUP BY 1, 2)"""
+
+oracle("apply_owners", ["c_tables", "c_change_feed", "c_owners"], _OWN_LAST + """
+SELECT o.resource_key, o.user_key FROM c_owners o
+WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.resource_key = o.resource_key AND l.user_key = o.user_key)
+UNION ALL SELECT resource_key, user_key FROM last WHERE op = 'put'""")
+
+oracle("apply_owners_created_users", ["c_tables", "c_change_feed", "c_users"], _OWN_LAST + """
+SELECT DISTINCT user_key AS email FROM last WHERE op = 'put' AND user_key NOT IN (SELECT email FROM c_users)""")
+
+_RESERVED = "('tiny', 'medium', 'large', 'beta', 'tag3')"
+_TAG_CH = f"""
+, tch AS (SELECT seq, op, resource_key, kind, value, value AS tag, coalesce(category, 'default') AS tag_type
+          FROM c_change_feed WHERE kind = 'tag'),
+tok AS (SELECT * FROM tch WHERE tag_type <> 'badge' AND tag NOT IN {_RESERVED}
+        AND resource_key IN (SELECT key FROM c_tables)),
+last AS (SELECT resource_key, tag, arg_max(op, seq) AS op, arg_max(tag_type, seq) AS tag_type FROM tok GROUP BY 1, 2)"""
+
+oracle("apply_tags", ["c_tables", "c_change_feed", "c_tags"], _TAG_CH + """
+SELECT e.resource_key, e.tag, e.tag_type FROM c_tags e LEFT JOIN last l ON l.resource_key = e.resource_key AND l.tag = e.tag
+WHERE l.op IS NULL OR (l.op = 'delete' AND l.tag_type <> e.tag_type)
+UNION ALL SELECT resource_key, tag, tag_type FROM last WHERE op = 'put'""")
+
+oracle("apply_tags_nodes", ["c_tables", "c_change_feed", "c_tags"], _TAG_CH + """,
+nl AS (SELECT tag, arg_max(tag_type, seq) AS tag_type FROM tok WHERE op = 'put' GROUP BY 1)
+SELECT DISTINCT tag, tag_type FROM c_tags WHERE tag NOT IN (SELECT tag FROM nl)
+UNION ALL SELECT tag, tag_type FROM nl""")
+
+oracle("apply_tags_rejects", ["c_tables", "c_change_feed"], _TAG_CH + f"""
+SELECT seq, resource_key, kind, value, 'tag type badge' AS reason FROM tch WHERE tag_type = 'badge'
+UNION ALL SELECT seq, resource_key, kind, value, 'reserved badge name' FROM tch
+  WHERE tag_type <> 'badge' AND tag IN {_RESERVED}
+UNION ALL SELECT seq, resource_key, kind, value, 'missing resource' FROM tch
+  WHERE tag_type <> 'badge' AND tag NOT IN {_RESERVED} AND resource_key NOT IN (SELECT key FROM c_tables)""")
+
+_WL = "(VALUES ('tiny','size'), ('medium','size'), ('large','size'), ('beta','table_status'), ('tag3','table_status')) wl(badge_name, category)"
+_BADGE_CH = f"""
+, bch AS (SELECT seq, op, resource_key, kind, value, value AS badge_name, category FROM c_change_feed WHERE kind = 'badge'),
+wl AS (SELECT * FROM {_WL}),
+good AS (SELECT b.* FROM bch b JOIN wl ON wl.badge_name = b.badge_name AND wl.category = b.category),
+last AS (SELECT resource_key, badge_name, category, arg_max(op, seq) AS op FROM good
+         WHERE resource_key IN (SELECT key FROM c_tables) GROUP BY 1, 2, 3)"""
+
+oracle("apply_badges", ["c_tables", "c_change_feed", "c_badges"], _BADGE_CH + """
+SELECT b.resource_key, b.badge_name, b.category FROM c_badges b
+WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.resource_key = b.resource_key AND l.badge_name = b.badge_name
+                  AND l.category = b.category)
+UNION ALL SELECT resource_key, badge_name, category FROM last WHERE op = 'put'""")
+
+oracle("apply_badges_rejects", ["c_tables", "c_change_feed"], _BADGE_CH + """
+SELECT seq, resource_key, kind, value, 'category required' AS reason FROM bch WHERE category IS NULL
+UNION ALL SELECT b.seq, b.resource_key, b.kind, b.value, 'not whitelisted' FROM bch b
+  WHERE b.category IS NOT NULL AND NOT EXISTS (SELECT 1 FROM wl WHERE wl.badge_name = b.badge_name AND wl.category = b.category)
+UNION ALL SELECT seq, resource_key, kind, value, 'missing resource' FROM good WHERE resource_key NOT IN (SELECT key FROM c_tables)""")
+
+_FOLLOW = f"""
+, fol AS (SELECT user_key, table_key AS resource_key FROM c_reads WHERE read_count >= 3),
+last AS (SELECT value AS user_key, resource_key, arg_max(op, seq) AS op FROM {_CH_OK.format(k='follow')} GROUP BY 1, 2)"""
+
+oracle("apply_user_relations", ["c_tables", "c_change_feed", "c_reads"], _FOLLOW + """
+SELECT f.user_key, f.resource_key FROM fol f
+WHERE NOT EXISTS (SELECT 1 FROM last l WHERE l.user_key = f.user_key AND l.resource_key = f.resource_key)
+UNION ALL SELECT user_key, resource_key FROM last WHERE op = 'put'""")
+
+oracle("apply_user_relations_soft", ["c_tables", "c_change_feed", "c_reads"], _FOLLOW + """
+SELECT f.user_key, f.resource_key, CASE WHEN l.op = 'delete' THEN false ELSE true END AS active
+FROM fol f LEFT JOIN last l ON l.user_key = f.user_key AND l.resource_key = f.resource_key
+UNION ALL SELECT l.user_key, l.resource_key, true FROM last l
+WHERE l.op = 'put' AND NOT EXISTS (SELECT 1 FROM fol f WHERE f.user_key = l.user_key AND f.resource_key = l.resource_key)""")
+
+_INCOMING = """
+, inc AS (SELECT 'user' || cast(c_custkey + 1000 AS VARCHAR) || '@example.com' AS email,
+                 CASE WHEN c_custkey % 2 = 0 THEN '' ELSE 'First' || cast(c_custkey + 1000 AS VARCHAR) END AS first_name,
+                 NULL::VARCHAR AS last_name, upper(c_name) AS full_name,
+                 CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE lower(c_mktsegment) END AS team_name,
+                 CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal > 1000 END AS is_active
+          FROM customer),
+merged AS (
+  SELECT coalesce(u.email, i.email) AS email,
+         CASE WHEN i.first_name IS NOT NULL AND cast(i.first_name AS VARCHAR) <> '' THEN i.first_name ELSE u.first_name END AS first_name,
+         CASE WHEN i.last_name IS NOT NULL AND cast(i.last_name AS VARCHAR) <> '' THEN i.last_name ELSE u.last_name END AS last_name,
+         CASE WHEN i.full_name IS NOT NULL AND cast(i.full_name AS VARCHAR) <> '' THEN i.full_name ELSE u.full_name END AS full_name,
+         CASE WHEN i.team_name IS NOT NULL AND cast(i.team_name AS VARCHAR) <> '' THEN i.team_name ELSE u.team_name END AS team_name,
+         CASE WHEN i.is_active IS NOT NULL AND cast(i.is_active AS VARCHAR) <> '' THEN i.is_active ELSE u.is_active END AS is_active,
+         u.email IS NULL AS created,
+         CASE WHEN i.email IS NOT NULL THEN TIMESTAMP '2024-01-01 00:00:00' END AS updated_at
+  FROM c_users u FULL JOIN inc i ON i.email = u.email)"""
+
+oracle("upsert_users", ["c_users"], _INCOMING + "\nSELECT * FROM merged")
+
+oracle("property_diff", ["c_users"], _INCOMING + """,
+d AS (SELECT o.email,
+        list_filter([CASE WHEN n.first_name IS NOT NULL AND o.first_name IS DISTINCT FROM n.first_name THEN 'first_name' END,
+                     CASE WHEN n.last_name IS NOT NULL AND o.last_name IS DISTINCT FROM n.last_name THEN 'last_name' END,
+                     CASE WHEN n.full_name IS NOT NULL AND o.full_name IS DISTINCT FROM n.full_name THEN 'full_name' END,
+                     CASE WHEN n.team_name IS NOT NULL AND o.team_name IS DISTINCT FROM n.team_name THEN 'team_name' END,
+                     CASE WHEN n.is_active IS NOT NULL AND o.is_active IS DISTINCT FROM n.is_active THEN 'is_active' END],
+                    lambda x: x IS NOT NULL) AS changed,
+        list_filter([CASE WHEN o.first_name IS NOT NULL AND n.first_name IS NULL THEN 'first_name' END,
+                     CASE WHEN o.last_name IS NOT NULL AND n.last_name IS NULL THEN 'last_name' END,
+                     CASE WHEN o.full_name IS NOT NULL AND n.full_name IS NULL THEN 'full_name' END,
+                     CASE WHEN o.team_name IS NOT NULL AND n.team_name IS NULL THEN 'team_name' END,
+                     CASE WHEN o.is_active IS NOT NULL AND n.is_active IS NULL THEN 'is_active' END],
+                    lambda x: x IS NOT NULL) AS dropped
+      FROM c_users o JOIN merged n ON n.email = o.email)
+SELECT email, array_to_string(changed, '|') AS changed, array_to_string(dropped, '|') AS dropped FROM d
+WHERE len(changed) > 0 OR len(dropped) > 0""")
+
+_OWNER_PUTS = """
+, op AS (SELECT resource_key, arg_max(value, seq) AS user_key FROM c_change_feed
+         WHERE kind = 'owner' AND op = 'put' GROUP BY 1)"""
+
+oracle("expire_other_links", ["c_change_feed", "c_owners"], _OWNER_PUTS + """
+SELECT DISTINCT o.resource_key, o.user_key FROM c_owners o LEFT JOIN op ON op.resource_key = o.resource_key
+WHERE op.user_key IS NULL OR o.user_key = op.user_key""")
+
+oracle("expire_link", ["c_change_feed", "c_owners"], _OWNER_PUTS + """
+SELECT o.resource_key, o.user_key FROM c_owners o
+WHERE NOT EXISTS (SELECT 1 FROM op WHERE (op.resource_key = o.resource_key AND op.user_key = o.user_key)
+                                      OR (op.user_key = o.resource_key AND op.resource_key = o.user_key))""")
+
+oracle("link_if_absent", ["c_change_feed", "c_owners", "c_tables", "c_users"], """
+SELECT DISTINCT c.resource_key, c.value AS user_key FROM c_change_feed c
+WHERE c.kind = 'owner' AND c.op = 'put' AND c.resource_key IN (SELECT key FROM c_tables)
+  AND c.value IN (SELECT email FROM c_users)
+  AND NOT EXISTS (SELECT 1 FROM c_owners o WHERE o.resource_key = c.resource_key AND o.user_key = c.value)""")
+
+oracle("upsert_documents", _TABLE_DOC_VIEWS + ["c_change_feed"], _TABLE_DOCS + """,
+last AS (SELECT resource_key AS key, arg_max(op, seq) AS op, arg_max(value, seq) AS description
+         FROM c_change_feed WHERE kind = 'description' GROUP BY 1)
+SELECT key, name, description, total_usage FROM docs WHERE key NOT IN (SELECT key FROM last)
+UNION ALL
+SELECT l.key, d.name, coalesce(l.description, d.description), d.total_usage
+FROM last l LEFT JOIN docs d ON d.key = l.key WHERE l.op = 'put'""")
+
+oracle("delete_documents", _TABLE_DOC_VIEWS + ["c_change_feed"], _TABLE_DOCS + """
+SELECT key, name, description, total_usage FROM docs
+WHERE key NOT IN (SELECT resource_key FROM c_change_feed WHERE op = 'delete')""")
+
+oracle("update_doc_tags", _TABLE_DOC_VIEWS + ["c_change_feed"], _TABLE_DOCS + """,
+orig AS (SELECT key, unnest(tags) AS tag, unnest(generate_series(1, len(tags))) AS pos FROM docs),
+last AS (SELECT resource_key AS key, value AS tag, arg_max(op, seq) AS op, max(seq) AS cseq
+         FROM c_change_feed WHERE kind = 'tag' GROUP BY 1, 2),
+j AS (SELECT coalesce(o.key, l.key) AS key, coalesce(o.tag, l.tag) AS tag, o.pos, l.op, l.cseq
+      FROM orig o FULL JOIN last l ON l.key = o.key AND l.tag = o.tag),
+p AS (SELECT key, string_agg(tag, '|' ORDER BY CASE WHEN op IS NULL THEN 0 ELSE 1 END,
+                             CASE WHEN op IS NULL THEN pos ELSE cseq END) AS tags
+      FROM j WHERE op IS NULL OR op = 'put' GROUP BY key)
+SELECT d.key, coalesce(p.tags, '') AS tags FROM docs d LEFT JOIN p ON p.key = d.key""")
+
+_TAG_USAGE = """
+, tu AS (SELECT tag AS tag_name, count(DISTINCT resource_key) AS tag_count FROM c_tags
+         WHERE tag_type = 'default' GROUP BY tag HAVING count(DISTINCT resource_key) > 0)"""
+
+oracle("tag_partition", ["c_tags"], _TAG_USAGE + """,
+top AS (SELECT tag_name FROM tu ORDER BY tag_count DESC, tag_name LIMIT 5)
+SELECT tag_name, tag_count, CASE WHEN tag_name IN (SELECT tag_name FROM top) THEN 'popular' ELSE 'other' END AS "group"
+FROM tu""")
+
+oracle("tag_partition_curated", ["c_tags"], _TAG_USAGE + """
+SELECT coalesce(tu.tag_name, c.tag_name) AS tag_name, coalesce(tu.tag_count, 0) AS tag_count,
+       CASE WHEN coalesce(tu.tag_name, c.tag_name) IN ('red', 'blue', 'nonexistent') THEN 'curated' ELSE 'other' END AS "group"
+FROM tu FULL JOIN (VALUES ('red'), ('blue'), ('nonexistent')) c(tag_name) ON c.tag_name = tu.tag_name""")

@@ -193,13 +193,13 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     "c_change_feed": ([], f"""
         SELECT event_id AS seq, CASE WHEN event_id % 7 = 0 THEN 'delete' ELSE 'put' END AS op,
                'table' AS resource_type,
-               CASE WHEN event_type = 'signup' THEN 'missing://gold.none/part_' || cast(event_id as varchar)
+               CASE WHEN event_id % 9 = 0 THEN 'missing://gold.none/part_' || cast(event_id as varchar)
                     WHEN p_partkey IS NOT NULL THEN {tkey()}
                     ELSE 'missing://gold.none/part_' || cast(user_id * 13 + event_id % 13 as varchar) END AS resource_key,
                kind,
                CASE kind WHEN 'description' THEN 'desc ' || cast(event_id as varchar)
                          WHEN 'tag' THEN 'tag' || cast(event_id % 5 as varchar)
-                         WHEN 'owner' THEN {email('event_id % 150')}
+                         WHEN 'owner' THEN {email('event_id % 2000')}
                          WHEN 'follow' THEN {email('user_id')}
                          ELSE ['tiny','medium','large','beta','gold'][event_id % 5 + 1] END AS value,
                CASE WHEN kind = 'badge' THEN CASE WHEN event_id % 5 < 3 THEN 'size' ELSE 'table_status' END

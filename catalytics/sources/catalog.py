@@ -483,7 +483,7 @@ class Catalog:
     @cached_property
     def change_feed(self) -> DataFrame:
         """Catalog change feed derived from ``events``: seq = event_id, kind
-        by event type, every 7th change a delete, signups name a resource
+        by event type, every 7th change a delete, every 9th names a resource
         that does not exist."""
         e = self.raw("events")
         p = self.raw("part").select("p_partkey", "p_brand", "p_type")
@@ -492,14 +492,14 @@ class Catalog:
         kind = (F.when(e.event_type == "view", "description").when(e.event_type == "click", "tag")
                 .when(e.event_type == "purchase", "owner").when(e.event_type == "signup", "follow")
                 .otherwise("badge"))
-        key = F.when(e.event_type == "signup",
+        key = F.when(e.event_id % 9 == 0,
                      F.concat(F.lit("missing://gold.none/part_"), e.event_id.cast("string"))) \
             .when(p.p_partkey.isNotNull(), part_table_key(p.p_brand, p.p_type, p.p_partkey)) \
             .otherwise(F.concat(F.lit("missing://gold.none/part_"), target.cast("string")))
         badge = F.element_at(F.array(*[F.lit(b) for b in BADGE_NAMES]), (e.event_id % 5 + 1).cast("int"))
         value = (F.when(kind == "description", F.concat(F.lit("desc "), e.event_id.cast("string")))
                  .when(kind == "tag", F.concat(F.lit("tag"), (e.event_id % 5).cast("string")))
-                 .when(kind == "owner", user_email(e.event_id % 150))
+                 .when(kind == "owner", user_email(e.event_id % 2000))
                  .when(kind == "follow", user_email(e.user_id))
                  .otherwise(badge))
         category = (F.when(kind == "badge", F.when(e.event_id % 5 < 3, F.lit("size"))
