@@ -719,3 +719,203 @@ oracle("tag_partition_curated", ["c_tags"], _TAG_USAGE + """
 SELECT coalesce(tu.tag_name, c.tag_name) AS tag_name, coalesce(tu.tag_count, 0) AS tag_count,
        CASE WHEN coalesce(tu.tag_name, c.tag_name) IN ('red', 'blue', 'nonexistent') THEN 'curated' ELSE 'other' END AS "group"
 FROM tu FULL JOIN (VALUES ('red'), ('blue'), ('nonexistent')) c(tag_name) ON c.tag_name = tu.tag_name""")
+
+# ------------------------------------------------- keys, filters, profile
+_KP = r"'^(.*?)://(.*)\.(.*?)/(.*?)$'"
+
+oracle("parse_table_key", ["c_tables", "c_dashboards", "c_columns"], f"""
+, k AS (SELECT key FROM c_tables UNION ALL SELECT key FROM c_dashboards UNION ALL SELECT key FROM c_columns),
+p AS (SELECT key, CASE WHEN regexp_matches(key, {_KP}) THEN regexp_extract(key, {_KP}, 1) END AS database,
+             CASE WHEN regexp_matches(key, {_KP}) THEN regexp_extract(key, {_KP}, 2) END AS cluster,
+             CASE WHEN regexp_matches(key, {_KP}) THEN regexp_extract(key, {_KP}, 3) END AS schema,
+             CASE WHEN regexp_matches(key, {_KP}) THEN regexp_extract(key, {_KP}, 4) END AS name FROM k)
+SELECT *, (database || '://' || cluster || '.' || schema || '/' || name) = key AS rebuilt_equal FROM p""")
+
+_BP = r"'^(.*?)\.(.*?)\.(.*?)\.(.*?)\.(.*?)@(.*?)$'"
+oracle("parse_bookmark_key", ["c_reads", "c_tables"], f"""
+, b AS (SELECT t.schema || '.' || t.name || '.table.' || split_part(r.user_key, '@', 1) || '.bookmark@' || t.cluster
+               AS bookmark_key FROM c_reads r JOIN c_tables t ON t.key = r.table_key)
+SELECT bookmark_key, """ + ", ".join(
+    f"CASE WHEN regexp_matches(bookmark_key, {_BP}) THEN regexp_extract(bookmark_key, {_BP}, {i + 1}) END AS {n}"
+    for i, n in enumerate(["database", "table", "entity_type", "user_id", "bookmark", "cluster"])) + " FROM b")
+
+oracle("filter_active", ["c_dashboards"], "SELECT key FROM c_dashboards WHERE upper(status) = 'ACTIVE'")
+
+oracle("editable_flag", ["c_tables"], """
+SELECT key, schema, name,
+       NOT coalesce(schema IN ('small') OR regexp_matches(schema, '^(?:econ.*)') OR regexp_matches(name, '^(?:part_1.*)')
+                    OR (regexp_matches(schema, '^(?:prom.*)') AND regexp_matches(name, '^(?:part_2.*)')), false) AS is_editable
+FROM c_tables""")
+
+_PROG = """
+, pd AS (SELECT t.key AS resource_key, s.source, s.source || ': ' || t.name AS text
+         FROM c_tables t CROSS JOIN (VALUES ('qualityReport'), ('quality Report'), ('auditLog'), ('dataContract'),
+                                            ('internalNote')) s(source))"""
+
+oracle("restrict_description_sources", ["c_tables"], _PROG + """,
+g AS (SELECT resource_key, lower(regexp_replace(source, '([a-z])([A-Z])', '\\1 \\2', 'g')) AS source,
+             arg_max(text, source) AS text
+      FROM pd WHERE NOT regexp_matches(source, '^(?:internal.*)') GROUP BY 1, 2)
+SELECT *, row_number() OVER (PARTITION BY resource_key ORDER BY source) AS position FROM g""")
+
+oracle("description_layout", ["c_tables"], _PROG + """,
+g AS (SELECT resource_key, lower(regexp_replace(source, '([a-z])([A-Z])', '\\1 \\2', 'g')) AS source,
+             arg_max(text, source) AS text FROM pd GROUP BY 1, 2
+      UNION ALL SELECT key, 'other note', 'n/a' FROM c_tables),
+x AS (SELECT *, CASE WHEN source IN ('quality report', 'audit log') THEN 'left'
+                     WHEN source IN ('data contract') THEN 'right' ELSE 'other' END AS side FROM g),
+y AS (SELECT *, CASE side WHEN 'left' THEN (CASE source WHEN 'quality report' THEN 1 WHEN 'audit log' THEN 0 ELSE 2 END)
+                          WHEN 'right' THEN 1
+                          ELSE (CASE source WHEN 'other note' THEN 0 ELSE 1 END) END AS display_order FROM x)
+SELECT *, row_number() OVER (PARTITION BY resource_key, side ORDER BY display_order, source) AS position FROM y""")
+
+oracle("format_column_stats", ["c_column_stats"], """
+SELECT column_key,
+       CASE WHEN stat_type = 'min' THEN 'minimum' ELSE stat_type END AS stat_type,
+       CASE stat_type WHEN 'min' THEN printf('%.2f', cast(stat_val AS DOUBLE))
+                      WHEN 'avg' THEN printf('%.4f', cast(stat_val AS DOUBLE)) ELSE stat_val END AS stat_val,
+       start_epoch, end_epoch
+FROM c_column_stats WHERE stat_type <> 'max'""")
+
+oracle("stat_order", ["c_column_stats"], """
+SELECT column_key, stat_type,
+       row_number() OVER (PARTITION BY column_key ORDER BY coalesce(CASE stat_type WHEN 'max' THEN 1 WHEN 'min' THEN 2
+                          WHEN 'avg' THEN 3 END, 4), stat_type) AS position
+FROM c_column_stats""")
+
+
+def _profile_sql() -> str:
+    cols = [("l_orderkey", "n"), ("l_partkey", "n"), ("l_suppkey", "n"), ("l_linenumber", "n"),
+            ("l_quantity", "n"), ("l_extendedprice", "n"), ("l_discount", "n"), ("l_tax", "n"),
+            ("l_returnflag", "s"), ("l_linestatus", "s"), ("l_shipdate", "t")]
+    parts = []
+    for c, kind in cols:
+        parts.append(f"SELECT '{c}' AS column_name, 'null_count' AS stat_type, "
+                     f"cast(count(*) FILTER (WHERE {c} IS NULL) AS VARCHAR) AS stat_val FROM lineitem")
+        parts.append(f"SELECT '{c}', 'distinct_count', cast(count(DISTINCT {c}) AS VARCHAR) FROM lineitem")
+        z = " + 0.0" if c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax") else ""
+        parts.append(f"SELECT '{c}', 'min', cast(min({c}){z} AS VARCHAR) FROM lineitem")
+        parts.append(f"SELECT '{c}', 'max', cast(max({c}){z} AS VARCHAR) FROM lineitem")
+        if kind == "n":
+            parts.append(f"SELECT '{c}', 'avg', cast(round(avg(cast({c} AS DOUBLE)), 6) AS VARCHAR) FROM lineitem")
+    parts.append("SELECT '*', 'row_count', cast(count(*) AS VARCHAR) FROM lineitem")
+    return "\nUNION ALL ".join(parts)
+
+
+ORACLES["column_profile"] = _profile_sql()
+
+oracle("unique_values_summary", ["c_column_stats"], """
+, e AS (SELECT column_key, unnest(map_entries(CAST(json(replace(stat_val, '''', '"')) AS MAP(VARCHAR, BIGINT)))) AS kv
+        FROM c_column_stats WHERE stat_type = 'unique_values'),
+r AS (SELECT column_key, kv.key AS value, kv.value AS count,
+             row_number() OVER (PARTITION BY column_key ORDER BY kv.value DESC, kv.key) AS position FROM e)
+SELECT * FROM r WHERE position <= 5""")
+
+_USAGE = """
+, us AS (SELECT column_key AS key, max(cast(stat_val AS DOUBLE)) AS usage FROM c_column_stats
+         WHERE stat_type = 'column_usage' GROUP BY 1)"""
+
+oracle("column_usage", ["c_columns", "c_column_stats"], _USAGE + """
+SELECT c.key, c.table_key, c.name, us.usage FROM c_columns c LEFT JOIN us ON us.key = c.key""")
+
+oracle("column_order", ["c_columns", "c_column_stats"], _USAGE + """
+SELECT c.key, c.table_key, c.name,
+       row_number() OVER (PARTITION BY c.table_key ORDER BY us.usage DESC NULLS LAST, c.name) AS position
+FROM c_columns c LEFT JOIN us ON us.key = c.key""")
+
+oracle("column_type_census", ["c_columns", "c_tables"], """
+, x AS (SELECT t.database, lower(trim(c.col_type)) AS ty FROM c_columns c JOIN c_tables t ON t.key = c.table_key)
+SELECT database, regexp_extract(ty, '^([a-z_ ]+)', 1) AS type_name,
+       (starts_with(ty, 'array') AND length(ty) > 5) OR (starts_with(ty, 'map') AND length(ty) > 3)
+       OR (starts_with(ty, 'struct') AND length(ty) > 6) OR (starts_with(ty, 'uniontype') AND length(ty) > 9) AS is_nested,
+       count(*) AS n_columns
+FROM x GROUP BY ALL""")
+
+oracle("page", ["c_tables"], """
+SELECT key, popularity_score, (SELECT count(*) FROM c_tables) AS total_results FROM c_tables
+ORDER BY popularity_score DESC, key LIMIT 10 OFFSET 30""")
+
+oracle("scalar_functions", ["c_dashboards"], """
+, x AS (SELECT *, cast(created_timestamp * 1000 AS VARCHAR) AS ms FROM c_dashboards)
+SELECT key, split_part(key, '_', 1) AS product, string_split(key, '/')[-1] AS last_segment,
+       CASE WHEN length(ms) >= 10 THEN cast(substr(ms, 1, 10) AS BIGINT) END AS created_s,
+       array_to_string(list_transform(string_split(group_name, ' '),
+                       lambda w: upper(substr(w, 1, 1)) || lower(substr(w, 2))), ' ') AS title_group,
+       upper(group_name) AS upper_group,
+       upper(substr(name, 1, 1)) || lower(substr(name, 2)) AS sentence_name,
+       try_cast(split_part(group_name, '-', 1) AS DOUBLE) IS NOT NULL AS group_is_number,
+       strftime(make_timestamp(created_timestamp * 1000000), '%Y-%m-%d') AS created_date
+FROM x""")
+
+# ------------------------------------------------------------------ events
+_ENJOY = """
+, ev AS (SELECT *, make_timestamp(cast(event_date_time AS BIGINT) * 1000) AS event_ts FROM c_sensor_events),
+g AS (SELECT pet_id, event_type{day}, count(*) AS n, cast(sum(event_duration) AS BIGINT) AS duration,
+             round(avg(event_sentiment), 6) AS mean_sentiment,
+             round(sum(event_sentiment * cast(event_duration AS DOUBLE)) / nullif(sum(cast(event_duration AS DOUBLE)), 0), 6)
+               AS weighted_sentiment
+      FROM (SELECT *, cast(event_ts AS DATE) AS day FROM ev) GROUP BY ALL)
+SELECT *, rank() OVER (PARTITION BY pet_id{day} ORDER BY weighted_sentiment DESC NULLS LAST, n DESC,
+                       event_type ASC NULLS LAST) AS rank FROM g"""
+
+oracle("event_enjoyment", ["c_sensor_events"], _ENJOY.format(day=""))
+oracle("event_enjoyment_daily", ["c_sensor_events"], _ENJOY.format(day=", day"))
+
+_SENSOR_OK = """SELECT pet_id, event_id, event_type, event_sentiment, event_duration, event_date_time,
+       make_timestamp(cast(event_date_time AS BIGINT) * 1000) AS event_ts
+FROM c_sensor_events WHERE cast(event_id AS BIGINT) % 50 <> 0"""
+
+oracle("ingest_events_batch", ["c_sensor_events"], _SENSOR_OK)
+oracle("ingest_events_stream", ["c_sensor_events"], _SENSOR_OK)
+oracle("stream_dedup_events", ["c_sensor_events"], _SENSOR_OK)
+
+oracle("ingest_events_rejects", ["c_sensor_events"], """
+SELECT substr('{"pet_id":' || cast(pet_id AS VARCHAR) || ',"event_id":"' || event_id || '",', 1, 20) AS record,
+       'malformed' AS reason
+FROM c_sensor_events WHERE cast(event_id AS BIGINT) % 50 = 0""")
+
+_EV = f"""
+, ev AS ({_SENSOR_OK}),
+wm AS (SELECT max(event_ts) - INTERVAL 1 HOUR AS w FROM ev)"""
+
+oracle("stream_activity_windows", ["c_sensor_events"], _EV + """
+SELECT window_start, window_end, pet_id, event_type, n, mean_sentiment FROM (
+  SELECT date_trunc('day', event_ts) AS window_start, date_trunc('day', event_ts) + INTERVAL 1 DAY AS window_end,
+         pet_id, event_type, count(*) AS n, round(avg(event_sentiment), 6) AS mean_sentiment
+  FROM ev GROUP BY ALL) WHERE window_end <= (SELECT w FROM wm)""")
+
+oracle("stream_activity_sliding", ["c_sensor_events"], _EV + """
+, b AS (SELECT date_trunc('day', event_ts) AS window_start, * FROM ev
+        UNION ALL SELECT date_trunc('day', event_ts) - INTERVAL 1 DAY, * FROM ev)
+SELECT window_start, window_start + INTERVAL 2 DAY AS window_end, pet_id, event_type, count(*) AS n,
+       round(avg(event_sentiment), 6) AS mean_sentiment
+FROM b GROUP BY window_start, pet_id, event_type
+HAVING window_start + INTERVAL 2 DAY <= (SELECT w FROM wm)""")
+
+oracle("stream_sessions", ["c_sensor_events"], _EV + """,
+f AS (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY pet_id ORDER BY event_ts) < INTERVAL 6 HOUR
+                     THEN 0 ELSE 1 END AS new_s FROM ev),
+s AS (SELECT *, sum(new_s) OVER (PARTITION BY pet_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS sid FROM f)
+SELECT pet_id, min(event_ts) AS session_start, max(event_ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n_events,
+       cast(sum(event_duration) AS BIGINT) AS duration
+FROM s GROUP BY pet_id, sid HAVING max(event_ts) + INTERVAL 6 HOUR <= (SELECT w FROM wm)""")
+
+oracle("stream_action_usage", ["c_action_log"], """
+SELECT date_trunc('day', make_timestamp(start_epoch_ms * 1000)) AS day, command, "user", count(*) AS n_actions,
+       count(*) FILTER (WHERE error IS NOT NULL) AS n_errors
+FROM c_action_log GROUP BY ALL""")
+
+ORACLES["stream_catalog_changes"] = ORACLES["apply_descriptions"]
+
+oracle("catalog_scan", ["c_reads"], """
+SELECT table_key, cast(sum(read_count) AS BIGINT) AS reads FROM c_reads GROUP BY 1""")
+
+oracle("index_snapshot_publish", _TABLE_DOC_VIEWS, _TABLE_DOCS + "\nSELECT key, total_usage FROM docs")
+
+oracle("table_preview", [], """
+SELECT l_orderkey, l_linenumber, l_quantity, '***' AS l_extendedprice FROM lineitem WHERE l_returnflag = 'R'
+ORDER BY l_orderkey, l_linenumber LIMIT 50""")
+
+oracle("preview_flatten", [], """
+SELECT o_orderkey AS id, o_custkey AS "order.custkey", o_orderstatus AS "order.info.status",
+       o_orderpriority AS "order.info.priority" FROM orders""")

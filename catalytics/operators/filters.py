@@ -137,9 +137,9 @@ def page(df: DataFrame, order: list[Column], page_index: int = 0, page_size: int
 def page_with_total(df: DataFrame, order: list[Column], page_index: int = 0,
                     page_size: int = 10) -> DataFrame:
     """The page plus the total hit count as a column (one extra global
-    count joined back as a one-row frame)."""
-    total = df.agg(F.count(F.lit(1)).alias("total_results"))
-    return page(df, order, page_index, page_size).join(F.broadcast(total), how="left")
+    count, planned as a scalar subquery)."""
+    total = df.agg(F.count(F.lit(1))).scalar()  # uncorrelated scalar subquery
+    return page(df, order, page_index, page_size).withColumn("total_results", total)
 
 
 def filter_active(df: DataFrame, *status_cols: str) -> DataFrame:

@@ -1,3 +1,3 @@
 """Registered query wrappers, grouped like the operator modules."""
 
-from catalytics.registered import changes, details, lineage, search, usage  # noqa: F401
+from catalytics.registered import changes, details, lineage, misc, search, usage  # noqa: F401
