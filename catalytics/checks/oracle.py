@@ -919,3 +919,36 @@ ORDER BY l_orderkey, l_linenumber LIMIT 50""")
 oracle("preview_flatten", [], """
 SELECT o_orderkey AS id, o_custkey AS "order.custkey", o_orderstatus AS "order.info.status",
        o_orderpriority AS "order.info.priority" FROM orders""")
+
+oracle("collect_distinct_children", ["c_tags"], """
+SELECT resource_key, count(DISTINCT tag) AS n_tags, string_agg(DISTINCT tag, '|' ORDER BY tag) AS tags
+FROM c_tags WHERE tag IS NOT NULL GROUP BY 1""")
+
+oracle("topk_per_key", ["c_reads"], """
+SELECT * FROM (SELECT user_key, table_key, read_count,
+                      row_number() OVER (PARTITION BY user_key ORDER BY read_count DESC, table_key) AS rank
+               FROM c_reads) WHERE rank <= 3""")
+
+oracle("assemble_search_docs", _TABLE_DOC_VIEWS, _TABLE_DOCS + """
+SELECT key, display_name, qualified_name, total_usage, array_to_string(column_names, ',') AS column_names,
+       array_to_string(column_descriptions, '|') AS column_descriptions, array_to_string(tags, '|') AS tags,
+       array_to_string(badges, '|') AS badges FROM docs""")
+
+oracle("search_all", ["c_reads", "c_tables", "c_dashboards", "c_dashboard_reads"], """
+, t AS (SELECT table_key AS key, round(count(DISTINCT user_key) * ln(sum(read_count)), 6) AS score,
+               count(DISTINCT user_key) * ln(sum(read_count)) AS s
+        FROM c_reads GROUP BY 1 HAVING count(DISTINCT user_key) >= 1 ORDER BY s DESC, key LIMIT 10),
+tt AS (SELECT t.key, t.score FROM t JOIN c_tables ON c_tables.key = t.key),
+d AS (SELECT d.key, cast(coalesce(v.v, 0) AS DOUBLE) AS score FROM c_dashboards d
+      LEFT JOIN (SELECT dashboard_key, sum(read_count) AS v FROM c_dashboard_reads GROUP BY 1) v ON v.dashboard_key = d.key
+      ORDER BY score DESC, d.key LIMIT 10),
+u AS (SELECT user_key AS key, cast(sum(read_count) AS DOUBLE) AS score FROM c_reads GROUP BY 1
+      ORDER BY score DESC, key LIMIT 10),
+a AS (SELECT key, score, 'table' AS resource_type FROM tt UNION ALL SELECT key, score, 'dashboard' FROM d
+      UNION ALL SELECT key, score, 'user' FROM u)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY resource_type ORDER BY score DESC, key) AS position FROM a)
+WHERE position <= 2""")
+
+oracle("user_resources_follow", ["c_reads", "c_tables"], """
+SELECT t.key, e.user_key, t.database, t.cluster, t.schema, t.name, t.description, 'follow' AS relation
+FROM (SELECT DISTINCT user_key, table_key FROM c_reads WHERE read_count >= 2) e JOIN c_tables t ON t.key = e.table_key""")

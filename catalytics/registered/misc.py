@@ -316,3 +316,56 @@ def preview_flatten(spark, sf):
                                         F.col("o_orderpriority").alias("priority")).alias("info"))
                       .alias("order"))
     return PV.preview_flatten(nested)
+
+
+@register("collect_distinct_children")
+def collect_distinct_children(spark, sf):
+    from catalytics.plans import collect_distinct_children as cdc
+    c = _catalog(spark, sf)
+    g = cdc(c.tags, "resource_key", "tag", "tags")
+    return g.select("resource_key", F.size("tags").alias("n_tags"), F.array_join("tags", "|").alias("tags"))
+
+
+@register("topk_per_key")
+def topk_per_key(spark, sf):
+    from catalytics.plans import topk_per_key as tk
+    c = _catalog(spark, sf)
+    return tk(c.reads.select("user_key", "table_key", "read_count"), "user_key",
+              [F.desc("read_count"), F.asc("table_key")], 3, rank_col="rank")
+
+
+@register("assemble_search_docs")
+def assemble_search_docs(spark, sf):
+    from catalytics.operators.search import assemble_table_docs
+    c = _catalog(spark, sf)
+    d = assemble_table_docs(c.tables, c.columns, c.tags, c.badges, c.reads)
+    return d.select("key", "display_name", "qualified_name", "total_usage",
+                    F.array_join("column_names", ",").alias("column_names"),
+                    F.array_join("column_descriptions", "|").alias("column_descriptions"),
+                    F.array_join("tags", "|").alias("tags"), F.array_join("badges", "|").alias("badges"))
+
+
+@register("search_all")
+def search_all(spark, sf):
+    """Top hits of three resource types unioned and cut to two per type."""
+    from catalytics.operators import search as S
+    from catalytics.operators import usage as U
+    c = _catalog(spark, sf)
+    t = U.popular_tables(c.reads, c.tables, n=10, min_readers=1).select(
+        F.col("table_key").alias("key"), F.round("score", 6).alias("score"))
+    d = U.dashboard_view_count(c.dashboards, c.dashboard_reads).orderBy(
+        F.desc("recent_view_count"), "dashboard_key").limit(10).select(
+        F.col("dashboard_key").alias("key"), F.col("recent_view_count").cast("double").alias("score"))
+    u = c.reads.groupBy(F.col("user_key").alias("key")).agg(
+        F.sum("read_count").cast("double").alias("score")).orderBy(F.desc("score"), "key").limit(10)
+    return S.inline_topk(S.search_all(table=t, dashboard=d, user=u), k=2)
+
+
+@register("user_resources_follow")
+def user_resources_follow(spark, sf):
+    from catalytics.operators.details import user_resources
+    c = _catalog(spark, sf)
+    follows = c.reads.where(F.col("read_count") >= 2).select(
+        "user_key", F.col("table_key").alias("resource_key"))
+    res = c.tables.select("key", "database", "cluster", "schema", "name", "description")
+    return user_resources(follows, res, "follow")
