@@ -13,21 +13,30 @@ from pyspark.sql import functions as F
 # Strptime directives -> Spark datetime pattern letters.
 _DIRECTIVES = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss",
                "%y": "yy", "%b": "MMM", "%j": "DDD"}
+_VARIABLE_WIDTH = {"%m", "%d", "%H", "%M", "%S"}
 VALUE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
 def strptime_to_spark(fmt: str) -> str:
-    """'%Y,%m' -> 'yyyy,MM' (letters outside directives are quoted)."""
-    out, i = [], 0
+    """'%Y,%m' -> 'yyyy,M'. Like strptime, a month/day/hour... directive
+    followed by a literal (or the end) accepts one or two digits; when it is
+    directly next to another directive it takes exactly two."""
+    out, i, prev_directive = [], 0, False
     while i < len(fmt):
         d = fmt[i:i + 2]
         if d in _DIRECTIVES:
-            out.append(_DIRECTIVES[d])
+            pat = _DIRECTIVES[d]
+            adjacent = prev_directive or fmt[i + 2:i + 3] == "%"
+            if d in _VARIABLE_WIDTH and not adjacent:
+                pat = pat[0]
+            out.append(pat)
             i += 2
+            prev_directive = True
             continue
         ch = fmt[i]
         out.append(f"'{ch}'" if ch.isalpha() else ch)
         i += 1
+        prev_directive = False
     return "".join(out)
 
 
