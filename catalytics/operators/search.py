@@ -57,12 +57,14 @@ def _field_text(df: DataFrame, field: str) -> Column:
 
 
 def build_inverted_index(docs: DataFrame, fields: list[str], key: str = "key") -> DataFrame:
-    """(field, term, doc_key, tf, dl) postings for every field of every doc.
-    ``dl`` (terms in that field of that doc) rides along each posting so the
-    scorer needs no second join."""
-    per_field = [docs.select(F.col(key).alias("doc_key"), F.lit(f).alias("field"),
-                             _field_text(docs, f).alias("toks")) for f in fields]
-    x = reduce(DataFrame.unionByName, per_field)
+    """(field, term, doc_key, dl, tf) postings for every field of every doc.
+    One projection + explode over the documents (a single scan), then one
+    grouped count. ``dl`` (terms in that field of that doc) rides along each
+    posting so the scorer needs no second join."""
+    entries = F.array(*[F.struct(F.lit(f).alias("field"), _field_text(docs, f).alias("toks"))
+                        for f in fields])
+    x = (docs.select(F.col(key).alias("doc_key"), F.explode(entries).alias("e"))
+         .select("doc_key", F.col("e.field").alias("field"), F.col("e.toks").alias("toks")))
     x = x.where(F.col("toks").isNotNull() & (F.size("toks") > 0)).withColumn("dl", F.size("toks"))
     return (x.select("doc_key", "field", "dl", F.explode("toks").alias("term"))
             .where(F.col("term").isNotNull())
@@ -81,21 +83,18 @@ def term_stats(index: DataFrame) -> DataFrame:
 
 
 def query_terms(queries: DataFrame, fields: list[str], text_col: str = "query") -> DataFrame:
-    """(query_id, field, term) rows: analysed terms for text fields, the
-    whole query string for ``.raw`` fields; plus n_terms per query."""
+    """(query_id, n_terms, field, term) rows: analysed terms for text fields,
+    the whole query string for ``.raw`` fields."""
     q = queries.select("query_id", F.col(text_col).alias("q")).where(
         F.length(F.trim(F.col("q"))) > 0)
     q = q.withColumn("toks", F.array_distinct(tokens(F.col("q"))))
     q = q.withColumn("n_terms", F.size("toks"))
-    parts = []
-    for f in fields:
-        if f.endswith(".raw"):
-            parts.append(q.select("query_id", "n_terms", F.lit(f).alias("field"),
-                                  F.col("q").alias("term")))
-        else:
-            parts.append(q.select("query_id", "n_terms", F.lit(f).alias("field"),
-                                  F.explode("toks").alias("term")))
-    return reduce(DataFrame.unionByName, parts)
+    entries = F.array(*[F.struct(F.lit(f).alias("field"),
+                                 (F.array(F.col("q")) if f.endswith(".raw") else F.col("toks")).alias("t"))
+                        for f in fields])
+    x = q.select("query_id", "n_terms", F.explode(entries).alias("e"))
+    return x.select("query_id", "n_terms", F.col("e.field").alias("field"),
+                    F.explode("e.t").alias("term"))
 
 
 def bm25_field_scores(index: DataFrame, queries: DataFrame, boosts: dict[str, float],

@@ -84,8 +84,12 @@ def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
     co to t is ``w(u, co) - [u reads t]``; co counts as a co-reader of t when
     that is > 0; total = sum(read_count(co, t) * paths)."""
     w = co_reader_weights(reads, users)
+    # Exact prune: co_readers(u, t) <= readers(t), so a table with fewer
+    # than min_readers readers can never pass the threshold.
+    eligible = (reads.groupBy(F.col("table_key").alias("t"))
+                .agg(F.count(F.lit(1)).alias("_nr")).where(F.col("_nr") >= min_readers).select("t"))
     co_reads = reads.select(F.col("user_key").alias("co"), F.col("table_key").alias("t"),
-                            F.col("read_count").alias("rc"))
+                            F.col("read_count").alias("rc")).join(eligible, "t", "left_semi")
     own = reads.select(F.col("user_key").alias("u"), F.col("table_key").alias("t"),
                        F.lit(1).alias("own"))
     x = (w.join(co_reads, "co")
