@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalytics.plans import topk_per_key
+from catalytics.plans import bounded_broadcast, topk_per_key
 
 
 def _hydrate_tables(top: DataFrame, tables: DataFrame, key: str = "table_key") -> DataFrame:
@@ -76,34 +76,81 @@ def co_reader_weights(reads: DataFrame, users: DataFrame | None = None) -> DataF
 
 
 def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
-                            min_readers: int = 10, users: DataFrame | None = None) -> DataFrame:
+                            min_readers: int = 10, users: DataFrame | None = None,
+                            broadcast_rows: int = 2_000_000) -> DataFrame:
     """Per user: tables read by co-readers (peers sharing another table).
 
     Path semantics (u, T, co, t) with pairwise-distinct edges, i.e. co != u
     and t != T. Rewritten without enumerating T: the number of paths through
     co to t is ``w(u, co) - [u reads t]``; co counts as a co-reader of t when
-    that is > 0; total = sum(read_count(co, t) * paths)."""
-    w = co_reader_weights(reads, users)
-    # Exact prune: co_readers(u, t) <= readers(t), so a table with fewer
-    # than min_readers readers can never pass the threshold.
-    eligible = (reads.groupBy(F.col("table_key").alias("t"))
-                .agg(F.count(F.lit(1)).alias("_nr")).where(F.col("_nr") >= min_readers).select("t"))
-    co_reads = reads.select(F.col("user_key").alias("co"), F.col("table_key").alias("t"),
-                            F.col("read_count").alias("rc")).join(eligible, "t", "left_semi")
-    own = reads.select(F.col("user_key").alias("u"), F.col("table_key").alias("t"),
-                       F.lit(1).alias("own"))
-    x = (w.join(co_reads, "co")
-         .join(own, ["u", "t"], "left")
-         .withColumn("paths", F.col("w") - F.coalesce(F.col("own"), F.lit(0)))
-         .where(F.col("paths") > 0))
-    agg = (x.groupBy("u", "t")
-           .agg(F.count(F.lit(1)).alias("co_readers"),
-                F.sum(F.col("rc") * F.col("paths")).alias("total_co_reads"))
-           .where(F.col("co_readers") >= min_readers)
+    that is > 0; total = sum(read_count(co, t) * paths).
+
+    Plan: keys are replaced by 64-bit hashes (verified collision-free by one
+    aggregate, else string keys are used); the pair weights are partitioned
+    by u; the co-read edges join map-side when their row count is under
+    ``broadcast_rows`` (checked), so the (u, t) aggregation needs no shuffle
+    of the path rows; the [u reads t] correction is applied after
+    aggregation: co_readers = n_all or n(w >= 2), total = sum(rc * w) or
+    sum(rc * w) - sum(rc)."""
+    r = reads.select("user_key", "table_key", "read_count")
+    chk = r.agg(F.countDistinct("user_key").alias("a"), F.countDistinct(F.xxhash64("user_key")).alias("b"),
+                F.countDistinct("table_key").alias("c"), F.countDistinct(F.xxhash64("table_key")).alias("d")
+                ).first()
+    hashed = chk["a"] == chk["b"] and chk["c"] == chk["d"]
+    uk = F.xxhash64("user_key") if hashed else F.col("user_key")
+    tk = F.xxhash64("table_key") if hashed else F.col("table_key")
+    e = r.select(uk.alias("uid"), tk.alias("tid"), F.col("read_count").alias("rc"))
+    # The (u, t) hash aggregation runs inside the pair partitions: size them
+    # from the path count sum_T readers(T)^2 * avg degree (one small
+    # aggregate) so each task's hash map stays in memory.
+    base = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    st = (e.groupBy("tid").agg(F.count(F.lit(1)).alias("nr"))
+          .agg(F.sum(F.col("nr") * F.col("nr")).alias("pairs"), F.sum("nr").alias("edges"),
+               F.count(F.lit(1)).alias("tabs")).first())
+    users_n = max(1, chk["a"])
+    est_paths = (st["pairs"] or 0) * ((st["edges"] or 0) / users_n)
+    parts = int(min(64 * base, max(base, est_paths // 1_500_000)))
+
+    left = e.select(F.col("uid").alias("u"), F.col("tid").alias("via"))
+    if users is not None:
+        ukeys = users.select((F.xxhash64("user_key") if hashed else F.col("user_key")).alias("u"))
+        left = left.join(ukeys.distinct(), "u", "left_semi")
+    right = e.select(F.col("uid").alias("co"), F.col("tid").alias("via"))
+    w = (left.join(right, "via").where(F.col("u") != F.col("co"))
+         .repartition(parts, "u").groupBy("u", "co").agg(F.count(F.lit(1)).alias("w")))
+    # Exact prune: co_readers(u, t) <= readers(t).
+    eligible = (e.groupBy(F.col("tid").alias("t")).agg(F.count(F.lit(1)).alias("_nr"))
+                .where(F.col("_nr") >= min_readers).select("t"))
+    co_reads = e.select(F.col("uid").alias("co"), F.col("tid").alias("t"), "rc").join(
+        eligible, "t", "left_semi")
+    x = w.join(bounded_broadcast(co_reads, broadcast_rows), "co")
+    agg = (x.groupBy("u", "t").agg(
+        F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("w") >= 2).alias("n_w2"),
+        F.sum(F.col("rc") * F.col("w")).alias("tot_all"), F.sum("rc").alias("sum_rc"))
+        .where(F.col("n_all") >= min_readers))
+    own = e.select(F.col("uid").alias("u"), F.col("tid").alias("t"), F.lit(True).alias("own"))
+    j = agg.join(own, ["u", "t"], "left")
+    is_own = F.coalesce(F.col("own"), F.lit(False))
+    res = (j.select("u", "t",
+                    F.when(is_own, F.col("n_w2")).otherwise(F.col("n_all")).alias("co_readers"),
+                    F.when(is_own, F.col("tot_all") - F.col("sum_rc")).otherwise(F.col("tot_all"))
+                    .alias("total_co_reads"))
+           .where((F.col("co_readers") >= min_readers) & (F.col("co_readers") > 0))
            .withColumn("score", F.col("co_readers") * F.log(F.col("total_co_reads"))))
-    top = topk_per_key(agg, "u", [F.desc("score"), F.asc("t")], n, rank_col="rank")
-    return top.select(F.col("u").alias("user_key"), F.col("t").alias("table_key"), "co_readers",
-                      "total_co_reads", "score", "rank")
+    if not hashed:
+        top = topk_per_key(res, "u", [F.desc("score"), F.asc("t")], n, rank_col="rank")
+        return top.select(F.col("u").alias("user_key"), F.col("t").alias("table_key"), "co_readers",
+                          "total_co_reads", "score", "rank")
+    # Ties on score break on the real key: keep every candidate scoring at
+    # least the n-th best score of its user, map hashes back, rank again.
+    cut = (topk_per_key(res, "u", [F.desc("score")], n).groupBy("u")
+           .agg(F.min("score").alias("_cut")))
+    cand = res.join(cut, "u").where(F.col("score") >= F.col("_cut"))
+    umap = r.select(F.xxhash64("user_key").alias("u"), "user_key").distinct()
+    tmap = r.select(F.xxhash64("table_key").alias("t"), "table_key").distinct()
+    cand = cand.join(umap, "u").join(tmap, "t")
+    top = topk_per_key(cand, "user_key", [F.desc("score"), F.asc("table_key")], n, rank_col="rank")
+    return top.select("user_key", "table_key", "co_readers", "total_co_reads", "score", "rank")
 
 
 def personal_tables_own_reads(reads: DataFrame, n: int = 10, min_readers: int = 10) -> DataFrame:
