@@ -99,13 +99,19 @@ def query_terms(queries: DataFrame, fields: list[str], text_col: str = "query")
 
 def bm25_field_scores(index: DataFrame, queries: DataFrame, boosts: dict[str, float],
                       text_col: str = "query") -> DataFrame:
-    """(query_id, doc_key, field, score, matched, n_terms) per field."""
+    """(query_id, doc_key, field, score, matched, n_terms) per field.
+
+    Document frequencies are computed only for terms that occur in some
+    query (semi join first), and the small (query, term, df) side is joined
+    to the postings once."""
     fields = list(boosts)
     qt = query_terms(queries, fields, text_col)
-    fs = F.broadcast(field_stats(index))  # one row per field
-    ts = term_stats(index)
+    fs = F.broadcast(field_stats(index))  # one row per field: bounded by the field list
+    rel = index.join(qt.select("field", "term").distinct(), ["field", "term"], "left_semi")
+    ts = rel.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
+    qtt = qt.join(ts, ["field", "term"])
     boost = F.create_map(*[x for f, b in boosts.items() for x in (F.lit(f), F.lit(b))])
-    hits = (qt.join(index, ["field", "term"]).join(ts, ["field", "term"]).join(fs, "field"))
+    hits = rel.join(qtt, ["field", "term"]).join(fs, "field")
     idf = F.log(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     norm = K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
     part = idf * F.col("tf") / (F.col("tf") + norm)
