@@ -40,6 +40,33 @@ def strptime_to_spark(fmt: str) -> str:
     return "".join(out)
 
 
+# Strptime directives -> digit/letter shapes used as a cheap
+# guard before parsing (a failed parse is costly; a regex test is not).
+_SHAPES = {"%Y": r"\d{4}", "%m": r"\d{1,2}", "%d": r"\d{1,2}", "%H": r"\d{1,2}", "%M": r"\d{1,2}",
+           "%S": r"\d{1,2}", "%y": r"\d{2}", "%b": r"[A-Za-z]{3}", "%j": r"\d{1,3}"}
+
+
+def strptime_shape(fmt: str) -> str:
+    """Anchored regex a string must match to possibly parse with ``fmt``."""
+    import re
+    out, i = [], 0
+    while i < len(fmt):
+        d = fmt[i:i + 2]
+        if d in _SHAPES:
+            out.append(_SHAPES[d])
+            i += 2
+            continue
+        out.append(re.escape(fmt[i]))
+        i += 1
+    return "^" + "".join(out) + "$"
+
+
+def _try_parse(name, fmt: str):
+    """try_to_timestamp behind the shape guard."""
+    return F.when(name.rlike(strptime_shape(fmt)),
+                  F.try_to_timestamp(name, F.lit(strptime_to_spark(fmt))))
+
+
 def partition_watermarks(partitions: DataFrame, formats: list[str],
                          partition_keys: DataFrame | None = None,
                          include_deleted: bool = True) -> DataFrame:
@@ -50,21 +77,30 @@ def partition_watermarks(partitions: DataFrame, formats: list[str],
         return partitions.sparkSession.createDataFrame(
             [], "table_key string, watermark_type string, partition_key string, "
                 "partition_value string, create_time long")
-    pats = [strptime_to_spark(f) for f in formats]
+    # One grouped pass: per row the index of the first format that parses
+    # it and its value under every format; per table the chosen format is
+    # that of the smallest parsable active name, and min/max are kept for
+    # every format, the chosen one is picked afterwards (no join back).
+    name = F.col("name")
+    parsed = [_try_parse(name, f) for f in formats]
     idx = F.lit(None).cast("int")
-    for i in reversed(range(len(pats))):
-        idx = F.when(F.try_to_timestamp(F.col("name"), F.lit(pats[i])).isNotNull(), F.lit(i)) \
-            .otherwise(idx)
-    active = partitions.where(F.upper(F.col("status")) == "ACTIVE")
-    chosen = (active.withColumn("fmt", idx).where(F.col("fmt").isNotNull())
-              .groupBy("table_key").agg(F.min_by("fmt", "name").alias("fmt")))
-    src = partitions if include_deleted else active
-    parsed = src.join(chosen, "table_key")
-    ts = F.lit(None).cast("timestamp")
-    for i in reversed(range(len(pats))):
-        ts = F.when(F.col("fmt") == i, F.try_to_timestamp(F.col("name"), F.lit(pats[i]))).otherwise(ts)
-    g = (parsed.withColumn("ts", ts).where(F.col("ts").isNotNull()).groupBy("table_key")
-         .agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")))
+    for i in reversed(range(len(formats))):
+        idx = F.when(parsed[i].isNotNull(), F.lit(i)).otherwise(idx)
+    active = F.upper(F.col("status")) == "ACTIVE"
+    counted = F.lit(True) if include_deleted else active
+    x = partitions.select("table_key", "name", active.alias("_act"), counted.alias("_cnt"),
+                          idx.alias("_fi"), *[p.alias(f"_p{i}") for i, p in enumerate(parsed)])
+    aggs = [F.min_by("_fi", F.when(F.col("_act") & F.col("_fi").isNotNull(), F.col("name"))).alias("fmt")]
+    for i in range(len(formats)):
+        aggs.append(F.min(F.when(F.col("_cnt"), F.col(f"_p{i}"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when(F.col("_cnt"), F.col(f"_p{i}"))).alias(f"_hi{i}"))
+    g = x.groupBy("table_key").agg(*aggs).where(F.col("fmt").isNotNull())
+    lo = F.lit(None).cast("timestamp")
+    hi = F.lit(None).cast("timestamp")
+    for i in reversed(range(len(formats))):
+        lo = F.when(F.col("fmt") == i, F.col(f"_lo{i}")).otherwise(lo)
+        hi = F.when(F.col("fmt") == i, F.col(f"_hi{i}")).otherwise(hi)
+    g = g.select("table_key", lo.alias("lo"), hi.alias("hi")).where(F.col("lo").isNotNull())
     if partition_keys is not None:
         pk = partition_keys.groupBy("table_key").agg(F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct("position", "column"))), lambda x: x["column"]),
