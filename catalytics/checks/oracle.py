@@ -243,7 +243,7 @@ LEFT JOIN (SELECT dashboard_key, string_agg(DISTINCT table_key, '|' ORDER BY tab
 
 oracle("dashboards_using_table", ["c_dashboards", "c_dashboard_tables", "c_dashboard_reads",
                                   "c_dashboard_executions"], f"""
-SELECT x.*, row_number() OVER (PARTITION BY table_key ORDER BY total_reads DESC, dashboard_key) AS rank
+SELECT x.*
 FROM (SELECT dt.dashboard_key, dt.table_key, d.name, d.group_name, d.product, d.description,
              ex.last_successful_run_timestamp, cast(coalesce(v.v, 0) AS BIGINT) AS total_reads
       FROM c_dashboard_tables dt JOIN c_dashboards d ON d.key = dt.dashboard_key

@@ -139,7 +139,7 @@ def dashboard_detail(dashboards: DataFrame, executions: DataFrame, dashboard_rea
 def dashboards_using_table(dashboards: DataFrame, dashboard_tables: DataFrame,
                            dashboard_reads: DataFrame, executions: DataFrame) -> DataFrame:
     """Per table: dashboards that use it with summary columns and total
-    reads (0 when unread -- left join), ranked by reads desc, key asc."""
+    reads (0 when unread -- left join), sorted by table, reads desc, key."""
     views = dashboard_reads.groupBy("dashboard_key").agg(F.sum("read_count").alias("v"))
     ex = last_executions(executions).select("dashboard_key", "last_successful_run_timestamp")
     d = dashboards.select(F.col("key").alias("dashboard_key"), "name", "group_name", "product",
@@ -147,9 +147,9 @@ def dashboards_using_table(dashboards: DataFrame, dashboard_tables: DataFrame,
     x = (dashboard_tables.join(d, "dashboard_key").join(views, "dashboard_key", "left")
          .join(ex, "dashboard_key", "left")
          .withColumn("total_reads", F.coalesce(F.col("v"), F.lit(0)).cast("long")).drop("v"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("table_key").orderBy(F.desc("total_reads"), F.asc("dashboard_key"))
-    return x.withColumn("rank", F.row_number().over(w).cast("long"))
+    # A global range sort (not a per-table window): a table used by a third
+    # of all dashboards is split across range partitions by its second key.
+    return x.orderBy("table_key", F.desc("total_reads"), "dashboard_key")
 
 
 # ---------------------------------------------------------------- features
@@ -231,13 +231,15 @@ def owned_resources_union(owner_edges: DataFrame, resources: DataFrame, users: D
     """Owned = resources in the user's OWNS edges union resources whose
     owner field starts with the lower-cased user id."""
     by_edge = owner_edges.select("user_key", F.col("resource_key").alias("key"))
-    u = users.select(F.col("email").alias("user_key"), F.lower(F.col("email")).alias("_lu"))
+    # Prefix match as an equi-join: every prefix of the (short) owner field
+    # is exploded and joined on equality with the lower-cased user id --
+    # linear in the field length, never a nested loop.
     r = resources.select("key", F.lower(F.col(owner_field)).alias("_owner"))
-    by_field = u.join(r, F.col("_owner").startswith(F.col("_lu")) & (F.col("_owner") == F.col("_lu")))
-    # The reference tests prefix match on the owner attribute; since the
-    # attribute holds one id, prefix + equal-length is an equality, which
-    # Spark can plan as a hash join instead of a nested loop.
-    by_field = by_field.select("user_key", "key")
+    pref = r.select("key", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("_owner")),
+        lambda n: F.substring(F.col("_owner"), F.lit(1), n))).alias("_p"))
+    u = users.select(F.col("email").alias("user_key"), F.lower(F.col("email")).alias("_p"))
+    by_field = pref.join(u, "_p").select("user_key", "key")
     return by_edge.unionByName(by_field).distinct()
 
 

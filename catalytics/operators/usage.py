@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalytics.plans import bounded_broadcast, topk_per_key
+from catalytics.session import scratch_path
 
 
 def _hydrate_tables(top: DataFrame, tables: DataFrame, key: str = "table_key") -> DataFrame:
@@ -92,13 +93,20 @@ def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
     of the path rows; the [u reads t] correction is applied after
     aggregation: co_readers = n_all or n(w >= 2), total = sum(rc * w) or
     sum(rc * w) - sum(rc)."""
-    r = reads.select("user_key", "table_key", "read_count")
-    chk = r.agg(F.countDistinct("user_key").alias("a"), F.countDistinct(F.xxhash64("user_key")).alias("b"),
-                F.countDistinct("table_key").alias("c"), F.countDistinct(F.xxhash64("table_key")).alias("d")
-                ).first()
+    # The edges are read by several small sizing actions and by the main
+    # job: write them once (with their hashes) as a table in the shared
+    # checkpoint folder instead of recomputing ``reads`` each time.
+    spark = reads.sparkSession
+    path = scratch_path(spark, "co-reads")
+    reads.select("user_key", "table_key", "read_count",
+                 F.xxhash64("user_key").alias("uh"), F.xxhash64("table_key").alias("th")) \
+        .write.parquet(path)
+    r = spark.read.parquet(path)
+    chk = r.agg(F.countDistinct("user_key").alias("a"), F.countDistinct("uh").alias("b"),
+                F.countDistinct("table_key").alias("c"), F.countDistinct("th").alias("d")).first()
     hashed = chk["a"] == chk["b"] and chk["c"] == chk["d"]
-    uk = F.xxhash64("user_key") if hashed else F.col("user_key")
-    tk = F.xxhash64("table_key") if hashed else F.col("table_key")
+    uk = F.col("uh") if hashed else F.col("user_key")
+    tk = F.col("th") if hashed else F.col("table_key")
     e = r.select(uk.alias("uid"), tk.alias("tid"), F.col("read_count").alias("rc"))
     # The (u, t) hash aggregation runs inside the pair partitions: size them
     # from the path count sum_T readers(T)^2 * avg degree (one small
@@ -146,8 +154,8 @@ def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
     cut = (topk_per_key(res, "u", [F.desc("score")], n).groupBy("u")
            .agg(F.min("score").alias("_cut")))
     cand = res.join(cut, "u").where(F.col("score") >= F.col("_cut"))
-    umap = r.select(F.xxhash64("user_key").alias("u"), "user_key").distinct()
-    tmap = r.select(F.xxhash64("table_key").alias("t"), "table_key").distinct()
+    umap = r.select(F.col("uh").alias("u"), "user_key").distinct()
+    tmap = r.select(F.col("th").alias("t"), "table_key").distinct()
     cand = cand.join(umap, "u").join(tmap, "t")
     top = topk_per_key(cand, "user_key", [F.desc("score"), F.asc("table_key")], n, rank_col="rank")
     return top.select("user_key", "table_key", "co_readers", "total_co_reads", "score", "rank")
