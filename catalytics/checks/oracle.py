@@ -952,3 +952,7 @@ WHERE position <= 2""")
 oracle("user_resources_follow", ["c_reads", "c_tables"], """
 SELECT t.key, e.user_key, t.database, t.cluster, t.schema, t.name, t.description, 'follow' AS relation
 FROM (SELECT DISTINCT user_key, table_key FROM c_reads WHERE read_count >= 2) e JOIN c_tables t ON t.key = e.table_key""")
+
+oracle("stream_registration_join", ["c_sensor_events", "c_pet_registry"], f"""
+, ev AS ({_SENSOR_OK})
+SELECT e.*, r.name, r.species, r.owner_email FROM ev e LEFT JOIN c_pet_registry r ON r.pet_id = e.pet_id""")

@@ -369,3 +369,14 @@ def user_resources_follow(spark, sf):
         "user_key", F.col("table_key").alias("resource_key"))
     res = c.tables.select("key", "database", "cluster", "schema", "name", "description")
     return user_resources(follows, res, "follow")
+
+
+@register("stream_registration_join")
+def stream_registration_join(spark, sf):
+    """Stream-static join: streaming sensor events enriched with the
+    registration table (left join; the static side is shuffled, not
+    assumed small)."""
+    from catalytics.operators.details import event_registration_join
+    c = _catalog(spark, sf)
+    ok, _ = EV.ingest_events_stream(spark, _write_sensor_json(spark, c, "reg-in"))
+    return _stream_to_table(spark, event_registration_join(ok, c.pet_registry), "reg")
