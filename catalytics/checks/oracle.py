@@ -574,10 +574,16 @@ tok AS (SELECT * FROM tch WHERE tag_type <> 'badge' AND tag NOT IN {_RESERVED}
         AND resource_key IN (SELECT key FROM c_tables)),
 last AS (SELECT resource_key, tag, arg_max(op, seq) AS op, arg_max(tag_type, seq) AS tag_type FROM tok GROUP BY 1, 2)"""
 
-oracle("apply_tags", ["c_tables", "c_change_feed", "c_tags"], _TAG_CH + """
-SELECT e.resource_key, e.tag, e.tag_type FROM c_tags e LEFT JOIN last l ON l.resource_key = e.resource_key AND l.tag = e.tag
-WHERE l.op IS NULL OR (l.op = 'delete' AND l.tag_type <> e.tag_type)
-UNION ALL SELECT resource_key, tag, tag_type FROM last WHERE op = 'put'""")
+oracle("apply_tags", ["c_tables", "c_change_feed", "c_tags"], _TAG_CH + """,
+puts AS (SELECT resource_key, tag, arg_max(tag_type, seq) AS ptype, max(seq) AS pseq FROM tok WHERE op = 'put' GROUP BY 1, 2),
+dels AS (SELECT resource_key, tag, tag_type, max(seq) AS dseq FROM tok WHERE op = 'delete' GROUP BY 1, 2, 3)
+SELECT e.resource_key, e.tag, e.tag_type FROM c_tags e
+WHERE NOT EXISTS (SELECT 1 FROM puts p WHERE p.resource_key = e.resource_key AND p.tag = e.tag)
+  AND NOT EXISTS (SELECT 1 FROM dels d WHERE d.resource_key = e.resource_key AND d.tag = e.tag AND d.tag_type = e.tag_type)
+UNION ALL
+SELECT p.resource_key, p.tag, p.ptype FROM puts p
+WHERE NOT EXISTS (SELECT 1 FROM dels d WHERE d.resource_key = p.resource_key AND d.tag = p.tag
+                  AND d.tag_type = p.ptype AND d.dseq > p.pseq)""")
 
 oracle("apply_tags_nodes", ["c_tables", "c_change_feed", "c_tags"], _TAG_CH + """,
 nl AS (SELECT tag, arg_max(tag_type, seq) AS tag_type FROM tok WHERE op = 'put' GROUP BY 1)

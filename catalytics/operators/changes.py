@@ -72,7 +72,8 @@ def apply_tags(edges: DataFrame, tag_nodes: DataFrame, changes: DataFrame, resou
     """edges (resource_key, tag, tag_type); tag_nodes (tag, tag_type).
     Rejects: missing resource, tag_type 'badge', names reserved for badges.
     Put upserts the tag node (last tag_type wins) and the edge; delete
-    removes the edge only when the type matches; orphan tag nodes stay.
+    removes the edge only when the type matches (applied in seq order);
+    orphan tag nodes stay.
     Returns (new_edges, new_tag_nodes, rejects)."""
     ch = changes.where(F.col("kind") == "tag").select(
         "seq", "op", "resource_key", "kind", "value", F.col("value").alias("tag"),
@@ -85,15 +86,21 @@ def apply_tags(edges: DataFrame, tag_nodes: DataFrame, changes: DataFrame, resou
     ok = valid.join(keys, "resource_key", "left_semi")
     rejects = (_reject(bad_type, "tag type badge").unionByName(_reject(reserved, "reserved badge name"))
                .unionByName(_reject(missing, "missing resource")))
-    last = latest_per_identity(ok.select("resource_key", "tag", "seq", "op", "tag_type"),
-                               ["resource_key", "tag"])
-    # delete only removes an edge of the same type
-    cur = edges.alias("e").join(last.alias("l"), ["resource_key", "tag"], "left")
-    keep_cur = cur.where(F.col("l.op").isNull()
-                         | ((F.col("l.op") == DELETE) & (F.col("l.tag_type") != F.col("e.tag_type")))) \
-        .select("resource_key", "tag", F.col("e.tag_type").alias("tag_type"))
-    puts = last.where(F.col("op") == PUT).select("resource_key", "tag", "tag_type")
-    new_edges = keep_cur.unionByName(puts)
+    # Sequential semantics without replaying the sequence: the last put
+    # (seq p, type x) wins unless a delete of the same type comes after it;
+    # without a put, an existing edge of type y goes when any delete of type
+    # y is in the batch. Two grouped aggregates, no window.
+    ident = ["resource_key", "tag"]
+    puts = (ok.where(F.col("op") == PUT).groupBy(*ident)
+            .agg(F.max_by("tag_type", "seq").alias("ptype"), F.max("seq").alias("pseq")))
+    dels = (ok.where(F.col("op") == DELETE).groupBy(*ident, "tag_type")
+            .agg(F.max("seq").alias("dseq")))
+    put_state = (puts.join(dels.withColumnRenamed("tag_type", "ptype"), ident + ["ptype"], "left")
+                 .where(F.col("dseq").isNull() | (F.col("dseq") < F.col("pseq")))
+                 .select(*ident, F.col("ptype").alias("tag_type")))
+    untouched = (edges.join(puts.select(*ident), ident, "left_anti")
+                 .join(dels, ident + ["tag_type"], "left_anti"))
+    new_edges = untouched.select(*ident, "tag_type").unionByName(put_state)
     node_last = latest_per_identity(ok.where(F.col("op") == PUT).select("tag", "seq", "tag_type"), ["tag"])
     new_nodes = (tag_nodes.join(node_last.select("tag"), "tag", "left_anti")
                  .unionByName(node_last.select("tag", "tag_type")))

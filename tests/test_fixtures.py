@@ -209,3 +209,20 @@ def test_column_stats_spec_and_unique_values(spark):
     assert ("minimum", "0.57") in got and not any(t == "max" for t, _ in got)
     top = [(r.value, r["count"]) for r in P.unique_values_summary(stats).orderBy("position").collect()]
     assert top == [("y", 9), ("x", 3)]
+
+
+def test_apply_tags_sequential_type_rules(spark):
+    edges = spark.createDataFrame([("r", "a", "default"), ("r", "b", "default")],
+                                  "resource_key string, tag string, tag_type string")
+    nodes = edges.select("tag", "tag_type")
+    res = spark.createDataFrame([("r",)], "key string")
+    ch = spark.createDataFrame(
+        [(1, "put", "r", "tag", "c", "default"), (2, "delete", "r", "tag", "c", "other"),   # stays
+         (3, "delete", "r", "tag", "a", "other"),                                           # a stays
+         (4, "delete", "r", "tag", "b", "default"),                                         # b goes
+         (5, "put", "r", "tag", "d", "default"), (6, "delete", "r", "tag", "d", "default"), # d goes
+         (7, "put", "r", "tag", "x", "badge"), (8, "put", "r", "tag", "tiny", "default")],  # rejected
+        "seq long, op string, resource_key string, kind string, value string, category string")
+    new, _, rej = C.apply_tags(edges, nodes, ch, res, ["tiny"])
+    assert {(r.tag, r.tag_type) for r in new.collect()} == {("a", "default"), ("c", "default")}
+    assert sorted(r.reason for r in rej.collect()) == ["reserved badge name", "tag type badge"]
