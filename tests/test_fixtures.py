@@ -226,3 +226,14 @@ def test_apply_tags_sequential_type_rules(spark):
     new, _, rej = C.apply_tags(edges, nodes, ch, res, ["tiny"])
     assert {(r.tag, r.tag_type) for r in new.collect()} == {("a", "default"), ("c", "default")}
     assert sorted(r.reason for r in rej.collect()) == ["reserved badge name", "tag type badge"]
+
+
+def test_collect_children_chunked_is_exact(spark):
+    from catalytics.plans import collect_distinct_children
+    edges = spark.createDataFrame([("hot", f"c{i}") for i in range(50)] + [("cold", "x"), ("cold", "x")],
+                                  "p string, c string")
+    out = collect_distinct_children(edges, "p", "c", "cs", max_per_row=8).collect()
+    hot = [r for r in out if r.p == "hot"]
+    assert 2 <= len(hot) <= 7 and all(len(r.cs) <= 20 for r in hot)
+    assert sorted(x for r in hot for x in r.cs) == sorted(f"c{i}" for i in range(50))
+    assert [r.cs for r in out if r.p == "cold"] == [["x"]]
