@@ -962,3 +962,10 @@ FROM (SELECT DISTINCT user_key, table_key FROM c_reads WHERE read_count >= 2) e
 oracle("stream_registration_join", ["c_sensor_events", "c_pet_registry"], f"""
 , ev AS ({_SENSOR_OK})
 SELECT e.*, r.name, r.species, r.owner_email FROM ev e LEFT JOIN c_pet_registry r ON r.pet_id = e.pet_id""")
+
+oracle("preview_allowed", ["c_tables"], """
+, t AS (SELECT key, database, CASE WHEN is_view THEN 'silver' ELSE cluster END AS cluster FROM c_tables)
+SELECT key, database, cluster, cluster IN ('gold') AS previewable,
+       CASE WHEN cluster IN ('gold') THEN (CASE database WHEN 'brand_1' THEN 5 WHEN 'brand_2' THEN 100 ELSE 50 END) END
+         AS preview_rows
+FROM t""")

@@ -380,3 +380,16 @@ def stream_registration_join(spark, sf):
     c = _catalog(spark, sf)
     ok, _ = EV.ingest_events_stream(spark, _write_sensor_json(spark, c, "reg-in"))
     return _stream_to_table(spark, event_registration_join(ok, c.pet_registry), "reg")
+
+
+# Fixed parameters: preview allow-list and rows per source.
+PREVIEW_CLUSTERS = ["gold"]
+PREVIEW_ROWS = {"brand_1": 5, "brand_2": 100}
+
+
+@register("preview_allowed")
+def preview_allowed(spark, sf):
+    c = _catalog(spark, sf)
+    t = c.tables.select("key", "database", F.when(F.col("is_view"), F.lit("silver"))
+                        .otherwise(F.col("cluster")).alias("cluster"))
+    return PV.preview_allowed(t, PREVIEW_CLUSTERS, PREVIEW_ROWS, 50)

@@ -21,6 +21,19 @@ def table_preview(df: DataFrame, n: int, order_by: list, select_exprs: list[str]
     return out
 
 
+def preview_allowed(tables: DataFrame, allowed_clusters: list[str] | None,
+                    rows_by_database: dict[str, int] | None = None, default_rows: int = 50) -> DataFrame:
+    """Per table: whether a preview may be shown (cluster in the allow-list;
+    no list = everything) and how many rows the preview source returns
+    (per database, else the default)."""
+    ok = F.col("cluster").isin(allowed_clusters) if allowed_clusters else F.lit(True)
+    n = F.lit(default_rows)
+    for db, k in (rows_by_database or {}).items():
+        n = F.when(F.col("database") == db, F.lit(k)).otherwise(n)
+    return tables.select("key", "database", "cluster", ok.alias("previewable"),
+                         F.when(ok, n).alias("preview_rows"))
+
+
 def preview_columns(df: DataFrame) -> DataFrame:
     """(position, column_name, column_type) of a preview."""
     spark = df.sparkSession
