@@ -969,3 +969,7 @@ SELECT key, database, cluster, cluster IN ('gold') AS previewable,
        CASE WHEN cluster IN ('gold') THEN (CASE database WHEN 'brand_1' THEN 5 WHEN 'brand_2' THEN 100 ELSE 50 END) END
          AS preview_rows
 FROM t""")
+
+oracle("last_runs_from_nodes", ["c_dashboard_executions"], f"SELECT * FROM {_LASTEX}")
+oracle("watermarks_from_nodes", ["c_partitions"], _watermarks_sql(["%Y-%m-%d", "%Y%m%d"], True) +
+       "SELECT table_key, watermark_type, partition_key, partition_value FROM wm")

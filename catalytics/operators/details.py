@@ -103,6 +103,46 @@ def last_executions(executions: DataFrame) -> DataFrame:
                     F.col("last.state").alias("last_run_state"), "last_successful_run_timestamp")
 
 
+def execution_nodes(executions: DataFrame) -> DataFrame:
+    """Graph form of the last runs: two execution nodes per dashboard under
+    reserved keys ``<dashboard>/_execution/_last_execution`` and
+    ``.../_last_successful_execution`` with (timestamp, state)."""
+    last = last_executions(executions)
+    run = last.select(F.concat("dashboard_key", F.lit("/_execution/_last_execution")).alias("key"),
+                      F.col("last_run_timestamp").alias("timestamp"), F.col("last_run_state").alias("state"))
+    ok = last.where(F.col("last_successful_run_timestamp").isNotNull()).select(
+        F.concat("dashboard_key", F.lit("/_execution/_last_successful_execution")).alias("key"),
+        F.col("last_successful_run_timestamp").alias("timestamp"), F.lit("succeeded").alias("state"))
+    return run.unionByName(ok)
+
+
+def last_runs_from_nodes(nodes: DataFrame) -> DataFrame:
+    """Read execution nodes back: the kind is key segment 5 (0-based), the
+    dashboard is everything before '/_execution'."""
+    from catalytics.functions.keys import key_segment
+    x = nodes.select(F.substring_index("key", "/_execution", 1).alias("dashboard_key"),
+                     key_segment(F.col("key"), 5).alias("kind"), "timestamp", "state")
+    return x.groupBy("dashboard_key").agg(
+        F.max(F.when(F.col("kind") == "_last_execution", F.col("timestamp"))).alias("last_run_timestamp"),
+        F.max(F.when(F.col("kind") == "_last_execution", F.col("state"))).alias("last_run_state"),
+        F.max(F.when(F.col("kind") == "_last_successful_execution", F.col("timestamp")))
+        .alias("last_successful_run_timestamp"))
+
+
+def watermark_nodes(watermarks: DataFrame) -> DataFrame:
+    """Graph form of table watermarks: key ``<table>/<type>/``."""
+    return watermarks.select(F.concat("table_key", F.lit("/"), "watermark_type", F.lit("/")).alias("key"),
+                             "partition_key", "partition_value", "create_time")
+
+
+def watermarks_from_nodes(nodes: DataFrame) -> DataFrame:
+    """Watermark type = second-last key segment (table form)."""
+    from catalytics.functions.keys import key_segment
+    t = key_segment(F.col("key"), -2)
+    return nodes.select(F.regexp_extract("key", r"^(.*)/[^/]*/$", 1).alias("table_key"),
+                        t.alias("watermark_type"), "partition_key", "partition_value")
+
+
 def dashboard_detail(dashboards: DataFrame, executions: DataFrame, dashboard_reads: DataFrame,
                      owners: DataFrame, tags: DataFrame, badges: DataFrame | None,
                      queries: DataFrame, charts: DataFrame, dashboard_tables: DataFrame) -> DataFrame:

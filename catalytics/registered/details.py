@@ -222,3 +222,17 @@ def event_registration_join(spark, sf):
 def recipients_except_sender(spark, sf):
     c = _catalog(spark, sf)
     return D.recipients_except_sender(c.change_feed, c.owners, c.users)
+
+
+@register("last_runs_from_nodes")
+def last_runs_from_nodes(spark, sf):
+    """Last runs written as reserved-key execution nodes and read back by
+    key segment (round trip of the graph form)."""
+    c = _catalog(spark, sf)
+    return D.last_runs_from_nodes(D.execution_nodes(c.dashboard_executions))
+
+
+@register("watermarks_from_nodes")
+def watermarks_from_nodes(spark, sf):
+    c = _catalog(spark, sf)
+    return D.watermarks_from_nodes(D.watermark_nodes(_watermarks(c)))
