@@ -60,3 +60,28 @@ def test_bm25_single_field_by_hand(spark):
     idf = math.log(1 + (n - df + 0.5) / (df + 0.5))
     expect = idf * tf / (tf + 1.2 * (1 - 0.75 + 0.75 * dl / avgdl)) * math.log10(2)
     assert abs(hits[0].score - round(expect, 6)) < 1e-6
+
+
+def test_windows_drop_rows_later_than_the_watermark(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("pet_id", T.IntegerType()), T.StructField("event_type", T.StringType()),
+                           T.StructField("event_sentiment", T.IntegerType()),
+                           T.StructField("event_ts", T.TimestampType())])
+    src, out, chk = (scratch_path(spark, n) for n in ("late-src", "late-out", "late-chk"))
+
+    def add(rows):
+        spark.createDataFrame(rows, "pet_id int, event_type string, event_sentiment int, event_ts string") \
+            .selectExpr("pet_id", "event_type", "event_sentiment", "cast(event_ts as timestamp) as event_ts") \
+            .write.mode("append").parquet(src)
+
+    def run():
+        s = spark.readStream.schema(schema).parquet(src)
+        ST.run_to_files(ST.stream_activity_windows(s, "1 hour", None, "10 minutes"), out, chk)
+
+    add([(1, "walk", 10, "2024-01-01 00:10:00"), (1, "walk", 20, "2024-01-01 02:30:00")])
+    run()   # watermark -> 02:20: window [00:00, 01:00) is final
+    add([(1, "walk", 99, "2024-01-01 00:20:00"),   # later than the watermark: dropped
+         (1, "walk", 30, "2024-01-01 05:00:00")])
+    run()   # watermark -> 04:50: window [02:00, 03:00) is final
+    got = {(str(r.window_start), r.n, r.mean_sentiment) for r in spark.read.parquet(out).collect()}
+    assert got == {("2024-01-01 00:00:00", 1, 10.0), ("2024-01-01 02:00:00", 1, 20.0)}
