@@ -265,16 +265,7 @@ def stream_catalog_changes(spark, sf):
 
     stream = spark.readStream.schema(c.change_feed.schema).parquet(feed)
     ST.stream_catalog_changes(stream, apply, state, scratch_path(spark, "desc-chk"))
-    last = max(int(p.rsplit("=", 1)[1]) for p in _list_versions(spark, state))
-    return spark.read.parquet(f"{state}/v={last}")
-
-
-def _list_versions(spark, path):
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(conf)
-    return [s.getPath().getName() for s in fs.listStatus(p) if s.getPath().getName().startswith("v=")]
+    return ST.read_latest_state(spark, state)
 
 
 @register("catalog_scan")
