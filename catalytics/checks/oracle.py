@@ -60,6 +60,21 @@ k AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY sc DESC, t) AS rank F
 SELECT u AS user_key, t AS table_key, co_readers, total_co_reads, round(sc, 6) AS score, rank
 FROM k WHERE rank <= {PERSONAL_N}""")
 
+oracle("personal_popular_for_active_users", ["c_reads", "c_users"], f"""
+WITH w AS (SELECT a.user_key AS u, b.user_key AS co, count(*) AS w
+           FROM c_reads a JOIN c_reads b ON a.table_key = b.table_key AND a.user_key <> b.user_key
+           WHERE a.user_key IN (SELECT email FROM c_users WHERE is_active)
+           GROUP BY 1, 2),
+x AS (SELECT w.u, r.table_key AS t, r.read_count AS rc, w.w - CASE WHEN o.user_key IS NULL THEN 0 ELSE 1 END AS paths
+      FROM w JOIN c_reads r ON r.user_key = w.co
+      LEFT JOIN c_reads o ON o.user_key = w.u AND o.table_key = r.table_key),
+g AS (SELECT u, t, count(*) AS co_readers, cast(sum(rc * paths) AS BIGINT) AS total_co_reads
+      FROM x WHERE paths > 0 GROUP BY u, t HAVING count(*) >= {MIN_READERS}),
+s AS (SELECT *, co_readers * ln(total_co_reads) AS sc FROM g),
+k AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY sc DESC, t) AS rank FROM s)
+SELECT u AS user_key, t AS table_key, co_readers, total_co_reads, round(sc, 6) AS score, rank
+FROM k WHERE rank <= {PERSONAL_N}""")
+
 oracle("personal_tables_own_reads", ["c_reads"], f"""
 WITH g AS (SELECT user_key, table_key, count(*) AS readers, cast(sum(read_count) AS BIGINT) AS total_reads
            FROM c_reads GROUP BY 1, 2 HAVING count(*) >= 1),

@@ -128,3 +128,15 @@ def action_usage(spark, sf):
 def data_issue_rollup(spark, sf):
     c = _catalog(spark, sf)
     return U.data_issue_rollup(c.issues)
+
+
+@register("personal_popular_for_active_users")
+def personal_popular_for_active_users(spark, sf):
+    """The request-sized path: recommendations computed only for the users
+    asking (here every active user)."""
+    c = _catalog(spark, sf)
+    asking = c.users.where(F.col("is_active")).select(F.col("email").alias("user_key"))
+    df = U.personal_popular_tables(c.reads, c.tables, n=PERSONAL_N, min_readers=MIN_READERS, users=asking)
+    return df.select("user_key", "table_key", "co_readers",
+                     F.col("total_co_reads").cast("long").alias("total_co_reads"),
+                     r6(F.col("score")).alias("score"), "rank")
