@@ -97,10 +97,13 @@ def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
     # job: write them once (with their hashes) as a table in the shared
     # checkpoint folder instead of recomputing ``reads`` each time.
     spark = reads.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = scratch_path(spark, "co-reads")
+    # written as `base` files so the self-join that follows keeps full
+    # parallelism when AQE turns it into a broadcast join
     reads.select("user_key", "table_key", "read_count",
                  F.xxhash64("user_key").alias("uh"), F.xxhash64("table_key").alias("th")) \
-        .write.parquet(path)
+        .repartition(base).write.parquet(path)
     r = spark.read.parquet(path)
     chk = r.agg(F.countDistinct("user_key").alias("a"), F.countDistinct("uh").alias("b"),
                 F.countDistinct("table_key").alias("c"), F.countDistinct("th").alias("d")).first()
@@ -111,7 +114,6 @@ def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
     # The (u, t) hash aggregation runs inside the pair partitions: size them
     # from the path count sum_T readers(T)^2 * avg degree (one small
     # aggregate) so each task's hash map stays in memory.
-    base = int(reads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     st = (e.groupBy("tid").agg(F.count(F.lit(1)).alias("nr"))
           .agg(F.sum(F.col("nr") * F.col("nr")).alias("pairs"), F.sum("nr").alias("edges"),
                F.count(F.lit(1)).alias("tabs")).first())
@@ -145,6 +147,12 @@ def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
                     .alias("total_co_reads"))
            .where((F.col("co_readers") >= min_readers) & (F.col("co_readers") > 0))
            .withColumn("score", F.col("co_readers") * F.log(F.col("total_co_reads"))))
+    # The thresholded (u, t) result is small; write it once so the heavy
+    # aggregation above runs exactly once even though the tie handling
+    # below reads it twice.
+    res_path = scratch_path(spark, "co-reads-result")
+    res.write.parquet(res_path)
+    res = spark.read.parquet(res_path)
     if not hashed:
         top = topk_per_key(res, "u", [F.desc("score"), F.asc("t")], n, rank_col="rank")
         return top.select(F.col("u").alias("user_key"), F.col("t").alias("table_key"), "co_readers",
