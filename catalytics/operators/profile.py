@@ -48,8 +48,8 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
     plain.append(F.count(F.lit(1)).cast("string").alias("__row_count"))
     extra = []
     if ts_col:
-        plain.append(F.unix_timestamp(F.min(ts_col).cast("timestamp")).alias("start_epoch"))
-        plain.append(F.unix_timestamp(F.max(ts_col).cast("timestamp")).alias("end_epoch"))
+        plain.append(F.unix_timestamp(F.min(ts_col)).alias("start_epoch"))
+        plain.append(F.unix_timestamp(F.max(ts_col)).alias("end_epoch"))
         extra = ["start_epoch", "end_epoch"]
     one = df.agg(*plain)
     two = df.agg(*dist_aggs)

@@ -145,7 +145,9 @@ def scalar_functions(spark, sf):
         K.text_case(F.col("group_name"), "upper").alias("upper_group"),
         K.text_case(F.col("name"), "sentence").alias("sentence_name"),
         K.is_number(F.element_at(F.split("group_name", "-"), 1)).alias("group_is_number"),
-        F.date_format(F.from_unixtime("created_timestamp"), "yyyy-MM-dd").alias("created_date"))
+        # epoch seconds -> calendar date without going through the session zone
+        F.date_add(F.to_date(F.lit("1970-01-01")), F.floor(F.col("created_timestamp") / 86400).cast("int"))
+        .cast("string").alias("created_date"))
 
 
 @register("event_enjoyment")

@@ -55,8 +55,19 @@ def user_email(custkey: Column) -> Column:
     return F.concat(F.lit("user"), custkey.cast("string"), F.lit("@example.com"))
 
 
+_EPOCH0 = "1970-01-01 00:00:00"
+
+
 def epoch_seconds(ts: Column) -> Column:
-    return F.unix_timestamp(ts.cast("timestamp")).cast("long")
+    """Epoch seconds of a wall-clock (TIMESTAMP_NTZ) value, independent of
+    the session time zone."""
+    return F.unix_timestamp(ts).cast("long")
+
+
+def epoch_millis(ts: Column) -> Column:
+    """Epoch milliseconds (truncated) of a TIMESTAMP_NTZ value, independent
+    of the session time zone."""
+    return F.timestamp_diff("MILLISECOND", F.lit(_EPOCH0).cast("timestamp_ntz"), ts)
 
 
 class Catalog:
@@ -518,7 +529,7 @@ class Catalog:
     def action_log(self) -> DataFrame:
         """Action-log records (command, start/end epoch ms, user, ...)."""
         e = self.raw("events")
-        start = F.unix_millis(e.ts.cast("timestamp"))
+        start = epoch_millis(e.ts)
         k = F.get_json_object(e.props, "$.k").cast("long")
         return e.select(
             e.event_id.alias("action_id"), e.event_type.alias("command"),
@@ -535,7 +546,7 @@ class Catalog:
             e.user_id.cast("int").alias("pet_id"), e.event_id.cast("string").alias("event_id"),
             e.event_type.alias("event_type"), F.round(e.value).cast("int").alias("event_sentiment"),
             F.get_json_object(e.props, "$.k").cast("int").alias("event_duration"),
-            F.unix_millis(e.ts.cast("timestamp")).cast("string").alias("event_date_time"))
+            epoch_millis(e.ts).cast("string").alias("event_date_time"))
 
     @cached_property
     def pet_registry(self) -> DataFrame:
