@@ -237,3 +237,26 @@ def test_collect_children_chunked_is_exact(spark):
     assert 2 <= len(hot) <= 7 and all(len(r.cs) <= 20 for r in hot)
     assert sorted(x for r in hot for x in r.cs) == sorted(f"c{i}" for i in range(50))
     assert [r.cs for r in out if r.p == "cold"] == [["x"]]
+
+
+def test_bounded_broadcast_only_under_the_bound(spark):
+    from catalytics.plans import bounded_broadcast
+    small = spark.range(10)
+    big = spark.range(1000)
+    a = spark.range(5).join(bounded_broadcast(small, 100), "id")
+    b = spark.range(5).join(bounded_broadcast(big, 100), "id")
+    assert "broadcast" in a._jdf.queryExecution().analyzed().toString().lower()
+    assert "broadcast" not in b._jdf.queryExecution().analyzed().toString().lower()
+    assert a.count() == 5 and b.count() == 5
+
+
+def test_basic_filter_and_paging(spark):
+    docs = spark.createDataFrame(
+        [(f"k{i}", f"s{i % 2}.t{i}@gold", float(i), ["hot"] if i % 3 == 0 else []) for i in range(12)],
+        "key string, qualified_name string, popularity_score double, tags array<string>")
+    got = [r.key for r in FL.basic_filter(docs, {"database": ["s0"], "cluster": ["gold"]}, 0, 3).collect()]
+    assert got == ["k10", "k8", "k6"]
+    assert [r.key for r in FL.basic_filter(docs, {"tag": ["hot"]}, 1, 2).collect()] == ["k3", "k0"]
+    assert FL.basic_filter(docs, {}).count() == 0
+    page = FL.page_with_total(docs, [F.desc("popularity_score")], 5, 2).collect()
+    assert [r.key for r in page] == ["k1", "k0"] and page[0].total_results == 12
