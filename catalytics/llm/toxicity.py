@@ -1,12 +1,13 @@
 """Toxicity by cumulative-link ordinal regression (operator 9).
 
 Severity grades 0 (clean) to 3 come from the labels: documents labelled
-clean have grade 0; labelled toxic ones are graded by the share of cue words
-(words clearly tied to the toxic label) among their words. One weight vector
+clean have grade 0; labelled toxic ones are graded by how many distinct cue
+words they hold (words clearly tied to the toxic label). One weight vector
 over sparse text features (words and word beginnings) is shared by the
 ordered thresholds: P(grade > k) = sigmoid(score - threshold_k). The output
-is the expected severity, sum over k of P(grade > k), and the rejection is
-P(grade > 0) >= 1/2.
+is the expected severity, sum over k of P(grade > k). Rejected are documents whose
+score reaches the cut that errs least on the sample (the middle of the best
+stretch of scores).
 
 The model is fitted in the driver on a bounded sample: at most ``MAX_TOXIC``
 toxic and ``MAX_CLEAN`` clean labelled documents, those with the smallest
@@ -33,8 +34,9 @@ from pyspark.sql import functions as F
 MAX_TOXIC = 3000
 MAX_CLEAN = 9000
 MAX_FEATURES = 50_000
-#: Log-likelihood ratio from which a feature is tied to the label.
-MIN_TIE = 18.0
+#: A feature is tied to the label when so many features, untied, would hold
+#: about one of its log-likelihood ratio by chance.
+CHANCE = 1.0
 PREFIXES = (4, 5, 6)
 GRADES = 3
 
@@ -54,6 +56,7 @@ def features_of_word(word: str) -> list[str]:
 class OrdinalModel:
     thresholds: list[float]
     weights: dict[str, float] = field(default_factory=dict)
+    cut: float = 50.0
     words: dict[str, float] = field(default_factory=dict, repr=False, compare=False)
 
     def score(self, text: str) -> float:
@@ -67,9 +70,14 @@ class OrdinalModel:
             total += s
         return total
 
+    def rejects(self, text: str) -> bool:
+        return self.score(text) >= self.cut
+
     def exceed(self, text: str) -> list[float]:
         """P(grade > k) for each k."""
-        s = self.score(text)
+        return self.above(self.score(text))
+
+    def above(self, s: float) -> list[float]:
         return [float(1 / (1 + np.exp(np.clip(t - s, -50, 50)))) for t in self.thresholds]
 
 
@@ -86,7 +94,7 @@ def _tie(pos: int, neg: int, n_pos: int, n_neg: int) -> float:
     return g
 
 
-def fit(texts: list[str], toxic: list[int], rounds: int = 300, l2: float = 1e-3) -> OrdinalModel:
+def fit(texts: list[str], toxic: list[int], rounds: int = 300, l2: float = 1e-4) -> OrdinalModel:
     """Fit on a sample that the caller has bounded."""
     y01 = np.array(toxic)
     n_pos, n_neg = int(y01.sum()), int((1 - y01).sum())
@@ -100,16 +108,16 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 300, l2: float = 1e-3)
         bag = Counter(f for w in set(words_of(t)) if w for f in features_of_word(w))
         bags.append(bag)
         (pos if y else neg).update(bag.keys())
-    ties = {f: g for f, p in pos.items() if p >= 3 and (g := _tie(p, neg[f], n_pos, n_neg)) >= MIN_TIE}
+    least = 2 * np.log(len(pos.keys() | neg.keys()) / CHANCE)
+    ties = {f: g for f, p in pos.items() if p >= 3 and (g := _tie(p, neg[f], n_pos, n_neg)) >= least}
     chosen = sorted(ties, key=lambda f: (-ties[f], f))[:MAX_FEATURES]
     if not chosen:
         return never
     index = {f: i for i, f in enumerate(chosen)}
-    # grades of toxic documents: thirds of the cue-word share
-    cues = {f for f in chosen if f[0] != "^"}
-    share = np.array([sum(f in cues for f in b) / max(1, sum(f[0] != "^" for f in b)) for b in bags])
-    cuts = np.quantile(share[y01 == 1], [i / GRADES for i in range(1, GRADES)])
-    grade = np.where(y01 == 1, 1 + (share[:, None] > cuts).sum(1), 0)
+    # grades of toxic documents: thirds of the number of cue words
+    cues = np.array([sum(any(f in index for f in features_of_word(w)) for w in b if w[0] != "^") for b in bags])
+    cuts = np.quantile(cues[y01 == 1], [i / GRADES for i in range(1, GRADES)])
+    grade = np.where(y01 == 1, 1 + (cues[:, None] > cuts).sum(1), 0)
     rows, cols, vals = [], [], []
     for i, b in enumerate(bags):
         for f in b.keys() & index.keys():
@@ -127,9 +135,22 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 300, l2: float = 1e-3)
                                -err.mean(0)])
         m, s = 0.9 * m + 0.1 * grad, 0.99 * s + 0.01 * grad ** 2
         move = 0.1 * (m / (1 - 0.9 ** step)) / (np.sqrt(s / (1 - 0.99 ** step)) + 1e-8)
-        w -= move[:-GRADES]
+        w = np.maximum(w - move[:-GRADES], 0.0)  # chosen features speak for the label only
         theta = np.maximum.accumulate(theta - move[-GRADES:])  # thresholds stay ordered
-    return OrdinalModel([float(t) for t in theta], {f: float(x) for f, x in zip(chosen, w) if x})
+    return OrdinalModel([float(t) for t in theta], {f: float(x) for f, x in zip(chosen, w) if x},
+                        best_cut(np.bincount(r, v * w[c], len(bags)), y01))
+
+
+def best_cut(score: np.ndarray, toxic: np.ndarray) -> float:
+    """The score between two neighbours that parts the classes with the
+    fewest errors; of equal cuts the one in the widest gap."""
+    values = np.unique(np.append(score, 0.0))
+    cuts = np.append((values[1:] + values[:-1]) / 2, values[-1] + 1)
+    gaps = np.append(values[1:] - values[:-1], 0.0)
+    pos, neg = np.sort(score[toxic == 1]), np.sort(score[toxic == 0])
+    errors = np.searchsorted(pos, cuts) + len(neg) - np.searchsorted(neg, cuts)
+    best = np.flatnonzero(errors == errors.min())
+    return float(cuts[best[np.argmax(gaps[best])]])
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -161,9 +182,10 @@ def grade_texts(docs: DataFrame, model: OrdinalModel, text_col: str = "text", ou
         for texts in batches:
             rows = []
             for t in texts:
-                p = m.exceed(t or "")
+                score = m.score(t or "")
+                p = m.above(score)
                 each = [a - b for a, b in zip([1.0, *p], [*p, 0.0])]
-                rows.append((round(sum(p), 6), round(p[0], 6), int(np.argmax(each)), p[0] >= 0.5))
+                rows.append((round(sum(p), 6), round(p[0], 6), int(np.argmax(each)), score >= m.cut))
             yield pd.DataFrame(rows, columns=["expected", "p_toxic", "grade", "rejected"])
 
     return docs.withColumn(out, run(F.col(text_col)))

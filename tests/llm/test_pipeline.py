@@ -21,7 +21,7 @@ def brute(spark, sf_small):
     known = sorted((docs[i] or "", y) for i, y in labels.items() if i in docs)
     model = toxicity.fit([t for t, _ in known], [y for _, y in known])
     sizes = [len(docs)]
-    docs = {i: t for i, t in docs.items() if model.exceed(t or "")[0] < 0.5}
+    docs = {i: t for i, t in docs.items() if not model.rejects(t or "")}
     sizes.append(len(docs))
     docs = {i: t for i, _, _, t in brute_lines(list(docs.items()))}
     classes = brute_classes(list(docs.items()))
