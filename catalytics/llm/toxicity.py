@@ -101,26 +101,33 @@ def fit(texts: list[str], toxic: list[int], rounds: int = 300, l2: float = 1e-4)
     never = OrdinalModel([50.0] * GRADES)
     if not n_pos or not n_neg:
         return never
+    # holders of each feature; clean texts only count those of toxic texts
     pos: Counter = Counter()
+    for t, y in zip(texts, toxic):
+        if y:
+            pos.update({f for w in set(words_of(t)) if w for f in features_of_word(w)})
+    least = 2 * np.log(len(pos) / CHANCE)
+    pos = Counter({f: p for f, p in pos.items() if p >= 3})
     neg: Counter = Counter()
-    bags = []
     for t, y in zip(texts, toxic):
-        bag = Counter(f for w in set(words_of(t)) if w for f in features_of_word(w))
-        bags.append(bag)
-        (pos if y else neg).update(bag.keys())
-    least = 2 * np.log(len(pos.keys() | neg.keys()) / CHANCE)
-    ties = {f: g for f, p in pos.items() if p >= 3 and (g := _tie(p, neg[f], n_pos, n_neg)) >= least}
+        if not y:
+            neg.update({f for w in set(words_of(t)) if w for f in features_of_word(w) if f in pos})
+    ties = {f: g for f, p in pos.items() if (g := _tie(p, neg[f], n_pos, n_neg)) >= least}
     chosen = sorted(ties, key=lambda f: (-ties[f], f))[:MAX_FEATURES]
     if not chosen:
         return never
     index = {f: i for i, f in enumerate(chosen)}
     # grades of toxic documents: thirds of the number of cue words
-    cues = np.array([sum(any(f in index for f in features_of_word(w)) for w in b if w[0] != "^") for b in bags])
+    bags, cues = [], np.zeros(len(texts))
+    for i, t in enumerate(texts):
+        held = [[f for f in features_of_word(w) if f in index] for w in set(words_of(t)) if w]
+        cues[i] = sum(map(bool, held))
+        bags.append(Counter(f for h in held for f in h))
     cuts = np.quantile(cues[y01 == 1], [i / GRADES for i in range(1, GRADES)])
     grade = np.where(y01 == 1, 1 + (cues[:, None] > cuts).sum(1), 0)
     rows, cols, vals = [], [], []
     for i, b in enumerate(bags):
-        for f in b.keys() & index.keys():
+        for f in sorted(b):
             rows.append(i)
             cols.append(index[f])
             vals.append(float(b[f]))
