@@ -14,13 +14,17 @@ coordinate with probability equal to their weighted Jaccard similarity.
 Classes:
 1. Documents of equal word sequences are one row, kept by the smallest id.
 2. Bands of the signature are bucket keys. In a bucket every member meets its
-   bucket's smallest member; a document keeps the smallest one it meets, and
-   this one pair is verified exactly on the shingle sets. Verified pairs give
-   first classes.
-3. Pairs of *different* classes that still share a bucket are verified too.
-   So each pair sharing a bucket is in one class or has been compared, and no
-   link is lost to the grouping, while a group of thousands of copies costs
-   about one comparison a member.
+   bucket's head, the member that shares buckets with most others and so the
+   most central of its copies; a document keeps the most central one it
+   meets, and this one pair is verified exactly on the shingle sets. Verified
+   pairs give first classes.
+3. Pairs of *different* classes that still share a bucket are compared too:
+   a bucket's members outside its largest class meet all others. Pairs whose
+   signatures agree on clearly too few coordinates (``MARGIN`` standard
+   deviations below the similarity) end inside the join, the rest come out
+   at their first common band and are verified exactly. So each pair sharing
+   a bucket is in one class or has been compared, while a group of thousands
+   of copies costs about one verification a member.
 4. Connected components of the links, with written tables between rounds.
 
 Defined results: texts of fewer than five words are one shingle of all their
@@ -44,6 +48,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 30
 ROWS = 5
+#: Standard deviations of a signature's agreement that count as certain.
+MARGIN = 4.5
 
 _TABLE = bytes(32 if b < 48 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 127 else
                b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -162,8 +168,9 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, counted: bool) -> DataFrame:
-    """(id, fp, size, bands): fp is a digest of the words, size the number
-    of shingles (distinct, or all if ``counted``)."""
+    """(id, fp, size, bands, sig): fp is a digest of the words, size the
+    number of shingles (distinct, or all if ``counted``), sig the signature
+    with 16 bits a coordinate."""
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,9 +193,10 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
                     sig = dart_minhash(np.concatenate(elements), np.concatenate(weights), np.concatenate(owner),
                                        len(keep), bands * rows)
                     yield pd.DataFrame({"id": keep, "fp": fps, "size": sizes,
-                                        "bands": list(band_keys(sig, bands, rows))})
+                                        "bands": list(band_keys(sig, bands, rows)),
+                                        "sig": list(sig.astype(np.uint16).view(np.int16))})
 
-    return slim.where(F.col("id").isNotNull()).mapInPandas(run, "id long, fp binary, size long, bands array<long>")
+    return slim.where(F.col("id").isNotNull()).mapInPandas(run, "id long, fp binary, size long, bands array<long>, sig array<smallint>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float, counted: bool) -> DataFrame:
@@ -244,29 +252,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = persisted(signatures(docs, id_col, text_col, bands, rows, counted), "dart-signatures")
     # equal word sequences: one representative, and the membership
     reps = persisted(sigs.groupBy("fp").agg(F.min("id").alias("rep"), F.first("size").alias("size"),
-                                            F.first("bands").alias("bands")), "dart-distinct")
+                                            F.first("bands").alias("bands"), F.first("sig").alias("sig")),
+                     "dart-distinct")
     member = sigs.select("id", "fp").join(reps.select("fp", "rep"), "fp").groupBy("id").agg(F.min("rep").alias("rep"))
-    buckets = reps.select("rep", "size", F.explode("bands").alias("bucket"))
-    least = buckets.groupBy("bucket").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = persisted(buckets.join(least.select("bucket", "least"), "bucket"), "dart-buckets")
+    buckets = reps.select("rep", F.explode("bands").alias("bucket"))
+    crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = persisted(buckets.join(crowded, "bucket"), "dart-buckets")
+    # the member that meets most others is the most central of its copies
+    central = shared.groupBy("rep").agg(F.struct(F.sum("n").alias("met"), (-F.col("rep")).alias("first")).alias("rank"))
+    ranked = shared.select("bucket", "rep").join(central, "rep")
+    heads = ranked.groupBy("bucket").agg(F.max("rank").alias("head"))
+    first = ranked.join(heads, "bucket").groupBy("rep").agg(F.max("head").alias("head")) \
+        .select((-F.col("head.first")).alias("a"), F.col("rep").alias("b")).where("a <> b")
     texts = shared.select(F.col("rep").alias("id")).distinct()
     sets = persisted(_shingle_sets(docs, texts, id_col, text_col, counted), "dart-sets")
-    first = shared.where("rep <> least").groupBy(F.col("rep").alias("b")).agg(F.min("least").alias("a")).select("a", "b")
     links = persisted(verified(first, sets, similarity, counted), "dart-links")
     comp = components(links)
     # pairs of different classes that share a bucket
-    named = shared.join(comp.withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("bucket", "rep", "size", F.coalesce("comp", "rep").alias("comp"))
-    open_ = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-    named = persisted(named.join(open_.select("bucket"), "bucket"), "dart-open")
-    classes = named.select("bucket", "comp").distinct()
-    meets = classes.select("bucket", F.col("comp").alias("ca")).join(
-        classes.select("bucket", F.col("comp").alias("cb")), "bucket").where("ca < cb")
-    x = named.select("bucket", F.col("comp").alias("ca"), F.col("rep").alias("a"), F.col("size").alias("na"))
-    y = named.select("bucket", F.col("comp").alias("cb"), F.col("rep").alias("b"), F.col("size").alias("nb"))
-    cross = meets.join(x, ["bucket", "ca"]).join(y, ["bucket", "cb"]) \
-        .where((F.col("na") >= similarity * F.col("nb")) & (F.col("nb") >= similarity * F.col("na"))) \
-        .select("a", "b").distinct()
+    named = shared.select("bucket", "rep").join(comp.withColumnRenamed("id", "rep"), "rep", "left") \
+        .select("bucket", "rep", F.coalesce("comp", "rep").alias("comp"))
+    counts = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
+    open_ = counts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("classes")) \
+        .where("classes > 1").select("bucket", F.col("top.comp").alias("major"))
+    named = persisted(named.join(open_, "bucket").join(
+        reps.select("rep", "size", "bands", "sig"), "rep"), "dart-open")
+    x = named.where("comp <> major").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "size", "bands", "sig")])
+    y = named.withColumn("is_major", F.col("comp") == F.col("major"))
+    enough = similarity - MARGIN * (similarity * (1 - similarity) / (bands * rows)) ** 0.5
+    agree = F.size(F.filter(F.zip_with("x_sig", "sig", lambda a, b: a == b), lambda e: e))
+    first_common = F.get(F.filter(F.zip_with("x_bands", "bands", lambda a, b: F.when(a == b, a)), lambda e: e.isNotNull()), F.lit(0))
+    cross = x.join(y, "bucket").where(
+        (F.col("x_comp") != F.col("comp")) & (F.col("is_major") | (F.col("x_rep") < F.col("rep")))
+        & (F.col("x_size") >= similarity * F.col("size")) & (F.col("size") >= similarity * F.col("x_size"))
+        & (agree >= enough * bands * rows) & (first_common == F.col("bucket"))) \
+        .select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b")).distinct()
     late = verified(cross, sets, similarity, counted)
     comp = components(links.union(persisted(late, "dart-late")))
     classed = member.join(comp.withColumnRenamed("id", "rep"), "rep", "left") \
