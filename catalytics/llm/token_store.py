@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 SHARD_TOKENS = 2_000_000
 #: Bits between two entries of a plane's rank directory.
 RANK_BLOCK = 512
-MEMO_CHUNKS = 300_000
+#: Distinct chunks in one generation of an encoder's memo; it keeps two.
+MEMO_CHUNKS = 600_000
 
 SHARD_SCHEMA = ("shard string, part int, seq int, n_docs long, n_tokens long, bits int, "
                 "doc_ids binary, doc_null binary, ends binary, "
@@ -156,19 +157,25 @@ class LibraryEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.memo: dict[bytes, bytes] = {}
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     @property
     def top(self) -> int:
         return self.tok.get_vocab_size(with_added_tokens=True)
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        memo = self.memo
+        if len(self.young) > MEMO_CHUNKS:  # chunks in use move on, the others go
+            self.young, self.old = {}, self.young
+        memo, old = self.young, self.old
         split = [t.encode().split() for t in texts]
-        new = list({c for s in split for c in s if c not in memo})
-        if len(memo) + len(new) > MEMO_CHUNKS:
-            memo.clear()
-            new = list({c for s in split for c in s})
+        new = []
+        for c in {c for s in split for c in s}:
+            if c not in memo:
+                if c in old:
+                    memo[c] = old[c]
+                else:
+                    new.append(c)
         for at in range(0, len(new), 5000):
             part = new[at:at + 5000]
             for c, e in zip(part, self.tok.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)):
