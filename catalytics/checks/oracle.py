@@ -453,6 +453,24 @@ docs AS (SELECT d.key, d.name, d.group_name, d.description, d.product, coalesce(
 queries AS (SELECT DISTINCT o_orderpriority AS query, o_orderpriority AS query_id FROM orders)""" +
        _bm25_sql(DASHBOARD_BOOSTS, {"query_names", "chart_names"}, "total_usage", False, SEARCH_N))
 
+_ASKED = {
+    "search_tables": "queries AS (SELECT DISTINCT p_name AS query, p_name AS query_id FROM part)",
+    "search_users": """queries AS (SELECT q AS query, q AS query_id FROM (
+              SELECT 'last' || cast(n_nationkey AS VARCHAR) AS q FROM nation
+              UNION ALL SELECT 'Customer last' || cast(n_nationkey AS VARCHAR) FROM nation))""",
+    "search_dashboards": "queries AS (SELECT DISTINCT o_orderpriority AS query, o_orderpriority AS query_id FROM orders)",
+}
+_ASK_ALL = """queries AS (SELECT DISTINCT q AS query, q AS query_id FROM (
+              SELECT p_name AS q FROM part UNION ALL SELECT o_orderpriority FROM orders
+              UNION ALL SELECT 'last' || cast(n_nationkey AS VARCHAR) FROM nation
+              UNION ALL SELECT 'Customer last' || cast(n_nationkey AS VARCHAR) FROM nation))"""
+ORACLES["search_all"] = " UNION ALL ".join(
+    f"SELECT query_id, doc_key AS key, score, '{t}' AS resource_type FROM ({ORACLES[n].replace(_ASKED[n], _ASK_ALL)})"
+    for t, n in (("table", "search_tables"), ("user", "search_users"), ("dashboard", "search_dashboards")))
+ORACLES["search_all_inline"] = f"""SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id, resource_type ORDER BY score DESC, key) AS position
+  FROM ({ORACLES["search_all"]})) WHERE position <= 2"""
+
 oracle("build_inverted_index", [], """
 , docs AS (SELECT 'doc_' || cast(doc_id AS VARCHAR) AS key, 'doc_' || cast(doc_id AS VARCHAR) AS name,
                   text AS description, lang AS schema, source AS database, n_chars AS total_usage FROM documents),
@@ -470,8 +488,6 @@ _FACET = """(regexp_full_match(database, 'brand_1.*') OR database = 'brand_2')
 oracle("faceted_filter", _TABLE_DOC_VIEWS, _TABLE_DOCS + f"""
 SELECT key, database, schema, name FROM docs WHERE {_FACET}""")
 
-oracle("faceted_filter_invalid", _TABLE_DOC_VIEWS, _TABLE_DOCS + "\nSELECT key FROM docs WHERE false")
-
 oracle("search_with_filters", _TABLE_DOC_VIEWS, _TABLE_DOCS + """,
 hits AS (SELECT key, round(log10(2 + cast(total_usage AS DOUBLE)), 6) AS score FROM docs
          WHERE (regexp_full_match(database, 'brand_1.*') OR database = 'brand_2')
@@ -955,21 +971,6 @@ SELECT key, display_name, qualified_name, total_usage, array_to_string(column_na
        array_to_string(column_descriptions, '|') AS column_descriptions, array_to_string(tags, '|') AS tags,
        array_to_string(badges, '|') AS badges FROM docs""")
 
-oracle("search_all", ["c_reads", "c_tables", "c_dashboards", "c_dashboard_reads"], """
-, t AS (SELECT table_key AS key, round(count(DISTINCT user_key) * ln(sum(read_count)), 6) AS score,
-               count(DISTINCT user_key) * ln(sum(read_count)) AS s
-        FROM c_reads GROUP BY 1 HAVING count(DISTINCT user_key) >= 1 ORDER BY s DESC, key LIMIT 10),
-tt AS (SELECT t.key, t.score FROM t JOIN c_tables ON c_tables.key = t.key),
-d AS (SELECT d.key, cast(coalesce(v.v, 0) AS DOUBLE) AS score FROM c_dashboards d
-      LEFT JOIN (SELECT dashboard_key, sum(read_count) AS v FROM c_dashboard_reads GROUP BY 1) v ON v.dashboard_key = d.key
-      ORDER BY score DESC, d.key LIMIT 10),
-u AS (SELECT user_key AS key, cast(sum(read_count) AS DOUBLE) AS score FROM c_reads GROUP BY 1
-      ORDER BY score DESC, key LIMIT 10),
-a AS (SELECT key, score, 'table' AS resource_type FROM tt UNION ALL SELECT key, score, 'dashboard' FROM d
-      UNION ALL SELECT key, score, 'user' FROM u)
-SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY resource_type ORDER BY score DESC, key) AS position FROM a)
-WHERE position <= 2""")
-
 oracle("user_resources_follow", ["c_reads", "c_tables"], """
 SELECT t.key, e.user_key, t.database, t.cluster, t.schema, t.name, t.description, 'follow' AS relation
 FROM (SELECT DISTINCT user_key, table_key FROM c_reads WHERE read_count >= 2) e JOIN c_tables t ON t.key = e.table_key""")

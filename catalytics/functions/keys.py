@@ -58,12 +58,6 @@ def camel_to_words(c: Column) -> Column:
     return F.lower(F.regexp_replace(c, "([a-z])([A-Z])", "$1 $2"))
 
 
-def wildcard_to_regex(c: Column) -> Column:
-    """Collapse runs of '*' and turn '*' into '.*' (anchored full match)."""
-    collapsed = F.regexp_replace(c, r"\*+", "*")
-    return F.concat(F.lit("^"), F.regexp_replace(collapsed, r"\*", ".*"), F.lit("$"))
-
-
 def text_case(c: Column, mode: str) -> Column:
     if mode == "lower":
         return F.lower(c)

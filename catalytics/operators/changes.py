@@ -178,8 +178,14 @@ def property_diff(old: DataFrame, new: DataFrame, key: str, props: list[str]) ->
     """Per key present on both sides: properties whose value changed (null
     safe, new value present) and properties dropped (old present, new
     NULL). Array properties compare as sets."""
-    o = old.select(key, *[F.col(p).alias(f"_o_{p}") for p in props])
-    n = new.select(key, *[F.col(p).alias(f"_n_{p}") for p in props])
+    kinds = dict(new.dtypes)
+
+    def value(p):
+        c = F.col(p)
+        return F.array_sort(F.array_distinct(c)) if kinds[p].startswith("array") else c
+
+    o = old.select(key, *[value(p).alias(f"_o_{p}") for p in props])
+    n = new.select(key, *[value(p).alias(f"_n_{p}") for p in props])
     j = o.join(n, key)
     changed = [F.when(F.col(f"_n_{p}").isNotNull() & ~F.col(f"_o_{p}").eqNullSafe(F.col(f"_n_{p}")),
                       F.lit(p)) for p in props]
@@ -207,11 +213,14 @@ def expire_link(edges: DataFrame, pairs: DataFrame, a: str, b: str) -> DataFrame
 def link_if_absent(edges: DataFrame, new: DataFrame, src_nodes: DataFrame, dst_nodes: DataFrame,
                    src: str, dst: str) -> DataFrame:
     """Add new edges unless an equal edge (all columns) exists; both
-    endpoints must exist (node frames have one column, the key).
+    endpoints must exist (node frames have one column, the key). NULL
+    properties are equal to each other.
     Returns the added edges."""
     ok = (new.join(src_nodes.toDF(src).distinct(), src, "left_semi")
           .join(dst_nodes.toDF(dst).distinct(), dst, "left_semi"))
-    return ok.join(edges, list(new.columns), "left_anti").distinct()
+    same = edges.select(*[F.col(c).alias(f"_e_{c}") for c in new.columns])
+    equal = [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in new.columns]
+    return ok.join(same, equal, "left_anti").distinct()
 
 
 def upsert_documents(docs: DataFrame, batch: DataFrame, key: str = "key") -> DataFrame:

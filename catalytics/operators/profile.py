@@ -78,11 +78,6 @@ def unique_values_summary(stats: DataFrame, n: int = 5) -> DataFrame:
     return u.withColumn("position", F.row_number().over(w).cast("long")).where(F.col("position") <= n)
 
 
-def display_stats(stats: DataFrame) -> DataFrame:
-    """Stats shown in the regular list (unique values are shown apart)."""
-    return stats.where(F.col("stat_type") != "unique_values")
-
-
 def column_usage(columns: DataFrame, stats: DataFrame) -> DataFrame:
     """usage = the column_usage stat as a number, NULL when absent."""
     u = stats.where(F.col("stat_type") == "column_usage").groupBy(

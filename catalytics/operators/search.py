@@ -79,10 +79,6 @@ def field_stats(index: DataFrame) -> DataFrame:
                                         F.avg("dl").alias("avgdl"))
 
 
-def term_stats(index: DataFrame) -> DataFrame:
-    return index.groupBy("field", "term").agg(F.count(F.lit(1)).alias("df"))
-
-
 def query_terms(queries: DataFrame, fields: list[str], text_col: str = "query") -> DataFrame:
     """(query_id, n_terms, field, term) rows: analysed terms for text fields,
     the whole query string for ``.raw`` fields."""
@@ -180,8 +176,8 @@ def search_result_projection(hits: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def inline_topk(hits: DataFrame, k: int = 2) -> DataFrame:
-    """First k hits per resource type."""
-    return topk_per_key(hits, "resource_type", [F.desc("score"), F.asc("key")], k,
+    """First k hits of each resource type, for every query."""
+    return topk_per_key(hits, ["query_id", "resource_type"], [F.desc("score"), F.asc("key")], k,
                         rank_col="position")
 
 

@@ -61,21 +61,6 @@ def popular_tables_by_stored_score(tables: DataFrame, n: int = 10) -> DataFrame:
                     "description", "popularity_score"))
 
 
-def co_reader_weights(reads: DataFrame, users: DataFrame | None = None) -> DataFrame:
-    """w(u, co) = number of tables both u and co read, u != co.
-
-    This is the user-user co-read matrix; for a table with m readers it
-    produces m*(m-1) path rows, so for large catalogs pass ``users`` (the
-    users asking for recommendations) to bound the left side. The pair rows
-    are combined map-side by the (u, co) partial aggregate."""
-    left = reads.select(F.col("user_key").alias("u"), F.col("table_key").alias("t"))
-    if users is not None:
-        left = left.join(users.select(F.col("user_key").alias("u")).distinct(), "u", "left_semi")
-    right = reads.select(F.col("user_key").alias("co"), F.col("table_key").alias("t"))
-    return (left.join(right, "t").where(F.col("u") != F.col("co"))
-            .groupBy("u", "co").agg(F.count(F.lit(1)).alias("w")))
-
-
 def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
                             min_readers: int = 10, users: DataFrame | None = None,
                             broadcast_rows: int = 2_000_000) -> DataFrame:

@@ -4,6 +4,5 @@ from catalytics.plans.fragments import (  # noqa: F401
     bounded_broadcast,
     collect_distinct_children,
     cut_lineage,
-    joined_sorted,
     topk_per_key,
 )

@@ -51,32 +51,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
 
 
 def collect_distinct_children(edges: DataFrame, parent: str, child, out: str,
-                              sort: bool = True, max_per_row: int | None = None) -> DataFrame:
+                              sort: bool = True) -> DataFrame:
     """``collect(distinct child)`` per parent, nulls dropped, sorted for
     determinism. ``child`` may be a column name or a struct Column.
 
     Spark plans collect_set as a partial (map-side) aggregate, so a hot
-    parent is combined before the shuffle. With ``max_per_row`` a parent
-    with more distinct children is split exactly (nothing dropped) into
-    ``chunk`` rows of at most about that many children each, bucketed by a
-    hash of the child, so no single task or row holds an unbounded array."""
+    parent is combined before the shuffle. For children that are bounded per
+    parent; return (parent, child) rows otherwise."""
     c = F.col(child) if isinstance(child, str) else child
     e = edges.where(c.isNotNull()).select(F.col(parent), c.alias("_child"))
     agg = F.collect_set("_child")
     if sort:
         agg = F.array_sort(agg)
-    if max_per_row is None:
-        return e.groupBy(parent).agg(agg.alias(out))
-    d = e.distinct()
-    n = d.groupBy(parent).agg(F.count(F.lit(1)).alias("_n"))
-    d = d.join(n, parent).withColumn(
-        "chunk", F.pmod(F.xxhash64("_child"), F.ceil(F.col("_n") / F.lit(max_per_row))).cast("int"))
-    return d.groupBy(parent, "chunk").agg(agg.alias(out))
-
-
-def joined_sorted(arr: Column, sep: str = "|") -> Column:
-    """Canonical text form of an array: sorted, distinct, joined."""
-    return F.array_join(F.array_sort(F.array_distinct(arr)), sep)
+    return e.groupBy(parent).agg(agg.alias(out))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -338,22 +338,6 @@ def assemble_search_docs(spark, sf):
                     F.array_join("tags", "|").alias("tags"), F.array_join("badges", "|").alias("badges"))
 
 
-@register("search_all")
-def search_all(spark, sf):
-    """Top hits of three resource types unioned and cut to two per type."""
-    from catalytics.operators import search as S
-    from catalytics.operators import usage as U
-    c = _catalog(spark, sf)
-    t = U.popular_tables(c.reads, c.tables, n=10, min_readers=1).select(
-        F.col("table_key").alias("key"), F.round("score", 6).alias("score"))
-    d = U.dashboard_view_count(c.dashboards, c.dashboard_reads).orderBy(
-        F.desc("recent_view_count"), "dashboard_key").limit(10).select(
-        F.col("dashboard_key").alias("key"), F.col("recent_view_count").cast("double").alias("score"))
-    u = c.reads.groupBy(F.col("user_key").alias("key")).agg(
-        F.sum("read_count").cast("double").alias("score")).orderBy(F.desc("score"), "key").limit(10)
-    return S.inline_topk(S.search_all(table=t, dashboard=d, user=u), k=2)
-
-
 @register("user_resources_follow")
 def user_resources_follow(spark, sf):
     from catalytics.operators.details import user_resources

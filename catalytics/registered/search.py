@@ -47,9 +47,13 @@ def build_inverted_index(spark, sf):
 @register("search_tables")
 def search_tables(spark, sf):
     c = _catalog(spark, sf)
+    return table_hits(c, table_queries(c))
+
+
+def table_hits(c, queries):
     docs = table_docs(c)
     idx = S.build_inverted_index(docs, list(S.TABLE_BOOSTS))
-    return S.search_tables(idx, docs, table_queries(c), n=SEARCH_N)
+    return S.search_tables(idx, docs, queries, n=SEARCH_N)
 
 
 @register("search_documents")
@@ -65,18 +69,34 @@ def search_documents(spark, sf):
 @register("search_users")
 def search_users(spark, sf):
     c = _catalog(spark, sf)
+    return user_hits(c, user_queries(c))
+
+
+def user_hits(c, queries):
     docs = user_docs(c)
     idx = S.build_inverted_index(docs, list(S.USER_BOOSTS))
+    return S.search_users(idx, docs, queries, n=SEARCH_N)
+
+
+def user_queries(c):
     n = c.raw("nation")
     q = n.select(F.concat(F.lit("last"), n.n_nationkey.cast("string")).alias("query"))
-    q = q.unionByName(n.select(F.concat(F.lit("Customer last"), n.n_nationkey.cast("string"))
-                               .alias("query"))).withColumn("query_id", F.col("query"))
-    return S.search_users(idx, docs, q, n=SEARCH_N)
+    return q.unionByName(n.select(F.concat(F.lit("Customer last"), n.n_nationkey.cast("string"))
+                                  .alias("query"))).withColumn("query_id", F.col("query"))
 
 
 @register("search_dashboards")
 def search_dashboards(spark, sf):
     c = _catalog(spark, sf)
+    return dashboard_hits(c, dashboard_words(c))
+
+
+def dashboard_words(c):
+    return c.raw("orders").select(F.col("o_orderpriority").alias("query")).distinct() \
+        .withColumn("query_id", F.col("query"))
+
+
+def dashboard_hits(c, queries):
     q = c.dashboard_queries.groupBy(F.col("dashboard_key").alias("key")).agg(
         F.array_sort(F.collect_set("name")).alias("query_names"))
     ch = c.dashboard_charts.where(F.length("chart_name") > 0).groupBy(
@@ -91,8 +111,6 @@ def search_dashboards(spark, sf):
                     F.coalesce("chart_names", empty).alias("chart_names"),
                     F.coalesce("total_usage", F.lit(0).cast("long")).alias("total_usage")))
     idx = S.build_inverted_index(docs, list(S.DASHBOARD_BOOSTS))
-    queries = c.raw("orders").select(F.col("o_orderpriority").alias("query")).distinct() \
-        .withColumn("query_id", F.col("query"))
     return S.search_dashboards(idx, docs, queries, n=SEARCH_N)
 
 
@@ -103,12 +121,6 @@ def faceted_filter(spark, sf):
     return FL.faceted_filter(docs, FILTERS, "ring").select("key", "database", "schema", "name")
 
 
-@register("faceted_filter_invalid")
-def faceted_filter_invalid(spark, sf):
-    c = _catalog(spark, sf)
-    return FL.faceted_filter(table_docs(c), {"schema": ["a/b"]}, "ring").select("key")
-
-
 @register("search_with_filters")
 def search_with_filters(spark, sf):
     c = _catalog(spark, sf)
@@ -120,7 +132,7 @@ def search_with_filters(spark, sf):
 def basic_filter(spark, sf):
     c = _catalog(spark, sf)
     return FL.basic_filter(table_docs(c), {"database": ["economy"], "cluster": ["gold"],
-                                           "table": ["part_1"]}, page_index=0, page_size=10**6) \
+                                           "table": ["part_1"]}, page_index=-1) \
         .select("key", "qualified_name", "popularity_score")
 
 
@@ -134,11 +146,22 @@ def search_result_projection(spark, sf):
                     F.array_join(F.transform("badges", lambda t: t["tag_name"]), "|").alias("badges"))
 
 
+def _all_hits(spark, sf):
+    """Every query text asked of tables, users and dashboards alike."""
+    c = _catalog(spark, sf)
+    queries = table_queries(c).unionByName(user_queries(c)).unionByName(dashboard_words(c)).distinct()
+    hits = {t: f(c, queries).select("query_id", F.col("doc_key").alias("key"), "score")
+            for t, f in (("table", table_hits), ("user", user_hits), ("dashboard", dashboard_hits))}
+    return S.search_all(**hits)
+
+
+@register("search_all")
+def search_all(spark, sf):
+    """Hits of all resource types for every query."""
+    return _all_hits(spark, sf)
+
+
 @register("search_all_inline")
 def search_all_inline(spark, sf):
-    """Table, user and dashboard hits unioned and cut to the first two per type."""
-    t = search_tables(spark, sf).select("query_id", F.col("doc_key").alias("key"), "score")
-    u = search_users(spark, sf).select("query_id", F.col("doc_key").alias("key"), "score")
-    d = search_dashboards(spark, sf).select("query_id", F.col("doc_key").alias("key"), "score")
-    allh = S.search_all(table=t, user=u, dashboard=d)
-    return S.inline_topk(allh, k=2)
+    """The first two hits of each resource type, for every query."""
+    return S.inline_topk(_all_hits(spark, sf), k=2)

@@ -4,11 +4,12 @@ shared checkpoint folder."""
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
 
-# Used only when the session has no spark.checkpoint.dir (local tests).
+# Used only by a local master whose session names no folder (tests).
 _LOCAL_FALLBACK = "/tmp/catalytics-checkpoints"
 
 
@@ -39,8 +40,9 @@ def build_session(master: str | None = None, app: str = "catalytics",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins; a local fallback is set only when the
-    session has none (tests)."""
+    The session's setting or ``setCheckpointDir`` always wins. Without either
+    a local master gets a local folder (tests); a cluster raises, since a
+    machine's own folder is not seen by the others."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
@@ -48,8 +50,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(configured)
         return configured
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(_LOCAL_FALLBACK)
+    return fallback_dir(sc, sc.master)
+
+
+def fallback_dir(sc, master: str) -> str:
+    """The folder set on the context, or a local one for a local master."""
+    chosen = sc.getCheckpointDir()
+    if chosen is not None:
+        return chosen.rsplit("/", 1)[0]  # Spark adds a folder of its own
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(_LOCAL_FALLBACK)
     return _LOCAL_FALLBACK
 
 
