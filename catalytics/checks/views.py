@@ -46,7 +46,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         JOIN part ON e.l_partkey = p_partkey"""),
     "c_owners": ([], f"""
         SELECT {tkey()} AS resource_key, {email('e.l_suppkey')} AS user_key
-        FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 1 AND l_returnflag = 'R') e
+        FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) e
         JOIN part ON e.l_partkey = p_partkey"""),
     "c_dashboards": ([], """
         SELECT ['mode','superset','tableau'][(o_orderkey % 3) + 1] || '_dashboard://gold.'
@@ -139,12 +139,12 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         FROM lineitem JOIN c_dashboards d ON l_orderkey = d.order_id"""),
     "c_dashboard_owners": (["c_dashboard_lines"], f"""
         SELECT DISTINCT key AS resource_key, {email('l_suppkey')} AS user_key
-        FROM c_dashboard_lines WHERE l_linenumber = 1"""),
+        FROM c_dashboard_lines"""),
     "c_dashboard_queries": (["c_dashboard_lines"], """
         SELECT key AS dashboard_key, 'query_' || cast(l_linenumber as varchar) AS name,
                CASE WHEN l_returnflag <> 'N' THEN 'https://q.example.com/' || cast(l_orderkey as varchar) END AS url,
                CASE WHEN l_linenumber = 1 THEN 'select * from part_' || cast(l_partkey as varchar) END AS query_text
-        FROM c_dashboard_lines WHERE l_linenumber <= 2"""),
+        FROM c_dashboard_lines"""),
     "c_dashboard_charts": (["c_dashboard_lines"], """
         SELECT key AS dashboard_key,
                CASE WHEN l_returnflag = 'R' THEN '' ELSE 'chart_' || cast(l_linenumber as varchar) END AS chart_name
@@ -172,7 +172,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         FROM (SELECT l_suppkey, max(l_shipdate) hi FROM lineitem GROUP BY 1) w JOIN c_features f ON w.l_suppkey = f.supp_id"""),
     "c_feature_generation_code": (["c_features"], """
         SELECT key AS feature_key, 'select balance from supplier where s_suppkey = ' || cast(supp_id as varchar) AS text,
-               'sql' AS source FROM c_features WHERE supp_id % 3 <> 0"""),
+               'sql' AS source FROM c_features"""),
     "c_feature_databases": (["c_features"], """
         SELECT f.key AS feature_key, lower(n_name) AS database FROM c_features f JOIN nation ON f.nation_id = n_nationkey"""),
     "c_feature_owners": (["c_features"], f"""
@@ -184,12 +184,12 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         SELECT {tkey()} AS table_key, 'issue-' || cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) AS issue_key,
                CASE l_linenumber WHEN 1 THEN 'Critical' WHEN 2 THEN 'Major' WHEN 3 THEN 'Minor' ELSE 'Trivial' END AS severity,
                CASE WHEN l_linestatus = 'F' THEN 'resolved' ELSE 'open' END AS status
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_returnflag = 'R'"""),
+        FROM lineitem JOIN part ON l_partkey = p_partkey"""),
     "c_reports": ([], f"""
-        SELECT {tkey()} AS table_key, 'report_' || cast(l_orderkey as varchar) AS name,
-               'https://reports.example.com/' || cast(l_orderkey as varchar) AS url,
+        SELECT {tkey()} AS table_key, 'report_' || cast(l_orderkey as varchar) || '_' || cast(l_linenumber as varchar) AS name,
+               'https://reports.example.com/' || cast(l_orderkey as varchar) || '_' || cast(l_linenumber as varchar) AS url,
                CASE WHEN l_linestatus = 'O' THEN 'DELETED' ELSE 'ACTIVE' END AS status
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_linenumber = 3"""),
+        FROM lineitem JOIN part ON l_partkey = p_partkey"""),
     "c_change_feed": ([], f"""
         SELECT event_id AS seq, CASE WHEN event_id % 7 = 0 THEN 'delete' ELSE 'put' END AS op,
                'table' AS resource_type,

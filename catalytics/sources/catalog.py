@@ -176,8 +176,7 @@ class Catalog:
     def owners(self) -> DataFrame:
         li = self.raw("lineitem")
         p = self.raw("part").select("p_partkey", "p_brand", "p_type")
-        e = (li.where((li.l_linenumber == 1) & (li.l_returnflag == "R"))
-             .select("l_partkey", "l_suppkey").distinct())
+        e = li.select("l_partkey", "l_suppkey").distinct()
         return e.join(p, e.l_partkey == p.p_partkey).select(
             part_table_key(p.p_brand, p.p_type, p.p_partkey).alias("resource_key"),
             user_email(e.l_suppkey).alias("user_key"))
@@ -377,14 +376,12 @@ class Catalog:
 
     @cached_property
     def dashboard_owners(self) -> DataFrame:
-        x = self.dashboard_lines.where(F.col("l_linenumber") == 1)
-        return x.select(F.col("key").alias("resource_key"),
+        return self.dashboard_lines.select(F.col("key").alias("resource_key"),
                         user_email(F.col("l_suppkey")).alias("user_key")).distinct()
 
     @cached_property
     def dashboard_queries(self) -> DataFrame:
-        x = self.dashboard_lines.where(F.col("l_linenumber") <= 2)
-        return x.select(
+        return self.dashboard_lines.select(
             F.col("key").alias("dashboard_key"),
             F.concat(F.lit("query_"), F.col("l_linenumber").cast("string")).alias("name"),
             F.when(F.col("l_returnflag") != "N", F.concat(F.lit("https://q.example.com/"),
@@ -442,7 +439,7 @@ class Catalog:
     @cached_property
     def feature_generation_code(self) -> DataFrame:
         f = self.features
-        return f.where(f.supp_id % 3 != 0).select(
+        return f.select(
             f.key.alias("feature_key"),
             F.concat(F.lit("select balance from supplier where s_suppkey = "),
                      f.supp_id.cast("string")).alias("text"),
@@ -468,9 +465,9 @@ class Catalog:
 
     @cached_property
     def issues(self) -> DataFrame:
-        """Data issues: one per returned line item, severity by line number,
+        """Data issues: one per line item, severity by line number,
         resolved when the line is finished."""
-        li = self.raw("lineitem").where(F.col("l_returnflag") == "R")
+        li = self.raw("lineitem")
         p = self.raw("part").select("p_partkey", "p_brand", "p_type")
         return li.join(p, li.l_partkey == p.p_partkey).select(
             part_table_key(p.p_brand, p.p_type, p.p_partkey).alias("table_key"),
@@ -482,13 +479,14 @@ class Catalog:
 
     @cached_property
     def reports(self) -> DataFrame:
-        """Reports attached to tables: one per third line of an order."""
-        li = self.raw("lineitem").where(F.col("l_linenumber") == 3)
+        """Reports attached to tables: one per line item."""
+        li = self.raw("lineitem")
+        line = F.concat(li.l_orderkey.cast("string"), F.lit("_"), li.l_linenumber.cast("string"))
         p = self.raw("part").select("p_partkey", "p_brand", "p_type")
         return li.join(p, li.l_partkey == p.p_partkey).select(
             part_table_key(p.p_brand, p.p_type, p.p_partkey).alias("table_key"),
-            F.concat(F.lit("report_"), li.l_orderkey.cast("string")).alias("name"),
-            F.concat(F.lit("https://reports.example.com/"), li.l_orderkey.cast("string")).alias("url"),
+            F.concat(F.lit("report_"), line).alias("name"),
+            F.concat(F.lit("https://reports.example.com/"), line).alias("url"),
             F.when(li.l_linestatus == "O", "DELETED").otherwise("ACTIVE").alias("status"))
 
     @cached_property

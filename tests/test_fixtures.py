@@ -80,7 +80,7 @@ def test_description_layout(spark):
     by = {}
     for r in sorted(P.description_layout(d, cfg).collect(), key=lambda r: r.position):
         by.setdefault(r.side, []).append(r.source)
-    assert by == {"left": ["glossary", "owner notes"], "right": ["freshness", "lint"], "other": ["cost", "unlisted"]}
+    assert by == {"left": ["glossary", "owner notes"], "right": ["lint", "freshness"], "other": ["cost", "unlisted"]}
 
 
 def test_table_key_round_trip(spark):
@@ -117,7 +117,7 @@ def test_link_if_absent_with_null_property(spark):
     edges = spark.createDataFrame([("a", "b", None)], kind)
     new = spark.createDataFrame([("a", "b", None), ("a", "b", "own"), ("a", "z", None)], kind)
     nodes = spark.createDataFrame([("a",), ("b",)], "key string")
-    got = [tuple(r) for r in C.link_if_absent(edges, new, nodes, nodes, "s", "d").collect()]
+    got = [(r.s, r.d, r.role) for r in C.link_if_absent(edges, new, nodes, nodes, "s", "d").collect()]
     assert got == [("a", "b", "own")]
 
 
