@@ -148,8 +148,14 @@ class WaveletMatrix:
 
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library. White space separates
-    words for this kind of tokenizer file, so distinct chunks are encoded
-    once and remembered (bounded)."""
+    words for this kind of tokenizer file, and so does the step from an ASCII
+    letter or digit to closing punctuation. So distinct chunks are encoded
+    once, their plain words in lower case, and remembered (bounded). Many go
+    to the library in one call, with a marker between them that is a single
+    token by itself."""
+
+    MARK = b"\x01"
+    TAIL = b".,;:!?"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -157,6 +163,8 @@ class LibraryEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        alone = self.tok.encode(self.MARK.decode(), add_special_tokens=False).ids
+        self.mark = alone[0] if len(alone) == 1 else None
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -164,22 +172,50 @@ class LibraryEncoder:
     def top(self) -> int:
         return self.tok.get_vocab_size(with_added_tokens=True)
 
+    def _learn(self, chunks: list[bytes]) -> None:
+        memo = self.young
+        if self.mark is not None and not any(self.MARK in c for c in chunks):
+            joined = (b" " + self.MARK + b" ").join(chunks).decode()
+            ids = np.array(self.tok.encode(joined, add_special_tokens=False).ids, "<u4")
+            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)) * 4
+            if len(ends) == len(chunks):
+                flat, at = ids.tobytes(), 0
+                for c, end in zip(chunks, ends.tolist()):
+                    memo[c] = flat[at:end]
+                    at = end + 4
+                return
+        for c in chunks:
+            memo[c] = np.array(self.tok.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.young) > MEMO_CHUNKS:  # chunks in use move on, the others go
             self.young, self.old = {}, self.young
         memo, old = self.young, self.old
         split = [t.encode().split() for t in texts]
-        new = []
+        parts, new = [], set()
         for c in {c for s in split for c in s}:
-            if c not in memo:
-                if c in old:
-                    memo[c] = old[c]
-                else:
-                    new.append(c)
-        for at in range(0, len(new), 5000):
-            part = new[at:at + 5000]
-            for c, e in zip(part, self.tok.encode_batch_fast([c.decode() for c in part], add_special_tokens=False)):
-                memo[c] = np.array(e.ids, "<u4").tobytes()
+            if c in memo:
+                continue
+            if c in old:
+                memo[c] = old[c]
+                continue
+            body = c.rstrip(self.TAIL)
+            if body.isalnum():  # ASCII only, for bytes
+                low, tail = body.lower(), c[len(body):]
+                if low != c:
+                    parts.append((c, low, tail))
+                    new.add(low)
+                    if tail:
+                        new.add(tail)
+                    continue
+            new.add(c)
+        for c in [c for c in new if c in old]:
+            memo[c] = old[c]
+        todo = [c for c in new if c not in memo]
+        for at in range(0, len(todo), 500):
+            self._learn(todo[at:at + 500])
+        for c, low, tail in parts:
+            memo[c] = memo[low] + memo[tail] if tail else memo[low]
         return [np.frombuffer(b"".join([memo[c] for c in s]), "<u4") for s in split]
 
 
