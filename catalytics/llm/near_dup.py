@@ -19,12 +19,14 @@ Classes:
    meets, and this one pair is verified exactly on the shingle sets. Verified
    pairs give first classes.
 3. Pairs of *different* classes that still share a bucket are compared too:
-   a bucket's members outside its largest class meet all others. Pairs whose
-   signatures agree on clearly too few coordinates (``MARGIN`` standard
-   deviations below the similarity) end inside the join, the rest come out
-   at their first common band and are verified exactly. So each pair sharing
-   a bucket is in one class or has been compared, while a group of thousands
-   of copies costs about one verification a member.
+   a bucket's members outside its largest class meet all others. Documents of
+   such buckets get a second, longer signature of ``CHECKS`` one-bit coordinates.
+   Pairs whose signatures, first the short and then the long ones, agree on
+   clearly too few coordinates (``MARGIN`` standard deviations below the
+   similarity) end inside the join, the rest come out at their first common
+   band and are verified exactly. So each pair sharing a bucket is in one
+   class or has been compared, while a group of thousands of copies costs
+   about one verification a member.
 4. Connected components of the links, with written tables between rounds.
 
 Defined results: texts of fewer than five words are one shingle of all their
@@ -39,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catalytics.llm.common import persisted
@@ -50,6 +52,9 @@ BANDS = 30
 ROWS = 5
 #: Standard deviations of a signature's agreement that count as certain.
 MARGIN = 4.5
+#: Coordinates, of one bit each, of the long signature of documents in
+#: contested buckets.
+CHECKS = 1024
 
 _TABLE = bytes(32 if b < 48 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 127 else
                b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -221,6 +226,28 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float, counted: bool
     return pairs.join(left, "a").join(right, "b").mapInPandas(compare, "a long, b long")
 
 
+def long_signatures(sets: DataFrame, t: int) -> DataFrame:
+    """(rep, check): one bit of each of ``t`` coordinates, 64 to a long, by
+    shingle sets instead of texts; ``t`` is a multiple of 64."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for at in range(0, len(b), 50):
+                some = b.iloc[at:at + 50]
+                found = [np.unique(np.frombuffer(x, "<u8"), return_counts=True) for x in some["shingles"]]
+                sig = dart_minhash(np.concatenate([e for e, _ in found]), np.concatenate([c for _, c in found]).astype(np.float64),
+                                   np.repeat(np.arange(len(found)), [len(e) for e, _ in found]), len(found), t)
+                bits = np.packbits((sig & np.uint64(1)).astype(bool), axis=1)
+                yield pd.DataFrame({"rep": some["id"], "check": list(bits.view("<i8"))})
+
+    return sets.mapInPandas(run, "rep long, check array<long>")
+
+
+def enough(agreement: float, t: int) -> float:
+    """Fewest of ``t`` coordinates on which pairs agree that do so with
+    probability ``agreement`` each."""
+    return t * (agreement - MARGIN * (agreement * (1 - agreement) / t) ** 0.5)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, comp): the smallest id of the connected component, for every id
     on an edge. Each round links every vertex's neighbours to the smallest
@@ -274,17 +301,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = named.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     open_ = counts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("top"), F.count(F.lit(1)).alias("classes")) \
         .where("classes > 1").select("bucket", F.col("top.comp").alias("major"))
-    named = persisted(named.join(open_, "bucket").join(
-        reps.select("rep", "size", "bands", "sig"), "rep"), "dart-open")
-    x = named.where("comp <> major").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "size", "bands", "sig")])
+    named = persisted(named.join(open_, "bucket"), "dart-open")
+    contested = sets.join(named.select(F.col("rep").alias("id")).distinct(), "id", "left_semi")
+    traits = persisted(reps.select("rep", "size", "bands", "sig").join(long_signatures(contested, CHECKS), "rep"), "dart-traits")
+    named = named.join(traits, "rep")
+    x = named.where("comp <> major").select("bucket", *[F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "size", "bands", "sig", "check")])
     y = named.withColumn("is_major", F.col("comp") == F.col("major"))
-    enough = similarity - MARGIN * (similarity * (1 - similarity) / (bands * rows)) ** 0.5
     agree = F.size(F.filter(F.zip_with("x_sig", "sig", lambda a, b: a == b), lambda e: e))
+    # coordinates that differ still have equal bits half the time
+    unequal = F.aggregate(F.zip_with("x_check", "check", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, m: n + m)
     first_common = F.get(F.filter(F.zip_with("x_bands", "bands", lambda a, b: F.when(a == b, a)), lambda e: e.isNotNull()), F.lit(0))
     cross = x.join(y, "bucket").where(
         (F.col("x_comp") != F.col("comp")) & (F.col("is_major") | (F.col("x_rep") < F.col("rep")))
         & (F.col("x_size") >= similarity * F.col("size")) & (F.col("size") >= similarity * F.col("x_size"))
-        & (agree >= enough * bands * rows) & (first_common == F.col("bucket"))) \
+        & (CHECKS - unequal >= enough((1 + similarity) / 2, CHECKS))
+        & (agree >= enough(similarity, bands * rows)) & (first_common == F.col("bucket"))) \
         .select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b")).distinct()
     late = verified(cross, sets, similarity, counted)
     comp = components(links.union(persisted(late, "dart-late")))
