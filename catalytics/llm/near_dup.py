@@ -133,24 +133,23 @@ def dart_minhash(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, n
         low, region = 0.0, 0
         while len(e):  # weight regions [0,1), [1,2), [2,4), ...
             width = max(low, 1.0)
-            seed = mix(e + nth(region))
-            at, live = np.zeros(len(e)), np.arange(len(e))
+            whole = (w >= low + width).all()  # no dart of this region can miss
+            seed, at, weight, end, row = mix(e + nth(region)), np.zeros(len(e)), w, limit[o], o * t
             arrival = 0
-            while len(live):
+            while len(seed):
                 arrival += 1
-                h = mix(seed[live] + nth(arrival))
-                at[live] -= np.log(unit(h)) / width
-                live = live[at[live] < limit[o[live]]]
-                h = mix(seed[live] + nth(arrival))
-                inside = low + width * unit(mix(h + np.uint64(1))) <= w[live]
-                d, h = live[inside], h[inside]
-                slot = o[d] * t + (mix(h + np.uint64(2)) % np.uint64(t)).astype(np.int64)
-                order = np.lexsort((h, at[d], slot))
-                slot, rank, h = slot[order], at[d][order], h[order]
-                first = np.concatenate([[True], slot[1:] != slot[:-1]]) if len(slot) else np.empty(0, bool)
-                slot, rank, h = slot[first], rank[first], h[first]
-                better = rank < best[slot]
-                best[slot[better]], ids[slot[better]] = rank[better], h[better]
+                h = mix(seed + nth(arrival))
+                at = at - np.log(unit(h)) / width
+                live = np.flatnonzero(at < end)
+                seed, at, weight, end, row, h = seed[live], at[live], weight[live], end[live], row[live], h[live]
+                rank, base, dart = at, row, h
+                if not whole:
+                    inside = low + width * unit(mix(h + np.uint64(1))) <= weight
+                    rank, base, dart = at[inside], row[inside], h[inside]
+                slot = base + (mix(dart + np.uint64(2)) % np.uint64(t)).astype(np.int64)
+                np.minimum.at(best, slot, rank)
+                first = rank == best[slot]
+                ids[slot[first]] = dart[first]
             low, region = low + width, region + 1
             on = w > low
             e, w, o = e[on], w[on], o[on]
@@ -231,8 +230,8 @@ def long_signatures(sets: DataFrame, t: int) -> DataFrame:
     shingle sets instead of texts; ``t`` is a multiple of 64."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            for at in range(0, len(b), 50):
-                some = b.iloc[at:at + 50]
+            for at in range(0, len(b), 100):
+                some = b.iloc[at:at + 100]
                 found = [np.unique(np.frombuffer(x, "<u8"), return_counts=True) for x in some["shingles"]]
                 sig = dart_minhash(np.concatenate([e for e, _ in found]), np.concatenate([c for _, c in found]).astype(np.float64),
                                    np.repeat(np.arange(len(found)), [len(e) for e, _ in found]), len(found), t)
