@@ -313,17 +313,21 @@ def co_reader_path_stats(reads: DataFrame) -> DataFrame:
     """Per user: number of co-reader paths, distinct co-readers with a path,
     and the read_count summed over paths -- computed from the pair weights
     w(u, co) without enumerating the paths:
-    n_paths = sum_co w * (deg(co) - 1), reads = sum_co w * R(co) - shared."""
-    a = reads.select(F.col("user_key").alias("u"), F.col("table_key").alias("via"))
-    b = reads.select(F.col("user_key").alias("co"), F.col("table_key").alias("via"),
-                     F.col("read_count").alias("rc"))
+    n_paths = sum_co w * edges(co) - shared edges, reads = sum_co w * R(co) -
+    shared reads; several READ edges of one user and table each make a path."""
+    edges = reads.groupBy("user_key", "table_key").agg(
+        F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("read_count"), F.lit(0)).alias("rc"))
+    a = edges.select(F.col("user_key").alias("u"), F.col("table_key").alias("via"), F.col("k").alias("ku"))
+    b = edges.select(F.col("user_key").alias("co"), F.col("table_key").alias("via"), "k", "rc")
+    both = F.col("ku") * F.col("k")
     pair = (a.join(b, "via").where(F.col("u") != F.col("co")).groupBy("u", "co")
-            .agg(F.count(F.lit(1)).alias("w"), F.sum("rc").alias("shared_rc")))
-    deg = reads.groupBy(F.col("user_key").alias("co")).agg(
-        F.count(F.lit(1)).alias("deg"), F.sum("read_count").alias("total_rc"))
+            .agg(F.sum(both).alias("w"), F.sum(both * F.col("k")).alias("shared_n"),
+                 F.sum(both * F.col("rc")).alias("shared_rc")))
+    deg = edges.groupBy(F.col("user_key").alias("co")).agg(
+        F.count(F.lit(1)).alias("deg"), F.sum("k").alias("n_edges"), F.sum("rc").alias("total_rc"))
     x = pair.join(deg, "co")
     return (x.groupBy(F.col("u").alias("user_key"))
-            .agg(F.sum(F.col("w") * (F.col("deg") - 1)).cast("long").alias("n_paths"),
+            .agg(F.sum(F.col("w") * F.col("n_edges") - F.col("shared_n")).cast("long").alias("n_paths"),
                  F.count_if(F.col("deg") >= 2).alias("n_co_readers"),
                  F.sum(F.col("w") * F.col("total_rc") - F.col("shared_rc")).cast("long")
                  .alias("path_reads"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalytics.plans import bounded_broadcast, topk_per_key
+from catalytics.plans import topk_per_key
 from catalytics.session import scratch_path
 
 
@@ -62,98 +62,62 @@ def popular_tables_by_stored_score(tables: DataFrame, n: int = 10) -> DataFrame:
 
 
 def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
-                            min_readers: int = 10, users: DataFrame | None = None,
-                            broadcast_rows: int = 2_000_000) -> DataFrame:
+                            min_readers: int = 10, users: DataFrame | None = None) -> DataFrame:
     """Per user: tables read by co-readers (peers sharing another table).
 
-    Path semantics (u, T, co, t) with pairwise-distinct edges, i.e. co != u
-    and t != T. Rewritten without enumerating T: the number of paths through
-    co to t is ``w(u, co) - [u reads t]``; co counts as a co-reader of t when
-    that is > 0; total = sum(read_count(co, t) * paths).
-
-    Plan: keys are replaced by 64-bit hashes (verified collision-free by one
-    aggregate, else string keys are used); the pair weights are partitioned
-    by u; the co-read edges join map-side when their row count is under
-    ``broadcast_rows`` (checked), so the (u, t) aggregation needs no shuffle
-    of the path rows; the [u reads t] correction is applied after
-    aggregation: co_readers = n_all or n(w >= 2), total = sum(rc * w) or
-    sum(rc * w) - sum(rc)."""
-    # The edges are read by several small sizing actions and by the main
-    # job: write them once (with their hashes) as a table in the shared
-    # checkpoint folder instead of recomputing ``reads`` each time.
-    spark = reads.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, "co-reads")
-    # written as `base` files so the self-join that follows keeps full
-    # parallelism when AQE turns it into a broadcast join
-    reads.select("user_key", "table_key", "read_count",
-                 F.xxhash64("user_key").alias("uh"), F.xxhash64("table_key").alias("th")) \
-        .repartition(base).write.parquet(path)
-    r = spark.read.parquet(path)
-    chk = r.agg(F.countDistinct("user_key").alias("a"), F.countDistinct("uh").alias("b"),
-                F.countDistinct("table_key").alias("c"), F.countDistinct("th").alias("d")).first()
-    hashed = chk["a"] == chk["b"] and chk["c"] == chk["d"]
-    uk = F.col("uh") if hashed else F.col("user_key")
-    tk = F.col("th") if hashed else F.col("table_key")
-    e = r.select(uk.alias("uid"), tk.alias("tid"), F.col("read_count").alias("rc"))
-    # The (u, t) hash aggregation runs inside the pair partitions: size them
-    # from the path count sum_T readers(T)^2 * avg degree (one small
-    # aggregate) so each task's hash map stays in memory.
-    st = (e.groupBy("tid").agg(F.count(F.lit(1)).alias("nr"))
-          .agg(F.sum(F.col("nr") * F.col("nr")).alias("pairs"), F.sum("nr").alias("edges"),
-               F.count(F.lit(1)).alias("tabs")).first())
-    users_n = max(1, chk["a"])
-    est_paths = (st["pairs"] or 0) * ((st["edges"] or 0) / users_n)
-    parts = int(min(64 * base, max(base, est_paths // 1_500_000)))
-
-    left = e.select(F.col("uid").alias("u"), F.col("tid").alias("via"))
+    Path semantics (u, T, co, t) with co != u and t != T; several READ edges
+    of one user and table give as many paths. Rewritten without enumerating
+    T: with k edges per (user, table), w(u, co) = sum over T of
+    k(u, T) * k(co, T), and w(u, co) - k(u, t) * k(co, t) paths lead through
+    co to t. co counts once, and not at all if t is the only table it shares
+    with u. total = sum of read_count over paths.
+
+    Plan: the edges are aggregated to one row per (user, table) and written
+    once under dense 64-bit ids, then joined on the shared table, aggregated
+    to pairs, joined to the co-readers' edges and aggregated to (u, t): plain
+    joins and combining aggregates, split by AQE where a key is hot."""
+    edges = _written(reads.groupBy("user_key", "table_key").agg(
+        F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("read_count"), F.lit(0)).alias("rc")), "co-edges")
+    umap = _written(edges.select("user_key").distinct()
+                    .withColumn("u", F.monotonically_increasing_id()), "co-users")
+    tmap = _written(edges.select("table_key").distinct()
+                    .withColumn("t", F.monotonically_increasing_id()), "co-tables")
+    e = _written(edges.join(umap, "user_key").join(tmap, "table_key").select("u", "t", "k", "rc"),
+                 "co-reads")
+    left = e.select("u", F.col("t").alias("via"), F.col("k").alias("ku"))
     if users is not None:
-        ukeys = users.select((F.xxhash64("user_key") if hashed else F.col("user_key")).alias("u"))
-        left = left.join(ukeys.distinct(), "u", "left_semi")
-    right = e.select(F.col("uid").alias("co"), F.col("tid").alias("via"))
-    w = (left.join(right, "via").where(F.col("u") != F.col("co"))
-         .repartition(parts, "u").groupBy("u", "co").agg(F.count(F.lit(1)).alias("w")))
+        left = left.join(users.select("user_key").distinct().join(umap, "user_key").select("u"),
+                         "u", "left_semi")
+    right = e.select(F.col("u").alias("co"), F.col("t").alias("via"), "k")
+    pairs = (left.join(right, "via").where(F.col("u") != F.col("co")).groupBy("u", "co")
+             .agg(F.sum(F.col("ku") * F.col("k")).alias("w"), F.count(F.lit(1)).alias("shared"),
+                  F.min("via").alias("via")))
     # Exact prune: co_readers(u, t) <= readers(t).
-    eligible = (e.groupBy(F.col("tid").alias("t")).agg(F.count(F.lit(1)).alias("_nr"))
+    eligible = (e.groupBy("t").agg(F.count(F.lit(1)).alias("_nr"))
                 .where(F.col("_nr") >= min_readers).select("t"))
-    co_reads = e.select(F.col("uid").alias("co"), F.col("tid").alias("t"), "rc").join(
-        eligible, "t", "left_semi")
-    x = w.join(bounded_broadcast(co_reads, broadcast_rows), "co")
-    agg = (x.groupBy("u", "t").agg(
-        F.count(F.lit(1)).alias("n_all"), F.count_if(F.col("w") >= 2).alias("n_w2"),
-        F.sum(F.col("rc") * F.col("w")).alias("tot_all"), F.sum("rc").alias("sum_rc"))
-        .where(F.col("n_all") >= min_readers))
-    own = e.select(F.col("uid").alias("u"), F.col("tid").alias("t"), F.lit(True).alias("own"))
-    j = agg.join(own, ["u", "t"], "left")
-    is_own = F.coalesce(F.col("own"), F.lit(False))
-    res = (j.select("u", "t",
-                    F.when(is_own, F.col("n_w2")).otherwise(F.col("n_all")).alias("co_readers"),
-                    F.when(is_own, F.col("tot_all") - F.col("sum_rc")).otherwise(F.col("tot_all"))
-                    .alias("total_co_reads"))
-           .where((F.col("co_readers") >= min_readers) & (F.col("co_readers") > 0))
-           .withColumn("score", F.col("co_readers") * F.log(F.col("total_co_reads"))))
-    # The thresholded (u, t) result is small; write it once so the heavy
-    # aggregation above runs exactly once even though the tie handling
-    # below reads it twice.
-    res_path = scratch_path(spark, "co-reads-result")
-    res.write.parquet(res_path)
-    res = spark.read.parquet(res_path)
-    if not hashed:
-        top = topk_per_key(res, "u", [F.desc("score"), F.asc("t")], n, rank_col="rank")
-        return top.select(F.col("u").alias("user_key"), F.col("t").alias("table_key"), "co_readers",
-                          "total_co_reads", "score", "rank")
-    # Ties on score break on the real key: keep every candidate scoring at
-    # least the n-th best score of its user, map hashes back, rank again.
-    cut = (topk_per_key(res, "u", [F.desc("score")], n).groupBy("u")
-           .agg(F.min("score").alias("_cut")))
-    cand = res.join(cut, "u").where(F.col("score") >= F.col("_cut"))
-    umap = r.select(F.col("uh").alias("u"), "user_key").distinct()
-    tmap = r.select(F.col("th").alias("t"), "table_key").distinct()
-    cand = cand.join(umap, "u").join(tmap, "t")
-    top = topk_per_key(cand, "user_key", [F.desc("score"), F.asc("table_key")], n, rank_col="rank")
+    co_reads = e.join(eligible, "t", "left_semi").select(F.col("u").alias("co"), "t", "k", "rc")
+    only_t = (F.col("shared") == 1) & (F.col("via") == F.col("t"))
+    agg = pairs.join(co_reads, "co").groupBy("u", "t").agg(
+        F.count_if(~only_t).alias("co_readers"), F.sum(F.col("rc") * F.col("w")).alias("tot"),
+        F.sum(F.col("rc") * F.col("k")).alias("tot_own")) \
+        .where((F.col("co_readers") >= min_readers) & (F.col("co_readers") > 0))
+    own = e.select("u", "t", F.col("k").alias("ku"))
+    res = agg.join(own, ["u", "t"], "left").select(
+        "u", "t", "co_readers",
+        (F.col("tot") - F.coalesce("ku", F.lit(0)) * F.col("tot_own")).alias("total_co_reads")) \
+        .withColumn("score", F.col("co_readers") * F.log(F.col("total_co_reads")))
+    top = topk_per_key(res.join(umap, "u").join(tmap, "t"), "user_key",
+                       [F.desc("score"), F.asc("table_key")], n, rank_col="rank")
     return top.select("user_key", "table_key", "co_readers", "total_co_reads", "score", "rank")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def personal_tables_own_reads(reads: DataFrame, n: int = 10, min_readers: int = 10) -> DataFrame:
     """Relational-store variant of personal popularity: only the user's own
     READ rows are grouped, so readers is 1 per table and the default

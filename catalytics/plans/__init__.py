@@ -1,7 +1,6 @@
 """Reusable plan fragments shared by the operators."""
 
 from catalytics.plans.fragments import (  # noqa: F401
-    bounded_broadcast,
     collect_distinct_children,
     cut_lineage,
     topk_per_key,

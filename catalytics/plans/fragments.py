@@ -5,8 +5,6 @@
   plus a per-partition sort; with a rank filter Spark 3.5+ inserts a
   WindowGroupLimit below the shuffle so each map task only ships its local
   top k per key (a hot key does not ship its whole group).
-* ``bounded_broadcast``: broadcast only when the row count is proven
-  small; otherwise leave the join to AQE.
 * ``collect_distinct_children``: pre-aggregate a child edge table to one
   row per parent *before* joining, so parent x child x child never fans out.
 * ``cut_lineage``: checkpoint to the shared folder named by the session.
@@ -40,16 +38,6 @@ def topk_per_key(df: DataFrame, key, order: Sequence[Column], k: int,
     return out.withColumn(name, F.col(name).cast("long"))
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Return ``broadcast(df)`` only if ``df`` has at most ``max_rows`` rows.
-
-    The check is one cheap action (a bounded ``limit(max_rows + 1).count``).
-    Beyond the bound the frame is returned untouched and the join falls back
-    to AQE's runtime choice (shuffle hash / sort-merge, skew split)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def collect_distinct_children(edges: DataFrame, parent: str, child, out: str,
                               sort: bool = True) -> DataFrame:
     """``collect(distinct child)`` per parent, nulls dropped, sorted for

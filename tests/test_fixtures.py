@@ -166,6 +166,7 @@ def test_lineage_cycle_terminates(spark):
 def test_personal_popular_matches_path_enumeration(spark):
     """Weighted rewrite == brute-force path enumeration on a small fixture."""
     rows = [(f"u{u}", f"t{t}", 1 + (u * 7 + t) % 5) for u in range(12) for t in range(9) if (u + 2 * t) % 3 != 0]
+    rows += [(f"u{u}", f"t{u % 9}", 3) for u in range(12)] * 2 + [("solo", "t1", 1), ("solo", "t1", 2)]  # repeated edges
     reads = spark.createDataFrame(rows, "user_key string, table_key string, read_count long")
     tables = _tables(spark, [f"x://c.s/t{t}" for t in range(9)])
     fast = {(r.user_key, r.table_key): (r.co_readers, r.total_co_reads)
@@ -265,16 +266,6 @@ def test_apply_tags_sequential_type_rules(spark):
     assert sorted(r.reason for r in rej.collect()) == ["reserved badge name", "tag type badge"]
 
 
-def test_bounded_broadcast_only_under_the_bound(spark):
-    from catalytics.plans import bounded_broadcast
-    small = spark.range(10)
-    big = spark.range(1000)
-    a = spark.range(5).join(bounded_broadcast(small, 100), "id")
-    b = spark.range(5).join(bounded_broadcast(big, 100), "id")
-    assert "broadcast" in a._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in b._jdf.queryExecution().analyzed().toString().lower()
-    assert a.count() == 5 and b.count() == 5
-
 
 def test_basic_filter_and_paging(spark):
     docs = spark.createDataFrame(
