@@ -301,6 +301,9 @@ def test_prefix_bpe_is_the_library(spark, real):
         assert np.frombuffer(ids, "<u4").tolist() == want
         assert decoded == tok.decode(want, skip_special_tokens=False)
         assert lib.encode_all([t])[0].tolist() == want
+    every = odd_texts() + ["Word, word. WORD;! 12. a\x01b, \x01 , end."]
+    fresh = token_store.LibraryEncoder(tokenizer_path())
+    assert [x.tolist() for x in fresh.encode_all(every)] == [tok.encode(t, add_special_tokens=False).ids for t in every]
 
 
 def test_bpe_frames(spark):
