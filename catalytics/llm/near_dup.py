@@ -31,7 +31,8 @@ Classes:
 
 Defined results: texts of fewer than five words are one shingle of all their
 words; texts without words (null, empty) are classes of their own; rows that
-repeat an id count as one document; extra columns are not read.
+repeat an id count as one document, with one row's text: of the rows with
+words the one whose words have the smallest digest; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -172,17 +173,18 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int, counted: bool) -> DataFrame:
-    """(id, fp, size, bands, sig): fp is a digest of the words, size the
-    number of shingles (distinct, or all if ``counted``), sig the signature
-    with 16 bits a coordinate."""
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    """(id, key, fp, size, bands, sig) of each row with words: key is a hash
+    of the text, fp a digest of the words, size the number of shingles
+    (distinct, or all if ``counted``), sig the signature with 16 bits a
+    coordinate."""
+    slim = _keyed(docs, id_col, text_col)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at in range(0, len(b), 200):
                 some = b.iloc[at:at + 200]
-                elements, weights, owner, keep, fps, sizes = [], [], [], [], [], []
-                for d, t in zip(some["id"], some["text"]):
+                elements, weights, owner, keep, keys, fps, sizes = [], [], [], [], [], [], []
+                for d, k, t in zip(some["id"], some["key"], some["text"]):
                     hashes, words = shingles(t)
                     if not len(hashes):
                         continue
@@ -191,16 +193,17 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: in
                     weights.append(c.astype(np.float64) if counted else np.ones(len(e)))
                     owner.append(np.full(len(e), len(keep)))
                     keep.append(d)
+                    keys.append(k)
                     fps.append(hashlib.md5(words).digest())
                     sizes.append(int(c.sum()) if counted else len(e))
                 if keep:
                     sig = dart_minhash(np.concatenate(elements), np.concatenate(weights), np.concatenate(owner),
                                        len(keep), bands * rows)
-                    yield pd.DataFrame({"id": keep, "fp": fps, "size": sizes,
+                    yield pd.DataFrame({"id": keep, "key": keys, "fp": fps, "size": sizes,
                                         "bands": list(band_keys(sig, bands, rows)),
                                         "sig": list(sig.astype(np.uint16).view(np.int16))})
 
-    return slim.where(F.col("id").isNotNull()).mapInPandas(run, "id long, fp binary, size long, bands array<long>, sig array<smallint>")
+    return slim.where(F.col("id").isNotNull()).mapInPandas(run, "id long, key long, fp binary, size long, bands array<long>, sig array<smallint>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, similarity: float, counted: bool) -> DataFrame:
@@ -227,11 +230,15 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float, counted: bool
 
 def long_signatures(sets: DataFrame, t: int) -> DataFrame:
     """(rep, check): one bit of each of ``t`` coordinates, 64 to a long, by
-    shingle sets instead of texts; ``t`` is a multiple of 64."""
+    shingle sets instead of texts; ``t`` is a multiple of 64. Empty sets
+    have none."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for at in range(0, len(b), 100):
                 some = b.iloc[at:at + 100]
+                some = some[some["shingles"].map(len) > 0]
+                if some.empty:
+                    continue
                 found = [np.unique(np.frombuffer(x, "<u8"), return_counts=True) for x in some["shingles"]]
                 sig = dart_minhash(np.concatenate([e for e, _ in found]), np.concatenate([c for _, c in found]).astype(np.float64),
                                    np.repeat(np.arange(len(found)), [len(e) for e, _ in found]), len(found), t)
@@ -276,11 +283,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """One row per document id: the id, ``class_id`` (smallest id of its
     class) and ``class_size`` (documents of the class)."""
     sigs = persisted(signatures(docs, id_col, text_col, bands, rows, counted), "dart-signatures")
-    # equal word sequences: one representative, and the membership
-    reps = persisted(sigs.groupBy("fp").agg(F.min("id").alias("rep"), F.first("size").alias("size"),
-                                            F.first("bands").alias("bands"), F.first("sig").alias("sig")),
-                     "dart-distinct")
-    member = sigs.select("id", "fp").join(reps.select("fp", "rep"), "fp").groupBy("id").agg(F.min("rep").alias("rep"))
+    # one row of each id, then equal word sequences: one representative, and the membership
+    chosen = sigs.groupBy("id").agg(F.min(F.struct("fp", "key")).alias("of")).select("id", "of.fp", "of.key")
+    firsts = chosen.groupBy("fp").agg(F.min(F.struct("id", "key")).alias("of")) \
+        .select("fp", F.col("of.id").alias("rep"), F.col("of.key").alias("key"))
+    traits = sigs.groupBy("fp").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
+    reps = persisted(traits.join(firsts, "fp"), "dart-distinct")
+    member = chosen.select("id", "fp").join(reps.select("fp", "rep"), "fp").select("id", "rep")
     buckets = reps.select("rep", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = persisted(buckets.join(crowded, "bucket"), "dart-buckets")
@@ -290,7 +299,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     heads = ranked.groupBy("bucket").agg(F.max("rank").alias("head"))
     first = ranked.join(heads, "bucket").groupBy("rep").agg(F.max("head").alias("head")) \
         .select((-F.col("head.first")).alias("a"), F.col("rep").alias("b")).where("a <> b")
-    texts = shared.select(F.col("rep").alias("id")).distinct()
+    texts = reps.select("rep", "key").join(shared.select("rep").distinct(), "rep", "left_semi").withColumnRenamed("rep", "id")
     sets = persisted(_shingle_sets(docs, texts, id_col, text_col, counted), "dart-sets")
     links = persisted(verified(first, sets, similarity, counted), "dart-links")
     comp = components(links)
@@ -326,9 +335,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.join(sizes, "class_id").select(F.col("id").alias(id_col), "class_id", "class_size")
 
 
-def _shingle_sets(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, counted: bool) -> DataFrame:
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
-        .join(ids, "id", "left_semi").dropDuplicates(["id"])
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+
+
+def _shingle_sets(docs: DataFrame, texts: DataFrame, id_col: str, text_col: str, counted: bool) -> DataFrame:
+    """(id, shingles) of the texts named by (id, key)."""
+    slim = _keyed(docs, id_col, text_col).join(texts, ["id", "key"], "left_semi").dropDuplicates(["id", "key"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

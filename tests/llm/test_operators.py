@@ -257,6 +257,31 @@ def test_near_duplicates(spark, rng):
     assert all(r["class_size"] == sum(c == r["class_id"] for c in want.values()) for r in got) and len(got) == len(rows)
 
 
+def test_near_duplicates_one_row_an_id(spark, rng):
+    """Rows that share an id but differ: one of those with words counts."""
+    rows = []
+    for i in range(12):
+        a, b = prose(rng, 120, 5000), prose(rng, 120, 5000)
+        rows += [(i, None), (i, a), (i, "..."), (100 + i, a + " tail"), (200 + i, b + " tail"), (300 + i, a), (300 + i, b), (300 + i, "")]
+    rows += [(400, None), (400, "")]
+    texts = {}
+    for i, t in rows:
+        words = near_dup.shingles(t or "")[1]
+        texts[i] = min(texts.get(i, (b"\xff" * 17, t)), (hashlib.md5(words).digest() if words else b"\xff" * 16, t or ""))
+    want = brute_classes([(i, t) for i, (_, t) in texts.items()])
+    assert all(want[100 + i] == i for i in range(12))
+    for order in (rows, rows[::-1]):
+        got = near_dup.near_duplicates(make(spark, order)).collect()
+        assert {r["doc_id"]: r["class_id"] for r in got} == want and len(got) == len(want)
+
+
+def test_long_signatures_skip_empty_sets(spark):
+    full = near_dup.shingles("some words of one text")[0].astype("<u8").tobytes()
+    sets = spark.createDataFrame([(1, bytearray()), (2, bytearray(full))], "id long, shingles binary").coalesce(1)
+    assert [r["rep"] for r in near_dup.long_signatures(sets, 64).collect()] == [2]
+    assert near_dup.long_signatures(sets.where("id = 1"), 64).count() == 0
+
+
 def test_near_duplicates_real(spark, real):
     got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(make(spark, real)).collect()}
     assert got == brute_classes(real)
