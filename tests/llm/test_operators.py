@@ -105,6 +105,22 @@ def test_license_canonical_forms(spark):
     assert by[5] == by[6] == [(None, 0, "")] and by[8][0][0] == "Apache-2.0-header"
 
 
+def test_license_inside_a_document(spark):
+    mit, zlib_, apache = (licenses.KNOWN[k] for k in ("MIT", "Zlib", "Apache-2.0-header"))
+    body = mit.split("\n\n", 2)[2]
+    rows = [(7, "intro\n\n" + body + "\n\nend"), (1, "# Project\n\n" + mit + "\n\nusage\nmore"), (2, body),
+            (3, "The MIT License (MIT)\n\nCopyright (c) 2020 A\n\n" + body), (4, body + "\n\n---\n\n" + zlib_ + "\n\n" + mit),
+            (5, "/*\n * Copyright 2020 A\n *\n * " + apache.replace("\n", "\n * ") + "\n */\npackage a;\n\nclass B {}"),
+            (6, "intro\n\n" + "\n\n".join(body.split("\n\n")[:2]) + "\n\nend"),
+            (8, "intro\n\nReleased under the\nMIT License.\n\nReleased under the MIT License.\n\nend"),
+            (9, "Title\n\n" + licenses.KNOWN["BSD-3-Clause"].split("\n\n", 2)[2]), (10, "intro\n\nMIT License\n" + body.replace(". ", ".\n"))]
+    got = {r["doc_id"]: (r["license"], r["n_notices"], r["notices"]) for r in
+           licenses.scan_licenses(make(spark, rows), licenses.known_digests(spark)).collect()}
+    assert got == {7: (None, 1, "MIT"), 1: (None, 1, "MIT"), 2: ("MIT", 0, ""), 3: ("MIT", 0, ""),
+                   4: (None, 3, "MIT,Zlib"), 5: (None, 1, "Apache-2.0-header"), 6: (None, 0, ""),
+                   8: (None, 2, "MIT-notice"), 9: (None, 1, "BSD-3-Clause"), 10: (None, 1, "MIT")}
+
+
 # 3 -----------------------------------------------------------------------
 
 def test_quality_base(spark, real):
