@@ -2,12 +2,10 @@
 
 Base rules judge each text alone. The method then looks across documents:
 normalised lines are hashed, the distinct documents (by content, so exact
-copies count once) that hold a line are counted per host, lines of more
-documents than the host's limit are boilerplate and removed, and documents
-of which too little remains are rejected.
-
-A host's limit is ``MIN_HOLDERS`` documents or ``HOST_SHARE`` of the host's
-distinct documents, whichever is more.
+copies count once) that hold a line are counted per host, lines of more than
+``MIN_HOLDERS`` documents are boilerplate and removed, and documents of which
+too little remains are rejected. The limit is the same for hosts of every
+size, and every line with a word counts.
 
 Defined results: null and empty texts have no words and fail the base rules;
 a null host is a host of its own; repeated rows are judged alike; extra
@@ -28,10 +26,12 @@ from catalytics.llm.common import persisted
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_HOLDERS = 10
-HOST_SHARE = 0.005
+#: No part of a host's documents is added to the limit, and no line is too
+#: short to count; the oracle's text reads both.
+HOST_SHARE = 0
+MIN_LINE_CHARS = 1
 #: A document is depleted when less than this share of its words remains.
 MIN_REMAINING = 0.3
-MIN_LINE_CHARS = 20
 
 _SYMBOLS = b"#*$%&|<>"
 BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
@@ -65,14 +65,14 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def line_hashes(text: str) -> list[tuple[int, int]]:
-    """(hash, words) of each line that is long enough to be compared."""
+    """(hash, words) of each line with a word."""
     import xxhash
 
     out = []
     for line in text.encode().split(b"\n"):
         words = line.lower().split()
         key = b" ".join(words)
-        if len(key) >= MIN_LINE_CHARS:
+        if key:
             h = xxhash.xxh3_64_intdigest(key)
             out.append((h - (1 << 64) if h >> 63 else h, len(words)))
     return out
@@ -101,11 +101,8 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
                                               "lines array<struct<h: long, w: int>>"), "quality")
     # distinct (host, line, content), combined per task first; then holders per line
     held = table.select("host", "content", F.explode(F.array_distinct(F.col("lines.h"))).alias("h")).distinct()
-    holders = held.groupBy("host", "h").agg(F.count(F.lit(1)).alias("holders")) \
-        .where(F.col("holders") > MIN_HOLDERS)
-    sizes = table.select("host", "content").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_docs"))
-    common = holders.join(sizes, "host") \
-        .where(F.col("holders") > F.greatest(F.lit(MIN_HOLDERS), F.col("host_docs") * HOST_SHARE)).select("host", "h")
+    common = held.groupBy("host", "h").agg(F.count(F.lit(1)).alias("holders")) \
+        .where(F.col("holders") > MIN_HOLDERS).select("host", "h")
     # documents by content: copies on one host share their verdict
     lost = table.select("host", "content", "lines").dropDuplicates(["host", "content"]) \
         .select("host", "content", F.explode("lines").alias("l")).select("host", "content", "l.h", "l.w") \

@@ -146,6 +146,14 @@ def test_quality_line_frequency(spark, rng):
     assert all(got[i]["kept"] for i in got if i > 60)
 
 
+def test_quality_limit_of_a_large_host_and_short_lines(spark):
+    """A line of 12 documents goes from a host of 3,000 too, whatever its length."""
+    rows = [(2 * i, ("the boilerplate line of twelve documents\nHome\n" if i < 12 else "é\n" if i < 22 else "") + f"text number {i} of this host")
+            for i in range(3000)]
+    got = {r["doc_id"] // 2: r["n_removed_lines"] for r in quality.judge(make(spark, rows)).collect()}
+    assert got == {i: 2 if i < 12 else 0 for i in range(3000)}
+
+
 # 4 -----------------------------------------------------------------------
 
 def test_wavelet_matrix(rng):
