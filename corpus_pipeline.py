@@ -50,10 +50,10 @@ def keep_one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any benchmark window."""
-    found = decontaminate.find_items(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    hit = found.where(F.col("n_hit") > 0).select("doc_id")
-    return docs.join(hit, "doc_id", "left_anti").select(*docs.columns)
+    """Rows without any benchmark window, each judged by its own text."""
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("__doc"))
+    found = decontaminate.find_items(rows, table(spark, sf_dir, "benchmark"))
+    return found.where(F.col("n_hit") == 0).select("__doc.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

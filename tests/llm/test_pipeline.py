@@ -51,3 +51,14 @@ def test_stages_keep_the_columns_and_odd_rows(spark, sf_small):
         assert out.columns == docs.columns, name
         assert out.dtypes == docs.dtypes and out.count() == 5, name
     assert np.array([r["n_tokens"] for r in corpus_pipeline.STAGES[-1][1](spark, docs, sf_small).collect()]).min() == 0
+
+
+def test_contaminated_rows_go_by_their_own_text(spark, sf_small):
+    item = spark.read.parquet(f"{sf_small}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(None, item), (None, "no id, clean"), (7, item), (7, "shares its id, clean"), (8, None), (9, "clean")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], COLUMNS)
+    out = corpus_pipeline.drop_contaminated(spark, docs, sf_small)
+    assert out.dtypes == docs.dtypes
+    assert sorted((r["doc_id"], r["text"]) for r in out.collect() if r["doc_id"]) == [
+        (7, "shares its id, clean"), (8, None), (9, "clean")]
+    assert [r["text"] for r in out.collect() if r["doc_id"] is None] == ["no id, clean"]
