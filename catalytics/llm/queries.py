@@ -8,12 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catalytics.llm import (bpe, decontaminate, licenses, line_dedup, near_dup, quality, secrets, sharding,
-                            token_store, toxicity)
+from catalytics.llm import (bpe, decontaminate, licenses, line_dedup, near_dup, packing, quality, resampling, secrets,
+                            sharding, spelling, token_store, toxicity)
 from catalytics.llm.common import table
 from catalytics.session import scratch_path
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 N_SHARDS = 8
 
@@ -94,6 +95,26 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = scratch_path(spark, "llm-pieces")
+    packed = packing.pack(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BYTE_TOKENIZER),
+                          public_tokenizers.PATTERN)
+    return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_line_dedup, op2_license_scan, op3_quality_rules, op4_token_store, op5_secret_scan,
-                            op6_near_dup, op7_bpe, op8_sharding, op9_toxicity, op10_decontamination)}
+                            op6_near_dup, op7_bpe, op8_sharding, op9_toxicity, op10_decontamination,
+                            op11_importance_resampling, op12_best_fit_packing, op13_spelling_variants)}
