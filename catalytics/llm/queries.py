@@ -104,10 +104,12 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = scratch_path(spark, "llm-pieces")
-    packed = packing.pack(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BYTE_TOKENIZER),
-                          public_tokenizers.PATTERN)
-    return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
-                         F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+    packing.write_pieces(table(spark, sf_dir, "documents"), path, public_tokenizers.path(BYTE_TOKENIZER),
+                         public_tokenizers.PATTERN)
+    # the digest is taken where the ids are read, so placing moves no ids
+    pieces = packing.read_pieces(spark, path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(pieces).select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"),
+                                        "ids_crc32", "sequence_id", "offset")
 
 
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
