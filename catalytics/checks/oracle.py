@@ -46,34 +46,28 @@ oracle("popular_tables_by_stored_score", ["c_tables"], f"""
 SELECT {_HYD}, t.popularity_score FROM c_tables t WHERE upper(t.status) = 'ACTIVE'
 ORDER BY t.popularity_score DESC, t.key LIMIT {POPULAR_N}""")
 
-oracle("personal_popular_tables", ["c_reads"], f"""
-WITH w AS (SELECT a.user_key AS u, b.user_key AS co, count(*) AS w
-           FROM c_reads a JOIN c_reads b ON a.table_key = b.table_key AND a.user_key <> b.user_key
-           GROUP BY 1, 2),
-x AS (SELECT w.u, r.table_key AS t, r.read_count AS rc, w.w - CASE WHEN o.user_key IS NULL THEN 0 ELSE 1 END AS paths
-      FROM w JOIN c_reads r ON r.user_key = w.co
-      LEFT JOIN c_reads o ON o.user_key = w.u AND o.table_key = r.table_key),
-g AS (SELECT u, t, count(*) AS co_readers, cast(sum(rc * paths) AS BIGINT) AS total_co_reads
-      FROM x WHERE paths > 0 GROUP BY u, t HAVING count(*) >= {MIN_READERS}),
-s AS (SELECT *, co_readers * ln(total_co_reads) AS sc FROM g),
-k AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY sc DESC, t) AS rank FROM s)
-SELECT u AS user_key, t AS table_key, co_readers, total_co_reads, round(sc, 6) AS score, rank
-FROM k WHERE rank <= {PERSONAL_N}""")
-
-oracle("personal_popular_for_active_users", ["c_reads", "c_users"], f"""
-WITH w AS (SELECT a.user_key AS u, b.user_key AS co, count(*) AS w
-           FROM c_reads a JOIN c_reads b ON a.table_key = b.table_key AND a.user_key <> b.user_key
-           WHERE a.user_key IN (SELECT email FROM c_users WHERE is_active)
-           GROUP BY 1, 2),
-x AS (SELECT w.u, r.table_key AS t, r.read_count AS rc, w.w - CASE WHEN o.user_key IS NULL THEN 0 ELSE 1 END AS paths
-      FROM w JOIN c_reads r ON r.user_key = w.co
-      LEFT JOIN c_reads o ON o.user_key = w.u AND o.table_key = r.table_key),
-g AS (SELECT u, t, count(*) AS co_readers, cast(sum(rc * paths) AS BIGINT) AS total_co_reads
-      FROM x WHERE paths > 0 GROUP BY u, t HAVING count(*) >= {MIN_READERS}),
-s AS (SELECT *, co_readers * ln(total_co_reads) AS sc FROM g),
-k AS (SELECT *, row_number() OVER (PARTITION BY u ORDER BY sc DESC, t) AS rank FROM s)
-SELECT u AS user_key, t AS table_key, co_readers, total_co_reads, round(sc, 6) AS score, rank
-FROM k WHERE rank <= {PERSONAL_N}""")
+# every path by its edges: user, shared table, co-reader, table
+_PATHS = f"""
+p AS (SELECT a.user_key AS u, c.table_key AS t, b.user_key AS co, sum(c.read_count) AS rc
+      FROM asking a JOIN e b ON b.table_key = a.table_key AND b.user_key <> a.user_key
+      JOIN e c ON c.user_key = b.user_key AND c.table_key <> b.table_key GROUP BY 1, 2, 3),
+g AS (SELECT u, t, count(*) AS co_readers, cast(sum(rc) AS BIGINT) AS total_co_reads
+      FROM p GROUP BY u, t HAVING count(*) >= {MIN_READERS}),
+k AS (SELECT u.user_key, t.table_key, co_readers, total_co_reads, co_readers * ln(total_co_reads) AS sc
+      FROM g JOIN us u ON u.id = g.u JOIN ts t ON t.id = g.t),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_key ORDER BY sc DESC, table_key) AS rank FROM k)
+SELECT user_key, table_key, co_readers, total_co_reads, round(sc, 6) AS score, rank,
+       database, cluster, schema, name, description
+FROM r LEFT JOIN c_tables ON key = table_key WHERE rank <= {PERSONAL_N}"""
+_EDGES = """
+us AS (SELECT user_key, row_number() OVER () AS id FROM (SELECT DISTINCT user_key FROM c_read_edges)),
+ts AS (SELECT table_key, row_number() OVER () AS id FROM (SELECT DISTINCT table_key FROM c_read_edges)),
+e AS (SELECT us.id AS user_key, ts.id AS table_key, read_count FROM c_read_edges JOIN us USING (user_key) JOIN ts USING (table_key)),"""
+
+oracle("personal_popular_tables", ["c_read_edges", "c_tables"], f"WITH {_EDGES} asking AS (SELECT * FROM e), {_PATHS}")
+
+oracle("personal_popular_for_active_users", ["c_read_edges", "c_tables", "c_users"], f"""WITH {_EDGES}
+asking AS (SELECT e.* FROM e JOIN us ON us.id = e.user_key WHERE us.user_key IN (SELECT email FROM c_users WHERE is_active)), {_PATHS}""")
 
 oracle("personal_tables_own_reads", ["c_reads"], f"""
 WITH g AS (SELECT user_key, table_key, count(*) AS readers, cast(sum(read_count) AS BIGINT) AS total_reads
@@ -329,11 +323,11 @@ FROM c_tables t LEFT JOIN (
   SELECT resource_key, list_sort(list(DISTINCT user_key)) AS l FROM c_owners
   WHERE user_key IN (SELECT email FROM c_users WHERE is_active) GROUP BY 1) o ON o.resource_key = t.key""")
 
-oracle("co_reader_paths", ["c_reads"], """
+oracle("co_reader_paths", ["c_read_edges"], """
 SELECT a.user_key, count(*) AS n_paths, count(DISTINCT b.user_key) AS n_co_readers,
        cast(sum(c.read_count) AS BIGINT) AS path_reads
-FROM c_reads a JOIN c_reads b ON a.table_key = b.table_key AND a.user_key <> b.user_key
-JOIN c_reads c ON c.user_key = b.user_key AND c.table_key <> a.table_key
+FROM c_read_edges a JOIN c_read_edges b ON a.table_key = b.table_key AND a.user_key <> b.user_key
+JOIN c_read_edges c ON c.user_key = b.user_key AND c.table_key <> a.table_key
 GROUP BY a.user_key""")
 
 oracle("orphan_check", ["c_change_feed", "c_tables"], """

@@ -44,6 +44,10 @@ VIEWS: dict[str, tuple[list[str], str]] = {
                      max(CASE WHEN o_orderstatus = 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END) AS published_tag
               FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey) e
         JOIN part ON e.l_partkey = p_partkey"""),
+    "c_read_edges": ([], f"""
+        SELECT {email('o_custkey')} AS user_key, {tkey()} AS table_key, cast(l_linenumber as bigint) AS read_count,
+               cast(o_orderdate as date) AS read_date
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""),
     "c_owners": ([], f"""
         SELECT {tkey()} AS resource_key, {email('e.l_suppkey')} AS user_key
         FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) e

@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from catalytics.operators.co_readers import co_reader_tops
 from catalytics.plans import topk_per_key
-from catalytics.session import scratch_path
 
 
 def _hydrate_tables(top: DataFrame, tables: DataFrame, key: str = "table_key") -> DataFrame:
@@ -66,56 +66,17 @@ def personal_popular_tables(reads: DataFrame, tables: DataFrame, n: int = 10,
     """Per user: tables read by co-readers (peers sharing another table).
 
     Path semantics (u, T, co, t) with co != u and t != T; several READ edges
-    of one user and table give as many paths. Rewritten without enumerating
-    T: with k edges per (user, table), w(u, co) = sum over T of
-    k(u, T) * k(co, T), and w(u, co) - k(u, t) * k(co, t) paths lead through
-    co to t. co counts once, and not at all if t is the only table it shares
-    with u. total = sum of read_count over paths.
-
-    Plan: the edges are aggregated to one row per (user, table) and written
-    once under dense 64-bit ids, then joined on the shared table, aggregated
-    to pairs, joined to the co-readers' edges and aggregated to (u, t): plain
-    joins and combining aggregates, split by AQE where a key is hot."""
-    edges = _written(reads.groupBy("user_key", "table_key").agg(
-        F.count(F.lit(1)).alias("k"), F.coalesce(F.sum("read_count"), F.lit(0)).alias("rc")), "co-edges")
-    umap = _written(edges.select("user_key").distinct()
-                    .withColumn("u", F.monotonically_increasing_id()), "co-users")
-    tmap = _written(edges.select("table_key").distinct()
-                    .withColumn("t", F.monotonically_increasing_id()), "co-tables")
-    e = _written(edges.join(umap, "user_key").join(tmap, "table_key").select("u", "t", "k", "rc"),
-                 "co-reads")
-    left = e.select("u", F.col("t").alias("via"), F.col("k").alias("ku"))
-    if users is not None:
-        left = left.join(users.select("user_key").distinct().join(umap, "user_key").select("u"),
-                         "u", "left_semi")
-    right = e.select(F.col("u").alias("co"), F.col("t").alias("via"), "k")
-    pairs = (left.join(right, "via").where(F.col("u") != F.col("co")).groupBy("u", "co")
-             .agg(F.sum(F.col("ku") * F.col("k")).alias("w"), F.count(F.lit(1)).alias("shared"),
-                  F.min("via").alias("via")))
-    # Exact prune: co_readers(u, t) <= readers(t).
-    eligible = (e.groupBy("t").agg(F.count(F.lit(1)).alias("_nr"))
-                .where(F.col("_nr") >= min_readers).select("t"))
-    co_reads = e.join(eligible, "t", "left_semi").select(F.col("u").alias("co"), "t", "k", "rc")
-    only_t = (F.col("shared") == 1) & (F.col("via") == F.col("t"))
-    agg = pairs.join(co_reads, "co").groupBy("u", "t").agg(
-        F.count_if(~only_t).alias("co_readers"), F.sum(F.col("rc") * F.col("w")).alias("tot"),
-        F.sum(F.col("rc") * F.col("k")).alias("tot_own")) \
-        .where((F.col("co_readers") >= min_readers) & (F.col("co_readers") > 0))
-    own = e.select("u", "t", F.col("k").alias("ku"))
-    res = agg.join(own, ["u", "t"], "left").select(
-        "u", "t", "co_readers",
-        (F.col("tot") - F.coalesce("ku", F.lit(0)) * F.col("tot_own")).alias("total_co_reads")) \
-        .withColumn("score", F.col("co_readers") * F.log(F.col("total_co_reads")))
-    top = topk_per_key(res.join(umap, "u").join(tmap, "t"), "user_key",
-                       [F.desc("score"), F.asc("table_key")], n, rank_col="rank")
-    return top.select("user_key", "table_key", "co_readers", "total_co_reads", "score", "rank")
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder, computed once."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    of one user and table give as many paths. A co-reader counts once, and not
+    at all for a table that is the only one it shares with the user; total is
+    the sum of read_count over paths. Joined and summed by blocks of users
+    (``co_readers.co_reader_tops``), then hydrated with the columns that
+    ``tables`` has of hierarchy and description; a table without a record
+    keeps its rank."""
+    top = co_reader_tops(reads, n, min_readers, users)
+    top = top.withColumn("score", F.col("co_readers") * F.log(F.col("total_co_reads")))
+    found = [c for c in ("database", "cluster", "schema", "name", "description") if c in tables.columns]
+    return top.join(tables.select(F.col("key").alias("table_key"), *found), "table_key", "left").select(
+        "user_key", "table_key", "co_readers", "total_co_reads", "score", "rank", *found)
 
 
 def personal_tables_own_reads(reads: DataFrame, n: int = 10, min_readers: int = 10) -> DataFrame:

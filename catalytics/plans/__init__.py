@@ -4,4 +4,5 @@ from catalytics.plans.fragments import (  # noqa: F401
     collect_distinct_children,
     cut_lineage,
     topk_per_key,
+    written,
 )

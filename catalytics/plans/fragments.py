@@ -8,6 +8,7 @@
 * ``collect_distinct_children``: pre-aggregate a child edge table to one
   row per parent *before* joining, so parent x child x child never fans out.
 * ``cut_lineage``: checkpoint to the shared folder named by the session.
+* ``written``: a table in the shared folder, computed once for several readers.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from catalytics.session import ensure_checkpoint_dir
+from catalytics.session import ensure_checkpoint_dir, scratch_path
 
 
 def _cols(cols) -> list:
@@ -59,3 +60,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     checkpoint in the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, computed once."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -201,7 +201,7 @@ def owners_with_fallback(spark, sf):
 @register("co_reader_paths")
 def co_reader_paths(spark, sf):
     """Path statistics per user (weighted form; no path enumeration)."""
-    return D.co_reader_path_stats(_catalog(spark, sf).reads)
+    return D.co_reader_path_stats(_catalog(spark, sf).read_edges)
 
 
 @register("orphan_check")

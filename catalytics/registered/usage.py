@@ -41,10 +41,8 @@ def popular_tables_by_stored_score(spark, sf):
 @register("personal_popular_tables")
 def personal_popular_tables(spark, sf):
     c = _catalog(spark, sf)
-    df = U.personal_popular_tables(c.reads, c.tables, n=PERSONAL_N, min_readers=MIN_READERS)
-    return df.select("user_key", "table_key", "co_readers",
-                     F.col("total_co_reads").cast("long").alias("total_co_reads"),
-                     r6(F.col("score")).alias("score"), "rank")
+    df = U.personal_popular_tables(c.read_edges, c.tables, n=PERSONAL_N, min_readers=MIN_READERS)
+    return df.withColumn("score", r6(F.col("score")))
 
 
 @register("personal_tables_own_reads")
@@ -136,7 +134,5 @@ def personal_popular_for_active_users(spark, sf):
     asking (here every active user)."""
     c = _catalog(spark, sf)
     asking = c.users.where(F.col("is_active")).select(F.col("email").alias("user_key"))
-    df = U.personal_popular_tables(c.reads, c.tables, n=PERSONAL_N, min_readers=MIN_READERS, users=asking)
-    return df.select("user_key", "table_key", "co_readers",
-                     F.col("total_co_reads").cast("long").alias("total_co_reads"),
-                     r6(F.col("score")).alias("score"), "rank")
+    df = U.personal_popular_tables(c.read_edges, c.tables, n=PERSONAL_N, min_readers=MIN_READERS, users=asking)
+    return df.withColumn("score", r6(F.col("score")))

@@ -14,6 +14,7 @@ databases/...      distinct hierarchy levels of ``tables``
 users              ``customer``; manager = custkey div 10
 reads              ``lineitem`` x ``orders``: one READ edge per
                    (customer, part), read_count = lines, date = last order
+read_edges         the same edges one by one, one per order line
 owners             (part, supplier) of first lines of returned items
 tags               words of ``p_name`` (tables), priority word (dashboards)
 badges             size band of ``p_size`` (+ a status badge)
@@ -171,6 +172,17 @@ class Catalog:
             part_table_key(p.p_brand, p.p_type, p.p_partkey).alias("table_key"),
             "read_count", "read_date", "published_tag")
 
+    @cached_property
+    def read_edges(self) -> DataFrame:
+        """READ edges as recorded, one per order line: a user can have several
+        with one table. read_count is the line number."""
+        li = self.raw("lineitem").select("l_orderkey", "l_partkey", F.col("l_linenumber").cast("long").alias("read_count"))
+        o = self.raw("orders").select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("read_date"))
+        p = self.raw("part").select("p_partkey", "p_brand", "p_type")
+        return (li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+                .select(user_email(F.col("o_custkey")).alias("user_key"),
+                        part_table_key(p.p_brand, p.p_type, p.p_partkey).alias("table_key"), "read_count", "read_date"))
+
     # ------------------------------------------------------------ owners
     @cached_property
     def owners(self) -> DataFrame:
