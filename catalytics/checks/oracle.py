@@ -894,34 +894,43 @@ oracle("event_enjoyment_daily", ["c_sensor_events"], _ENJOY.format(day=", day"))
 
 _SENSOR_OK = """SELECT pet_id, event_id, event_type, event_sentiment, event_duration, event_date_time,
        make_timestamp(cast(event_date_time AS BIGINT) * 1000) AS event_ts
-FROM c_sensor_events WHERE cast(event_id AS BIGINT) % 50 <> 0"""
+FROM c_sensor_events"""
 
 oracle("ingest_events_batch", ["c_sensor_events"], _SENSOR_OK)
 oracle("ingest_events_stream", ["c_sensor_events"], _SENSOR_OK)
 oracle("stream_dedup_events", ["c_sensor_events"], _SENSOR_OK)
 
-oracle("ingest_events_rejects", ["c_sensor_events"], """
+_REJECTS = """
 SELECT substr('{"pet_id":' || cast(pet_id AS VARCHAR) || ',"event_id":"' || event_id || '",', 1, 20) AS record,
        'malformed' AS reason
-FROM c_sensor_events WHERE cast(event_id AS BIGINT) % 50 = 0""")
+FROM c_sensor_events WHERE cast(event_id AS BIGINT) % 50 = 0"""
+
+oracle("ingest_events_rejects", ["c_sensor_events"], _REJECTS)
+oracle("ingest_events_stream_rejects", ["c_sensor_events"], _REJECTS)
 
 _EV = f"""
-, ev AS ({_SENSOR_OK}),
-wm AS (SELECT max(event_ts) - INTERVAL 1 HOUR AS w FROM ev)"""
+, ev AS ({_SENSOR_OK})"""
 
 oracle("stream_activity_windows", ["c_sensor_events"], _EV + """
-SELECT window_start, window_end, pet_id, event_type, n, mean_sentiment FROM (
-  SELECT date_trunc('day', event_ts) AS window_start, date_trunc('day', event_ts) + INTERVAL 1 DAY AS window_end,
+SELECT date_trunc('day', event_ts) AS window_start, date_trunc('day', event_ts) + INTERVAL 1 DAY AS window_end,
          pet_id, event_type, count(*) AS n, round(avg(event_sentiment), 6) AS mean_sentiment
-  FROM ev GROUP BY ALL) WHERE window_end <= (SELECT w FROM wm)""")
+  FROM ev GROUP BY ALL""")
+
+# rows of the first third of time are late once the second has been read, unless their window is still open then
+oracle("stream_late_rows", ["c_sensor_events"], """
+, m AS (SELECT cast(event_date_time AS BIGINT) AS ms FROM c_sensor_events),
+b AS (SELECT min(ms) AS lo, (max(ms) - min(ms)) // 3 + 1 AS width FROM m),
+s AS (SELECT ms, (ms - lo) // width AS part FROM m, b),
+w AS (SELECT max(ms) - 3600000 AS late FROM s WHERE part = 1),
+l AS (SELECT count(*) FILTER (part = 0 AND (ms // 86400000 + 1) * 86400000 <= late) AS rows_late, count(*) AS rows_read FROM s, w)
+SELECT rows_read, rows_read - rows_late AS rows_counted, rows_late FROM l""")
 
 oracle("stream_activity_sliding", ["c_sensor_events"], _EV + """
 , b AS (SELECT date_trunc('day', event_ts) AS window_start, * FROM ev
         UNION ALL SELECT date_trunc('day', event_ts) - INTERVAL 1 DAY, * FROM ev)
 SELECT window_start, window_start + INTERVAL 2 DAY AS window_end, pet_id, event_type, count(*) AS n,
        round(avg(event_sentiment), 6) AS mean_sentiment
-FROM b GROUP BY window_start, pet_id, event_type
-HAVING window_start + INTERVAL 2 DAY <= (SELECT w FROM wm)""")
+FROM b GROUP BY window_start, pet_id, event_type""")
 
 oracle("stream_sessions", ["c_sensor_events"], _EV + """,
 f AS (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY pet_id ORDER BY event_ts) < INTERVAL 6 HOUR
@@ -929,7 +938,7 @@ f AS (SELECT *, CASE WHEN event_ts - lag(event_ts) OVER (PARTITION BY pet_id ORD
 s AS (SELECT *, sum(new_s) OVER (PARTITION BY pet_id ORDER BY event_ts ROWS UNBOUNDED PRECEDING) AS sid FROM f)
 SELECT pet_id, min(event_ts) AS session_start, max(event_ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n_events,
        cast(sum(event_duration) AS BIGINT) AS duration
-FROM s GROUP BY pet_id, sid HAVING max(event_ts) + INTERVAL 6 HOUR <= (SELECT w FROM wm)""")
+FROM s GROUP BY pet_id, sid""")
 
 oracle("stream_action_usage", ["c_action_log"], """
 SELECT date_trunc('day', make_timestamp(start_epoch_ms * 1000)) AS day, command, "user", count(*) AS n_actions,
@@ -937,6 +946,10 @@ SELECT date_trunc('day', make_timestamp(start_epoch_ms * 1000)) AS day, command,
 FROM c_action_log GROUP BY ALL""")
 
 ORACLES["stream_catalog_changes"] = ORACLES["apply_descriptions"]
+ORACLES["stream_catalog_owners"] = ORACLES["apply_owners"]
+ORACLES["stream_catalog_tags"] = ORACLES["apply_tags"]
+ORACLES["stream_catalog_badges"] = ORACLES["apply_badges"]
+ORACLES["stream_catalog_relations"] = ORACLES["apply_user_relations"]
 
 oracle("catalog_scan", ["c_reads"], """
 SELECT table_key, cast(sum(read_count) AS BIGINT) AS reads FROM c_reads GROUP BY 1""")

@@ -14,6 +14,7 @@ from catalytics.session import scratch_path
 from catalytics.sources import events as EV
 from catalytics.sources import preview as PV
 from catalytics.streaming import events as ST
+from catalytics.streaming.state import CatalogState, stream_into
 
 # Fixed parameters of the registered queries.
 DENY_SCHEMAS = ["small"]
@@ -160,16 +161,28 @@ def event_enjoyment_daily(spark, sf):
     return event_enjoyment(_catalog(spark, sf).sensor_events, by_day=True)
 
 
-def _write_sensor_json(spark, c, name, copies_every: int | None = None):
+#: Parts in which the sensor events of the streaming queries arrive, and files of each.
+DELIVERIES, FILES = 3, 2
+
+
+def _write_sensor_json(spark, c, name):
     path = scratch_path(spark, name)
-    lines = EV.sensor_json_lines(c.sensor_events)
-    if copies_every:
-        dup = c.sensor_events.where(F.col("event_id").cast("long") % copies_every == 1)
-        lines = lines.unionByName(EV.sensor_json_lines(dup))
-    lines.write.text(path)
+    EV.sensor_json_lines(c.sensor_events).write.text(path)
     return path
 
 
+def _delivered(spark, c, name, copies_every=None, end=True, order=None):
+    """A stream over events that arrive in several parts and then end."""
+    events, path = c.sensor_events, scratch_path(spark, name)
+    if copies_every:
+        events = events.unionByName(events.where(F.col("event_id").cast("long") % copies_every == 1))
+    EV.deliver(events, path, DELIVERIES, order, FILES)
+    if end:
+        last = events.agg(F.max(F.col("event_date_time").cast("long"))).first()[0] or 0
+        EV.deliver_end(spark, path, last + 365 * 86_400_000)
+    return EV.ingest_events_stream(spark, path, FILES)[0]
+
+
 @register("ingest_events_batch")
 def ingest_events_batch(spark, sf):
     c = _catalog(spark, sf)
@@ -195,79 +208,121 @@ def _ntz(df):
 def _stream_to_table(spark, df, name, mode="append"):
     out, chk = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-chk")
     ST.run_to_files(df, out, chk, mode)
-    return _ntz(spark.read.parquet(out if mode == "append" else f"{out}/*"))
+    return _ntz(spark.read.parquet(out))
+
+
+def _ingest_stream(spark, sf, sink):
+    c = _catalog(spark, sf)
+    path, out = scratch_path(spark, "stream-in"), scratch_path(spark, "stream-out")
+    EV.deliver(c.sensor_events, path, DELIVERIES, files=FILES)
+    EV.ingest_stream_to(spark, path, out, scratch_path(spark, "stream-chk"), FILES)
+    return spark.read.parquet(f"{out}/{sink}").drop("batch")
 
 
 @register("ingest_events_stream")
 def ingest_events_stream(spark, sf):
-    c = _catalog(spark, sf)
-    ok, _ = EV.ingest_events_stream(spark, _write_sensor_json(spark, c, "stream-in"))
-    return _stream_to_table(spark, ok, "ingest-stream")
+    return _ntz(_ingest_stream(spark, sf, "events"))
+
+
+@register("ingest_events_stream_rejects")
+def ingest_events_stream_rejects(spark, sf):
+    return _ingest_stream(spark, sf, "rejects")
 
 
 @register("stream_dedup_events")
 def stream_dedup_events(spark, sf):
-    c = _catalog(spark, sf)
-    ok, _ = EV.ingest_events_stream(spark, _write_sensor_json(spark, c, "dedup-in", copies_every=10))
-    return _stream_to_table(spark, ST.stream_dedup_events(ok), "dedup")
+    s = _delivered(spark, _catalog(spark, sf), "dedup-in", copies_every=10, end=False)
+    return _stream_to_table(spark, ST.stream_dedup_events(s), "dedup")
 
 
 @register("stream_activity_windows")
 def stream_activity_windows(spark, sf):
-    c = _catalog(spark, sf)
-    ok, _ = EV.ingest_events_stream(spark, _write_sensor_json(spark, c, "win-in"))
-    return _stream_to_table(spark, ST.stream_activity_windows(ok, "1 day", None, "1 hour"), "win")
+    s = _delivered(spark, _catalog(spark, sf), "win-in")
+    return _stream_to_table(spark, ST.stream_activity_windows(s, "1 day", None, "1 hour"), "win")
 
 
 @register("stream_activity_sliding")
 def stream_activity_sliding(spark, sf):
-    c = _catalog(spark, sf)
-    ok, _ = EV.ingest_events_stream(spark, _write_sensor_json(spark, c, "slide-in"))
-    return _stream_to_table(spark, ST.stream_activity_windows(ok, "2 days", "1 day", "1 hour"), "slide")
+    s = _delivered(spark, _catalog(spark, sf), "slide-in")
+    return _stream_to_table(spark, ST.stream_activity_windows(s, "2 days", "1 day", "1 hour"), "slide")
 
 
 @register("stream_sessions")
 def stream_sessions(spark, sf):
+    s = _delivered(spark, _catalog(spark, sf), "sess-in")
+    return _stream_to_table(spark, ST.stream_sessions(s, "6 hours", "1 hour"), "sess")
+
+
+@register("stream_late_rows")
+def stream_late_rows(spark, sf):
+    """Events that come in the wrong order, the first span last: rows read,
+    counted in windows and left out as late, which add up."""
     c = _catalog(spark, sf)
-    ok, _ = EV.ingest_events_stream(spark, _write_sensor_json(spark, c, "sess-in"))
-    return _stream_to_table(spark, ST.stream_sessions(ok, "6 hours", "1 hour"), "sess")
+    s = _delivered(spark, c, "late-in", order=[1, 2, 0])
+    t = _stream_to_table(spark, ST.stream_activity_windows(s, "1 day", None, "1 hour"), "late")
+    counted = t.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows_counted"))
+    read = c.sensor_events.agg(F.count(F.lit(1)).alias("rows_read"))
+    return read.join(counted).select("rows_read", "rows_counted",
+                                     (F.col("rows_read") - F.col("rows_counted")).alias("rows_late"))
+
+
+def _parts(spark, df, by, name):
+    """``df`` written in three parts by ranges of ``by``, in order; a stream
+    that takes one part per micro-batch."""
+    path = scratch_path(spark, name)
+    span = df.agg(F.min(by).alias("lo"), F.max(by).alias("hi")).first()
+    width = ((span["hi"] or 0) - (span["lo"] or 0)) // DELIVERIES + 1
+    for k in range(DELIVERIES):
+        part = df.where(F.floor((F.col(by) - F.lit(span["lo"] or 0)) / F.lit(width)) == k)
+        part.repartition(FILES).write.mode("append").parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", FILES).parquet(path)
 
 
 @register("stream_action_usage")
 def stream_action_usage(spark, sf):
     c = _catalog(spark, sf)
-    path = scratch_path(spark, "actions-in")
-    c.action_log.write.parquet(path)
-    s = spark.readStream.schema(c.action_log.schema).parquet(path).withColumn(
+    s = _parts(spark, c.action_log, "start_epoch_ms", "actions-in").withColumn(
         "action_ts", F.timestamp_millis("start_epoch_ms"))
     t = _stream_to_table(spark, ST.stream_action_usage(s, "1 day", "1 hour"), "actions", mode="update")
-    # update mode re-emits a key when it changes; the last emission is final
-    return t.groupBy("day", "command", "user").agg(F.max("n_actions").alias("n_actions"),
-                                                   F.max("n_errors").alias("n_errors"))
+    # update mode emits a key again when it changes; that of the last batch holds
+    last = t.groupBy("day", "command", "user").agg(F.max_by(F.struct("n_actions", "n_errors"), "batch").alias("m"))
+    return last.select("day", "command", "user", "m.*")
+
+
+def _streamed_state(spark, sf, kind):
+    """The change feed in several micro-batches over bucketed state."""
+    from catalytics.registered.changes import BADGE_WHITELIST, _descs, _follows, _whitelist
+    c = _catalog(spark, sf)
+    state = CatalogState(spark, scratch_path(spark, "catalog-state"), c.tables, _whitelist(spark),
+                         [b for b, _ in BADGE_WHITELIST], kinds=[kind])
+    state.start(description=_descs(c), owner=c.owners, tag=c.tags, badge=c.badges, follow=_follows(c))
+    stream_into(state, _parts(spark, c.change_feed, "seq", "changes-in"), scratch_path(spark, "catalog-chk"))
+    return state.read(kind)
 
 
 @register("stream_catalog_changes")
 def stream_catalog_changes(spark, sf):
-    """Description changes applied per micro-batch into versioned state."""
-    from catalytics.operators.changes import apply_descriptions
-    c = _catalog(spark, sf)
-    feed = scratch_path(spark, "changes-in")
-    c.change_feed.write.parquet(feed)
-    state = scratch_path(spark, "desc-state")
-    base = c.tables.where(F.col("description").isNotNull()).select(
-        F.col("key").alias("resource_key"), "description")
-    base.write.parquet(f"{state}/v=-1")
-    tables = c.tables.select("key")
+    return _streamed_state(spark, sf, "description")
+
+
+@register("stream_catalog_owners")
+def stream_catalog_owners(spark, sf):
+    return _streamed_state(spark, sf, "owner")
+
+
+@register("stream_catalog_tags")
+def stream_catalog_tags(spark, sf):
+    return _streamed_state(spark, sf, "tag")
+
+
+@register("stream_catalog_badges")
+def stream_catalog_badges(spark, sf):
+    return _streamed_state(spark, sf, "badge")
 
-    def apply(batch, batch_id, state_dir):
-        sp = batch.sparkSession
-        prev = sp.read.parquet(f"{state_dir}/v={batch_id - 1}")
-        new, _ = apply_descriptions(prev, batch, tables)
-        new.write.mode("overwrite").parquet(f"{state_dir}/v={batch_id}")
 
-    stream = spark.readStream.schema(c.change_feed.schema).parquet(feed)
-    ST.stream_catalog_changes(stream, apply, state, scratch_path(spark, "desc-chk"))
-    return ST.read_latest_state(spark, state)
+@register("stream_catalog_relations")
+def stream_catalog_relations(spark, sf):
+    return _streamed_state(spark, sf, "follow")
 
 
 @register("catalog_scan")
@@ -355,8 +410,8 @@ def stream_registration_join(spark, sf):
     assumed small)."""
     from catalytics.operators.details import event_registration_join
     c = _catalog(spark, sf)
-    ok, _ = EV.ingest_events_stream(spark, _write_sensor_json(spark, c, "reg-in"))
-    return _stream_to_table(spark, event_registration_join(ok, c.pet_registry), "reg")
+    s = _delivered(spark, c, "reg-in", end=False)
+    return _stream_to_table(spark, event_registration_join(s, c.pet_registry), "reg")
 
 
 # Fixed parameters: preview allow-list and rows per source.

@@ -79,12 +79,9 @@ def stream_catalog_changes(changes: DataFrame, apply_fn, state_dir: str, checkpo
     return q
 
 
-def read_latest_state(spark, state_dir: str) -> DataFrame:
-    """Newest version of a versioned state folder (``v=<batch id>``
-    sub-folders). The version numbers come from the file listing
-    (``inputFiles``, no data scan); partition pruning then reads only that
-    version."""
-    import re
-    df = spark.read.parquet(state_dir)
-    versions = {int(m.group(1)) for f in df.inputFiles() if (m := re.search(r"/v=(-?\d+)/", f))}
-    return df.where(F.col("v") == max(versions)).drop("v")
+def late_rows(query: StreamingQuery) -> dict[str, int]:
+    """What a finished query's progress says: rows read, and rows (partial
+    groups, for an aggregate) that came after the watermark."""
+    done = query.recentProgress
+    return {"rows_in": sum(p.numInputRows for p in done),
+            "late": sum(o.numRowsDroppedByWatermark for p in done for o in p.stateOperators)}
