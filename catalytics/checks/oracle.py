@@ -549,6 +549,30 @@ SELECT m.root_key, m.node, min(r.prev) AS parent, m.level, 'downstream' AS direc
 FROM m JOIN r ON r.root_key = m.root_key AND r.node = m.node AND r.level = m.level
 WHERE m.level > 0 GROUP BY m.root_key, m.node, m.level""")
 
+def _edge_items(direction: str) -> str:
+    src, dst = ("downstream_key", "upstream_key") if direction == "upstream" else ("upstream_key", "downstream_key")
+    n = direction[0]
+    return f"""
+{n}_e AS (SELECT DISTINCT {src} AS src, {dst} AS dst, NOT (s.is_view OR d.is_view) AS kept
+          FROM c_lineage JOIN c_tables s ON s.key = {src} JOIN c_tables d ON d.key = {dst}),
+{n}_r AS (WITH RECURSIVE w(root, node, hop) AS (
+    SELECT key, key, 0 FROM c_tables UNION SELECT root, e.dst, hop + 1 FROM w JOIN {n}_e e ON e.src = node WHERE hop < 2)
+  SELECT DISTINCT root, node FROM w),
+{n}_g AS (SELECT root, src, dst FROM {n}_r JOIN {n}_e ON src = node WHERE kept),
+{n}_l AS (WITH RECURSIVE w(root, node, level) AS (
+    SELECT key, key, 0 FROM c_tables
+    UNION SELECT w.root, g.dst, level + 1 FROM w JOIN {n}_g g ON g.root = w.root AND g.src = w.node WHERE level < 20)
+  SELECT root, node, min(level) AS level FROM w GROUP BY 1, 2),
+{n}_p AS (SELECT root, {'src AS key, min(dst)' if direction == 'upstream' else 'dst AS key, min(src)'} AS parent FROM {n}_g GROUP BY 1, 2),
+{n}_i AS (SELECT g.root AS root_key, '{direction}' AS direction, {'dst' if direction == 'upstream' else 'src'} AS upstream_key,
+    {'src' if direction == 'upstream' else 'dst'} AS downstream_key, dst AS key, coalesce(l.level, -1) AS level,
+    coalesce(p.parent, '') AS parent, split_part(dst, '://', 1) AS source, cast(0 AS BIGINT) AS usage
+  FROM {n}_g g LEFT JOIN {n}_l l ON l.root = g.root AND l.node = g.dst LEFT JOIN {n}_p p ON p.root = g.root AND p.key = g.dst)"""
+
+
+oracle("lineage_edge_items", ["c_lineage", "c_tables"],
+       "WITH " + _edge_items("upstream").lstrip() + "," + _edge_items("downstream") + "\nSELECT * FROM u_i UNION ALL SELECT * FROM d_i")
+
 oracle("collapse_processes", ["c_process_relations", "c_process_entities"], """
 , ds AS (SELECT guid, qualified_name FROM c_process_entities WHERE ends_with(type_name, 'table')),
 pr AS (SELECT guid FROM c_process_entities WHERE type_name = 'Process'),

@@ -271,14 +271,17 @@ def owned_resources_union(owner_edges: DataFrame, resources: DataFrame, users: D
     """Owned = resources in the user's OWNS edges union resources whose
     owner field starts with the lower-cased user id."""
     by_edge = owner_edges.select("user_key", F.col("resource_key").alias("key"))
-    # Prefix match as an equi-join: every prefix of the (short) owner field
-    # is exploded and joined on equality with the lower-cased user id --
-    # linear in the field length, never a nested loop.
-    r = resources.select("key", F.lower(F.col(owner_field)).alias("_owner"))
-    pref = r.select("key", F.explode(F.transform(
-        F.sequence(F.lit(1), F.length("_owner")),
-        lambda n: F.substring(F.col("_owner"), F.lit(1), n))).alias("_p"))
+    # Prefix match as an equi-join: a prefix can equal a user id only if some
+    # id is as long, so each resource emits one row per length that occurs
+    # (one short driver list), not one per character; short prefixes that
+    # all owner fields share are never emitted.
     u = users.select(F.col("email").alias("user_key"), F.lower(F.col("email")).alias("_p"))
+    lengths = sorted(r["n"] for r in u.select(F.length("_p").alias("n")).distinct().collect() if r["n"])
+    if not lengths:
+        return by_edge.distinct()
+    r = resources.select("key", F.lower(F.col(owner_field)).alias("_owner"))
+    pref = r.select("key", "_owner", F.explode(F.array(*map(F.lit, lengths))).alias("_n")) \
+        .where(F.col("_n") <= F.length("_owner")).select("key", F.substring("_owner", F.lit(1), F.col("_n")).alias("_p"))
     by_field = pref.join(u, "_p").select("user_key", "key")
     return by_edge.unionByName(by_field).distinct()
 
