@@ -15,6 +15,8 @@ rows. A document longer than the shard bound is a shard of its own.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -23,6 +25,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from catalytics.llm.bpe import byte_symbols
+
 #: Tokens at which a task closes a shard.
 SHARD_TOKENS = 2_000_000
 #: Bits between two entries of a plane's rank directory.
@@ -148,14 +152,17 @@ class WaveletMatrix:
 
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library. White space separates
-    words for this kind of tokenizer file, and so does the step from an ASCII
-    letter or digit to closing punctuation. So distinct chunks are encoded
-    once, their plain words in lower case, and remembered (bounded). Many go
-    to the library in one call, with a marker between them that is a single
-    token by itself."""
+    words for this kind of tokenizer file, and so does the step from a letter
+    to closing punctuation. So distinct chunks are encoded once and remembered
+    (bounded). A chunk of Latin-1 letters is one word to the file's splitter
+    whatever stands around it, so its lower-case form goes to the library's
+    BPE model by itself, with a byte-level symbol for each byte; punctuation
+    after it and all other chunks go through the library's whole encoder, many
+    in one call, with a marker between them that is a single token."""
 
     MARK = b"\x01"
-    TAIL = b".,;:!?"
+    #: A lower-cased chunk: letters that lower-casing and NFC leave alone, then ASCII punctuation.
+    PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -163,15 +170,33 @@ class LibraryEncoder:
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
+        self.model = self.tok.model
+        self.symbols = dict(enumerate(byte_symbols()))
         alone = self.tok.encode(self.MARK.decode(), add_special_tokens=False).ids
         self.mark = alone[0] if len(alone) == 1 else None
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
 
     @property
     def top(self) -> int:
         return self.tok.get_vocab_size(with_added_tokens=True)
 
+    def _word(self, word: str) -> bytes:
+        ids = self.words.get(word)
+        if ids is None:
+            symbols = word if word.isascii() else word.encode().decode("latin-1").translate(self.symbols)
+            found = self.model.tokenize(symbols)
+            ids = self.words[word] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+        return ids
+
+    def _tail(self, tail: str) -> bytes:
+        ids = self.tails.get(tail)
+        if ids is None:
+            ids = self.tails[tail] = np.array(self.tok.encode(tail, add_special_tokens=False).ids, "<u4").tobytes()
+        return ids
+
     def _learn(self, chunks: list[bytes]) -> None:
         memo = self.young
         if self.mark is not None and not any(self.MARK in c for c in chunks):
@@ -189,34 +214,22 @@ class LibraryEncoder:
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.young) > MEMO_CHUNKS:  # chunks in use move on, the others go
-            self.young, self.old = {}, self.young
-        memo, old = self.young, self.old
+            self.young, self.old, self.words = {}, self.young, {}
+        memo, old, plain = self.young, self.old, self.PLAIN.fullmatch
         split = [t.encode().split() for t in texts]
-        parts, new = [], set()
-        for c in {c for s in split for c in s}:
-            if c in memo:
-                continue
+        fresh = set().union(*split) - memo.keys()
+        todo = []
+        for c in fresh:
             if c in old:
                 memo[c] = old[c]
-                continue
-            body = c.rstrip(self.TAIL)
-            if body.isalnum():  # ASCII only, for bytes
-                low, tail = body.lower(), c[len(body):]
-                if low != c:
-                    parts.append((c, low, tail))
-                    new.add(low)
-                    if tail:
-                        new.add(tail)
-                    continue
-            new.add(c)
-        for c in [c for c in new if c in old]:
-            memo[c] = old[c]
-        todo = [c for c in new if c not in memo]
+            elif m := plain(c.decode().lower()):
+                memo[c] = self._word(m[1]) + self._tail(m[2])
+            else:
+                todo.append(c)
         for at in range(0, len(todo), 500):
             self._learn(todo[at:at + 500])
-        for c, low, tail in parts:
-            memo[c] = memo[low] + memo[tail] if tail else memo[low]
-        return [np.frombuffer(b"".join([memo[c] for c in s]), "<u4") for s in split]
+        ids = memo.__getitem__
+        return [np.frombuffer(b"".join(map(ids, s)), "<u4") for s in split]
 
 
 _LOADED: dict[str, LibraryEncoder] = {}

@@ -312,3 +312,38 @@ def test_signature_letters_are_dealt_once(spark):
     assert sorted("".join(three)) == sorted("".join(two)) == sorted("abcdéz") and len(three) == 3
     pairs = spelling.near_vectors(vectors, three, two)
     assert {(r["a"], r["b"]) for r in pairs.collect()} >= {("aabc", "aabd"), ("aabc", "aabcz")}
+
+
+# 4: the encoder's short cut for plain words -------------------------------
+
+def test_token_store_encoder_equals_the_library():
+    from catalytics.llm.queries import tokenizer_path
+    from catalytics.llm.token_store import LibraryEncoder
+
+    path = tokenizer_path()
+    whole = Tokenizer.from_file(path)
+    rng = random.Random(11)
+    points = [*range(0x600), *rng.sample([c for c in range(0x600, 0x110000) if not 0xD800 <= c < 0xE000], 3000)]
+    texts = ["%s a%s %sb c%sd. %s!" % ((chr(c),) * 5) for c in points]
+    texts += ["<|endoftext|> x", "x<|endoftext|>. y", "a \x01 b", "K Å ẞ ẞa İi ŸŸ ÀÉ.,; é́ ñ̃ x'", "don't DON'T it's. 'S we're,", "É" * 300]
+    enc = LibraryEncoder(path)
+    for _ in range(2):  # the second time from memory
+        for got, e in zip(enc.encode_all(texts), whole.encode_batch(texts, add_special_tokens=False)):
+            assert got.tolist() == e.ids
+
+
+def test_token_store_with_null_and_repeated_ids(spark):
+    from catalytics.llm import token_store
+    from catalytics.llm.queries import tokenizer_path
+
+    whole = Tokenizer.from_file(tokenizer_path())
+    path = scratch_path(spark, "t-shards")
+    token_store.write_shards(make(spark, EDGE), path, tokenizer_path(), 2, shard_tokens=500)
+    got = sorted(((r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in token_store.read_documents(spark, path).collect()),
+                 key=lambda r: r[1])
+    at, want = 0, []
+    for i, t in sorted(EDGE, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):
+        ids = np.array(whole.encode(t or "", add_special_tokens=False).ids + [2], "<u4")
+        want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
+        at += len(ids)
+    assert got == want
