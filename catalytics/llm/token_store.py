@@ -51,18 +51,20 @@ class WaveletMatrix:
 
     @classmethod
     def build(cls, values: np.ndarray, bits: int) -> "WaveletMatrix":
-        seq = values
+        kind = np.uint16 if bits <= 16 else np.uint32
+        seq = values.astype(kind, copy=False)
         planes, ranks, zeros = [], [], []
         for j in range(bits - 1, -1, -1):
-            ones = (seq >> j & 1).astype(bool)
+            ones = (seq & kind(1 << j)) != 0
             packed = np.packbits(ones)
             pad = -len(packed) % (RANK_BLOCK // 8)
-            per = np.bitwise_count(np.pad(packed, (0, pad))).reshape(-1, RANK_BLOCK // 8).sum(1, dtype=np.uint32)
+            words = np.pad(packed, (0, pad)).view(np.uint64)
+            per = np.bitwise_count(words).reshape(-1, RANK_BLOCK // 64).sum(1, dtype=np.uint32)
             planes.append(packed.tobytes())
             ranks.append(np.concatenate([[0], np.cumsum(per)]).astype("<u4").tobytes())
-            low = seq[~ones]
+            low = np.compress(~ones, seq)
             zeros.append(len(low))
-            seq = np.concatenate([low, seq[ones]])
+            seq = np.concatenate([low, np.compress(ones, seq)])
         return cls(len(values), planes, ranks, zeros)
 
     def rank1(self, j: int, i: int) -> int:
@@ -138,16 +140,17 @@ class WaveletMatrix:
 
     def values(self) -> np.ndarray:
         """The whole sequence: planes are undone from the last to the first."""
-        seq = np.zeros(self.n, np.uint32)
         bits = len(self.planes)
+        kind = np.uint16 if bits <= 16 else np.uint32
+        seq = np.zeros(self.n, kind)
         for j in range(bits - 1, -1, -1):
-            ones = np.unpackbits(self.planes[j], count=self.n).astype(bool)
-            up = np.empty(self.n, np.uint32)
+            ones = np.unpackbits(self.planes[j], count=self.n).view(bool)
+            up = np.empty(self.n, kind)
             z = self.zeros[j]
-            up[~ones] = seq[:z]
-            up[ones] = seq[z:] | np.uint32(1 << (bits - 1 - j))
+            up[np.flatnonzero(~ones)] = seq[:z]
+            up[np.flatnonzero(ones)] = seq[z:] | kind(1 << (bits - 1 - j))
             seq = up
-        return seq
+        return seq.astype(np.uint32)
 
 
 class LibraryEncoder:
