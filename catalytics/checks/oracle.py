@@ -185,19 +185,23 @@ oracle("table_hierarchy", ["c_tables"], """
 SELECT key AS table_key, database AS database_name, cluster AS cluster_name, schema AS schema_name,
        name AS table_name FROM c_tables""")
 
-oracle("table_columns", ["c_tables", "c_columns", "c_column_stats"], """
+_COLUMN_BADGES = """(SELECT table_key, string_agg(c.name || ':' || b.badge_name, ',' ORDER BY c.sort_order, b.badge_name) AS column_badges
+  FROM c_columns c JOIN c_column_badges b ON b.resource_key = c.key GROUP BY 1)"""
+
+oracle("table_columns", ["c_tables", "c_columns", "c_column_stats", "c_column_badges"], f"""
 SELECT t.key AS table_key, t.database, t.cluster, t.schema, t.name, t.description, c.n_columns,
-       c.column_names, c.column_types, c.n_stats
+       c.column_names, c.column_types, c.n_stats, coalesce(cb.column_badges, '') AS column_badges
 FROM c_tables t JOIN (
   SELECT c.table_key, count(*) AS n_columns, string_agg(c.name, ',' ORDER BY c.sort_order) AS column_names,
          string_agg(c.col_type, ',' ORDER BY c.sort_order) AS column_types,
          cast(sum(coalesce(s.n, 0)) AS INTEGER) AS n_stats
   FROM c_columns c LEFT JOIN (SELECT column_key, count(*) AS n FROM (SELECT DISTINCT * FROM c_column_stats)
                               GROUP BY 1) s ON s.column_key = c.key
-  GROUP BY c.table_key) c ON c.table_key = t.key""")
+  GROUP BY c.table_key) c ON c.table_key = t.key
+LEFT JOIN {_COLUMN_BADGES} cb ON cb.table_key = t.key""")
 
 oracle("table_detail", ["c_tables", "c_columns", "c_column_stats", "c_reads", "c_owners", "c_tags",
-                        "c_badges", "c_partitions"],
+                        "c_badges", "c_partitions", "c_table_writers", "c_table_updates", "c_table_sources", "c_column_badges"],
        _watermarks_sql(["%Y-%m-%d", "%Y%m%d"], True) + """,
 cols AS (SELECT c.table_key, string_agg(c.name, ',' ORDER BY c.sort_order) AS column_names,
                 cast(sum(coalesce(s.n, 0)) AS INTEGER) AS n_stats
@@ -213,12 +217,20 @@ bd AS (SELECT resource_key, string_agg(DISTINCT badge_name || ':' || category, '
                                        ORDER BY badge_name || ':' || category) AS badges FROM c_badges GROUP BY 1)
 SELECT t.key AS table_key, t.database, t.cluster, t.schema, t.name, t.description, cols.column_names, cols.n_stats,
        rd.readers, ow.owners, tg.tags, bd.badges,
-       lo.partition_value AS low_watermark, hi.partition_value AS high_watermark
+       lo.partition_value AS low_watermark, hi.partition_value AS high_watermark, t.is_view, up.last_updated_timestamp,
+       w.id AS writer_id, w.name AS writer_name, w.application_url AS writer_url, w.description AS writer_description,
+       so.source_type, so.source, coalesce(cb.column_badges, '') AS column_badges,
+       array_to_string(list_transform(['auditLog', 'dataContract', 'internalNote', 'quality Report', 'qualityReport'],
+                                      lambda x: x || '=' || x || ': ' || t.name), '|') AS programmatic_descriptions
 FROM c_tables t JOIN cols ON cols.table_key = t.key
 LEFT JOIN rd ON rd.table_key = t.key LEFT JOIN ow ON ow.resource_key = t.key
 LEFT JOIN tg ON tg.resource_key = t.key LEFT JOIN bd ON bd.resource_key = t.key
 LEFT JOIN (SELECT * FROM wm WHERE watermark_type = 'low_watermark') lo ON lo.table_key = t.key
-LEFT JOIN (SELECT * FROM wm WHERE watermark_type = 'high_watermark') hi ON hi.table_key = t.key""")
+LEFT JOIN (SELECT * FROM wm WHERE watermark_type = 'high_watermark') hi ON hi.table_key = t.key
+LEFT JOIN (SELECT table_key, max(last_updated_timestamp) AS last_updated_timestamp FROM c_table_updates GROUP BY 1) up
+       ON up.table_key = t.key
+LEFT JOIN c_table_writers w ON w.table_key = t.key LEFT JOIN c_table_sources so ON so.table_key = t.key
+LEFT JOIN """ + _COLUMN_BADGES + " cb ON cb.table_key = t.key")
 
 _LASTEX = """(SELECT dashboard_key, ts AS last_run_timestamp, state AS last_run_state, last_successful_run_timestamp
   FROM (SELECT dashboard_key, ts, state,
@@ -230,11 +242,15 @@ oracle("last_executions", ["c_dashboard_executions"], f"SELECT * FROM {_LASTEX}"
 
 oracle("dashboard_detail", ["c_dashboards", "c_dashboard_executions", "c_dashboard_reads",
                             "c_dashboard_owners", "c_tags", "c_dashboard_queries", "c_dashboard_charts",
-                            "c_dashboard_tables"], f"""
+                            "c_dashboard_tables", "c_dashboard_badges"], f"""
 SELECT d.key AS dashboard_key, d.name, d.url, d.group_name, d.cluster, d.product, d.description,
        d.created_timestamp, ex.last_run_timestamp, ex.last_run_state, ex.last_successful_run_timestamp,
-       cast(coalesce(v.v, 0) AS BIGINT) AS recent_view_count, ow.owners, tg.tags, q.queries, ch.chart_names, tb.tables
+       cast(coalesce(v.v, 0) AS BIGINT) AS recent_view_count, ow.owners, tg.tags, q.queries, ch.chart_names, tb.tables,
+       up.updated_timestamp, bg.badges
 FROM c_dashboards d
+LEFT JOIN (SELECT dashboard_key, max(ts) + 86400 AS updated_timestamp FROM c_dashboard_executions GROUP BY 1) up ON up.dashboard_key = d.key
+LEFT JOIN (SELECT resource_key, string_agg(DISTINCT badge_name, '|' ORDER BY badge_name) AS badges FROM c_dashboard_badges
+           GROUP BY 1) bg ON bg.resource_key = d.key
 LEFT JOIN {_LASTEX} ex ON ex.dashboard_key = d.key
 LEFT JOIN (SELECT dashboard_key, sum(read_count) AS v FROM c_dashboard_reads GROUP BY 1) v ON v.dashboard_key = d.key
 LEFT JOIN (SELECT resource_key, string_agg(DISTINCT user_key, '|' ORDER BY user_key) AS owners
@@ -261,10 +277,12 @@ FROM (SELECT dt.dashboard_key, dt.table_key, d.name, d.group_name, d.product, d.
       LEFT JOIN {_LASTEX} ex ON ex.dashboard_key = dt.dashboard_key) x""")
 
 oracle("feature_detail", ["c_features", "c_feature_databases", "c_feature_owners", "c_feature_tags",
-                          "c_feature_watermarks"], """
+                          "c_feature_watermarks", "c_feature_badges"], """
 SELECT f.key AS feature_key, f.name, f.version, f.feature_group, f.data_type, f.entity, f.status, f.description,
-       a.availability, o.owners, t.tags, w.watermarks
+       a.availability, o.owners, t.tags, w.watermarks, bg.badges
 FROM c_features f
+LEFT JOIN (SELECT resource_key, string_agg(DISTINCT badge_name, '|' ORDER BY badge_name) AS badges FROM c_feature_badges
+           GROUP BY 1) bg ON bg.resource_key = f.key
 LEFT JOIN (SELECT feature_key, string_agg(DISTINCT database, '|' ORDER BY database) AS availability
            FROM c_feature_databases GROUP BY 1) a ON a.feature_key = f.key
 LEFT JOIN (SELECT resource_key, string_agg(DISTINCT user_key, '|' ORDER BY user_key) AS owners

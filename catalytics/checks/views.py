@@ -78,6 +78,26 @@ VIEWS: dict[str, tuple[list[str], str]] = {
         UNION ALL
         SELECT {tkey()} AS resource_key, 'beta' AS badge_name, 'table_status' AS category FROM part
         WHERE p_partkey % 9 = 0"""),
+    "c_table_writers": ([], f"""
+        SELECT {tkey()} AS table_key, 'dag_' || cast(p_partkey % 50 as varchar) || '/task_' || cast(p_partkey as varchar) AS id,
+               'Airflow' AS name, 'https://airflow.example.com/dag_' || cast(p_partkey % 50 as varchar) AS application_url,
+               'task of dag_' || cast(p_partkey % 50 as varchar) AS description
+        FROM part WHERE p_partkey % 4 <> 0"""),
+    "c_table_updates": ([], f"""
+        SELECT {tkey()} AS table_key, cast(epoch(l_shipdate) as bigint) AS last_updated_timestamp
+        FROM lineitem JOIN part ON l_partkey = p_partkey"""),
+    "c_table_sources": ([], f"""
+        SELECT {tkey()} AS table_key, 'github' AS source_type,
+               'https://git.example.com/models/' || cast(p_partkey as varchar) || '.sql' AS source
+        FROM part WHERE p_partkey % 3 = 0"""),
+    "c_column_badges": (["c_columns"], """
+        SELECT key AS resource_key, CASE name WHEN 'partkey' THEN 'primary key' ELSE 'nested' END AS badge_name, 'column' AS category
+        FROM c_columns WHERE name IN ('partkey', 'props')"""),
+    "c_dashboard_badges": (["c_dashboards"], """
+        SELECT key AS resource_key, 'urgent' AS badge_name, 'dashboard' AS category FROM c_dashboards
+        WHERE priority_word = 'urgent'"""),
+    "c_feature_badges": (["c_features"], """
+        SELECT key AS resource_key, 'at risk' AS badge_name, 'feature' AS category FROM c_features WHERE status = 'deprecated'"""),
     "c_columns": (["c_tables"], """
         SELECT t.key || '/' || l.name AS key, t.key AS table_key, l.name, l.col_type, l.sort_order,
                CASE WHEN l.sort_order < 2 THEN 'column ' || l.name END AS description

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.plans import collect_distinct_children, topk_per_key
+from catalytics.plans import gather_children, topk_per_key
 
 
 # ------------------------------------------------------------------ tables
@@ -35,15 +35,11 @@ def table_hierarchy(tables: DataFrame, table_schema_edges: DataFrame, schemas: D
 def column_children(columns: DataFrame, column_stats: DataFrame,
                     column_badges: DataFrame | None = None) -> DataFrame:
     """Columns with their stats and badges folded in (one row per column)."""
-    st = collect_distinct_children(
-        column_stats, "column_key",
-        F.struct("stat_type", "stat_val", "start_epoch", "end_epoch"), "stats")
-    cols = columns.join(st.withColumnRenamed("column_key", "key"), "key", "left")
+    sets = {"stats": (column_stats, "column_key", F.struct("stat_type", "stat_val", "start_epoch", "end_epoch"))}
     if column_badges is not None:
-        b = collect_distinct_children(column_badges, "resource_key",
-                                      F.struct("badge_name", "category"), "badges")
-        cols = cols.join(b.withColumnRenamed("resource_key", "key"), "key", "left")
-    else:
+        sets["badges"] = (column_badges, "resource_key", F.struct("badge_name", "category"))
+    cols = columns.join(gather_children("key", sets), "key", "left")
+    if column_badges is None:
         cols = cols.withColumn("badges", F.lit(None).cast("array<struct<badge_name:string,category:string>>"))
     return cols
 
@@ -65,31 +61,40 @@ def table_columns(tables: DataFrame, columns: DataFrame, column_stats: DataFrame
 def table_detail(tables: DataFrame, columns: DataFrame, column_stats: DataFrame,
                  reads: DataFrame, owners: DataFrame, tags: DataFrame, badges: DataFrame,
                  watermarks: DataFrame, prog_descriptions: DataFrame | None = None,
-                 n_readers: int = 5) -> DataFrame:
-    """One row per table with every collection of the detail page. Each
-    collection is collect-distinct per table, sorted."""
-    base = table_columns(tables, columns, column_stats)
+                 n_readers: int = 5, column_badges: DataFrame | None = None,
+                 writers: DataFrame | None = None, updates: DataFrame | None = None,
+                 sources: DataFrame | None = None) -> DataFrame:
+    """One row per table with everything the detail page shows: hierarchy,
+    is_view, columns, top readers, owners, default tags, badges, watermarks
+    and, where their frames are given, ``programmatic_descriptions`` (null
+    sources skipped, sorted by source), ``table_writer`` (the application that
+    generates it), ``last_updated_timestamp`` (newest) and ``source``. A table
+    with several writers or sources shows the smallest."""
+    base = table_columns(tables, columns, column_stats, column_badges)
     readers = topk_per_key(reads, "table_key", [F.desc("read_count"), F.asc("user_key")],
                            n_readers, rank_col="rank")
-    rd = readers.groupBy("table_key").agg(F.array_sort(F.collect_list(
-        F.struct("rank", "user_key", "read_count"))).alias("table_readers"))
-    ow = collect_distinct_children(owners, "resource_key", "user_key", "owners")
-    tg = collect_distinct_children(tags.where(F.col("tag_type") == "default"), "resource_key",
-                                   "tag", "tags")
-    bd = collect_distinct_children(badges, "resource_key", F.struct("badge_name", "category"),
-                                   "badges")
-    wm = collect_distinct_children(watermarks, "table_key", F.struct(
-        "watermark_type", "partition_key", "partition_value", "create_time"), "watermarks")
-    out = (base.join(rd, "table_key", "left")
-           .join(ow.withColumnRenamed("resource_key", "table_key"), "table_key", "left")
-           .join(tg.withColumnRenamed("resource_key", "table_key"), "table_key", "left")
-           .join(bd.withColumnRenamed("resource_key", "table_key"), "table_key", "left")
-           .join(wm, "table_key", "left"))
+    sets = {
+        "table_readers": (readers, "table_key", F.struct("rank", "user_key", "read_count")),
+        "owners": (owners, "resource_key", "user_key"),
+        "tags": (tags.where(F.col("tag_type") == "default"), "resource_key", "tag"),
+        "badges": (badges, "resource_key", F.struct("badge_name", "category")),
+        "watermarks": (watermarks, "table_key", F.struct("watermark_type", "partition_key", "partition_value", "create_time")),
+    }
+    single = {}
     if prog_descriptions is not None:
-        pdsc = prog_descriptions.groupBy("resource_key").agg(F.array_sort(F.collect_set(
-            F.struct("source", "text"))).alias("programmatic_descriptions"))
-        out = out.join(pdsc.withColumnRenamed("resource_key", "table_key"), "table_key", "left")
-    return out
+        sets["programmatic_descriptions"] = (prog_descriptions.where(F.col("source").isNotNull()), "resource_key",
+                                             F.struct("source", "text"))
+    if writers is not None:
+        sets["table_writer"] = (writers, "table_key", F.struct("id", "name", "application_url", "description"))
+        single["table_writer"] = F.get("table_writer", F.lit(0))
+    if sources is not None:
+        sets["source"] = (sources, "table_key", F.struct("source_type", "source"))
+        single["source"] = F.get("source", F.lit(0))
+    latest = {"last_updated_timestamp": (updates, "table_key", "last_updated_timestamp")} if updates is not None else None
+    children = gather_children("table_key", sets, latest).withColumns(single)
+    if "is_view" in tables.columns:
+        base = base.join(tables.select(F.col("key").alias("table_key"), "is_view"), "table_key")
+    return base.join(children, "table_key", "left")
 
 
 # -------------------------------------------------------------- dashboards
@@ -145,35 +150,33 @@ def watermarks_from_nodes(nodes: DataFrame) -> DataFrame:
 
 def dashboard_detail(dashboards: DataFrame, executions: DataFrame, dashboard_reads: DataFrame,
                      owners: DataFrame, tags: DataFrame, badges: DataFrame | None,
-                     queries: DataFrame, charts: DataFrame, dashboard_tables: DataFrame) -> DataFrame:
-    """One row per dashboard: runs, view count, owners, default tags,
-    badges, queries (kept if any of name/url/text is present), non-empty
-    chart names, tables used."""
-    ex = last_executions(executions)
-    views = dashboard_reads.groupBy("dashboard_key").agg(F.sum("read_count").alias("v"))
-    ow = collect_distinct_children(owners, "resource_key", "user_key", "owners")
-    tg = collect_distinct_children(tags.where(F.col("tag_type") == "default"), "resource_key",
-                                   "tag", "tags")
+                     queries: DataFrame, charts: DataFrame, dashboard_tables: DataFrame,
+                     updates: DataFrame | None = None) -> DataFrame:
+    """One row per dashboard: runs, updated timestamp, view count, owners,
+    default tags, badges, queries (kept if any of name/url/text is present),
+    non-empty chart names, tables used."""
     q = queries.where(F.col("name").isNotNull() | F.col("url").isNotNull()
                       | F.col("query_text").isNotNull())
-    qq = collect_distinct_children(q, "dashboard_key", F.struct("name", "url", "query_text"),
-                                   "queries")
-    ch = collect_distinct_children(charts.where(F.length("chart_name") > 0), "dashboard_key",
-                                   "chart_name", "chart_names")
-    tb = collect_distinct_children(dashboard_tables, "dashboard_key", "table_key", "tables")
-    d = dashboards.select(F.col("key").alias("dashboard_key"), "name", "url", "group_name",
-                          "cluster", "product", "description", "created_timestamp")
-    out = (d.join(ex, "dashboard_key", "left").join(views, "dashboard_key", "left")
-           .withColumn("recent_view_count", F.coalesce(F.col("v"), F.lit(0)).cast("long")).drop("v")
-           .join(ow.withColumnRenamed("resource_key", "dashboard_key"), "dashboard_key", "left")
-           .join(tg.withColumnRenamed("resource_key", "dashboard_key"), "dashboard_key", "left")
-           .join(qq, "dashboard_key", "left").join(ch, "dashboard_key", "left")
-           .join(tb, "dashboard_key", "left"))
+    sets = {
+        "owners": (owners, "resource_key", "user_key"),
+        "tags": (tags.where(F.col("tag_type") == "default"), "resource_key", "tag"),
+        "queries": (q, "dashboard_key", F.struct("name", "url", "query_text")),
+        "chart_names": (charts.where(F.length("chart_name") > 0), "dashboard_key", "chart_name"),
+        "tables": (dashboard_tables, "dashboard_key", "table_key"),
+    }
     if badges is not None:
-        bd = collect_distinct_children(badges, "resource_key", F.struct("badge_name", "category"),
-                                       "badges")
-        out = out.join(bd.withColumnRenamed("resource_key", "dashboard_key"), "dashboard_key", "left")
-    return out
+        sets["badges"] = (badges, "resource_key", F.struct("badge_name", "category"))
+    latest = {"__run": (executions, "dashboard_key", F.struct("ts", "state")),
+              "last_successful_run_timestamp": (executions, "dashboard_key", F.when(F.col("state") == "succeeded", F.col("ts")))}
+    if updates is not None:
+        latest["updated_timestamp"] = (updates, "dashboard_key", "updated_timestamp")
+    children = gather_children("dashboard_key", sets, latest, {"__views": (dashboard_reads, "dashboard_key", "read_count")})
+    d = dashboards.select(F.col("key").alias("dashboard_key"), "name", "url", "group_name",
+                          "cluster", "product", "description", "created_timestamp",
+                          *[c for c in ("group_url",) if c in dashboards.columns])
+    return d.join(children, "dashboard_key", "left").withColumns({
+        "last_run_timestamp": F.col("__run.ts"), "last_run_state": F.col("__run.state"),
+        "recent_view_count": F.coalesce("__views", F.lit(0)).cast("long")}).drop("__run", "__views")
 
 
 def dashboards_using_table(dashboards: DataFrame, dashboard_tables: DataFrame,
@@ -197,23 +200,18 @@ def feature_detail(features: DataFrame, feature_databases: DataFrame, owners: Da
                    tags: DataFrame, badges: DataFrame | None, watermarks: DataFrame) -> DataFrame:
     """Feature + group, availability, owners, tags (any type), badges,
     description, watermarks (type = last key segment)."""
-    av = collect_distinct_children(feature_databases, "feature_key", "database", "availability")
-    ow = collect_distinct_children(owners, "resource_key", "user_key", "owners")
-    tg = collect_distinct_children(tags, "resource_key", "tag", "tags")
-    wm = collect_distinct_children(
-        watermarks.withColumn("watermark_type", F.element_at(F.split("key", "/"), -1)),
-        "feature_key", F.struct("watermark_type", "time"), "watermarks")
+    sets = {
+        "availability": (feature_databases, "feature_key", "database"),
+        "owners": (owners, "resource_key", "user_key"),
+        "tags": (tags, "resource_key", "tag"),
+        "watermarks": (watermarks.withColumn("watermark_type", F.element_at(F.split("key", "/"), -1)), "feature_key",
+                       F.struct("watermark_type", "time")),
+    }
+    if badges is not None:
+        sets["badges"] = (badges, "resource_key", F.struct("badge_name", "category"))
     f = features.select(F.col("key").alias("feature_key"), "name", "version", "feature_group",
                         "data_type", "entity", "status", "description")
-    out = (f.join(av, "feature_key", "left")
-           .join(ow.withColumnRenamed("resource_key", "feature_key"), "feature_key", "left")
-           .join(tg.withColumnRenamed("resource_key", "feature_key"), "feature_key", "left")
-           .join(wm, "feature_key", "left"))
-    if badges is not None:
-        bd = collect_distinct_children(badges, "resource_key", F.struct("badge_name", "category"),
-                                       "badges")
-        out = out.join(bd.withColumnRenamed("resource_key", "feature_key"), "feature_key", "left")
-    return out
+    return f.join(gather_children("feature_key", sets), "feature_key", "left")
 
 
 def feature_generation_code(features: DataFrame, code: DataFrame) -> DataFrame:

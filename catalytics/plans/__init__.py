@@ -3,6 +3,7 @@
 from catalytics.plans.fragments import (  # noqa: F401
     collect_distinct_children,
     cut_lineage,
+    gather_children,
     topk_per_key,
     written,
 )

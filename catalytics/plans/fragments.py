@@ -7,6 +7,7 @@
   top k per key (a hot key does not ship its whole group).
 * ``collect_distinct_children``: pre-aggregate a child edge table to one
   row per parent *before* joining, so parent x child x child never fans out.
+* ``gather_children``: several such roll-ups of one parent in one grouping.
 * ``cut_lineage``: checkpoint to the shared folder named by the session.
 * ``written``: a table in the shared folder, computed once for several readers.
 """
@@ -55,6 +56,28 @@ def collect_distinct_children(edges: DataFrame, parent: str, child, out: str,
     return e.groupBy(parent).agg(agg.alias(out))
 
 
+def gather_children(parent: str, sets: dict | None = None, latest: dict | None = None,
+                    totals: dict | None = None) -> DataFrame:
+    """All child collections of a kind of parent by one shuffle and one
+    grouping. Each entry is name -> (frame, its parent column, child column);
+    the frames become one tagged union in which only the child's own column is
+    set. ``sets`` give the sorted distinct children, nulls dropped (null for a
+    parent with none), ``latest`` the greatest and ``totals`` the sum.
+
+    Sets are for children that are bounded per parent, as in
+    ``collect_distinct_children``; partial aggregates combine before the
+    shuffle, so a hot parent is combined where its rows are."""
+    entries = [(n, e, k) for k, d in (("set", sets), ("max", latest), ("sum", totals)) for n, e in (d or {}).items()]
+    rows = None
+    for name, (df, key, child), _ in entries:
+        c = F.col(child) if isinstance(child, str) else child
+        part = df.select(F.col(key).alias(parent), c.alias(name)).where(F.col(name).isNotNull())
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    how = {"set": lambda n: F.array_sort(F.collect_set(n)), "max": F.max, "sum": F.sum}
+    out = rows.groupBy(parent).agg(*[how[kind](n).alias(n) for n, _, kind in entries])
+    return out.select(parent, *[F.when(F.size(n) > 0, F.col(n)).alias(n) if kind == "set" else F.col(n) for n, _, kind in entries])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Cut a long logical plan (iterative operators) with a reliable
     checkpoint in the shared checkpoint folder (survives executor loss)."""

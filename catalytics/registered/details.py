@@ -28,20 +28,29 @@ def table_hierarchy(spark, sf):
 @register("table_columns")
 def table_columns(spark, sf):
     c = _catalog(spark, sf)
-    df = D.table_columns(c.tables, c.columns, c.column_stats)
+    df = D.table_columns(c.tables, c.columns, c.column_stats, c.column_badges)
     return df.select(
         "table_key", "database", "cluster", "schema", "name", "description",
         F.size("columns").alias("n_columns"),
         F.array_join(F.transform("columns", lambda x: x["name"]), ",").alias("column_names"),
         F.array_join(F.transform("columns", lambda x: x["col_type"]), ",").alias("column_types"),
-        F.aggregate("columns", F.lit(0), lambda a, x: a + F.size(x["stats"])).alias("n_stats"))
+        F.aggregate("columns", F.lit(0), lambda a, x: a + F.size(x["stats"])).alias("n_stats"),
+        _column_badges())
+
+
+def _column_badges():
+    named = F.flatten(F.transform("columns", lambda x: F.transform(
+        x["badges"], lambda b: F.concat(x["name"], F.lit(":"), b["badge_name"]))))
+    return F.array_join(named, ",").alias("column_badges")
 
 
 @register("table_detail")
 def table_detail(spark, sf):
     c = _catalog(spark, sf)
+    from catalytics.registered.misc import prog_descriptions
     df = D.table_detail(c.tables, c.columns, c.column_stats, c.reads, c.owners, c.tags, c.badges,
-                        _watermarks(c))
+                        _watermarks(c), prog_descriptions(c), column_badges=c.column_badges,
+                        writers=c.table_writers, updates=c.table_updates, sources=c.table_sources)
     wm = F.col("watermarks")
     return df.select(
         "table_key", "database", "cluster", "schema", "name", "description",
@@ -56,7 +65,13 @@ def table_detail(spark, sf):
         F.filter(wm, lambda w: w["watermark_type"] == "low_watermark")[0]["partition_value"]
         .alias("low_watermark"),
         F.filter(wm, lambda w: w["watermark_type"] == "high_watermark")[0]["partition_value"]
-        .alias("high_watermark"))
+        .alias("high_watermark"),
+        "is_view", "last_updated_timestamp", F.col("table_writer.id").alias("writer_id"),
+        F.col("table_writer.name").alias("writer_name"), F.col("table_writer.application_url").alias("writer_url"),
+        F.col("table_writer.description").alias("writer_description"), F.col("source.source_type").alias("source_type"),
+        F.col("source.source").alias("source"), _column_badges(),
+        F.array_join(F.transform("programmatic_descriptions", lambda d: F.concat(d["source"], F.lit("="), d["text"])), "|")
+        .alias("programmatic_descriptions"))
 
 
 @register("partition_watermarks")
@@ -85,11 +100,12 @@ def last_executions(spark, sf):
 def dashboard_detail(spark, sf):
     c = _catalog(spark, sf)
     df = D.dashboard_detail(c.dashboards, c.dashboard_executions, c.dashboard_reads,
-                            c.dashboard_owners, c.tags, None, c.dashboard_queries,
-                            c.dashboard_charts, c.dashboard_tables)
+                            c.dashboard_owners, c.tags, c.dashboard_badges, c.dashboard_queries,
+                            c.dashboard_charts, c.dashboard_tables, c.dashboard_updates)
     return df.select(
         "dashboard_key", "name", "url", "group_name", "cluster", "product", "description",
         "created_timestamp", "last_run_timestamp", "last_run_state", "last_successful_run_timestamp",
+        "updated_timestamp", F.array_join(F.transform("badges", lambda b: b["badge_name"]), "|").alias("badges"),
         "recent_view_count", F.array_join("owners", "|").alias("owners"),
         F.array_join("tags", "|").alias("tags"),
         _sorted_join(F.transform("queries", lambda q: F.concat_ws(
@@ -109,14 +125,15 @@ def dashboards_using_table(spark, sf):
 @register("feature_detail")
 def feature_detail(spark, sf):
     c = _catalog(spark, sf)
-    df = D.feature_detail(c.features, c.feature_databases, c.feature_owners, c.feature_tags, None,
+    df = D.feature_detail(c.features, c.feature_databases, c.feature_owners, c.feature_tags, c.feature_badges,
                           c.feature_watermarks)
     return df.select(
         "feature_key", "name", "version", "feature_group", "data_type", "entity", "status",
         "description", F.array_join("availability", "|").alias("availability"),
         F.array_join("owners", "|").alias("owners"), F.array_join("tags", "|").alias("tags"),
         _sorted_join(F.transform("watermarks", lambda w: F.concat(
-            w["watermark_type"], F.lit(":"), w["time"].cast("string")))).alias("watermarks"))
+            w["watermark_type"], F.lit(":"), w["time"].cast("string")))).alias("watermarks"),
+        F.array_join(F.transform("badges", lambda b: b["badge_name"]), "|").alias("badges"))
 
 
 @register("feature_generation_code")

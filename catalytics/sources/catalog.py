@@ -221,6 +221,60 @@ class Catalog:
                                                    F.lit("table_status").alias("category"))
         return size.unionByName(beta)
 
+    # ---------------------------------------- writers, updates, sources
+    def _part_of(self, *cols):
+        p = self.raw("part")
+        return p.select(part_table_key(p.p_brand, p.p_type, p.p_partkey).alias("table_key"), "p_partkey", *cols)
+
+    @cached_property
+    def table_writers(self) -> DataFrame:
+        """(table_key, id, name, application_url, description): the scheduled
+        task that generates a table; every fourth table has none."""
+        p = self._part_of().where(F.col("p_partkey") % 4 != 0)
+        dag = F.concat(F.lit("dag_"), (F.col("p_partkey") % 50).cast("string"))
+        return p.select("table_key", F.concat(dag, F.lit("/task_"), F.col("p_partkey").cast("string")).alias("id"),
+                        F.lit("Airflow").alias("name"),
+                        F.concat(F.lit("https://airflow.example.com/"), dag).alias("application_url"),
+                        F.concat(F.lit("task of "), dag).alias("description"))
+
+    @cached_property
+    def table_updates(self) -> DataFrame:
+        """(table_key, last_updated_timestamp): one per order line of the part."""
+        li = self.raw("lineitem").select("l_partkey", epoch_seconds(F.col("l_shipdate")).alias("last_updated_timestamp"))
+        p = self._part_of()
+        return li.join(p, li.l_partkey == p.p_partkey).select("table_key", "last_updated_timestamp")
+
+    @cached_property
+    def table_sources(self) -> DataFrame:
+        """(table_key, source_type, source) of every third table."""
+        return self._part_of().where(F.col("p_partkey") % 3 == 0).select(
+            "table_key", F.lit("github").alias("source_type"),
+            F.concat(F.lit("https://git.example.com/models/"), F.col("p_partkey").cast("string"), F.lit(".sql")).alias("source"))
+
+    @cached_property
+    def column_badges(self) -> DataFrame:
+        """Key columns are marked; nested ones of large parts too."""
+        c = self.columns.select(F.col("key").alias("resource_key"), "name")
+        key = c.where(F.col("name") == "partkey").select(
+            "resource_key", F.lit("primary key").alias("badge_name"), F.lit("column").alias("category"))
+        return key.unionByName(c.where(F.col("name") == "props").select(
+            "resource_key", F.lit("nested").alias("badge_name"), F.lit("column").alias("category")))
+
+    @cached_property
+    def dashboard_badges(self) -> DataFrame:
+        return self.dashboards.where(F.col("priority_word") == "urgent").select(
+            F.col("key").alias("resource_key"), F.lit("urgent").alias("badge_name"), F.lit("dashboard").alias("category"))
+
+    @cached_property
+    def dashboard_updates(self) -> DataFrame:
+        """(dashboard_key, updated_timestamp): a day after each run."""
+        return self.dashboard_executions.select("dashboard_key", (F.col("ts") + 86400).alias("updated_timestamp"))
+
+    @cached_property
+    def feature_badges(self) -> DataFrame:
+        return self.features.where(F.col("status") == "deprecated").select(
+            F.col("key").alias("resource_key"), F.lit("at risk").alias("badge_name"), F.lit("feature").alias("category"))
+
     # ----------------------------------------------------------- columns
     @cached_property
     def columns(self) -> DataFrame:
