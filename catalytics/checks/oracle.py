@@ -500,6 +500,29 @@ _FACET = """(regexp_full_match(database, 'brand_1.*') OR database = 'brand_2')
 oracle("faceted_filter", _TABLE_DOC_VIEWS, _TABLE_DOCS + f"""
 SELECT key, database, schema, name FROM docs WHERE {_FACET}""")
 
+oracle("faceted_filter_sets", _TABLE_DOC_VIEWS, _TABLE_DOCS + """,
+p AS (SELECT DISTINCT p_type, p_brand FROM part),
+a AS (SELECT 'a:' || p_type || ':' || p_brand AS query_id, lower(p_type) AS s, right(replace(lower(p_brand), '#', '_'), 2) AS b FROM p),
+l AS (SELECT *, list_transform(badges, lambda x: lower(x)) AS lb FROM docs)
+SELECT DISTINCT a.query_id, l.key FROM a JOIN l ON l.schema = a.s AND ends_with(l.database, a.b)
+  AND list_has_any(l.lb, ['beta', 'tiny'])
+UNION
+SELECT 'b:' || p_type, l.key FROM (SELECT DISTINCT p_type FROM p) p JOIN l ON l.schema = lower(p_type)
+  AND (contains(lower(l.name), 'ring') OR contains(lower(l.schema), 'ring') OR contains(lower(l.description), 'ring')
+       OR contains(lower(array_to_string(l.column_names, chr(1))), 'ring')
+       OR contains(lower(array_to_string(l.column_descriptions, chr(1))), 'ring'))""")
+
+oracle("faceted_filter_dashboards", ["c_dashboards", "c_tags"], """
+, d AS (SELECT key, name, group_name, description, product, coalesce(t.tags, []) AS tags FROM c_dashboards LEFT JOIN (
+    SELECT resource_key, list(DISTINCT tag) AS tags FROM c_tags WHERE tag_type = 'default' GROUP BY 1) t ON t.resource_key = key),
+q AS (SELECT DISTINCT product, group_name FROM d)
+SELECT DISTINCT 'p:' || q.product || q.group_name AS query_id, d.key FROM q JOIN d ON d.product = q.product AND d.group_name = q.group_name
+UNION
+SELECT DISTINCT 't:' || q.group_name, d.key FROM q JOIN d
+  ON list_contains(list_transform(d.tags, lambda x: lower(x)), split_part(q.group_name, '-', 2))
+  AND (contains(lower(name), q.product) OR contains(lower(d.group_name), q.product) OR contains(lower(description), q.product)
+       OR contains(lower(d.product), q.product) OR contains(lower(array_to_string(d.tags, chr(1))), q.product))""")
+
 oracle("search_with_filters", _TABLE_DOC_VIEWS, _TABLE_DOCS + """,
 hits AS (SELECT key, round(log10(2 + cast(total_usage AS DOUBLE)), 6) AS score FROM docs
          WHERE (regexp_full_match(database, 'brand_1.*') OR database = 'brand_2')
@@ -998,6 +1021,10 @@ SELECT table_key, cast(sum(read_count) AS BIGINT) AS reads FROM c_reads GROUP BY
 
 oracle("index_snapshot_publish", _TABLE_DOC_VIEWS, _TABLE_DOCS + "\nSELECT key, total_usage FROM docs")
 
+oracle("catalog_scan_edges", ["c_reads", "c_owners"], """
+SELECT 'read' AS label, user_key AS src, count(*) AS n_edges, cast(sum(read_count) AS BIGINT) AS reads FROM c_reads GROUP BY user_key
+UNION ALL SELECT 'owner', user_key, count(*), NULL FROM c_owners GROUP BY user_key""")
+
 oracle("table_preview", [], """
 SELECT l_orderkey, l_linenumber, l_quantity, '***' AS l_extendedprice FROM lineitem WHERE l_returnflag = 'R'
 ORDER BY l_orderkey, l_linenumber LIMIT 50""")

@@ -103,6 +103,52 @@ def faceted_filter(docs: DataFrame, filters: dict | None, term: str | None = Non
     return docs.where(faceted_predicate(docs, filters, term, resource))
 
 
+def faceted_filter_sets(docs: DataFrame, filters: DataFrame, resource: str = "table") -> DataFrame:
+    """Many filter requests at once, by relational division. ``filters`` has
+    rows (query_id, category, value); the category ``term`` is a free-text term
+    that any of the term fields may contain. A document is a hit of a query if
+    it satisfies each of its usable categories, by one value or more. Returns
+    (query_id, key) of all hits, under the rules of ``faceted_filter``.
+
+    The documents are read once, as (key, field, value) rows in the form that a
+    request compares with. Plain values meet them by an equi-join on field and
+    value; only values with a wildcard, and terms, are compared with every
+    value of their field. A hit's categories are then counted against its
+    query's."""
+    mapping = TABLE_FILTER_FIELDS if resource == "table" else DASHBOARD_FILTER_FIELDS
+    terms = [f for f in (TABLE_TERM_FIELDS if resource == "table" else DASHBOARD_TERM_FIELDS) if f in docs.columns]
+    usable = filters.where(F.col("category").isin([*mapping, "term"]) & (F.coalesce("value", F.lit("")) != ""))
+    # a value with '/' or ':' in any category empties the whole request
+    bad = filters.where((F.col("category") != "term") & F.col("value").rlike("[/:]")).select("query_id").distinct()
+    usable = usable.join(bad, "query_id", "left_anti").distinct()
+    needed = usable.groupBy("query_id").agg(F.countDistinct("category").alias("__needed"))
+
+    def values(field: str) -> Column:
+        kind = docs.schema[field].dataType.typeName()
+        return F.col(field) if kind == "array" else F.array(F.col(field))
+
+    stored = [F.struct(F.lit(c).alias("category"), (values(f) if exact else F.transform(values(f), F.lower)).alias("vs"))
+              for c, (f, exact) in mapping.items() if f in docs.columns]
+    words = F.struct(F.lit("term").alias("category"),
+                     F.transform(F.flatten(F.array(*[F.coalesce(values(f), F.array().cast("array<string>")) for f in terms])),
+                                                             F.lower).alias("vs"))
+    rows = docs.select("key", F.explode(F.array(*stored, words)).alias("s")) \
+        .select("key", F.col("s.category").alias("category"), F.explode("s.vs").alias("stored")).where(F.col("stored").isNotNull()).distinct()
+    exact = [c for c, (_, e) in mapping.items() if e]
+    asked = usable.withColumn("value", F.when(F.col("category").isin(exact), F.col("value")).otherwise(F.lower("value")))
+    wild = (F.col("category") != "term") & F.col("value").contains("*")
+    plain = asked.where(~wild & (F.col("category") != "term")).select("query_id", "category", F.col("value").alias("stored"))
+    by_value = rows.join(plain, ["category", "stored"]).select("query_id", "category", "key")
+    # '*' stands for any run of characters; all else is literal
+    pattern = F.concat(F.lit("^"), F.array_join(F.transform(F.split("value", "[*]+"), lambda x: F.concat(
+        F.lit("\\Q"), x, F.lit("\\E"))), ".*"), F.lit("$"))
+    open_ = asked.where(wild | (F.col("category") == "term")).withColumn("__re", F.when(wild, pattern))
+    matches = F.when(F.col("__re").isNotNull(), F.rlike("stored", F.col("__re"))).otherwise(F.col("stored").contains(F.col("value")))
+    by_match = rows.join(open_, "category").where(matches).select("query_id", "category", "key")
+    hits = by_value.unionByName(by_match).groupBy("query_id", "key").agg(F.countDistinct("category").alias("__n"))
+    return hits.join(needed, "query_id").where(F.col("__n") == F.col("__needed")).select("query_id", "key")
+
+
 def basic_filter(docs: DataFrame, filters: dict | None, page_index: int = 0,
                  page_size: int = 10) -> DataFrame:
     """Atlas form over ``qualified_name`` (schema.table@cluster): database ->

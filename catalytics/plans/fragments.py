@@ -15,6 +15,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,9 +74,19 @@ def gather_children(parent: str, sets: dict | None = None, latest: dict | None =
         c = F.col(child) if isinstance(child, str) else child
         part = df.select(F.col(key).alias(parent), c.alias(name)).where(F.col(name).isNotNull())
         rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
-    how = {"set": lambda n: F.array_sort(F.collect_set(n)), "max": F.max, "sum": F.sum}
-    out = rows.groupBy(parent).agg(*[how[kind](n).alias(n) for n, _, kind in entries])
-    return out.select(parent, *[F.when(F.size(n) > 0, F.col(n)).alias(n) if kind == "set" else F.col(n) for n, _, kind in entries])
+    # one set of sparse structs: a group holds one buffer, not one for each kind
+    names = [n for n, _, kind in entries if kind == "set"]
+    child = F.struct(*names) if names else F.lit(None)
+    some = reduce(lambda a, b: a | b, [F.col(n).isNotNull() for n in names], F.lit(False))
+    held = F.collect_set(F.when(some, child)).alias("__all")
+    how = {"max": F.max, "sum": F.sum}
+    out = rows.groupBy(parent).agg(*([held] if names else []), *[how[kind](n).alias(n) for n, _, kind in entries if kind != "set"])
+
+    def of(name: str) -> Column:
+        found = F.transform(F.filter("__all", lambda x: x[name].isNotNull()), lambda x: x[name])
+        return F.when(F.size(found) > 0, F.array_sort(found)).alias(name)
+
+    return out.select(parent, *[of(n) if kind == "set" else F.col(n) for n, _, kind in entries])
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

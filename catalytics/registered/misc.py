@@ -334,6 +334,19 @@ def catalog_scan(spark, sf):
     return frames["reads"].groupBy("table_key").agg(F.sum("read_count").cast("long").alias("reads"))
 
 
+@register("catalog_scan_edges")
+def catalog_scan_edges(spark, sf):
+    """Edges stored by label; the scan opens the read and owner labels only."""
+    c = _catalog(spark, sf)
+    path = scratch_path(spark, "edges")
+    PV.write_edges({
+        "read": c.reads.select(F.col("user_key").alias("src"), F.col("table_key").alias("dst"), "read_count"),
+        "owner": c.owners.select(F.col("user_key").alias("src"), F.col("resource_key").alias("dst")),
+        "tag": c.tags.select(F.col("tag").alias("src"), F.col("resource_key").alias("dst"))}, path)
+    return PV.scan_edges(spark, path, ["read", "owner"]).groupBy("label", "src").agg(
+        F.count(F.lit(1)).alias("n_edges"), F.sum("read_count").cast("long").alias("reads"))
+
+
 @register("index_snapshot_publish")
 def index_snapshot_publish(spark, sf):
     from catalytics.operators.search import assemble_table_docs

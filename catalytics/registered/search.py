@@ -121,6 +121,55 @@ def faceted_filter(spark, sf):
     return FL.faceted_filter(docs, FILTERS, "ring").select("key", "database", "schema", "name")
 
 
+@register("faceted_filter_sets")
+def faceted_filter_sets(spark, sf):
+    """One request per nation and kind of filter, over all tables: schemas by
+    wildcard and tag, badge or database, a free-text term, unusable ones."""
+    c = _catalog(spark, sf)
+    return FL.faceted_filter_sets(table_docs(c), filter_sets(c))
+
+
+def filter_sets(c):
+    """(query_id, category, value) rows derived from nations and part types."""
+    p = c.raw("part").select("p_type", "p_brand", "p_size").distinct()
+    low = F.lower("p_type")
+    ask = F.concat(F.lit("a:"), "p_type", F.lit(":"), "p_brand")
+    rows = F.array(
+        F.struct(ask.alias("query_id"), F.lit("schema").alias("category"), low.alias("value")),
+        F.struct(ask.alias("query_id"), F.lit("database").alias("category"),
+                 F.concat(F.lit("*"), F.substring(F.replace(F.lower("p_brand"), F.lit("#"), F.lit("_")), -2, 2)).alias("value")),
+        F.struct(ask.alias("query_id"), F.lit("badges").alias("category"), F.lit("Beta").alias("value")),
+        F.struct(ask.alias("query_id"), F.lit("badges").alias("category"), F.lit("tiny").alias("value")),
+        F.struct(F.concat(F.lit("b:"), "p_type").alias("query_id"), F.lit("schema").alias("category"), low.alias("value")),
+        F.struct(F.concat(F.lit("b:"), "p_type").alias("query_id"), F.lit("term").alias("category"), F.lit("Ring").alias("value")),
+        F.struct(F.concat(F.lit("c:"), "p_type").alias("query_id"), F.lit("schema").alias("category"), F.concat(low, F.lit("/x")).alias("value")),
+        F.struct(F.concat(F.lit("c:"), "p_type").alias("query_id"), F.lit("tag").alias("category"), F.lit("red").alias("value")),
+        F.struct(F.concat(F.lit("d:"), "p_type").alias("query_id"), F.lit("unknown").alias("category"), low.alias("value")))
+    return p.select(F.inline(rows)).distinct()
+
+
+@register("faceted_filter_dashboards")
+def faceted_filter_dashboards(spark, sf):
+    """Requests in the dashboard mapping: product and group, tag and term."""
+    c = _catalog(spark, sf)
+    docs = dashboard_docs(c)
+    product, word = F.lower("product"), F.element_at(F.split("group_name", "-"), 2)
+    rows = F.array(
+        F.struct(F.concat(F.lit("p:"), "product", "group_name").alias("query_id"), F.lit("product").alias("category"), F.upper("product").alias("value")),
+        F.struct(F.concat(F.lit("p:"), "product", "group_name").alias("query_id"), F.lit("group_name").alias("category"), F.col("group_name").alias("value")),
+        F.struct(F.concat(F.lit("t:"), "group_name").alias("query_id"), F.lit("tag").alias("category"), word.alias("value")),
+        F.struct(F.concat(F.lit("t:"), "group_name").alias("query_id"), F.lit("term").alias("category"), product.alias("value")))
+    filters = docs.select("product", "group_name").distinct().select(F.inline(rows)).distinct()
+    return FL.faceted_filter_sets(docs, filters, "dashboard")
+
+
+def dashboard_docs(c):
+    tags = c.tags.where(F.col("tag_type") == "default").groupBy(F.col("resource_key").alias("key")).agg(
+        F.array_sort(F.collect_set("tag")).alias("tags"))
+    return c.dashboards.select("key", "name", "group_name", "description", "product").join(tags, "key", "left") \
+        .withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
+
+
 @register("search_with_filters")
 def search_with_filters(spark, sf):
     c = _catalog(spark, sf)

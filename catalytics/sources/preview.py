@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,19 +68,54 @@ def write_catalog(frames: dict[str, DataFrame], path: str) -> None:
         df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
 
 
+def write_edges(frames: dict[str, DataFrame], path: str) -> None:
+    """Edge frames (label -> frame with ``src``, ``dst`` and properties) as one
+    table partitioned by label; properties that a label lacks are null."""
+    rows = None
+    for label, df in frames.items():
+        part = df.withColumn("label", F.lit(label))
+        rows = part if rows is None else rows.unionByName(part, allowMissingColumns=True)
+    rows.write.mode("overwrite").partitionBy("label").parquet(path.rstrip("/"))
+
+
+def scan_edges(spark: SparkSession, path: str, labels: list[str] | None = None) -> DataFrame:
+    """Edges of some labels, or of all; other labels' folders are not opened."""
+    df = spark.read.parquet(path.rstrip("/"))
+    return df.where(F.col("label").isin(labels)) if labels else df
+
+
 def index_snapshot_publish(docs: DataFrame, path: str, version: int, partitions: int | None = None) -> str:
-    """Write a new version of the search-document table, then move the
-    pointer: the pointer file is written only after the version is
-    complete, so readers never see a half-written index."""
+    """Write a new version of the search-document table and commit it by its
+    marker, a one-row table written last under ``done``. Readers take the
+    highest version that has a marker, so a publish that fails at any point
+    leaves the old version readable; nothing is ever overwritten. A version
+    that is already committed can't be published again."""
     spark = docs.sparkSession
-    vdir = f"{path.rstrip('/')}/v={version}"
+    root = path.rstrip("/")
+    if version in _committed(spark, root):
+        raise ValueError(f"version {version} is already published")
+    vdir = f"{root}/v={version}"
     out = docs.repartition(partitions) if partitions else docs
     out.write.mode("overwrite").parquet(vdir)
-    spark.createDataFrame([(version, vdir)], "version long, location string") \
-        .coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/_current")
+    spark.createDataFrame([(version, vdir)], _MARKER).coalesce(1).write.mode("overwrite").parquet(f"{root}/done/v={version}")
     return vdir
 
 
+_MARKER = "version long, location string"
+
+
+def _committed(spark: SparkSession, root: str) -> dict[int, str]:
+    """Committed versions and where they are (one row a version)."""
+    try:
+        return {r["version"]: r["location"] for r in spark.read.schema(_MARKER).parquet(f"{root}/done/*").collect()}
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+
+
 def read_current_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    ptr = spark.read.json(f"{path.rstrip('/')}/_current").orderBy(F.desc("version")).first()
-    return spark.read.parquet(ptr["location"])
+    done = _committed(spark, path.rstrip("/"))
+    if not done:
+        raise ValueError(f"no version is published under {path}")
+    return spark.read.parquet(done[max(done)])
