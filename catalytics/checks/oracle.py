@@ -1065,3 +1065,44 @@ FROM t""")
 oracle("last_runs_from_nodes", ["c_dashboard_executions"], f"SELECT * FROM {_LASTEX}")
 oracle("watermarks_from_nodes", ["c_partitions"], _watermarks_sql(["%Y-%m-%d", "%Y%m%d"], True) +
        "SELECT table_key, watermark_type, partition_key, partition_value FROM wm")
+
+_TOP_READERS = """
+SELECT k.table_key, k.user_key, u.full_name, u.team_name, k.read_count, k.rank
+FROM (SELECT table_key, user_key, read_count,
+             row_number() OVER (PARTITION BY table_key ORDER BY read_count {order}, user_key) AS rank
+      FROM c_reads WHERE {where}) k LEFT JOIN c_users u ON u.email = k.user_key
+WHERE k.rank <= 5"""
+oracle("top_readers_recent", ["c_reads", "c_users"], _TOP_READERS.format(order="DESC", where="read_date >= DATE '1997-01-01'"))
+oracle("top_readers_ascending", ["c_reads", "c_users"], _TOP_READERS.format(order="ASC", where="true"))
+
+oracle("apply_owners_rejects", ["c_tables", "c_change_feed"], f"""
+SELECT seq, resource_key, kind, value, 'missing resource' AS reason FROM {_CH_BAD.format(k='owner')}""")
+oracle("apply_user_relations_rejects", ["c_tables", "c_change_feed"], f"""
+SELECT seq, resource_key, kind, value, 'missing resource' AS reason FROM {_CH_BAD.format(k='follow')}""")
+
+oracle("user_resources_own", ["c_owners", "c_tables"], """
+SELECT t.key, e.user_key, t.database, t.cluster, t.schema, t.name, t.description, 'own' AS relation
+FROM (SELECT DISTINCT user_key, resource_key FROM c_owners) e JOIN c_tables t ON t.key = e.resource_key""")
+oracle("user_resources_read_dashboards", ["c_dashboard_reads", "c_dashboards", "c_dashboard_executions"], f"""
+SELECT d.key, e.user_key, d.name, d.group_name, d.product, d.description, ex.last_successful_run_timestamp,
+       'read' AS relation
+FROM (SELECT DISTINCT user_key, dashboard_key FROM c_dashboard_reads) e JOIN c_dashboards d ON d.key = e.dashboard_key
+LEFT JOIN {_LASTEX} ex ON ex.dashboard_key = d.key""")
+
+oracle("basic_filter_by_tag", _TABLE_DOC_VIEWS, _TABLE_DOCS + """
+SELECT key, popularity_score FROM docs WHERE list_contains(tags, 'red')""")
+
+oracle("column_order_by_sort", ["c_columns"], """
+SELECT key, row_number() OVER (PARTITION BY table_key
+  ORDER BY coalesce(CASE WHEN sort_order <> 2 THEN sort_order END, 9999), name) AS position FROM c_columns""")
+oracle("column_order_by_name", ["c_columns"], """
+SELECT key, row_number() OVER (PARTITION BY table_key ORDER BY name) AS position FROM c_columns""")
+
+oracle("column_value_counts", [], """
+WITH v AS (
+  SELECT 'l_orderkey' AS column_name, cast(l_orderkey AS VARCHAR) AS value FROM lineitem
+  UNION ALL SELECT 'l_linenumber', cast(l_linenumber AS VARCHAR) FROM lineitem
+  UNION ALL SELECT 'l_returnflag', l_returnflag FROM lineitem UNION ALL SELECT 'l_linestatus', l_linestatus FROM lineitem),
+e AS (SELECT count(*) AS n, cast(epoch(min(l_shipdate)) AS BIGINT) AS start_epoch, cast(epoch(max(l_shipdate)) AS BIGINT) AS end_epoch FROM lineitem)
+SELECT v.column_name, v.value, count(*) AS n, any_value(e.start_epoch) AS start_epoch, any_value(e.end_epoch) AS end_epoch
+FROM v, e WHERE v.value IS NOT NULL GROUP BY v.column_name, v.value HAVING count(*) >= 0.02 * any_value(e.n)""")

@@ -65,6 +65,37 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, exact: bool
     return out.unionByName(d)
 
 
+def column_value_counts(df: DataFrame, share: float = 0.02, columns: list[str] | None = None,
+                        ts_col: str | None = None) -> DataFrame:
+    """(column_name, value STRING, n[, start_epoch, end_epoch]): every value
+    that at least ``share`` of the rows have, with its exact number of rows;
+    nulls are not counted as a value.
+
+    Two passes over the scan and no row per (row, column). The first keeps a
+    frequent-items sketch of each column; with its many tracked items the
+    estimate is off by far less than ``share``, so every such value is among
+    the few candidates that come back. The second counts those exactly."""
+    cols = columns or df.columns
+    text = [F.col(c).cast("string").alias(c) for c in cols]
+    tracked = max(10_000, int(200 / share))
+    sketches = [F.expr(f"approx_top_k(`{c}`, {int(2 / share)}, {tracked})").alias(c) for c in cols]
+    epochs = [F.unix_timestamp(F.min("__ts")).alias("lo"), F.unix_timestamp(F.max("__ts")).alias("hi")] if ts_col else []
+    rows = df.select(*text, *([F.col(ts_col).alias("__ts")] if ts_col else []))
+    found = rows.agg(F.count(F.lit(1)).alias("__n"), *epochs, *sketches).first()
+    least = share * found["__n"]
+    candidates = {c: [x["item"] for x in found[c] or [] if x["item"] is not None and x["count"] >= least / 2] for c in cols}
+    pairs = [F.when(F.col(c).isin(vs), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")))
+             for c, vs in candidates.items() if vs]
+    if not pairs:
+        out = rows.sparkSession.createDataFrame([], "column_name string, value string, n long")
+    else:
+        one = rows.select(F.explode(F.array_compact(F.array(*pairs))).alias("p"))
+        out = one.groupBy("p.column_name", "p.value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
+    if ts_col:
+        out = out.select("*", F.lit(found["lo"]).cast("long").alias("start_epoch"), F.lit(found["hi"]).cast("long").alias("end_epoch"))
+    return out
+
+
 def parse_unique_values(stat_val) -> F.Column:
     """Python-repr dict text "{'a': 1}" -> map<string,long>."""
     return F.from_json(F.replace(stat_val, F.lit("'"), F.lit('"')), "map<string,long>")

@@ -48,6 +48,18 @@ def apply_owners_created_users(spark, sf):
     return C.apply_owners(c.owners, c.users, c.change_feed, c.tables)[1]
 
 
+@register("apply_owners_rejects")
+def apply_owners_rejects(spark, sf):
+    c = _catalog(spark, sf)
+    return C.apply_owners(c.owners, c.users, c.change_feed, c.tables)[2]
+
+
+@register("apply_user_relations_rejects")
+def apply_user_relations_rejects(spark, sf):
+    c = _catalog(spark, sf)
+    return C.apply_user_relations(_follows(c), c.users, c.change_feed, c.tables, "follow")[2]
+
+
 def _tags(c):
     nodes = c.tags.select("tag", "tag_type").distinct()
     return C.apply_tags(c.tags, nodes, c.change_feed, c.tables, [b for b, _ in BADGE_WHITELIST])

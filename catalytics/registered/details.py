@@ -202,6 +202,21 @@ def user_resources_own_dashboards(spark, sf):
     return D.user_resources(c.dashboard_owners, res, "own")
 
 
+@register("user_resources_own")
+def user_resources_own(spark, sf):
+    c = _catalog(spark, sf)
+    return D.user_resources(c.owners, c.tables.select("key", "database", "cluster", "schema", "name", "description"), "own")
+
+
+@register("user_resources_read_dashboards")
+def user_resources_read_dashboards(spark, sf):
+    c = _catalog(spark, sf)
+    ex = D.last_executions(c.dashboard_executions).select(
+        F.col("dashboard_key").alias("key"), "last_successful_run_timestamp")
+    res = c.dashboards.select("key", "name", "group_name", "product", "description").join(ex, "key", "left")
+    return D.user_resources(c.dashboard_reads.select("user_key", F.col("dashboard_key").alias("resource_key")), res, "read")
+
+
 @register("owned_resources_union")
 def owned_resources_union(spark, sf):
     c = _catalog(spark, sf)

@@ -27,6 +27,7 @@ LAYOUT = {"LEFT": {"quality report": {"display_order": 1}, "audit log": {"displa
 STAT_SPEC = {"min": {"format": "%.2f", "new_name": "minimum"}, "max": {"drop": True},
              "avg": {"format": "%.4f"}}
 STAT_ORDER = ["max", "min", "avg"]
+VALUE_COLUMNS = ["l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"]
 
 
 def prog_descriptions(c):
@@ -102,6 +103,12 @@ def column_profile(spark, sf):
     return P.column_profile(c.raw("lineitem"))
 
 
+@register("column_value_counts")
+def column_value_counts(spark, sf):
+    """Values that 2 % of the order lines or more have, with their epochs."""
+    return P.column_value_counts(_catalog(spark, sf).raw("lineitem"), 0.02, VALUE_COLUMNS, "l_shipdate")
+
+
 @register("unique_values_summary")
 def unique_values_summary(spark, sf):
     return P.unique_values_summary(_catalog(spark, sf).column_stats, 5)
@@ -121,6 +128,18 @@ def column_order(spark, sf):
         "key", "table_key", "name", "position")
 
 
+@register("column_order_by_sort")
+def column_order_by_sort(spark, sf):
+    c = _catalog(spark, sf)
+    return P.column_order(c.columns.select("key", "table_key", "name", F.when(F.col("sort_order") != 2, F.col("sort_order")).alias(
+        "sort_order")), "sort_order").select("key", "position")
+
+
+@register("column_order_by_name")
+def column_order_by_name(spark, sf):
+    return P.column_order(_catalog(spark, sf).columns.select("key", "table_key", "name"), "name").select("key", "position")
+
+
 @register("column_type_census")
 def column_type_census(spark, sf):
     c = _catalog(spark, sf)

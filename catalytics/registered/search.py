@@ -185,6 +185,13 @@ def basic_filter(spark, sf):
         .select("key", "qualified_name", "popularity_score")
 
 
+@register("basic_filter_by_tag")
+def basic_filter_by_tag(spark, sf):
+    """Without any other filter the first tag decides."""
+    c = _catalog(spark, sf)
+    return FL.basic_filter(table_docs(c), {"tag": ["red", "blue"]}, page_index=-1).select("key", "popularity_score")
+
+
 @register("search_result_projection")
 def search_result_projection(spark, sf):
     c = _catalog(spark, sf)

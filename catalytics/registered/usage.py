@@ -67,6 +67,20 @@ def top_readers_active_min(spark, sf):
     return U.top_readers_per_table(c.reads, c.users, n=15, min_count=2, active_only=True)
 
 
+@register("top_readers_recent")
+def top_readers_recent(spark, sf):
+    """Readers since a date."""
+    c = _catalog(spark, sf)
+    return U.top_readers_per_table(c.reads, c.users, n=5, since="1997-01-01")
+
+
+@register("top_readers_ascending")
+def top_readers_ascending(spark, sf):
+    """The relational store's order: fewest reads first."""
+    c = _catalog(spark, sf)
+    return U.top_readers_per_table(c.reads, c.users, n=5, ascending=True)
+
+
 @register("reads_last_n_days")
 def reads_last_n_days(spark, sf):
     c = _catalog(spark, sf)

@@ -93,3 +93,15 @@ def test_table_detail_fields(spark):
     assert [(d.source, d.text) for d in r.programmatic_descriptions] == [("a", "1"), ("b", "2")]
     assert r.tags == ["x"] and r.owners == ["o"] and r.badges is None and r.columns[0].badges[0].badge_name == "pk"
     assert [(x.user_key, x.read_count) for x in r.table_readers] == [("u", 4)]
+
+
+def test_value_counts_are_exact_and_complete(spark):
+    from catalytics.operators import profile as P
+
+    rows = [(i, "a" if i % 3 == 0 else "b" if i % 3 == 1 else None, i % 40, f"2020-01-0{i % 9 + 1}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, x string, k int, d string").withColumn("d", F.to_timestamp("d"))
+    got = {(r.column_name, r.value): r.n for r in P.column_value_counts(df, 0.025, ["id", "x", "k"], "d").collect()}
+    assert got == {("x", "a"): 2000, ("x", "b"): 2000} | {("k", str(k)): 150 for k in range(40)}
+    row = P.column_value_counts(df, 0.3, ["x"], "d").first()
+    assert (row.end_epoch - row.start_epoch) == 8 * 86400
+    assert P.column_value_counts(df, 0.5, ["id"]).count() == 0
