@@ -347,3 +347,18 @@ def test_token_store_with_null_and_repeated_ids(spark):
         want.append((i, at, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
     assert got == want
+
+
+# 5: a ledger that two writers filled --------------------------------------
+
+def test_ledger_pairs_written_twice(spark):
+    from catalytics.llm import secrets
+
+    rows = [(1, "password=abcdef12"), (2, "nothing"), (3, "password=abcdef12"), (3, "password=abcdef12"), (None, None)]
+    path = scratch_path(spark, "t-ledger")
+    first = sorted(map(str, secrets.scan_versions(make(spark, rows), path).collect()))
+    again = spark.read.parquet(path)
+    again.write.mode("append").partitionBy("rule_version").parquet(path)  # the other writer's rows
+    more = make(spark, [*rows, (4, "token: zzzzzzzz")])
+    got = sorted(map(str, secrets.scan_versions(more, path).collect()))
+    assert len(first) == 5 and len(got) == 6 and set(first) < set(got)
