@@ -530,6 +530,17 @@ hits AS (SELECT key, round(log10(2 + cast(total_usage AS DOUBLE)), 6) AS score F
 SELECT key, score, (SELECT count(*) FROM hits) AS total_results FROM hits
 ORDER BY score DESC, key LIMIT 10 OFFSET 10""")
 
+oracle("search_filter_sets", _TABLE_DOC_VIEWS, _TABLE_DOCS + """,
+asked AS (SELECT DISTINCT p_type || ':' || p_brand AS query_id, p_type AS query, right(p_brand, 2) AS b FROM part),
+queries AS (SELECT query_id, query FROM asked),
+allowed AS (SELECT query_id, key FROM asked JOIN docs ON ends_with(database, b)
+            AND list_has_any(list_transform(badges, lambda x: lower(x)), ['beta', 'tiny']))""" +
+       _bm25_sql(TABLE_BOOSTS, _TABLE_ARRAYS, "total_usage", False, SEARCH_N).split("ranked AS")[0] + f"""
+allowed_hits AS (SELECT s.*, count(*) OVER (PARTITION BY s.query_id) AS total_results,
+                        row_number() OVER (PARTITION BY s.query_id ORDER BY score DESC, doc_key) AS rank
+                 FROM scored s JOIN allowed a ON a.query_id = s.query_id AND a.key = s.doc_key)
+SELECT * FROM allowed_hits WHERE rank <= {SEARCH_N}""")
+
 oracle("basic_filter", _TABLE_DOC_VIEWS, _TABLE_DOCS + """
 SELECT key, qualified_name, popularity_score FROM docs
 WHERE starts_with(qualified_name, 'economy.') AND ends_with(qualified_name, '@gold') AND contains(qualified_name, 'part_1')""")

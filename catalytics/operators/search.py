@@ -164,6 +164,22 @@ def search_with_filters(docs: DataFrame, filters: dict | None, term: str | None,
     return page_with_total(hits, [F.desc("score"), F.asc("key")], page_index, page_size)
 
 
+def search_filter_sets(index: DataFrame, docs: DataFrame, queries: DataFrame, filters: DataFrame, n: int = 10,
+                       resource: str = "table", boosts: dict | None = None) -> DataFrame:
+    """Many filtered searches at once. ``queries`` has rows (query_id, query),
+    ``filters`` rows (query_id, category, value). A hit matches its query's
+    text and every filter category of it; its score is the match score (best
+    field) x log10(2 + total_usage). The first ``n`` per query come back with
+    the query's ``total_results``. A request without usable filters has no
+    hits, as in ``faceted_filter``."""
+    from catalytics.operators.filters import faceted_filter_sets
+    boosts = boosts or (TABLE_BOOSTS if resource == "table" else DASHBOARD_BOOSTS)
+    allowed = faceted_filter_sets(docs, filters, resource).withColumnRenamed("key", "doc_key")
+    matched = bm25_field_scores(index, queries, boosts).join(allowed, ["query_id", "doc_key"], "left_semi")
+    total = matched.groupBy("query_id").agg(F.countDistinct("doc_key").alias("total_results"))
+    return rank_hits(matched, docs, n, "total_usage").join(total, "query_id")
+
+
 def search_result_projection(hits: DataFrame, fields: list[str]) -> DataFrame:
     """Keep declared fields only; tags/badges become array<struct<tag_name>>;
     hits without a document payload (null key) are skipped."""

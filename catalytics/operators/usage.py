@@ -8,6 +8,8 @@ global top-n is written *before* hydration (limit, then join)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -156,28 +158,21 @@ def catalog_statistics(tables: DataFrame, columns: DataFrame, owner_edges: DataF
     over every owned node (tables, dashboards, features). Empty inputs give
     zeros, not an empty result. The owned-and-documented count counts
     (description, owner) pairs as the path match does."""
-    documented = tables.where(F.length("description") > 2).select(F.col("key").alias("resource_key"))
-
-    def metric(df: DataFrame, name: str, agg) -> DataFrame:
-        # a global aggregate always yields exactly one row (0 on empty input)
-        return df.agg(agg.cast("long").alias("value")).select(F.lit(name).alias("metric"), "value")
+    described = F.length("description") > 2
+    documented = tables.where(described).select(F.col("key").alias("resource_key"), F.lit(True).alias("documented"))
+    edges = owner_edges.select("resource_key", "user_key").join(documented, "resource_key", "left")
 
+    # global aggregates always yield exactly one row (0 on empty input)
     parts = [
-        metric(tables, "number_of_tables", F.count(F.lit(1))),
-        metric(documented, "number_of_documented_tables", F.count(F.lit(1))),
-        metric(columns.where(F.length("description") > 2), "number_of_documented_cols",
-               F.count(F.lit(1))),
-        metric(owner_edges, "number_of_tables_with_owners", F.countDistinct("resource_key")),
-        metric(owner_edges, "number_of_owners", F.countDistinct("user_key")),
-        metric(documented.join(owner_edges, "resource_key"),
-               "number_of_documented_and_owned_tables", F.count(F.lit(1))),
+        tables.agg(F.count(F.lit(1)).alias("number_of_tables"), F.count_if(described).alias("number_of_documented_tables")),
+        columns.agg(F.count_if(described).alias("number_of_documented_cols")),
+        edges.agg(F.countDistinct("resource_key").alias("number_of_tables_with_owners"),
+                  F.countDistinct("user_key").alias("number_of_owners"),
+                  F.count_if("documented").alias("number_of_documented_and_owned_tables")),
     ]
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
-    # six rows -> one row (no join needed)
-    return long.agg(*[F.max(F.when(F.col("metric") == m, F.col("value"))).alias(m)
-                      for m in STATISTICS])
+    # three rows -> one row (no join needed)
+    long = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return long.agg(*[F.max(m).alias(m) for m in STATISTICS])
 
 
 STATISTICS = ["number_of_tables", "number_of_documented_tables", "number_of_documented_cols",

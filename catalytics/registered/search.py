@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalytics.operators import filters as FL
 from catalytics.operators import search as S
+from catalytics.plans.fragments import written
 from catalytics.registry import _catalog, register
 
 # Fixed parameters of the registered searches.
@@ -50,17 +51,23 @@ def search_tables(spark, sf):
     return table_hits(c, table_queries(c))
 
 
+def term_rows(docs, boosts, name):
+    """The documents and their term rows, each written once: scoring reads
+    the term rows three times."""
+    docs = written(docs, f"search-{name}")
+    return docs, written(S.build_inverted_index(docs, list(boosts)), f"search-{name}-terms")
+
+
 def table_hits(c, queries):
-    docs = table_docs(c)
-    idx = S.build_inverted_index(docs, list(S.TABLE_BOOSTS))
+    docs, idx = term_rows(table_docs(c), S.TABLE_BOOSTS, "tables")
     return S.search_tables(idx, docs, queries, n=SEARCH_N)
 
 
 @register("search_documents")
 def search_documents(spark, sf):
     c = _catalog(spark, sf)
-    docs = document_docs(c)
-    idx = S.build_inverted_index(docs, list(DOC_BOOSTS))
+    docs = document_docs(c)  # the given table itself: only the term rows are written
+    idx = written(S.build_inverted_index(docs, list(DOC_BOOSTS)), "search-documents-terms")
     q = c.raw("benchmark").select(F.col("item_id").cast("string").alias("query_id"),
                                   F.col("text").alias("query"))
     return S.search_tables(idx, docs, q, n=SEARCH_N, boosts=DOC_BOOSTS)
@@ -73,8 +80,7 @@ def search_users(spark, sf):
 
 
 def user_hits(c, queries):
-    docs = user_docs(c)
-    idx = S.build_inverted_index(docs, list(S.USER_BOOSTS))
+    docs, idx = term_rows(user_docs(c), S.USER_BOOSTS, "users")
     return S.search_users(idx, docs, queries, n=SEARCH_N)
 
 
@@ -110,7 +116,7 @@ def dashboard_hits(c, queries):
                     F.coalesce("query_names", empty).alias("query_names"),
                     F.coalesce("chart_names", empty).alias("chart_names"),
                     F.coalesce("total_usage", F.lit(0).cast("long")).alias("total_usage")))
-    idx = S.build_inverted_index(docs, list(S.DASHBOARD_BOOSTS))
+    docs, idx = term_rows(docs, S.DASHBOARD_BOOSTS, "dashboards")
     return S.search_dashboards(idx, docs, queries, n=SEARCH_N)
 
 
@@ -177,6 +183,23 @@ def search_with_filters(spark, sf):
         "key", "score", "total_results")
 
 
+@register("search_filter_sets")
+def search_filter_sets(spark, sf):
+    """One request per table type and brand that occur together: the type's
+    words, among tables of the brand with a badge."""
+    c = _catalog(spark, sf)
+    p = c.raw("part").select("p_type", "p_brand").distinct() \
+        .withColumn("query_id", F.concat("p_type", F.lit(":"), "p_brand"))
+    queries = p.select("query_id", F.col("p_type").alias("query"))
+    brand = F.concat(F.lit("*"), F.substring(F.col("p_brand"), -2, 2))
+    filters = p.select("query_id", F.inline(F.array(
+        F.struct(F.lit("database").alias("category"), brand.alias("value")),
+        F.struct(F.lit("badges").alias("category"), F.lit("Beta").alias("value")),
+        F.struct(F.lit("badges").alias("category"), F.lit("tiny").alias("value")))))
+    docs, idx = term_rows(table_docs(c), S.TABLE_BOOSTS, "tables")
+    return S.search_filter_sets(idx, docs, queries, filters, n=SEARCH_N)
+
+
 @register("basic_filter")
 def basic_filter(spark, sf):
     c = _catalog(spark, sf)
