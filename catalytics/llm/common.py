@@ -28,6 +28,18 @@ def persisted(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_hot(rows: DataFrame, facts: DataFrame, keys: list[str], n_rows: str, total: int, parts: int) -> DataFrame:
+    """Inner join of ``rows`` with ``facts``, which has one row a key with the
+    number ``n_rows`` of the key's rows, of ``total`` in all. Keys with more
+    than 1 / ``parts`` of all rows are joined where their rows are: there are
+    fewer than ``parts`` of them, the bound of what is broadcast. The others
+    are joined by a shuffle, in which none of them fills a task."""
+    is_hot = F.col(n_rows) * parts > total
+    hot = F.broadcast(facts.where(is_hot))
+    others = rows.join(F.broadcast(facts.where(is_hot).select(*keys)), keys, "left_anti")
+    return rows.join(hot, keys).unionByName(others.join(facts.where(~is_hot), keys))
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only (no Unicode case mapping)."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -9,17 +9,20 @@ largest document id. Steps:
    one and in two or more of its documents. Filters merge per chunk of bits
    with ``twice = t1 | t2 | (o1 & o2)``, ``once = o1 | o2``; a key of two
    documents is always in ``twice``.
-3. Only keys in ``twice`` are shuffled, counted exactly (partial counts
-   before the shuffle, so a line of a third of all documents is one row per
-   task) and joined back to the documents that lose them.
+3. Only keys in ``twice`` are shuffled and counted exactly, by (key, id)
+   first, so a line of a third of all documents fills no task. Keys that lose
+   lines are joined back to the documents; those with more than 1 /
+   ``HOT_PARTS`` of all suspects without a shuffle.
 
 The filters' size follows the number of lines up to ``MAX_BLOOM_BITS``, the
 bound of what is broadcast; beyond it more lines are counted exactly, with
 the same result.
 
-Defined results: null and empty texts are one empty line, kept; every row is
-a document, rows that share the largest id of a line all keep it; rows with a
-null id count but keep all their lines; other columns pass through.
+Defined results: null and empty texts are one empty line, kept; a document is
+an id, so rows that repeat it count once for a line, and rows that share the
+largest id of a line all keep it; rows with a null id don't count and keep all
+their lines; texts of any length are read whole; an empty table has an empty
+result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -32,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import persisted
+from catalytics.llm.common import join_hot, persisted
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -40,6 +43,7 @@ MAX_BLOOM_BITS = 1 << 28
 BITS_PER_LINE = 16
 CHUNK_BITS = 1 << 18
 HASHES = 3
+HOT_PARTS = 65_536
 
 
 def line_keys(text: str, min_chars: int) -> tuple[list[bytes], list[int]]:
@@ -121,7 +125,7 @@ def twice_filter(keyed: DataFrame, bits: int) -> bytes:
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "lines",
                 min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
-                max_bits: int = MAX_BLOOM_BITS) -> DataFrame:
+                max_bits: int = MAX_BLOOM_BITS, hot_parts: int = HOT_PARTS) -> DataFrame:
     """``docs`` with a struct column ``out``: ``n_lines`` (before dropping),
     ``n_dropped`` and ``kept`` (the text that remains)."""
     spark = docs.sparkSession
@@ -148,10 +152,15 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 some = keys[hit].view(np.int64)
                 yield pd.DataFrame({"id": ids[hit].reset_index(drop=True), "hi": some[:, 0], "lo": some[:, 1]})
 
-    suspects = persisted(keyed.mapInPandas(suspected, "id long, hi long, lo long"), "line-suspects")
-    repeated = suspects.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")) \
-        .where(F.col("n") >= min_docs)
-    drops = suspects.join(repeated, ["hi", "lo"]).where(F.col("id") < F.col("keeper")) \
+    # rows without an id are no documents
+    found = keyed.where(F.col("id").isNotNull()).mapInPandas(suspected, "id long, hi long, lo long")
+    suspects = persisted(found, "line-suspects")
+    each = suspects.groupBy("hi", "lo", "id").agg(F.count(F.lit(1)).alias("rows"))
+    repeated = persisted(each.groupBy("hi", "lo").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("rows").alias("rows"), F.max("id").alias("keeper"))
+        .where(F.col("n") >= min_docs), "line-repeated")
+    drops = join_hot(suspects, repeated, ["hi", "lo"], "rows", suspects.count(), hot_parts) \
+        .where(F.col("id") < F.col("keeper")) \
         .groupBy(F.col("id").alias("__drop_id")).agg(F.collect_set(F.struct("hi", "lo")).alias("__drops"))
 
     @F.pandas_udf("n_lines long, n_dropped long, kept string")

@@ -13,15 +13,15 @@ def _q(s: str) -> str:
 
 
 OP1 = f"""
-WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT r, doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM d),
 k AS (SELECT *, translate(trim(line, {_WS}), {_LOWER}) AS key FROM l),
-r AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
+rep AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20
       GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
-m AS (SELECT k.*, coalesce(k.doc_id < r.keeper, false) AS gone FROM k LEFT JOIN r USING (key))
+m AS (SELECT k.*, coalesce(k.doc_id < rep.keeper, false) AS gone FROM k LEFT JOIN rep USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-FROM m GROUP BY doc_id"""
+FROM m GROUP BY r, doc_id"""
 
 
 def _canonical(text: str) -> str:
