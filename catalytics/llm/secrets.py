@@ -5,11 +5,13 @@ text. The ledger (a Parquet table in shared storage) holds one row for each
 (blob, rule version) pair that was ever scanned, with its findings. A run
 scans only blobs without a row for the current rule version, each once
 however many paths hold it, appends them, and joins the ledger's findings
-back to all paths. A rule change is a new version, hence a new scan.
+back to all paths. A rule change is a new version, hence a new scan. A blob of
+more than 1 / ``HOT_PARTS`` of all paths meets its findings without a shuffle.
 
 Defined results: null texts are the empty blob; equal texts share one scan
 and all get its findings; a path that occurs twice is reported twice; extra
-columns are not read; an empty table appends an empty batch.
+columns are not read; null ids are paths like any other; texts of any length
+are scanned whole; an empty table appends an empty batch.
 """
 
 from __future__ import annotations
@@ -22,6 +24,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalytics.llm.common import join_hot, persisted
+
 # Kinds in listed order, their patterns and least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.IGNORECASE | re.ASCII)
@@ -30,6 +34,7 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 KINDS = ["assign", "access", "hex"]
 MIN_VALUE = 6
 RULES = "1"
+HOT_PARTS = 8192
 
 LEDGER_SCHEMA = "blob string, findings array<struct<kind: int, start: int, end: int>>, rule_version string"
 
@@ -57,14 +62,11 @@ def ledger(spark: SparkSession, path: str, rules: str) -> DataFrame | None:
         return None
 
 
-def scan_versions(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text_col: str = "text",
-                  rules: str = RULES) -> DataFrame:
-    """Scan the unseen blobs of ``docs``, append them to the ledger at
-    ``ledger_path`` and return one row per path: the id, ``blob`` and
-    ``findings`` (array of kind index, start, end)."""
+def scan_unseen(docs: DataFrame, ledger_path: str, text_col: str = "text", rules: str = RULES) -> None:
+    """Scan the blobs of ``docs`` that the ledger at ``ledger_path`` lacks for
+    these rules, and append them to it."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    paths = docs.select(F.col(id_col), F.sha2(text, 256).alias("blob"))
     blobs = docs.select(F.sha2(text, 256).alias("blob"), text.alias("text"))
     seen = ledger(spark, ledger_path, rules)
     if seen is not None:
@@ -78,6 +80,19 @@ def scan_versions(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", tex
             yield pd.DataFrame({"blob": b["blob"], "findings": found, "rule_version": rules})
 
     unseen.mapInPandas(scan, LEDGER_SCHEMA).write.mode("append").partitionBy("rule_version").parquet(ledger_path)
+
+
+def scan_versions(docs: DataFrame, ledger_path: str, id_col: str = "doc_id", text_col: str = "text",
+                  rules: str = RULES, hot_parts: int = HOT_PARTS) -> DataFrame:
+    """Scan the unseen blobs of ``docs``, append them to the ledger at
+    ``ledger_path`` and return one row per path: the id, ``blob`` and
+    ``findings`` (array of kind index, start, end)."""
+    spark = docs.sparkSession
+    scan_unseen(docs, ledger_path, text_col, rules)
+    blob = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256).alias("blob")
+    paths = persisted(docs.select(F.col(id_col), blob), "secret-paths")
     # two runs at once may both have put a pair in: equal findings, one row
     known = ledger(spark, ledger_path, rules).select("blob", "findings").dropDuplicates(["blob"])
-    return paths.join(known, "blob")
+    copies = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("__copies"))
+    facts = persisted(known.join(copies, "blob"), "secret-findings")
+    return join_hot(paths, facts, ["blob"], "__copies", paths.count(), hot_parts).drop("__copies")
