@@ -6,7 +6,8 @@
    and sum rows and bytes per range, exactly.
 4. A range above its limit is overfull: it gets splitters of its own from a
    new sample inside the range, again and again until no range is overfull
-   (or a range cannot be parted, being one single sort key).
+   (or a range cannot be parted, being one single sort key). A key that the
+   sample holds several times gets a range of its own.
 5. Ranges in key order are dealt to shards by their cumulated bytes, so the
    shards' sizes differ by no more than about one range.
 
@@ -15,30 +16,36 @@ hash of the id, so that a hot key's records can be parted. Slots number a
 shard's records from 0: the rows of the ranges before, plus the row number
 inside the range. No task holds more than a range.
 
-The splitters are collected: at most ``max_ranges`` pairs of longs, the bound
-of what the driver and the plan hold.
+The number of ranges follows the bytes (``RANGE_BYTES`` each) between
+``ranges_per_shard`` a shard and ``max_ranges`` in all. The splitters are
+collected: about ``max_ranges`` pairs of longs, and as many again for overfull
+ranges, since a round gives a range one splitter for each mean range that it
+holds. That bounds what the driver and the plan hold.
 
 Defined results: null texts have size 1 and the digest of the empty text;
-repeated rows go next to each other and each has a slot; an empty table has
-an empty result; shards without records are possible on tiny inputs; other
+repeated rows go next to each other and each has a slot; texts of any length
+are one record; an empty table has an empty result; shards without records
+are possible on tiny inputs; other
 columns pass through.
 """
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalytics.llm.common import persisted
 
-#: Ranges per shard that the first splitters aim at.
+#: Least ranges per shard that the first splitters aim at, and the size of one.
 RANGES_PER_SHARD = 64
+RANGE_BYTES = 64 << 20
 #: Sampled keys per range.
 SAMPLES_PER_RANGE = 24
 #: A range is overfull beyond so many times the mean range.
 OVERFULL = 3.0
 MAX_RANGES = 65_536
-ROUNDS = 6
 
 
 def _literal(values: list[tuple[int, int]]) -> Column:
@@ -73,8 +80,18 @@ def _quantiles(sample: list[tuple[int, int]], n: int) -> list[tuple[int, int]]:
     return [sample[i * len(sample) // n] for i in range(1, n)] if len(sample) >= n else sample
 
 
+def _part(sample: list[tuple[int, int]], n: int, lo: tuple[int, int], hi: tuple[int, int]) -> set[tuple[int, int]]:
+    """Splitters that part the range of keys ``lo`` to ``hi``: never none. A
+    key drawn more than once also ends where it begins."""
+    cuts = _quantiles(sample, n)
+    twice = {s for s, after in zip(cuts, cuts[1:]) if s == after}
+    inside = {s for s in {*cuts, *((k, t + 1) for k, t in twice if t < (1 << 63) - 1)} if lo < s <= hi}
+    return inside or {hi}
+
+
 def shard_by_bytes(docs: DataFrame, n_shards: int, key: Column, size: Column, tie: Column,
-                   max_ranges: int = MAX_RANGES, ranges_per_shard: int = RANGES_PER_SHARD) -> DataFrame:
+                   max_ranges: int = MAX_RANGES, ranges_per_shard: int = RANGES_PER_SHARD,
+                   range_bytes: int = RANGE_BYTES) -> DataFrame:
     """``docs`` with ``shard``, ``slot`` (gapless from 0 inside a shard) and
     ``range`` (the splitter range), replacing columns of these names. ``size`` is a record's weight in bytes;
     records with equal ``key`` are neighbours; ``tie`` parts them."""
@@ -83,18 +100,17 @@ def shard_by_bytes(docs: DataFrame, n_shards: int, key: Column, size: Column, ti
     # the narrow columns are read several times: write them once
     slim = persisted(keyed.select("__key", "__size"), "shard-keys")
     total = slim.agg(F.sum("__size")).first()[0] or 0
-    goal = n_shards * ranges_per_shard
+    goal = max(n_shards * ranges_per_shard, min(max_ranges, total // range_bytes))
     rate = goal * SAMPLES_PER_RANGE / max(total, 1)
     first = _draw(slim, F.col("__size") * rate, 0).select("__key.k", "__key.t")
     splitters = sorted(set(_quantiles([(r["k"], r["t"]) for r in first.toLocalIterator()], goal)))
     limit = OVERFULL * total / goal
-    for salt in range(1, ROUNDS + 1):
+    for salt in count(1):  # every round parts each overfull range
         ranged = slim.withColumn("__range", _range_of(F.col("__key"), splitters))
         full = ranged.groupBy("__range").agg(
             F.sum("__size").alias("bytes"), F.min("__key").alias("lo"), F.max("__key").alias("hi"))
         over = [r for r in full.where((F.col("bytes") > limit) & (F.col("lo") < F.col("hi"))).toLocalIterator()]
-        room = max_ranges - 1 - len(splitters)
-        if not over or room <= 0:
+        if not over:
             break
         new: set[tuple[int, int]] = set()
         inside = ranged.where(F.col("__range").isin([r["__range"] for r in over]))
@@ -102,14 +118,13 @@ def shard_by_bytes(docs: DataFrame, n_shards: int, key: Column, size: Column, ti
         for r in _draw(inside, F.col("__size") * rate * 4, salt).select("__range", "__key.k", "__key.t").toLocalIterator():
             drawn[r["__range"]].append((r["k"], r["t"]))
         for r in over:
-            # a range of few huge records may yield no sample: part it at its last key
             parts = int(r["bytes"] // (limit / OVERFULL)) + 1
-            new.update(_quantiles(drawn[r["__range"]], parts) or [(r["hi"]["k"], r["hi"]["t"])])
-        splitters = sorted({*splitters, *sorted(new)[:room]})
+            new |= _part(drawn[r["__range"]], parts, tuple(r["lo"]), tuple(r["hi"]))
+        splitters = sorted({*splitters, *new})
     ranged = keyed.withColumn("range", _range_of(F.col("__key"), splitters))
     sums = slim.groupBy(_range_of(F.col("__key"), splitters).alias("range")) \
         .agg(F.sum("__size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
-    # at most max_ranges rows: the running sums are one small task
+    # one row a range, bounded as the splitters are: the running sums are one small task
     upto = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.coalesce(F.sum("bytes").over(upto), F.lit(0)) + F.col("bytes") / 2
     dealt = sums.withColumn("shard", F.least(F.floor(middle * n_shards / F.lit(max(total, 1))), F.lit(n_shards - 1)).cast("int"))
