@@ -3,6 +3,7 @@ docstrings define: nulls, empty and long texts, ties, repeated rows, empty
 tables and extra columns with clashing names."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 
 from catalytics.llm import (bpe, decontaminate, licenses, line_dedup, near_dup, quality, secrets, sharding,
                             token_store, toxicity)
+from catalytics.llm.oracle import ORACLES
 from catalytics.llm.queries import QUERIES, tokenizer_path
 from catalytics.session import scratch_path
 
@@ -52,11 +54,11 @@ def real(spark, sf_small):
 def brute_lines(rows):
     key = lambda x: low(x).strip(" \t\n\x0b\x0c\r")
     holders = {}
-    for n, (i, t) in enumerate(rows):
+    for i, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
-            if len(k) >= 20:
-                holders.setdefault(k, []).append((n, i))
-    gone = {k: max(i for _, i in h if i is not None) for k, h in holders.items() if len(h) >= 3}
+            if len(k) >= 20 and i is not None:
+                holders.setdefault(k, set()).add(i)
+    gone = {k: max(h) for k, h in holders.items() if len(h) >= 3}
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -74,6 +76,29 @@ def test_line_dedup(spark, rng, bits):
     assert sorted([(r["doc_id"], *r["lines"]) for r in got.collect()], key=str) == brute_lines(rows)
 
 
+REPEATS = [(1, "a line that two ids hold\nx"), (1, "a line that two ids hold"), (2, "a line that two ids hold"),
+           (3, "a line that three ids hold"), (4, "A line that three ids hold "), (5, "y\na line that three ids hold"),
+           (5, "a line that three ids hold"), (None, "a line that two ids hold"), (None, "a line that three ids hold")]
+
+
+@pytest.mark.parametrize("parts", [1, 4, 65_536])
+def test_line_dedup_repeated_ids_and_hot_lines(spark, rng, parts):
+    rows = REPEATS + [(10 + i, f"a line that a third of all rows hold\nline of its own number {i % 50:08d}") for i in range(200)]
+    got = line_dedup.dedup_lines(make(spark, rows), hot_parts=parts)
+    assert sorted([(r["doc_id"], *r["lines"]) for r in got.collect()], key=str) == brute_lines(rows)
+
+
+def test_line_dedup_is_its_sql(spark, tmp_path):
+    import duckdb
+
+    make(spark, EDGE + REPEATS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op1_line_dedup"](spark, str(tmp_path)).collect()
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        want = con.execute(ORACLES["op1_line_dedup"]).fetchall()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_line_dedup_saturated_filter(spark, rng):
     """A filter far too small only sends more lines to the exact count."""
     line_dedup.CHUNK_BITS, old = 64, line_dedup.CHUNK_BITS
@@ -215,6 +240,14 @@ def test_secrets_query(spark, tmp_path, real):
         assert got[i]["n_hex"] == spans.count("hex:") and got[i]["n_assign"] == spans.count("assign:")
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8192])
+def test_secrets_of_hot_blobs(spark, parts):
+    rows = [(i, "secret=abcdefg" if i % 2 else f"token=abcdef{i % 9}") for i in range(60)] + [(None, "plain"), (1, "plain")]
+    got = secrets.scan_versions(make(spark, rows), scratch_path(spark, "ledger"), hot_parts=parts).collect()
+    assert sorted([(r["doc_id"], len(r["findings"])) for r in got], key=str) == \
+        sorted([(i, int(t != "plain")) for i, t in rows], key=str)
+
+
 def test_secret_ledger_is_incremental(spark):
     path = scratch_path(spark, "ledger")
     first = make(spark, [(1, "secret=abcdefg"), (2, "secret=abcdefg"), (3, "plain")])
@@ -396,8 +429,63 @@ def test_overfull_ranges_are_parted(spark, rng):
     assert per <= sharding.OVERFULL * 3000 / 32 + 1
 
 
+def test_ranges_follow_the_bytes_and_repeated_rows_end(spark):
+    """A single sort key can't be parted; all around it is."""
+    docs = spark.range(2000).selectExpr("if(id < 900, 7, id) as doc_id", "if(id < 900, 'one', cast(id % 50 as string)) as text")
+    got = sharding.shard_by_bytes(docs, 4, F.col("text"), F.lit(10), F.col("doc_id"), ranges_per_shard=2, range_bytes=200)
+    per = {r["range"]: r["count"] for r in got.groupBy("range").count().collect()}
+    assert len(per) > 40 and sorted(per.values())[-1] == 900 and sorted(per.values())[-2] <= sharding.OVERFULL * 20 + 1
+    slots = got.groupBy("shard").agg(F.count_distinct("slot"), F.max("slot") + 1, F.count("*")).collect()
+    assert all(r[1] == r[2] == r[3] for r in slots) and sum(r[1] for r in slots) == 2000
+
+
+def test_sharding_query(spark, tmp_path, real):
+    rows = EDGE + [(100 + i, t) for i, t in real] + [(None, "no id")]
+    make(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op8_sharding"](spark, str(tmp_path)).collect()
+    want = [(i, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t in rows]
+    assert sorted([(r["doc_id"], r["size"], r["text_crc32"]) for r in got], key=str) == sorted(want, key=str)
+    assert {(r["law"], r["grown_shard"]) for r in got} == {("bytes", None)} and {r["shard"] for r in got} <= set(range(8))
+    for k in range(8):
+        slots = sorted(r["slot"] for r in got if r["shard"] == k)
+        assert slots == list(range(len(slots)))
+
+
 # 9 -----------------------------------------------------------------------
 
+def test_toxicity_sample_is_one_row_an_id(spark):
+    docs = make(spark, [(1, f"text {i % 7}") for i in range(500)] + [(2, "clean"), (2, None), (3, None)])
+    lab = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0), (4, 1), (2, None), (None, 1)], "doc_id long, toxic int")
+    assert toxicity.training_sample(docs, lab) == (["", "clean", "text 0"], [0, 0, 1])
+
+
+def test_toxicity_scores_are_the_model(spark, rng):
+    model = toxicity.OrdinalModel([0.5, 1.0, 2.5], {"vile": 1.5, "^scum": 0.75}, cut=0.6)
+    rows = EDGE + [(20, "Vile scummy"), (20, "Vile scummy"), (21, "scum"), (22, "vile " * 30_000), (None, "SCUMMY")]
+    got = toxicity.grade_texts(make(spark, rows), model)
+    assert {"n_tokens", "run", "shard"} < set(got.columns)
+
+    def brute(t):
+        w = set(re.split("[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", low(t)))
+        s = 1.5 * ("vile" in w) + 0.75 * sum(x.startswith("scum") and len(x) > 4 for x in w)
+        p = [1 / (1 + math.exp(k - s)) for k in model.thresholds]
+        each = [a - b for a, b in zip([1.0, *p], [*p, 0.0])]
+        return round(sum(p), 6), round(p[0], 6), each.index(max(each)), s >= 0.6
+
+    assert sorted([(r["doc_id"], *r["severity"]) for r in got.collect()], key=str) == \
+        sorted([(i, *brute(t)) for i, t in rows], key=str)
+
+
+def test_toxicity_grades_come_from_the_other_half(rng):
+    texts = [prose(rng, 30, 500) + " vile" * (i % 2) + " scum grobian" * (i % 4 == 3) for i in range(800)]
+    toxic = [i % 2 for i in range(800)]
+    grade = toxicity.cross_grades(texts, toxic)
+    assert set(grade[::2]) == {0} and set(grade[1::2]) <= {1, 2, 3}
+    assert grade[3::4].mean() > grade[1::4].mean() + 0.5
+    model = toxicity.fit(texts, toxic)
+    assert model.thresholds == sorted(model.thresholds)
+
+
 def test_toxicity_held_out(spark, rng):
     docs, labels = [], []
     for i in range(900):
