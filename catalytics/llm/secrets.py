@@ -67,12 +67,12 @@ def scan_unseen(docs: DataFrame, ledger_path: str, text_col: str = "text", rules
     these rules, and append them to it."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    blobs = docs.select(F.sha2(text, 256).alias("blob"), text.alias("text"))
+    # partial aggregation keeps one row per task of a text with many copies,
+    # before the blobs meet the ledger
+    unseen = docs.select(F.sha2(text, 256).alias("blob"), text.alias("text")).dropDuplicates(["blob"])
     seen = ledger(spark, ledger_path, rules)
     if seen is not None:
-        blobs = blobs.join(seen.select("blob"), "blob", "left_anti")
-    # partial aggregation keeps one row per task of a text with many copies
-    unseen = blobs.dropDuplicates(["blob"])
+        unseen = unseen.join(seen.select("blob"), "blob", "left_anti")
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
