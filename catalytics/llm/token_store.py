@@ -16,12 +16,13 @@ rows. A document longer than the shard bound is a shard of its own.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -31,12 +32,23 @@ from catalytics.llm.bpe import byte_symbols
 SHARD_TOKENS = 2_000_000
 #: Bits between two entries of a plane's rank directory.
 RANK_BLOCK = 512
-#: Distinct chunks in one generation of an encoder's memo; it keeps two.
-MEMO_CHUNKS = 600_000
+#: Values that are put back in their places at a time, a multiple of 8.
+VALUE_BLOCK = 1 << 16
+#: Distinct pieces, and their characters, at which an encoder's memo starts a
+#: new generation; it keeps two.
+MEMO_PIECES = 600_000
+MEMO_CHARS = 32_000_000
+#: Documents that are encoded at once.
+BATCH_DOCS = 2_000
 
 SHARD_SCHEMA = ("shard string, part int, seq int, n_docs long, n_tokens long, bits int, "
                 "doc_ids binary, doc_null binary, ends binary, "
                 "planes array<binary>, ranks array<binary>, zeros array<long>")
+_ARROW_SCHEMA = pa.schema([
+    ("shard", pa.string()), ("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()),
+    ("n_tokens", pa.int64()), ("bits", pa.int32()), ("doc_ids", pa.binary()), ("doc_null", pa.binary()),
+    ("ends", pa.binary()), ("planes", pa.list_(pa.binary())), ("ranks", pa.list_(pa.binary())),
+    ("zeros", pa.list_(pa.int64()))])
 
 
 class WaveletMatrix:
@@ -144,28 +156,77 @@ class WaveletMatrix:
         kind = np.uint16 if bits <= 16 else np.uint32
         seq = np.zeros(self.n, kind)
         for j in range(bits - 1, -1, -1):
-            ones = np.unpackbits(self.planes[j], count=self.n).view(bool)
-            up = np.empty(self.n, kind)
-            z = self.zeros[j]
-            up[np.flatnonzero(~ones)] = seq[:z]
-            up[np.flatnonzero(ones)] = seq[z:] | kind(1 << (bits - 1 - j))
+            plane, up = self.planes[j], np.empty(self.n, kind)
+            low, high = 0, self.zeros[j]
+            seq[high:] |= kind(1 << (bits - 1 - j))
+            for at in range(0, self.n, VALUE_BLOCK):  # small enough for the processor's cache
+                some = up[at:at + VALUE_BLOCK]
+                ones = np.unpackbits(plane[at // 8:(at + VALUE_BLOCK) // 8], count=len(some)).view(bool)
+                where = np.flatnonzero(ones)
+                some[where] = seq[high:high + len(where)]
+                high += len(where)
+                where = np.flatnonzero(~ones)
+                some[where] = seq[low:low + len(where)]
+                low += len(where)
             seq = up
         return seq.astype(np.uint32)
 
 
+class PieceMemo:
+    """Ids of distinct pieces: a row for each, all ids in one array. Row 0 is
+    the empty piece."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.chars = 0
+        self.flat, self.ends = np.empty(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+        self.add([""], np.empty(0, np.uint32), [0])
+
+    @property
+    def full(self) -> bool:
+        return len(self.rows) > MEMO_PIECES or self.chars > MEMO_CHARS
+
+    def add(self, pieces: list[str], ids: np.ndarray, lengths: list[int]) -> None:
+        """New pieces with their ids, one after the other."""
+        n, end = len(self.rows), int(self.ends[len(self.rows)])
+        while len(self.ends) < n + len(pieces) + 1:
+            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
+        while len(self.flat) < end + len(ids):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        self.flat[end:end + len(ids)] = ids
+        self.ends[n + 1:n + 1 + len(pieces)] = end + np.cumsum(lengths)
+        self.rows.update(zip(pieces, range(n, n + len(pieces))))
+        self.chars += sum(map(len, pieces))
+
+    def rows_of(self, pieces: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.rows.__getitem__, pieces), np.int64, len(pieces))
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of these rows, one after the other, and where each ends."""
+        first = self.ends[rows]
+        lengths = self.ends[rows + 1] - first
+        ends = np.cumsum(lengths)
+        at = np.repeat(first - ends + lengths, lengths)
+        at += np.arange(len(at))
+        return self.flat[at], ends
+
+
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library. White space separates
     words for this kind of tokenizer file, and so does the step from a letter
-    to closing punctuation. So distinct chunks are encoded once and remembered
-    (bounded). A chunk of Latin-1 letters is one word to the file's splitter
-    whatever stands around it, so its lower-case form goes to the library's
-    BPE model by itself, with a byte-level symbol for each byte; punctuation
-    after it and all other chunks go through the library's whole encoder, many
-    in one call, with a marker between them that is a single token."""
-
-    MARK = b"\x01"
-    #: A lower-cased chunk: letters that lower-casing and NFC leave alone, then ASCII punctuation.
-    PLAIN = re.compile(r"([a-z\u00df-\u00f6\u00f8-\u00ff]+)([!-/:-@\[-`{-~]*)")
+    to closing punctuation. So the chunks of a batch are made distinct and
+    parted into *pieces*: a word of Latin-1 letters in lower case and the ASCII
+    punctuation after it, or else the whole chunk. Distinct pieces are encoded at
+    first sight and remembered (bounded); texts are put together from their
+    pieces' ids. A word of Latin-1 letters is one word to the file's splitter
+    whatever stands around it, so it goes to the library's BPE model by itself,
+    with a byte-level symbol for each byte. All other pieces go through the
+    library's whole encoder, many in one call, with a marker between them that
+    is a single token."""
+
+    MARK = "\x01"
+    #: Letters whose lower case is one of these letters and which NFC leaves alone, then ASCII punctuation.
+    PLAIN = r"^(?P<word>[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -175,64 +236,72 @@ class LibraryEncoder:
         self.tok.no_padding()
         self.model = self.tok.model
         self.symbols = dict(enumerate(byte_symbols()))
-        alone = self.tok.encode(self.MARK.decode(), add_special_tokens=False).ids
+        alone = self._whole(self.MARK)
         self.mark = alone[0] if len(alone) == 1 else None
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {"": b""}
+        self.young, self.old = PieceMemo(), PieceMemo()
 
     @property
     def top(self) -> int:
         return self.tok.get_vocab_size(with_added_tokens=True)
 
-    def _word(self, word: str) -> bytes:
-        ids = self.words.get(word)
-        if ids is None:
-            symbols = word if word.isascii() else word.encode().decode("latin-1").translate(self.symbols)
-            found = self.model.tokenize(symbols)
-            ids = self.words[word] = struct.pack(f"<{len(found)}I", *[t.id for t in found])
-        return ids
-
-    def _tail(self, tail: str) -> bytes:
-        ids = self.tails.get(tail)
-        if ids is None:
-            ids = self.tails[tail] = np.array(self.tok.encode(tail, add_special_tokens=False).ids, "<u4").tobytes()
-        return ids
-
-    def _learn(self, chunks: list[bytes]) -> None:
-        memo = self.young
-        if self.mark is not None and not any(self.MARK in c for c in chunks):
-            joined = (b" " + self.MARK + b" ").join(chunks).decode()
-            ids = np.array(self.tok.encode(joined, add_special_tokens=False).ids, "<u4")
-            ends = np.append(np.flatnonzero(ids == self.mark), len(ids)) * 4
-            if len(ends) == len(chunks):
-                flat, at = ids.tobytes(), 0
-                for c, end in zip(chunks, ends.tolist()):
-                    memo[c] = flat[at:end]
-                    at = end + 4
-                return
-        for c in chunks:
-            memo[c] = np.array(self.tok.encode(c.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.young) > MEMO_CHUNKS:  # chunks in use move on, the others go
-            self.young, self.old, self.words = {}, self.young, {}
-        memo, old, plain = self.young, self.old, self.PLAIN.fullmatch
-        split = [t.encode().split() for t in texts]
-        fresh = set().union(*split) - memo.keys()
-        todo = []
-        for c in fresh:
-            if c in old:
-                memo[c] = old[c]
-            elif m := plain(c.decode().lower()):
-                memo[c] = self._word(m[1]) + self._tail(m[2])
-            else:
-                todo.append(c)
-        for at in range(0, len(todo), 500):
-            self._learn(todo[at:at + 500])
-        ids = memo.__getitem__
-        return [np.frombuffer(b"".join(map(ids, s)), "<u4") for s in split]
+    def _whole(self, text: str) -> list[int]:
+        return self.tok.encode(text, add_special_tokens=False).ids
+
+    def _learn_words(self, words: list[str]) -> None:
+        tokenize, symbols = self.model.tokenize, self.symbols
+        ids, ends = [], [0]
+        for w in words:
+            ids += [t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(symbols))]
+            ends.append(len(ids))
+        self.young.add(words, np.array(ids, np.uint32), np.diff(ends))
+
+    def _learn_others(self, pieces: list[str]) -> None:
+        for at in range(0, len(pieces), 500):
+            some = pieces[at:at + 500]
+            if self.mark is not None and not any(self.MARK in c for c in some):
+                ids = np.array(self._whole(f" {self.MARK} ".join(some)), np.uint32)
+                marks = np.append(np.flatnonzero(ids == self.mark), len(ids))
+                if len(marks) == len(some):
+                    self.young.add(some, ids[ids != self.mark], np.diff(marks, prepend=-1) - 1)
+                    continue
+            each = [self._whole(c) for c in some]
+            self.young.add(some, np.array([i for ids in each for i in ids], np.uint32), [len(ids) for ids in each])
+
+    def _rows(self, pieces: list[str], learn: Callable[[list[str]], None]) -> np.ndarray:
+        """Rows of distinct pieces; those not seen lately are learnt."""
+        fresh = [c for c in pieces if c not in self.young.rows]
+        if back := [c for c in fresh if c in self.old.rows]:
+            ids, ends = self.old.take(self.old.rows_of(back))
+            self.young.add(back, ids, np.diff(ends, prepend=0))
+            fresh = [c for c in fresh if c not in self.old.rows]
+        if fresh:
+            learn(fresh)
+        return self.young.rows_of(pieces)
+
+    def encode_all(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        if self.young.full:  # pieces in use move on, the others go
+            self.young, self.old = PieceMemo(), self.young
+        split = pc.ascii_split_whitespace(texts)
+        coded = split.flatten().dictionary_encode()
+        chunks, at = coded.dictionary, _numpy(coded.indices)
+        parts = pc.extract_regex(chunks, self.PLAIN)
+        plain = parts.is_valid()
+        first, second = np.zeros(len(chunks), np.int64), np.zeros(len(chunks), np.int64)
+        is_plain = _numpy(plain)
+        parts = parts.filter(plain)
+        words = pc.utf8_lower(parts.field("word")).dictionary_encode()
+        tails = parts.field("tail").dictionary_encode()
+        first[is_plain] = self._rows(words.dictionary.to_pylist(), self._learn_words)[_numpy(words.indices)]
+        second[is_plain] = self._rows(tails.dictionary.to_pylist(), self._learn_others)[_numpy(tails.indices)]
+        first[~is_plain] = self._rows(chunks.filter(pc.invert(plain)).to_pylist(), self._learn_others)
+        ids, ends = self.young.take(np.stack([first[at], second[at]], axis=1).ravel())
+        n_chunks = np.cumsum(_numpy(split.value_lengths()))
+        return np.split(ids, np.concatenate([[0], ends[1::2]])[n_chunks][:-1])
+
+
+def _numpy(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False)
 
 
 _LOADED: dict[str, LibraryEncoder] = {}
@@ -244,15 +313,16 @@ def _encoder(path: str) -> LibraryEncoder:
     return _LOADED[path]
 
 
-def _shard_row(part: int, seq: int, doc_ids: list, ids: list[np.ndarray], bits: int) -> dict:
-    flat = np.concatenate(ids).astype(np.uint32)
+def _shard_row(part: int, seq: int, doc_ids: list, ids: list[np.ndarray], bits: int) -> pa.RecordBatch:
+    flat = np.concatenate(ids)
     w = WaveletMatrix.build(flat, bits)
-    null = np.array([d is None or d != d for d in doc_ids], bool)
-    keys = np.array([0 if n else int(d) for d, n in zip(doc_ids, null)], "<i8")
-    return {"shard": f"{part:07d}-{seq:05d}", "part": part, "seq": seq, "n_docs": len(ids), "n_tokens": len(flat),
-            "bits": bits, "doc_ids": keys.tobytes(), "doc_null": np.packbits(null).tobytes(),
-            "ends": np.cumsum([len(x) for x in ids]).astype("<i8").tobytes(),
-            "planes": [p.tobytes() for p in w.planes], "ranks": [r.tobytes() for r in w.ranks], "zeros": w.zeros}
+    null = np.array([d is None for d in doc_ids], bool)
+    keys = np.array([d or 0 for d in doc_ids], "<i8")
+    row = {"shard": f"{part:07d}-{seq:05d}", "part": part, "seq": seq, "n_docs": len(ids), "n_tokens": len(flat),
+           "bits": bits, "doc_ids": keys.tobytes(), "doc_null": np.packbits(null).tobytes(),
+           "ends": np.cumsum([len(x) for x in ids]).astype("<i8").tobytes(),
+           "planes": [p.tobytes() for p in w.planes], "ranks": [r.tobytes() for r in w.ranks], "zeros": w.zeros}
+    return pa.RecordBatch.from_pylist([row], _ARROW_SCHEMA)
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id",
@@ -265,7 +335,7 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         enc, part, seq = _encoder(tokenizer), TaskContext.get().partitionId(), 0
@@ -275,19 +345,19 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         held: list[np.ndarray] = []
         total = 0
         for b in batches:
-            for at in range(0, len(b), 500):
-                some = b.iloc[at:at + 500]
-                for d, ids in zip(some["doc_id"].tolist(), enc.encode_all(some["text"].tolist())):
+            for at in range(0, len(b), BATCH_DOCS):
+                some = b.slice(at, BATCH_DOCS)
+                for d, ids in zip(some["doc_id"].to_pylist(), enc.encode_all(some["text"])):
                     if held and total + len(ids) + 1 > shard_tokens:
-                        yield pd.DataFrame([_shard_row(part, seq, keys, held, bits)])
+                        yield _shard_row(part, seq, keys, held, bits)
                         keys, held, total, seq = [], [], 0, seq + 1
                     keys.append(d)
                     held.append(np.concatenate([ids, end]))
                     total += len(ids) + 1
         if held:
-            yield pd.DataFrame([_shard_row(part, seq, keys, held, bits)])
+            yield _shard_row(part, seq, keys, held, bits)
 
-    shards = rows.mapInPandas(encode, SHARD_SCHEMA)
+    shards = rows.mapInArrow(encode, SHARD_SCHEMA)
     shards.write.option("compression", "zstd").partitionBy("shard").parquet(path)
 
 

@@ -332,6 +332,25 @@ def test_token_store_encoder_equals_the_library():
             assert got.tolist() == e.ids
 
 
+@pytest.mark.parametrize("name, bound", [("MEMO_PIECES", 3), ("MEMO_CHARS", 50), ("MEMO_PIECES", 600_000)])
+def test_token_store_encoder_that_forgets(monkeypatch, name, bound):
+    """Pieces go and come back; batches of one text and of many agree."""
+    from catalytics.llm import token_store
+    from catalytics.llm.queries import tokenizer_path
+
+    monkeypatch.setattr(token_store, name, bound)
+    whole = Tokenizer.from_file(tokenizer_path())
+    rng = random.Random(12)
+    pool = ["the", "The", "THE.", "cat,", "Ünder", "don't", "3.5", "...", "x" * 3000, "İ", "\u212a", "\u1e9e", "end)."] + \
+        ["w%s" % "abcdefgh"[i % 8] * (1 + i % 5) for i in range(30)]
+    texts = [rng.choice([" ", "\n", "  ", "\x0b"]).join(rng.choices(pool, k=rng.randint(0, 12))) for _ in range(200)]
+    want = [e.ids for e in whole.encode_batch(texts, add_special_tokens=False)]
+    enc = token_store.LibraryEncoder(tokenizer_path())
+    for size in (1, 7, 200):
+        got = [ids.tolist() for at in range(0, len(texts), size) for ids in enc.encode_all(texts[at:at + size])]
+        assert got == want
+
+
 def test_token_store_with_null_and_repeated_ids(spark):
     from catalytics.llm import token_store
     from catalytics.llm.queries import tokenizer_path
