@@ -6,7 +6,7 @@ fewer words is one window). A document word is hit when it lies in an
 occurrence of a window.
 
 1. Shingles (``shingle`` words, or the whole window if shorter) of all
-   windows go into a bitmap of fixed size. One pass over the documents keeps
+   windows go into a bitmap whose size follows their number. One pass over the documents keeps
    only *stretches*: runs of words covered by shingles that the bitmap holds,
    long enough for a window. Equal stretches are joined as one row, so a
    passage copied into a third of all documents is verified once.
@@ -25,6 +25,8 @@ through or are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +34,12 @@ from catalytics.llm.common import ascii_lower, persisted
 
 WINDOW = 10
 SHINGLE = 3
-#: Size of the bitmap of benchmark shingles: the bound of what the plan holds.
-BITMAP_BITS = 1 << 20
+#: Bits of the bitmap for each benchmark shingle (as many false stretches at
+#: every size of the benchmark), and the fewest and most bits: the bound of what the plan
+#: holds. Beyond it more false stretches are verified, with the same result.
+BITS_PER_SHINGLE = 32
+LEAST_BITS = 1 << 18
+MOST_BITS = 1 << 26
 # fixed value: the word pattern of the contract
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -73,9 +79,19 @@ def _by_k(words: Column, k: Column, classes: list[int]) -> Column:
     return out
 
 
+def _hashes(windows: DataFrame, classes: list[int]) -> DataFrame:
+    return windows.select(F.explode(_by_k(F.col("words"), F.col("k"), classes)).alias("h")).distinct()
+
+
+def bitmap_bits(windows: DataFrame, classes: list[int]) -> int:
+    """A power of two that follows the number of distinct shingles."""
+    n = _hashes(windows, classes).count()
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (n * BITS_PER_SHINGLE - 1).bit_length()))
+
+
 def _bitmap(windows: DataFrame, classes: list[int], bits: int) -> Column:
     """Constant array of ``bits`` / 64 longs holding all shingles."""
-    slots = windows.select(F.explode(_by_k(F.col("words"), F.col("k"), classes)).alias("h")) \
+    slots = _hashes(windows, classes) \
         .select(F.pmod(F.col("h"), F.lit(bits)).alias("b")) \
         .groupBy(F.shiftright("b", 6).alias("slot")) \
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(b & 63 as int))")).alias("set"))
@@ -85,38 +101,42 @@ def _bitmap(windows: DataFrame, classes: list[int], bits: int) -> Column:
     return F.from_json(F.lit("[" + ",".join(map(str, full)) + "]"), "array<bigint>")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def stretches(words: Column, classes: list[int], bitmap: Column, bits: int) -> Column:
-    """Array of (start, end): maximal runs of words covered by shingles that
+    """Array of (s, e): maximal runs of words covered by shingles that
     the bitmap holds. Shingles closer than their length share words and
-    belong to one run, so runs are disjoint."""
+    belong to one run, so runs are disjoint. Linear in the number of words."""
     def held(h: Column) -> Column:
         b = F.pmod(h, F.lit(bits))
         return F.get(bitmap, F.shiftright(b, 6).cast("int")).bitwiseAND(
             F.call_function("shiftleft", F.lit(1).cast("bigint"), b.bitwiseAND(F.lit(63)).cast("int"))) != 0
 
-    def cover_of(k: int) -> Column:
-        hit = F.filter(F.transform(_shingles(words, k), lambda h, i: F.when(held(h), i)), lambda i: i.isNotNull())
-        return F.transform(hit, lambda i: F.struct(i.alias("s"), (i + k).alias("e")))
-
-    covers = [cover_of(k) for k in classes]
-    cover = F.array_sort(F.concat(*covers)) if len(covers) > 1 else covers[0]
-    none = F.array().cast("array<struct<s: int, e: int>>")
+    def first_words(k: int) -> Column:
+        return F.filter(F.transform(_shingles(words, k), lambda h, i: F.when(held(h), i)), lambda i: i.isNotNull())
 
-    def grow(acc: Column, x: Column) -> Column:
-        runs, s, e = acc["runs"], acc["s"], acc["e"]
-        apart = x["s"] >= e
-        return F.struct(
-            F.when(apart & (e > 0), F.concat(runs, F.array(F.struct(s.alias("s"), e.alias("e"))))).otherwise(runs).alias("runs"),
-            F.when(apart, x["s"]).otherwise(s).alias("s"), F.greatest(e, x["e"]).alias("e"))
+    def runs_of(at: Column, k: int, gap: int) -> Column:
+        """Runs of sorted positions, each of ``k`` words; neighbours that are
+        ``gap`` or more apart are in different runs."""
+        starts = F.filter(F.transform(at, lambda p, i: F.when((i == 0) | (p - F.get(at, i - 1) >= gap), p)),
+                          lambda p: p.isNotNull())
+        ends = F.filter(F.transform(at, lambda p, i: F.when((i == F.size(at) - 1) | (F.get(at, i + 1) - p >= gap), p + k)),
+                        lambda p: p.isNotNull())
+        return F.zip_with(starts, ends, lambda s, e: F.struct(s.alias("s"), e.alias("e")))
 
-    start = F.struct(none.alias("runs"), F.lit(0).alias("s"), F.lit(0).alias("e"))
-    return F.aggregate(cover, start, grow, lambda acc: F.when(
-        acc["e"] > 0, F.concat(acc["runs"], F.array(F.struct(acc["s"].alias("s"), acc["e"].alias("e"))))).otherwise(acc["runs"]))
+    if len(classes) == 1:
+        return _bound(first_words(classes[0]), lambda at: runs_of(at, classes[0], gap=classes[0]))
+    # shingles of several lengths: the covered words themselves
+    covered = [F.flatten(F.transform(first_words(k), lambda p: F.sequence(p, p + (k - 1)))) for k in classes]
+    return _bound(F.array_sort(F.array_distinct(F.concat(*covered))), lambda at: runs_of(at, 1, gap=2))
 
 
 def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_id: str = "item_id", item_text: str = "text", window: int = WINDOW,
-               shingle: int = SHINGLE, bits: int = BITMAP_BITS) -> DataFrame:
+               shingle: int = SHINGLE, bits: int | None = None) -> DataFrame:
     """``docs``'s other columns than the text (same-named ones are replaced), with ``n_words``, ``n_hit``
     and ``items`` (array of the ids of items with occurring windows)."""
     windows = persisted(item_windows(items, item_id, item_text, window, shingle), "bench-windows")
@@ -129,6 +149,7 @@ def find_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         return ids.withColumn("n_words", F.size("__words").cast("long")).withColumn("n_hit", F.lit(0).cast("long")) \
             .withColumn("items", F.array().cast("array<string>")).drop("__words")
     least = min(n for _, n in sizes)
+    bits = bits or bitmap_bits(windows, classes)
     bitmap = _bitmap(windows, classes, bits)
     runs = F.filter(stretches(F.col("__words"), classes, bitmap, bits), lambda r: r["e"] - r["s"] >= least)
     marked = persisted(ids.withColumn("n_words", F.size("__words").cast("long")).withColumn(

@@ -532,7 +532,36 @@ def brute_items(rows, items):
     return out
 
 
-@pytest.mark.parametrize("bits", [1 << 20, 64])
+def test_stretches_are_linear_runs(spark, rng):
+    """Runs of covered words, of one shingle length and of several; and long
+    texts full of runs end soon."""
+    def got(words, classes, held):
+        bits = 1 << 16
+        shingles = spark.createDataFrame([(list(h), len(h), len(h)) for h in held], "words array<string>, n int, k int")
+        bitmap = decontaminate._bitmap(shingles, classes, bits)
+        d = spark.createDataFrame([(words,)], "w array<string>")
+        return [tuple(r) for r in d.select(decontaminate.stretches(F.col("w"), classes, bitmap, bits)).first()[0]]
+
+    for classes in ([3], [1, 3], [1, 2, 3]):
+        for _ in range(4):
+            w = [rng.choice("abcd") for _ in range(60)]
+            held = {tuple(rng.choice("abcd") for _ in range(k)) for k in classes for _ in range(1 if k < 3 else 12)}
+            covered = {p + j for k in classes for p in range(len(w) - k + 1) if tuple(w[p:p + k]) in held for j in range(k)}
+            runs = got(w, classes, held)
+            assert {p for s, e in runs for p in range(s, e)} == covered
+            assert all(a[1] <= b[0] for a, b in zip(runs, runs[1:]))
+    many = got(["x", "a", "b", "c"] * 50_000, [3], {("a", "b", "c")})
+    assert many == [(4 * i + 1, 4 * i + 4) for i in range(50_000)]
+
+
+def test_bitmap_follows_the_shingles(spark):
+    few = spark.createDataFrame([(1, "one two three four five")], "item_id long, text string")
+    many = spark.createDataFrame([(1, " ".join("w%d" % i for i in range(30_000)))], "item_id long, text string")
+    bits = [decontaminate.bitmap_bits(decontaminate.item_windows(b, "item_id", "text", 10, 3), [3]) for b in (few, many)]
+    assert bits == [decontaminate.LEAST_BITS, 1 << 20]
+
+
+@pytest.mark.parametrize("bits", [None, 1 << 20, 64])
 def test_decontamination(spark, rng, bits):
     items = [(1, prose(rng, 30, 40)), (2, prose(rng, 10, 40)), (3, "Alpha beta!"), (4, "gamma"), (5, None), (6, ""),
              (7, "a a a a a a a a a a a a"), (11, prose(rng, 25, 40)), (12, "one two three four")]
