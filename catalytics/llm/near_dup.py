@@ -1,7 +1,8 @@
 """Near-duplicate classes by DartMinHash (operator 6).
 
-Documents are sets of shingles of five words (Jaccard similarity 0.8 or
-more links two of them; ``counted`` weights shingles by their number).
+Documents are weighted sets of shingles of five words: a shingle's weight is
+its number in the text, so weighted Jaccard similarity of 0.8 or more links two of
+them (without ``counted`` every weight is one).
 
 Signature: each element's plane of weight x rank is cut into weight regions
 [0,1), [1,2), [2,4), ...; hashed darts arrive in a region as a Poisson
@@ -12,7 +13,9 @@ t ln t + 2t darts a document, whatever its size. Two documents agree on a
 coordinate with probability equal to their weighted Jaccard similarity.
 
 Classes:
-1. Documents of equal word sequences are one row, kept by the smallest id.
+1. Documents of equal word sequences are one row, kept by the smallest id;
+   sequences and classes of many documents are joined back to them where they
+   are, so a third of all rows fills no task.
 2. Bands of the signature are bucket keys. In a bucket every member meets its
    bucket's head, the member that shares buckets with most others and so the
    most central of its copies; a document keeps the most central one it
@@ -45,7 +48,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.llm.common import persisted
+from catalytics.llm.common import join_hot, persisted
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -56,6 +59,9 @@ MARGIN = 4.5
 #: Coordinates, of one bit each, of the long signature of documents in
 #: contested buckets.
 CHECKS = 1024
+#: Word sequences and classes with more than this part of all documents are
+#: joined without a shuffle.
+HOT_PARTS = 65_536
 
 _TABLE = bytes(32 if b < 48 or 58 <= b <= 64 or 91 <= b <= 96 or 123 <= b <= 127 else
                b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -279,17 +285,16 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
-                    bands: int = BANDS, rows: int = ROWS, counted: bool = False) -> DataFrame:
+                    bands: int = BANDS, rows: int = ROWS, counted: bool = True, hot_parts: int = HOT_PARTS) -> DataFrame:
     """One row per document id: the id, ``class_id`` (smallest id of its
     class) and ``class_size`` (documents of the class)."""
     sigs = persisted(signatures(docs, id_col, text_col, bands, rows, counted), "dart-signatures")
     # one row of each id, then equal word sequences: one representative, and the membership
-    chosen = sigs.groupBy("id").agg(F.min(F.struct("fp", "key")).alias("of")).select("id", "of.fp", "of.key")
-    firsts = chosen.groupBy("fp").agg(F.min(F.struct("id", "key")).alias("of")) \
-        .select("fp", F.col("of.id").alias("rep"), F.col("of.key").alias("key"))
+    chosen = persisted(sigs.groupBy("id").agg(F.min(F.struct("fp", "key")).alias("of")).select("id", "of.fp", "of.key"), "dart-chosen")
+    firsts = chosen.groupBy("fp").agg(F.min(F.struct("id", "key")).alias("of"), F.count(F.lit(1)).alias("copies")) \
+        .select("fp", F.col("of.id").alias("rep"), F.col("of.key").alias("key"), "copies")
     traits = sigs.groupBy("fp").agg(F.first("size").alias("size"), F.first("bands").alias("bands"), F.first("sig").alias("sig"))
     reps = persisted(traits.join(firsts, "fp"), "dart-distinct")
-    member = chosen.select("id", "fp").join(reps.select("fp", "rep"), "fp").select("id", "rep")
     buckets = reps.select("rep", F.explode("bands").alias("bucket"))
     crowded = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = persisted(buckets.join(crowded, "bucket"), "dart-buckets")
@@ -327,12 +332,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b")).distinct()
     late = verified(cross, sets, similarity, counted)
     comp = components(links.union(persisted(late, "dart-late")))
-    classed = member.join(comp.withColumnRenamed("id", "rep"), "rep", "left") \
-        .select("id", F.coalesce("comp", "rep").alias("class_id"))
+    named = reps.select("rep", "copies", "fp").join(comp.withColumnRenamed("id", "rep"), "rep", "left") \
+        .select("fp", "copies", F.coalesce("comp", "rep").alias("class_id"))
+    classed = join_hot(chosen.select("id", "fp"), persisted(named, "dart-named"), ["fp"], "copies", chosen.count(), hot_parts) \
+        .select("id", "class_id")
     all_ids = docs.select(F.col(id_col).cast("long").alias("id")).distinct()
     out = persisted(all_ids.join(classed, "id", "left").select("id", F.coalesce("class_id", "id").alias("class_id")), "dart-classes")
     sizes = out.groupBy("class_id").agg(F.count(F.lit(1)).alias("class_size"))
-    return out.join(sizes, "class_id").select(F.col("id").alias(id_col), "class_id", "class_size")
+    return join_hot(out, persisted(sizes, "dart-sizes"), ["class_id"], "class_size", out.count(), hot_parts) \
+        .select(F.col("id").alias(id_col), "class_id", "class_size")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
