@@ -4,6 +4,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from catalytics.operators import co_readers as CO
 from catalytics.operators import details as D
 
 READS = "user_key string, table_key string, read_count long"
@@ -39,3 +40,28 @@ def test_path_stats_make_no_row_per_pair_of_users(spark):
     assert "MapInArrow" in plan and "__co" in plan
     assert {tuple(r) for r in df.select("n_paths", "n_co_readers", "path_reads").collect()} == {(299, 299, 299)}
     assert df.agg(F.count(F.lit(1))).first()[0] == 300
+
+
+def test_held_blocks_match_streamed_blocks(spark, monkeypatch):
+    """Blocks that hold their co-readers' edges, in rows of a few edges, give
+    what blocks that hold their sums do."""
+    reads = spark.createDataFrame(_reads(), READS)
+    streamed = {tuple(r) for r in CO.co_reader_tops(reads, 4, 3, held_edges=0).collect()}
+    assert {tuple(r) for r in CO.co_reader_tops(reads, 4, 3).collect()} == streamed and streamed
+    monkeypatch.setattr(CO, "HELD_BLOCKS", 5)
+    monkeypatch.setattr(CO._held_tops, "__defaults__", (2,))
+    assert {tuple(r) for r in CO.co_reader_tops(reads, 4, 3).collect()} == streamed
+
+
+def test_a_reader_is_sent_once_to_each_of_a_bounded_number_of_blocks(spark, monkeypatch):
+    sent = []
+    kept = CO._held_tops
+
+    def held(e, asking, n_tables, n_asking, *more):
+        sent.append(-(-n_asking // max(1, min(CO.HELD_USERS, -(-n_asking // CO.HELD_BLOCKS)))))
+        return kept(e, asking, n_tables, n_asking, *more)
+
+    monkeypatch.setattr(CO, "_held_tops", held)
+    rows = [(f"u{u}", f"t{t}", 1) for u in range(200) for t in (u % 3, 3 + u)]
+    CO.co_reader_tops(spark.createDataFrame(rows, READS), 3, 2, block_sums=10).count()
+    assert sent and sent[0] <= CO.HELD_BLOCKS
