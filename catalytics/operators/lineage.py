@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catalytics.plans import cut_lineage, written
+from catalytics.plans import cut_lineage, spread, written
 
 UP, DOWN, BOTH = "upstream", "downstream", "both"
 
@@ -66,7 +66,7 @@ def lineage_trails(edges: DataFrame, starts: DataFrame, direction: str, depth: i
     carried = ["path"] if cyclic else []
     items = None
     for level in range(1, depth + 1):
-        step = frontier.join(e, frontier.node == e.src)
+        step = spread(frontier).join(e, frontier.node == e.src)
         if cyclic:
             step = step.where(F.col("eid").isNull() | ~F.array_contains("path", F.col("eid"))) \
                 .withColumn("path", F.when(F.col("eid").isNull(), F.col("path")).otherwise(
@@ -91,12 +91,12 @@ def lineage(edges: DataFrame, starts: DataFrame, direction: str = BOTH, depth: i
     if reads is not None:
         usage = reads.groupBy(F.col("table_key").alias("key")).agg(
             F.sum("read_count").cast("long").alias("usage"))
-        items = items.join(usage, "key", "left").withColumn(
+        items = items.join(spread(usage), "key", "left").withColumn(
             "usage", F.coalesce("usage", F.lit(0).cast("long")))
     if badges is not None:
         b = badges.groupBy(F.col("resource_key").alias("key")).agg(
             F.array_sort(F.collect_set("badge_name")).alias("badges"))
-        items = items.join(b, "key", "left").withColumn(
+        items = items.join(spread(b), "key", "left").withColumn(
             "badges", F.coalesce("badges", F.array().cast("array<string>")))
     return items
 
@@ -114,10 +114,10 @@ def lineage_edges_levels(edges: DataFrame, roots: DataFrame, direction: str,
     frontier = visited.select("root_key", "node")
     out = None
     for level in range(1, depth + 1):
-        nxt = (frontier.join(e, frontier.node == e.src)
+        nxt = (spread(frontier).join(e, frontier.node == e.src)
                .groupBy("root_key", F.col("dst").alias("node"))
                .agg(F.min("src").alias("parent")))
-        nxt = nxt.join(visited.select("root_key", "node"), ["root_key", "node"], "left_anti")
+        nxt = nxt.join(spread(visited.select("root_key", "node")), ["root_key", "node"], "left_anti")
         if level % 2 == 0 and level < depth:
             nxt = cut_lineage(nxt)
         lv = nxt.withColumn("level", F.lit(level))
@@ -148,9 +148,9 @@ def lineage_edge_items(edges: DataFrame, roots: DataFrame, direction: str, depth
     frontier = seen = roots.select(F.col("key").alias("root_key"), F.col("key").alias("node")).distinct()
     graph = None
     for hop in range(depth):
-        met = written(frontier.join(e, frontier.node == e.src).select("root_key", "src", "dst", "kept"), "graph-edges")
+        met = written(spread(frontier).join(e, frontier.node == e.src).select("root_key", "src", "dst", "kept"), "graph-edges")
         graph = met if graph is None else graph.unionByName(met)
-        frontier = met.select("root_key", F.col("dst").alias("node")).distinct().join(seen, ["root_key", "node"], "left_anti")
+        frontier = met.select("root_key", F.col("dst").alias("node")).distinct().join(spread(seen), ["root_key", "node"], "left_anti")
         frontier = written(frontier, "graph-nodes") if hop + 1 < depth else frontier
         seen = seen.unionByName(frontier)
     if graph is None:
@@ -161,8 +161,8 @@ def lineage_edge_items(edges: DataFrame, roots: DataFrame, direction: str, depth
     while True:
         hop += 1
         on = (frontier["root_key"] == graph["root_key"]) & (frontier["node"] == graph["src"])
-        new = graph.join(frontier.select("root_key", "node"), on).select(graph["root_key"], F.col("dst").alias("node")).distinct()
-        frontier = written(new.join(levels, ["root_key", "node"], "left_anti").withColumn("level", F.lit(hop)), "graph-level")
+        new = spread(graph).join(frontier.select("root_key", "node"), on).select(graph["root_key"], F.col("dst").alias("node")).distinct()
+        frontier = written(new.join(spread(levels), ["root_key", "node"], "left_anti").withColumn("level", F.lit(hop)), "graph-level")
         if frontier.isEmpty():
             break
         levels = levels.unionByName(frontier)
@@ -170,8 +170,8 @@ def lineage_edge_items(edges: DataFrame, roots: DataFrame, direction: str, depth
                           F.col("dst" if direction == UP else "src").alias("p"))
     parents = before.groupBy("root_key", "key").agg(F.min("p").alias("parent"))
     items = graph.select("root_key", F.col(up).alias("upstream_key"), F.col(down).alias("downstream_key"), F.col("dst").alias("key"))
-    return items.join(levels.withColumnRenamed("node", "key"), ["root_key", "key"], "left") \
-        .join(parents, ["root_key", "key"], "left").select(
+    return spread(items).join(levels.withColumnRenamed("node", "key"), ["root_key", "key"], "left") \
+        .join(spread(parents), ["root_key", "key"], "left").select(
             "root_key", F.lit(direction).alias("direction"), "upstream_key", "downstream_key", "key",
             F.coalesce("level", F.lit(-1)).alias("level"), F.coalesce("parent", F.lit("")).alias("parent"),
             F.substring_index("key", "://", 1).alias("source"), F.lit(0).cast("long").alias("usage"))
@@ -189,9 +189,9 @@ def collapse_processes(relations: DataFrame, entities: DataFrame,
     before the pairing join, and dealt into blocks of about ``block``: a pair
     of blocks is a join key, so a process with very many of either is spread
     over as many tasks as its product has blocks."""
-    ds = entities.where(F.col("type_name").endswith(type_suffix)).select(
-        F.col("guid"), F.col("qualified_name"))
-    proc = entities.where(F.col("type_name") == "Process").select(F.col("guid").alias("proc"))
+    ds = spread(entities.where(F.col("type_name").endswith(type_suffix)).select(
+        F.col("guid"), F.col("qualified_name")))
+    proc = spread(entities.where(F.col("type_name") == "Process").select(F.col("guid").alias("proc")))
     ins = (relations.join(proc, relations.to_guid == proc.proc, "inner")
            .join(ds, relations.from_guid == ds.guid)
            .select("proc", F.col("qualified_name").alias("upstream_key")).distinct())
@@ -204,7 +204,7 @@ def collapse_processes(relations: DataFrame, entities: DataFrame,
         .where((F.col("ni") > 0) & (F.col("no") > 0))
 
     def dealt(side: DataFrame, key: str, mine: str, other: str) -> DataFrame:
-        at = side.join(blocks, "proc").withColumn(f"b{mine}", F.pmod(F.hash(key), F.col(mine)))
+        at = side.join(spread(blocks), "proc").withColumn(f"b{mine}", F.pmod(F.hash(key), F.col(mine)))
         return at.select("proc", key, f"b{mine}", F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(f"b{other}"))
 
     pairs = dealt(ins, "upstream_key", "ni", "no").join(dealt(outs, "downstream_key", "no", "ni"), ["proc", "bni", "bno"])

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from catalytics.plans import dealt, spread
+
 # Strptime directives -> Spark datetime pattern letters.
 _DIRECTIVES = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss",
                "%y": "yy", "%b": "MMM", "%j": "DDD"}
@@ -102,10 +104,10 @@ def partition_watermarks(partitions: DataFrame, formats: list[str],
         hi = F.when(F.col("fmt") == i, F.col(f"_hi{i}")).otherwise(hi)
     g = g.select("table_key", lo.alias("lo"), hi.alias("hi")).where(F.col("lo").isNotNull())
     if partition_keys is not None:
-        pk = partition_keys.groupBy("table_key").agg(F.array_join(F.transform(
+        pk = dealt(partition_keys, "table_key").groupBy("table_key").agg(F.array_join(F.transform(
             F.array_sort(F.collect_list(F.struct("position", "column"))), lambda x: x["column"]),
             " ").alias("partition_key"))
-        g = g.join(pk, "table_key", "left").withColumn(
+        g = g.join(spread(pk), "table_key", "left").withColumn(
             "partition_key", F.coalesce("partition_key", F.lit("")))
     else:
         g = g.withColumn("partition_key", F.lit(""))

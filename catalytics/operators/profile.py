@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from catalytics.functions.keys import is_nested_type, top_level_type
+from catalytics.plans import spread
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -134,7 +135,7 @@ def column_order(columns: DataFrame, by: str = "sort_order", usage: DataFrame |
 
 def column_type_census(columns: DataFrame, tables: DataFrame, dialect: str = "hive") -> DataFrame:
     """Columns per database x top-level type x nested flag."""
-    c = columns.join(tables.select(F.col("key").alias("table_key"), "database"), "table_key")
+    c = columns.join(spread(tables.select(F.col("key").alias("table_key"), "database")), "table_key")
     return (c.groupBy("database", top_level_type(F.col("col_type")).alias("type_name"),
                       is_nested_type(F.col("col_type"), dialect).alias("is_nested"))
             .agg(F.count(F.lit(1)).alias("n_columns")))
