@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalytics.functions.keys import camel_to_words
+from catalytics.plans import dealt, written
+
+#: Pieces in which the distinct values of a field meet wildcards and terms.
+PIECES = 64
 
 # Filter category -> (document field, exact keyword field?)
 TABLE_FILTER_FIELDS = {
@@ -111,10 +115,11 @@ def faceted_filter_sets(docs: DataFrame, filters: DataFrame, resource: str = "ta
     (query_id, key) of all hits, under the rules of ``faceted_filter``.
 
     The documents are read once, as (key, field, value) rows in the form that a
-    request compares with. Plain values meet them by an equi-join on field and
-    value; only values with a wildcard, and terms, are compared with every
-    value of their field. A hit's categories are then counted against its
-    query's."""
+    request compares with. Plain values meet the asked ones by an equi-join on
+    field and value; values with a wildcard, and terms, are compared with the
+    distinct values of their field, in ``PIECES`` pieces. What a document has of
+    the asked values is one set; queries are decided once for each distinct set,
+    by counting its categories against the query's."""
     mapping = TABLE_FILTER_FIELDS if resource == "table" else DASHBOARD_FILTER_FIELDS
     terms = [f for f in (TABLE_TERM_FIELDS if resource == "table" else DASHBOARD_TERM_FIELDS) if f in docs.columns]
     usable = filters.where(F.col("category").isin([*mapping, "term"]) & (F.coalesce("value", F.lit("")) != ""))
@@ -132,21 +137,31 @@ def faceted_filter_sets(docs: DataFrame, filters: DataFrame, resource: str = "ta
     words = F.struct(F.lit("term").alias("category"),
                      F.transform(F.flatten(F.array(*[F.coalesce(values(f), F.array().cast("array<string>")) for f in terms])),
                                                              F.lower).alias("vs"))
-    rows = docs.select("key", F.explode(F.array(*stored, words)).alias("s")) \
-        .select("key", F.col("s.category").alias("category"), F.explode("s.vs").alias("stored")).where(F.col("stored").isNotNull()).distinct()
     exact = [c for c, (_, e) in mapping.items() if e]
-    asked = usable.withColumn("value", F.when(F.col("category").isin(exact), F.col("value")).otherwise(F.lower("value")))
+    asked = usable.where(F.col("query_id").isNotNull()) \
+        .withColumn("value", F.when(F.col("category").isin(exact), F.col("value")).otherwise(F.lower("value")))
+    asked = written(asked.select("query_id", "category", "value").distinct(), "asked-values")
+    rows = docs.select("key", F.explode(F.array(*stored, words)).alias("s")) \
+        .select("key", F.col("s.category").alias("category"), F.explode("s.vs").alias("stored")).where(F.col("stored").isNotNull())
     wild = (F.col("category") != "term") & F.col("value").contains("*")
-    plain = asked.where(~wild & (F.col("category") != "term")).select("query_id", "category", F.col("value").alias("stored"))
-    by_value = rows.join(plain, ["category", "stored"]).select("query_id", "category", "key")
+    values_asked = asked.select("category", "value").distinct()
+    plain = values_asked.where(~wild & (F.col("category") != "term")).withColumn("stored", F.col("value"))
     # '*' stands for any run of characters; all else is literal
     pattern = F.concat(F.lit("^"), F.array_join(F.transform(F.split("value", "[*]+"), lambda x: F.concat(
         F.lit("\\Q"), x, F.lit("\\E"))), ".*"), F.lit("$"))
-    open_ = asked.where(wild | (F.col("category") == "term")).withColumn("__re", F.when(wild, pattern))
+    open_ = values_asked.where(wild | (F.col("category") == "term")).withColumn("__re", F.when(wild, pattern)) \
+        .withColumn("piece", F.explode(F.sequence(F.lit(0), F.lit(PIECES - 1))))
     matches = F.when(F.col("__re").isNotNull(), F.rlike("stored", F.col("__re"))).otherwise(F.col("stored").contains(F.col("value")))
-    by_match = rows.join(open_, "category").where(matches).select("query_id", "category", "key")
-    hits = by_value.unionByName(by_match).groupBy("query_id", "key").agg(F.countDistinct("category").alias("__n"))
-    return hits.join(needed, "query_id").where(F.col("__n") == F.col("__needed")).select("query_id", "key")
+    distinct = rows.join(open_.select("category").distinct(), "category", "left_semi").select("category", "stored").distinct() \
+        .withColumn("piece", F.pmod(F.hash("stored"), F.lit(PIECES)))
+    by_match = distinct.join(open_, ["category", "piece"]).where(matches).select("category", "value", "stored")
+    met = written(plain.select("category", "value", "stored").unionByName(by_match), "met-values")
+    has = rows.join(met, ["category", "stored"]).groupBy("key").agg(F.array_sort(F.collect_set(F.struct("category", "value"))).alias("has"))
+    has = written(has, "document-values")
+    atoms = has.select("has").distinct().select("has", F.inline("has"))
+    hits = atoms.join(asked, ["category", "value"]).groupBy("query_id", "has").agg(F.countDistinct("category").alias("__n"))
+    hits = hits.join(needed, "query_id").where(F.col("__n") == F.col("__needed")).select("query_id", "has")
+    return has.join(hits, "has").select("query_id", "key")
 
 
 def basic_filter(docs: DataFrame, filters: dict | None, page_index: int = 0,
@@ -227,7 +242,7 @@ def restrict_description_sources(prog_desc: DataFrame, exclude_patterns: list[st
     d = prog_desc.where(F.col("source").isNotNull())
     for p in exclude_patterns:
         d = d.where(~F.col("source").rlike(f"^(?:{p})"))
-    d = d.withColumn("display_source", camel_to_words(F.col("source")))
+    d = dealt(d.withColumn("display_source", camel_to_words(F.col("source"))), "resource_key")
     g = d.groupBy("resource_key", "display_source").agg(
         F.max_by("text", "source").alias("text"))
     w = Window.partitionBy("resource_key").orderBy("display_source")
