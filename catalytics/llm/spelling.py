@@ -16,7 +16,9 @@ signature in common, always. Signatures are made for distinct vectors only
 near enough become pairs of words, and those whose edit distance is one stay.
 
 Counting is one pass over the texts with counts merged in the task, then a
-grouped sum. Everything after it works on distinct words.
+grouped sum. Everything after it works on distinct words, in shuffled joins:
+a few MB of files hold a million words or vectors, and a vector has up to 15
+signatures, so no side is broadcast by the size of its files.
 
 Defined results: a null or empty text has no words; a text of any length is
 read whole, in pieces; a null id is written as the empty string; rows that
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 
 from catalytics.llm.common import persisted
 from catalytics.llm.text_batches import ASCII_LOWER, cut
+from catalytics.plans import spread
 
 #: Parts of the letters for pairs of equal and of different length.
 EQUAL_PARTS, LONGER_PARTS = 6, 4
@@ -118,11 +121,11 @@ def near_vectors(vectors: DataFrame, equal_parts: list[str], longer_parts: list[
     equal = vectors.select(_signatures(size, equal_parts, 2), "vec")
     a, b = equal.withColumnRenamed("vec", "a"), equal.withColumnRenamed("vec", "b")
     # sorted strings of two multisets at distance two are two edits apart
-    same = a.join(b, "sig").where((F.col("a") < F.col("b")) & (F.length("a") == F.length("b"))
+    same = a.join(spread(b), "sig").where((F.col("a") < F.col("b")) & (F.length("a") == F.length("b"))
                                   & (F.levenshtein("a", "b", 2) >= 0))
     short = vectors.select(_signatures(size, longer_parts, 1), F.col("vec").alias("a"))
     long = vectors.select(_signatures(size - 1, longer_parts, 1), F.col("vec").alias("b"))
-    longer = short.join(long, "sig").where((F.length("a") + 1 == F.length("b")) & (F.levenshtein("a", "b", 1) == 1))
+    longer = short.join(spread(long), "sig").where((F.length("a") + 1 == F.length("b")) & (F.levenshtein("a", "b", 1) == 1))
     return same.select("a", "b").unionByName(longer.select("a", "b")).distinct()
 
 
@@ -134,7 +137,7 @@ def near_words(vocabulary: DataFrame) -> DataFrame:
     pairs = near_vectors(vectors, deal_letters(vectors, EQUAL_PARTS), deal_letters(vectors, LONGER_PARTS))
     left = members.select(F.col("vec").alias("a"), F.col("word").alias("w"), F.col("n").alias("wn"))
     right = members.select(F.col("vec").alias("b"), F.col("word").alias("v"), F.col("n").alias("vn"))
-    found = pairs.join(left, "a").join(right, "b").where(F.levenshtein("w", "v", 1) == 1)
+    found = pairs.join(spread(left), "a").join(spread(right), "b").where(F.levenshtein("w", "v", 1) == 1)
     both = F.array(F.struct(F.col("w").alias("word"), F.col("wn").alias("n"), F.col("v").alias("near"), F.col("vn").alias("near_n")),
                    F.struct(F.col("v").alias("word"), F.col("vn").alias("n"), F.col("w").alias("near"), F.col("wn").alias("near_n")))
     return found.select(F.inline(both))
@@ -145,7 +148,7 @@ def choose_forms(vocabulary: DataFrame, near: DataFrame) -> DataFrame:
     smallest of several, if its n is at least twice the word's."""
     best = near.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                     F.min(F.struct((-F.col("near_n")).alias("k"), F.col("near").alias("near"))).alias("best"))
-    out = vocabulary.join(best, "word", "left")
+    out = vocabulary.join(spread(best), "word", "left")
     form_n = -F.col("best.k")
     good = form_n >= 2 * F.col("n")
     return out.select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
@@ -160,12 +163,12 @@ def with_roots(forms: DataFrame) -> DataFrame:
     links = persisted(forms.where(F.col("form").isNotNull()).select("word", F.col("form").alias("root")), "spelling-links")
     while True:
         step = links.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        moved = persisted(links.join(step, "root", "left").select(
+        moved = persisted(links.join(spread(step), "root", "left").select(
             "word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "spelling-links")
         links = moved.select("word", "root")
         if moved.where("moved").isEmpty():
             break
-    return forms.join(links, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    return forms.join(spread(links), "word", "left").withColumn("root", F.coalesce("root", "word"))
 
 
 def group_spellings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 5,

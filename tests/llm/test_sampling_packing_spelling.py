@@ -314,6 +314,25 @@ def test_signature_letters_are_dealt_once(spark):
     assert {(r["a"], r["b"]) for r in pairs.collect()} >= {("aabc", "aabd"), ("aabc", "aabcz")}
 
 
+def test_growing_words_are_not_broadcast(spark, monkeypatch):
+    """A few MB of files hold a million words, and each vector has many
+    signatures: every join, also those whose results are written, is shuffled."""
+    plans = []
+    kept = spelling.persisted
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return kept(df, name)
+
+    monkeypatch.setattr(spelling, "persisted", seen)
+    words = ["colour", "color", "colours", "anagram", "anagrams", "anagra"]
+    rows = [(i, " ".join(w for k, w in enumerate(words) for _ in range(3 ** (k % 3)))) for i in range(20)]
+    out = spelling.group_spellings(make(spark, rows))
+    assert out.where("form IS NOT NULL").count() > 0
+    plans.append(out._jdf.queryExecution().sparkPlan().toString())
+    assert not any("Broadcast" in p for p in plans) and sum(p.count("SortMergeJoin") for p in plans) >= 7
+
+
 # 4: the encoder's short cut for plain words -------------------------------
 
 def test_token_store_encoder_equals_the_library():
