@@ -2,6 +2,8 @@
 
 from collections import defaultdict
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from catalytics.operators import co_readers as CO
@@ -65,3 +67,51 @@ def test_a_reader_is_sent_once_to_each_of_a_bounded_number_of_blocks(spark, monk
     rows = [(f"u{u}", f"t{t}", 1) for u in range(200) for t in (u % 3, 3 + u)]
     CO.co_reader_tops(spark.createDataFrame(rows, READS), 3, 2, block_sums=10).count()
     assert sent and sent[0] <= CO.HELD_BLOCKS
+
+
+def test_blocks_read_the_edges_and_are_not_sent_them(spark, monkeypatch):
+    """Nothing above the packed lists is shuffled, a task reads for one block,
+    and the lists hold each edge once however many blocks there are."""
+    tables = []
+    kept, held = CO.written, CO._held_tops
+
+    def seen(df, name):
+        tables.append((name, kept(df, name)))
+        return tables[-1][1]
+
+    def tops(*args):
+        df = held(*args)
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert not any(x in plan for x in ("Exchange", "Repartition", "Generate")) and "Union" in plan
+        assert df.rdd.getNumPartitions() > -(-args[3] // -(-args[3] // blocks))
+        return df
+
+    monkeypatch.setattr(CO, "written", seen)
+    monkeypatch.setattr(CO, "_held_tops", tops)
+    reads = spark.createDataFrame(_reads(), READS)
+    found = []
+    for blocks in (1, 20):
+        monkeypatch.setattr(CO, "HELD_BLOCKS", blocks)
+        found.append({tuple(r) for r in CO.co_reader_tops(reads, 4, 3).collect()})
+    lists = [df.where("kind = 0").select(F.sum(F.length("a") / 4)).first()[0] for name, df in tables if name == "co-lists"]
+    assert found[0] == found[1] and found[0]
+    assert lists == [len({(u, t) for u, t, _ in _reads() if u and t})] * 2
+
+
+def test_no_more_blocks_than_scans_in_a_plan(spark, monkeypatch):
+    reads = spark.createDataFrame(_reads(), READS)
+    want = {tuple(r) for r in CO.co_reader_tops(reads, 4, 3).collect()}
+    monkeypatch.setattr(CO, "HELD_USERS", 1)
+    monkeypatch.setattr(CO, "MOST_BLOCKS", 4)
+    assert {tuple(r) for r in CO.co_reader_tops(reads, 4, 3).collect()} == want
+
+
+@pytest.mark.parametrize("list_edges", [1, 7, 1000])
+def test_packed_lists_hold_every_row(spark, list_edges):
+    rows = [(1, i, 300) for i in range(50)] + [(2, 5, -1), (4, 6, 70_000), (4, 7, 0)] + [(9, i, i) for i in range(20)]
+    df = CO.packed(spark.createDataFrame(rows, "u long, x long, rc long").repartition(5), 0, "u", {"x": np.dtype(np.int32), "rc": np.dtype(np.int32)}, list_edges)
+    types = [np.dtype(np.int32)] * 4
+    pieces = [[CO._unpacked(b.column(i + 1), t) for i, t in enumerate(types)] for b in df.toArrow().to_batches() if b.num_rows]
+    lo, n, (x, rc) = CO._lists(pieces)
+    got = sorted((u, int(x[i]), int(rc[i])) for u in range(len(lo)) for i in range(lo[u], lo[u] + n[u]))
+    assert got == sorted(rows) and n.sum() == len(rows)
